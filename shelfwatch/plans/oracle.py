@@ -84,3 +84,50 @@ dates AS (
 
 def q(body: str) -> str:
     return BASE + body
+
+
+def more(ctes: str, body: str) -> str:
+    """BASE plus further CTEs (``ctes`` starts with the CTE name, no leading comma)."""
+    return BASE + ", " + ctes + "\n" + body
+
+
+def pct_half_even(new: str, old: str) -> str:
+    """Percent change of two DECIMAL(10,2) prices, half-even to 2 places, in integers."""
+    num = f"(CAST(({new} - {old}) * 100 AS BIGINT) * 10000)"
+    den = f"CAST({old} * 100 AS BIGINT)"
+    qa = f"(abs({num}) // abs({den}))"
+    r = f"(abs({num}) % abs({den}))"
+    rounded = (f"({qa} + CASE WHEN 2 * {r} > abs({den}) OR (2 * {r} = abs({den}) "
+               f"AND {qa} % 2 = 1) THEN 1 ELSE 0 END)")
+    return (f"CASE WHEN {den} = 0 THEN NULL ELSE "
+            f"CAST(sign({num}) * sign({den}) * {rounded} AS DOUBLE) / 100 END")
+
+
+CHANGES = """
+prev AS (SELECT * FROM books WHERE date_collected = (SELECT previous_date FROM dates)),
+latest AS (SELECT * FROM books WHERE date_collected = (SELECT latest_date FROM dates)),
+ch_upc AS (
+  SELECT o.title, o.upc, o.product_url, o.category, o.price AS price_old,
+         n.price AS price_new, n.price - o.price AS change
+  FROM prev o JOIN latest n
+    ON o.title IS NOT DISTINCT FROM n.title AND o.upc IS NOT DISTINCT FROM n.upc
+),
+ch_url AS (
+  SELECT o.title, o.product_url, o.price AS price_old, n.price AS price_new,
+         n.price - o.price AS change
+  FROM prev o JOIN latest n
+    ON o.title IS NOT DISTINCT FROM n.title
+   AND o.product_url IS NOT DISTINCT FROM n.product_url
+)
+"""
+
+
+def changes(body: str) -> str:
+    return more(CHANGES, body)
+
+
+def change_cols(prefix: str = "") -> str:
+    return (f"CAST({prefix}price_old AS DOUBLE) AS price_old, "
+            f"CAST({prefix}price_new AS DOUBLE) AS price_new, "
+            f"CAST({prefix}change AS DOUBLE) AS change, "
+            f"{pct_half_even(prefix + 'price_new', prefix + 'price_old')} AS pct")

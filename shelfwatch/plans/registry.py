@@ -205,3 +205,149 @@ def rating_distribution(spark, sf_dir):
     "UNION SELECT DISTINCT 'title' AS kind, title AS value FROM snapshot"))
 def pick_lists(spark, sf_dir):
     return A.pick_lists(_snapshot(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- change detection
+from shelfwatch.operators import changes as C  # noqa: E402
+from shelfwatch.operators import search as SR  # noqa: E402
+
+
+def _changes(spark, sf_dir, keys=C.UPC_KEYS, carry=C.UPC_CARRY):
+    return C.latest_changes(B.books(spark, sf_dir), B.fact(spark, sf_dir), keys, carry)
+
+
+def _change_out(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if c not in ("price_old", "price_new", "change")],
+                     *[F.col(c).cast("double").alias(c)
+                       for c in ("price_old", "price_new", "change")])
+
+
+@register("price_changes_upc", O.changes(
+    f"SELECT title, upc, product_url, category, {O.change_cols()} FROM ch_upc"))
+def price_changes_upc(spark, sf_dir):
+    return _change_out(_changes(spark, sf_dir))
+
+
+@register("price_changes_url", O.changes(
+    f"SELECT title, product_url, {O.change_cols()} FROM ch_url"))
+def price_changes_url(spark, sf_dir):
+    return _change_out(_changes(spark, sf_dir, C.URL_KEYS, ()))
+
+
+@register("price_drops", O.changes(
+    f"SELECT title, upc, product_url, category, {O.change_cols()} FROM ch_upc "
+    "WHERE change < 0"))
+def price_drops(spark, sf_dir):
+    return _change_out(C.drops(_changes(spark, sf_dir)))
+
+
+@register("price_hikes", O.changes(
+    f"SELECT title, upc, product_url, category, {O.change_cols()} FROM ch_upc "
+    "WHERE change > 0"))
+def price_hikes(spark, sf_dir):
+    return _change_out(C.hikes(_changes(spark, sf_dir)))
+
+
+DEAL_MIN_PCT = 5.0
+
+
+@register("deals_min_pct", O.changes(
+    f"SELECT * FROM (SELECT title, upc, product_url, category, {O.change_cols()} FROM ch_upc "
+    f"WHERE change < 0) t WHERE abs(pct) >= {DEAL_MIN_PCT}"))
+def deals_min_pct(spark, sf_dir):
+    return _change_out(C.drops(_changes(spark, sf_dir), DEAL_MIN_PCT))
+
+
+@register("changed_rows", O.changes(
+    f"SELECT title, product_url, {O.change_cols()} FROM ch_url "
+    "WHERE change <> 0 OR change IS NULL"))
+def changed_rows(spark, sf_dir):
+    return _change_out(C.changed(_changes(spark, sf_dir, C.URL_KEYS, ())))
+
+
+@register("change_summary", O.changes(
+    "SELECT COUNT(*) AS compared, COUNT(*) FILTER (WHERE change < 0) AS drops, "
+    "COUNT(*) FILTER (WHERE change > 0) AS hikes, "
+    "COUNT(*) FILTER (WHERE change <> 0 OR change IS NULL) AS total_changed FROM ch_upc"))
+def change_summary(spark, sf_dir):
+    return C.change_summary(_changes(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- catalog search
+SEARCH_OUT = (f"upc, title, category, CAST(price AS DOUBLE) AS price, "
+              f"{O.rating_int('rating')} AS rating_numeric, stock_quantity, product_url")
+# Thresholds for the binding's price span (810.00-999.70) instead of the site's 20 / 50.
+BARGAIN_MAX, PREMIUM_MIN = 850.0, 950.0
+BOUND_PRESETS = SR.presets(BARGAIN_MAX, PREMIUM_MIN)
+
+
+def _search(spark, sf_dir, spec):
+    out = SR.search_catalog(_snapshot(spark, sf_dir), spec)
+    return out.withColumn("price", F.col("price").cast("double"))
+
+
+def _search_sql(where: str) -> str:
+    return O.q(f"SELECT * FROM (SELECT {SEARCH_OUT} FROM snapshot) s WHERE {where}")
+
+
+_STARS = "rating_numeric IN (1, 2, 3, 4, 5) AND price IS NOT NULL"
+KEYWORD = "RED|^1"
+
+
+@register("search_keyword", _search_sql(
+    f"(coalesce(regexp_matches(title, '(?i){KEYWORD}'), false) OR "
+    f"coalesce(regexp_matches(upc, '(?i){KEYWORD}'), false)) AND {_STARS}"))
+def search_keyword(spark, sf_dir):
+    return _search(spark, sf_dir, SR.SearchSpec(keyword=KEYWORD))
+
+
+@register("search_literal", _search_sql(
+    f"(contains(lower(title), 'hot') OR contains(lower(upc), 'hot')) AND {_STARS}"))
+def search_literal(spark, sf_dir):
+    return _search(spark, sf_dir, SR.SearchSpec(keyword="HOT", keyword_regex=False))
+
+
+@register("search_filters", _search_sql(
+    "category = 'Brand#12' AND rating_numeric IN (3, 4, 5) AND price IS NOT NULL "
+    "AND price >= 880 AND price <= 990 AND stock_quantity > 0"))
+def search_filters(spark, sf_dir):
+    return _search(spark, sf_dir, SR.SearchSpec(category="Brand#12", ratings=(3, 4, 5),
+                                                price_min=880.0, price_max=990.0,
+                                                in_stock_only=True))
+
+
+@register("search_title", _search_sql("title = 'red plate'"))
+def search_title(spark, sf_dir):
+    return _search(spark, sf_dir, SR.SearchSpec(title="red plate", category="Brand#1",
+                                                ratings=()))
+
+
+@register("search_no_ratings", _search_sql("false"))
+def search_no_ratings(spark, sf_dir):
+    return _search(spark, sf_dir, SR.SearchSpec(ratings=()))
+
+
+@register("preset_all", _search_sql(_STARS))
+def preset_all(spark, sf_dir):
+    return _search(spark, sf_dir, BOUND_PRESETS["all"])
+
+
+@register("preset_five_star", _search_sql("rating_numeric = 5 AND price IS NOT NULL"))
+def preset_five_star(spark, sf_dir):
+    return _search(spark, sf_dir, BOUND_PRESETS["five_star"])
+
+
+@register("preset_bargain", _search_sql(f"{_STARS} AND price <= {BARGAIN_MAX}"))
+def preset_bargain(spark, sf_dir):
+    return _search(spark, sf_dir, BOUND_PRESETS["bargain"])
+
+
+@register("preset_low_stock", _search_sql(
+    f"stock_quantity BETWEEN 1 AND 3 AND {_STARS} AND stock_quantity > 0"))
+def preset_low_stock(spark, sf_dir):
+    return _search(spark, sf_dir, BOUND_PRESETS["low_stock"])
+
+
+@register("preset_premium", _search_sql(f"{_STARS} AND price >= {PREMIUM_MIN}"))
+def preset_premium(spark, sf_dir):
+    return _search(spark, sf_dir, BOUND_PRESETS["premium"])
