@@ -351,3 +351,158 @@ def preset_low_stock(spark, sf_dir):
 @register("preset_premium", _search_sql(f"{_STARS} AND price >= {PREMIUM_MIN}"))
 def preset_premium(spark, sf_dir):
     return _search(spark, sf_dir, BOUND_PRESETS["premium"])
+
+
+# ---------------------------------------------------------------- statistics and reports
+from shelfwatch.functions import clean as X  # noqa: E402
+from shelfwatch.functions import fmt as FM  # noqa: E402
+from shelfwatch.operators import stats as ST  # noqa: E402
+from shelfwatch.plans import reports as R  # noqa: E402
+
+_LOG_ORDER_SQL = ("l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, "
+                  "l_quantity")
+
+
+@register("extreme_titles", O.q(
+    "SELECT (SELECT title FROM snapshot WHERE price IS NOT NULL "
+    f"ORDER BY price DESC, {_LOG_ORDER_SQL} LIMIT 1) AS most_expensive_title, "
+    "(SELECT CAST(max(price) AS DOUBLE) FROM snapshot) AS highest_price, "
+    "(SELECT title FROM snapshot WHERE price IS NOT NULL "
+    f"ORDER BY price ASC, {_LOG_ORDER_SQL} LIMIT 1) AS cheapest_title, "
+    "(SELECT CAST(min(price) AS DOUBLE) FROM snapshot) AS lowest_price"))
+def extreme_titles(spark, sf_dir):
+    return ST.extremes(_snapshot(spark, sf_dir), [B.LOG_ORDER])
+
+
+def _describe_sql(src: str) -> str:
+    cents = "CAST(price * 100 AS BIGINT)"
+    quart = ", ".join(f"round(quantile_cont(CAST(price AS DOUBLE), {q}), 4) AS {n}"
+                      for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")))
+    return O.q(
+        "SELECT COUNT(price) AS count, "
+        f"CAST((2 * SUM({cents}) * 1000 + COUNT(price)) // (2 * COUNT(price)) AS DOUBLE) "
+        "/ 100000 AS mean, round(stddev_samp(CAST(price AS DOUBLE)), 5) AS std, "
+        f"CAST(min(price) AS DOUBLE) AS min, {quart}, CAST(max(price) AS DOUBLE) AS max "
+        f"FROM {src}")
+
+
+@register("describe_price", _describe_sql("snapshot"))
+def describe_price(spark, sf_dir):
+    return ST.describe_price(_snapshot(spark, sf_dir))
+
+
+@register("describe_price_all", _describe_sql("books"))
+def describe_price_all(spark, sf_dir):
+    return ST.describe_price(_books(spark, sf_dir))
+
+
+@register("statistics_report_lines")
+def statistics_report_lines(spark, sf_dir):
+    return R.ordered(R.statistics_report(_snapshot(spark, sf_dir), "Parquet tables",
+                                         [B.LOG_ORDER]))
+
+
+@register("change_report_lines")
+def change_report_lines(spark, sf_dir):
+    fact = B.fact(spark, sf_dir)
+    ch = _changes(spark, sf_dir, C.URL_KEYS, ())
+    return R.ordered(R.change_report(ch, S.previous_date(fact), S.latest_date(fact),
+                                     "Parquet tables"))
+
+
+# ---------------------------------------------------------------- cleaning and display scalars
+@register("rating_parse", O.q(
+    f"SELECT rating, {O.rating_int('rating')} AS rating_numeric, COUNT(*) AS n "
+    "FROM books GROUP BY rating"))
+def rating_parse(spark, sf_dir):
+    return (_books(spark, sf_dir).groupBy("rating")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select("rating", X.parse_rating("rating").alias("rating_numeric"), "n"))
+
+
+def _raw_texts(df: DataFrame) -> DataFrame:
+    """Text as the extraction job sees it, derived from the stored values (X2-X5 inputs)."""
+    odd = (F.col("stock_quantity") % 2) == 1
+    return df.select(
+        "upc", "date_collected",
+        F.when(odd, F.concat(F.lit("Â£"), F.col("price").cast("string")))
+         .otherwise(F.concat(F.lit("£"), F.col("price").cast("string"))).alias("price_text"),
+        F.when(F.col("stock_quantity") > 0,
+               F.concat(F.lit("In stock ("), F.col("stock_quantity").cast("string"),
+                        F.lit(" available)")))
+         .otherwise(F.lit("In stock")).alias("availability"),
+        F.when(odd, F.concat(F.lit("catalogue/item_"), F.col("upc"), F.lit("/index.html")))
+         .otherwise(F.concat(F.lit("../../item_"), F.col("upc"), F.lit("/index.html")))
+         .alias("href"),
+        F.when(F.col("stock_quantity") < 10, F.lit(None).cast("string"))
+         .when(odd, F.concat(F.lit("catalogue/page-"), F.col("stock_quantity").cast("string"),
+                             F.lit(".html")))
+         .otherwise(F.concat(F.lit("page-"), F.col("stock_quantity").cast("string"),
+                             F.lit(".html"))).alias("next_href"),
+        F.concat(F.lit("  "), F.col("title"), F.lit(" ")).alias("title_text"))
+
+
+@register("text_clean", O.q("""
+, raw AS (
+  SELECT upc, date_collected,
+    CASE WHEN stock_quantity % 2 = 1 THEN 'Â£' ELSE '£' END || CAST(price AS VARCHAR) AS price_text,
+    CASE WHEN stock_quantity > 0 THEN 'In stock (' || CAST(stock_quantity AS VARCHAR) || ' available)'
+         ELSE 'In stock' END AS availability,
+    CASE WHEN stock_quantity % 2 = 1 THEN 'catalogue/item_' || upc || '/index.html'
+         ELSE '../../item_' || upc || '/index.html' END AS href,
+    CASE WHEN stock_quantity < 10 THEN NULL
+         WHEN stock_quantity % 2 = 1 THEN 'catalogue/page-' || CAST(stock_quantity AS VARCHAR) || '.html'
+         ELSE 'page-' || CAST(stock_quantity AS VARCHAR) || '.html' END AS next_href,
+    '  ' || title || ' ' AS title_text
+  FROM books)
+SELECT upc, date_collected,
+  CAST(TRY_CAST(regexp_replace(price_text, '[^0-9.]', '', 'g') AS DECIMAL(10,2)) AS DOUBLE) AS price,
+  COALESCE(TRY_CAST(regexp_replace(availability, '[^0-9]', '', 'g') AS INTEGER), 0) AS stock_quantity,
+  CASE WHEN contains(href, 'catalogue/') THEN 'https://books.toscrape.com/' || href
+       ELSE 'https://books.toscrape.com/catalogue/' || href END AS product_url,
+  CASE WHEN next_href IS NULL THEN NULL
+       WHEN contains(next_href, 'catalogue') THEN 'https://books.toscrape.com/' || next_href
+       ELSE 'https://books.toscrape.com/catalogue/' || next_href END AS next_url,
+  trim(title_text) AS title,
+  COALESCE(CASE WHEN stock_quantity = 0 THEN NULL ELSE title END, 'Unknown') AS category
+FROM raw r JOIN (SELECT upc AS u2, date_collected AS d2, title, stock_quantity FROM books) b
+  ON r.upc = b.u2 AND r.date_collected = b.d2
+""".replace("\n, raw AS", ", raw AS", 1)))
+def text_clean(spark, sf_dir):
+    books = _books(spark, sf_dir)
+    raw = _raw_texts(books.select("upc", "date_collected", "price", "stock_quantity", "title"))
+    cleaned = raw.select(
+        "upc", "date_collected",
+        X.clean_price("price_text").cast("double").alias("price"),
+        X.clean_stock("availability").alias("stock_quantity"),
+        X.resolve_product_url("href").alias("product_url"),
+        X.resolve_next_url("next_href").alias("next_url"),
+        X.trimmed("title_text").alias("title"),
+        X.or_unknown(F.when(F.col("availability") != "In stock",
+                            F.regexp_extract("title_text", r"^\s*(.*?)\s*$", 1)))
+         .alias("category"))
+    return cleaned
+
+
+@register("display_format", O.changes(
+    "SELECT title, upc, printf('£%.2f', CAST(price_old AS DOUBLE)) AS old_price, "
+    "printf('£%.2f', CAST(price_new AS DOUBLE)) AS new_price, "
+    "CASE WHEN change < 0 THEN printf('-£%.2f', abs(CAST(change AS DOUBLE))) "
+    "     ELSE printf('+£%.2f', CAST(change AS DOUBLE)) END AS change_text, "
+    f"CASE WHEN change < 0 THEN printf('%.2f%%', {O.pct_half_even('price_new', 'price_old')}) "
+    f"     ELSE printf('+%.2f%%', {O.pct_half_even('price_new', 'price_old')}) END AS pct_text, "
+    "format('{:,}', CAST(SUM(CAST(price_new * 100 AS BIGINT)) OVER () AS BIGINT)) "
+    "AS total_cents_text "
+    "FROM ch_upc WHERE change <> 0"))
+def display_format(spark, sf_dir):
+    from pyspark.sql import Window
+    ch = C.changed(_changes(spark, sf_dir)).where(F.col("change").isNotNull())
+    total = F.sum((F.col("price_new") * 100).cast("bigint")).over(Window.partitionBy())
+    return ch.select(
+        "title", "upc", FM.money("price_old").alias("old_price"),
+        FM.money("price_new").alias("new_price"),
+        F.when(F.col("change") < 0, FM.money_drop("change"))
+         .otherwise(FM.money_gain("change")).alias("change_text"),
+        F.when(F.col("change") < 0, FM.percent("pct"))
+         .otherwise(FM.percent_gain("pct")).alias("pct_text"),
+        FM.thousands(total).alias("total_cents_text"))
