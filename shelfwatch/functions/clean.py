@@ -98,5 +98,4 @@ def to_date_text(col: Column | str) -> Column:
 
 def from_date_text(col: Column | str) -> Column:
     """X12: 'YYYY-MM-DD' -> DATE (invalid text -> NULL)."""
-    return F.try_to_date(_c(col), F.lit("yyyy-MM-dd")) if hasattr(F, "try_to_date") \
-        else F.to_date(_c(col), "yyyy-MM-dd")
+    return F.try_to_date(_c(col), "yyyy-MM-dd")
