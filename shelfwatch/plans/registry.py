@@ -506,3 +506,70 @@ def display_format(spark, sf_dir):
         F.when(F.col("change") < 0, FM.percent("pct"))
          .otherwise(FM.percent_gain("pct")).alias("pct_text"),
         FM.thousands(total).alias("total_cents_text"))
+
+
+# ---------------------------------------------------------------- data quality and loads
+from shelfwatch.operators import quality as Q  # noqa: E402
+from shelfwatch.sinks.warehouse import merge_catalog  # noqa: E402
+
+
+def _rule_sql(src: str) -> str:
+    conds = [("title_not_null", "title IS NULL"), ("product_url_not_null", "product_url IS NULL"),
+             ("price_not_null", "price IS NULL"), ("date_not_null", "date_collected IS NULL"),
+             ("upc_not_null", "upc IS NULL"), ("price_non_negative", "price < 0"),
+             ("stock_non_negative", "stock_quantity < 0"),
+             ("price_precision", "abs(price) >= 100000000"),
+             ("upc_length", "length(upc) > 50"), ("category_length", "length(category) > 100"),
+             ("rating_length", "length(rating) > 20")]
+    parts = [f"SELECT '{n}' AS rule, upc, date_collected FROM {src} WHERE {c}"
+             for n, c in conds]
+    parts.append(f"SELECT 'unique_upc_date' AS rule, upc, date_collected FROM {src} "
+                 "GROUP BY upc, date_collected HAVING COUNT(*) > 1")
+    parts.append("SELECT 'one_date_per_batch' AS rule, CAST(NULL AS VARCHAR) AS upc, d "
+                 f"FROM (SELECT DISTINCT date_collected AS d FROM {src} "
+                 "WHERE date_collected IS NOT NULL) t "
+                 f"WHERE (SELECT COUNT(DISTINCT date_collected) FROM {src}) > 1")
+    return " UNION ALL ".join(parts)
+
+
+@register("constraint_violations", O.q(_rule_sql("raw_log")))
+def constraint_violations(spark, sf_dir):
+    return Q.violations(B.raw_log(spark, sf_dir))
+
+
+@register("snapshot_violations", O.q(_rule_sql("snapshot")))
+def snapshot_violations(spark, sf_dir):
+    return Q.violations(_snapshot(spark, sf_dir))
+
+
+@register("orphans", O.q(
+    "SELECT upc, date_collected, CAST(price AS DOUBLE) AS price FROM fact f "
+    "WHERE upc IS NOT NULL AND NOT EXISTS (SELECT 1 FROM snapshot s WHERE s.upc = f.upc)"))
+def orphans(spark, sf_dir):
+    current = _snapshot(spark, sf_dir).select("upc", "title", "category", "product_url")
+    return (Q.orphans(B.fact(spark, sf_dir), current)
+            .select("upc", "date_collected", F.col("price").cast("double").alias("price")))
+
+
+@register("upsert_catalog", O.more("""
+existing AS (
+  SELECT upc, title, category, product_url FROM (
+    SELECT *, row_number() OVER (PARTITION BY upc ORDER BY date_collected DESC, l_shipdate DESC,
+      l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_extendedprice DESC,
+      l_quantity DESC) AS rn
+    FROM history WHERE date_collected < (SELECT latest_date FROM dates)) t WHERE rn = 1),
+incoming AS (
+  SELECT upc, title, category || ' @' || CAST(date_collected AS VARCHAR) AS category,
+         product_url FROM snapshot)
+""", "SELECT * FROM existing e WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.upc = e.upc) "
+     "UNION ALL SELECT * FROM incoming"))
+def upsert_catalog(spark, sf_dir):
+    hist = B.history(spark, sf_dir)
+    fact = B.fact(spark, sf_dir)
+    before = hist.where(F.col("date_collected") < S.latest_date(fact))
+    existing = merge_catalog(spark.createDataFrame([], "upc string, title string, "
+                                                   "category string, product_url string"),
+                             before, ["date_collected", B.LOG_ORDER])
+    incoming = _snapshot(spark, sf_dir).withColumn(
+        "category", F.concat("category", F.lit(" @"), F.col("date_collected").cast("string")))
+    return merge_catalog(existing, incoming, ["date_collected", B.LOG_ORDER])

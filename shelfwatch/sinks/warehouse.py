@@ -32,6 +32,20 @@ CATALOG_COLS = [f.name for f in CATALOG.fields]
 HISTORY_COLS = [f.name for f in HISTORY.fields]
 
 
+def merge_catalog(existing: DataFrame, batch: DataFrame, order: list) -> DataFrame:
+    """K4 as a pure DataFrame: batch rows de-duplicated last-wins per upc (W3) replace the
+    existing rows with the same upc; all other existing rows stay.
+
+    The anti-join ships only the batch's upc column; no broadcast is forced because the
+    batch can be as large as the catalog.
+    """
+    names = [c for c in order if isinstance(c, str)]
+    new = batch.select(*dict.fromkeys(CATALOG_COLS + names))
+    new = dedup_keep_last(new, ["upc"], order).select(*CATALOG_COLS)
+    return existing.select(*CATALOG_COLS).join(new.select("upc"), "upc", "left_anti") \
+        .unionByName(new)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -91,11 +105,7 @@ class Warehouse:
                        version: int | None = None) -> int:
         """ON CONFLICT (upc) DO UPDATE: last row per upc of the batch wins (W3), every
         existing product not in the batch is kept. Returns the new version number."""
-        order = order or ["ingest_seq"]
-        new = batch.select(*dict.fromkeys(CATALOG_COLS + list(order)))
-        new = dedup_keep_last(new, ["upc"], order).select(*CATALOG_COLS)
-        merged = (self.catalog().join(new.select("upc"), "upc", "left_anti")
-                  .unionByName(new))
+        merged = merge_catalog(self.catalog(), batch, order or ["ingest_seq"])
         v = version if version is not None else int(time.time() * 1000)
         (merged.withColumn("version", F.lit(v).cast("long"))
                .write.mode("append").partitionBy("version").parquet(self.catalog_path))
