@@ -573,3 +573,43 @@ def upsert_catalog(spark, sf_dir):
     incoming = _snapshot(spark, sf_dir).withColumn(
         "category", F.concat("category", F.lit(" @"), F.col("date_collected").cast("string")))
     return merge_catalog(existing, incoming, ["date_collected", B.LOG_ORDER])
+
+
+# ---------------------------------------------------------------- HTML pages (generic profile)
+from shelfwatch.sources import html as H  # noqa: E402
+
+
+def _decode(x: str) -> str:
+    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
+            f"'&middot;', '·'), '&amp;', '&')")
+
+
+def _pages(spark, sf_dir):
+    return H.parse_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def _extract(pattern: str) -> str:
+    return _decode(f"regexp_extract(html, '(?s){pattern}', 1)")
+
+
+_NAV_RE = '<li><a href="([^"]*)">(.*?)</a></li>'
+
+
+@register("page_headings",
+          f"SELECT page_id, url, {_extract('<title>(.*?)</title>')} AS title, "
+          f"{_extract('<h1>(.*?)</h1>')} AS h1 FROM pages")
+def page_headings(spark, sf_dir):
+    return H.page_headings(_pages(spark, sf_dir))
+
+
+@register("page_links",
+          "SELECT page_id, CAST(pos AS INTEGER) AS pos, "
+          f"{_decode('href')} AS href, {_decode('text')} AS text FROM ("
+          "SELECT page_id, unnest(range(len(h))) AS pos, unnest(h) AS href, unnest(t) AS text "
+          "FROM (SELECT page_id, "
+          f"regexp_extract_all(nav, '{_NAV_RE}', 1) AS h, "
+          f"regexp_extract_all(nav, '{_NAV_RE}', 2) AS t FROM ("
+          "SELECT page_id, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav FROM pages) a"
+          ") b) c")
+def page_links(spark, sf_dir):
+    return H.page_links(_pages(spark, sf_dir))
