@@ -20,11 +20,17 @@ log_order          (l_shipdate, l_orderkey, l_linenumber, l_suppkey,
 
 from __future__ import annotations
 
+import hashlib
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwatch.operators.dedup import dedup_keep_last
-from shelfwatch.schemas import PRICE, WIDE_COLUMNS
+from shelfwatch.schemas import PRICE
+from shelfwatch.session import ensure_checkpoint_dir
 
 URL_PREFIX = "https://shop.example.com/p/"
 LOG_ORDER = "log_order"
@@ -56,7 +62,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (cents.cast("decimal(12,0)") / 100).cast(PRICE).alias("price"),
         _rating_text(F.col("l_linenumber")).alias("rating"),
         F.concat(F.lit(URL_PREFIX), upc).alias("product_url"),
-        F.date_trunc("quarter", F.col("l_shipdate")).cast("date").alias("date_collected"),
+        F.trunc(F.to_date("l_shipdate"), "quarter").alias("date_collected"),
         upc.alias("upc"),
         F.col("p_brand").alias("category"),
         (F.col("l_quantity").cast("int") - 1).alias("stock_quantity"),
@@ -65,10 +71,111 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 applied to the log: last row per (title, product_url, date_collected)."""
-    return dedup_keep_last(raw_log(spark, sf_dir),
-                           ["title", "product_url", "date_collected"], [LOG_ORDER])
+def build_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 applied to the log: last row per (title, product_url, date_collected).
+
+    In this binding (title, product_url) is a function of the part key and the URL
+    determines the part key, so the keep-last groups are exactly (l_partkey, quarter).
+    The de-duplication therefore runs on the narrow numeric line-item columns, before
+    the join with ``part``: the shuffle carries a few numbers per row instead of the wide
+    text columns, and the join sees one row per (part, quarter).
+    """
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice",
+        "l_quantity", "l_discount", "l_shipdate")
+    li = li.select(
+        "l_partkey", F.trunc(F.to_date("l_shipdate"), "quarter").alias("date_collected"),
+        "l_discount", "l_linenumber", "l_quantity",
+        F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey",
+                 "l_extendedprice", "l_quantity").alias(LOG_ORDER))
+    last = dedup_keep_last(li, ["l_partkey", "date_collected"], [LOG_ORDER])
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand",
+                                                 "p_retailprice")
+    j = last.join(part, last.l_partkey == part.p_partkey, "inner")
+    upc = F.col("p_partkey").cast("string")
+    cents = F.floor(F.col("p_retailprice") * (1 - F.col("l_discount")) * 100)
+    return j.select(
+        F.col("p_name").alias("title"),
+        (cents.cast("decimal(12,0)") / 100).cast(PRICE).alias("price"),
+        _rating_text(F.col("l_linenumber")).alias("rating"),
+        F.concat(F.lit(URL_PREFIX), upc).alias("product_url"),
+        "date_collected",
+        upc.alias("upc"),
+        F.col("p_brand").alias("category"),
+        (F.col("l_quantity").cast("int") - 1).alias("stock_quantity"),
+        LOG_ORDER,
+    )
+
+
+# ---------------------------------------------------------------- stored fact table
+_BUILD_LOCK = threading.Lock()
+FACT_COLS = ["upc", "price", "rating", "stock_quantity", LOG_ORDER, "date_collected"]
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the inputs: path, size and modification time of both source tables."""
+    parts = [sf_dir]
+    for name in ("lineitem", "part"):
+        fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
+        for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [
+                fs.getFileStatus(p)]:
+            parts.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def fact_path(spark: SparkSession, sf_dir: str) -> str:
+    """Location of the stored fact table for ``sf_dir``, built on first use.
+
+    The table lives in the shared folder named by ``spark.checkpoint.dir`` (never a
+    machine-local folder on a cluster), partitioned by ``date_collected``. It is written
+    to a temporary folder and renamed into place, so a reader never sees half a table;
+    if two builders race, the first rename wins and the other copy is dropped.
+    """
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    root = f"{base}/shelfwatch-binding/{_fingerprint(spark, sf_dir)}"
+    path = f"{root}/fact"
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return path
+    with _BUILD_LOCK:
+        if fs.exists(p):
+            return path
+        tmp = f"{root}/_tmp-{uuid.uuid4().hex}"
+        (build_history(spark, sf_dir).select(*FACT_COLS)
+            .write.mode("overwrite").partitionBy("date_collected").parquet(tmp))
+        _, tp = _fs(spark, tmp)
+        if not fs.rename(tp, p):
+            fs.delete(tp, True)
+    return path
+
+
+FACT_SCHEMA = T.StructType([
+    T.StructField("upc", T.StringType()),
+    T.StructField("price", PRICE),
+    T.StructField("rating", T.StringType()),
+    T.StructField("stock_quantity", T.IntegerType()),
+    T.StructField(LOG_ORDER, T.StructType([
+        T.StructField("l_shipdate", T.TimestampNTZType()),
+        T.StructField("l_orderkey", T.LongType()),
+        T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_suppkey", T.LongType()),
+        T.StructField("l_extendedprice", T.DoubleType()),
+        T.StructField("l_quantity", T.DoubleType())])),
+    T.StructField("date_collected", T.DateType()),
+])
+
+
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price fact (stored, partitioned by date_collected): upc, price, rating,
+    stock_quantity, log_order, date_collected."""
+    path = fact_path(spark, sf_dir)
+    return spark.read.schema(FACT_SCHEMA).option("basePath", path).parquet(path)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,18 +187,12 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.concat(F.lit(URL_PREFIX), upc).alias("product_url"))
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price fact: the de-duplicated log without the dimension attributes."""
-    return history(spark, sf_dir).select("upc", "price", "rating", "stock_quantity",
-                                         "date_collected", LOG_ORDER)
-
-
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat ``books`` rows: fact JOIN catalog."""
+    """Flat ``books`` rows: stored fact JOIN catalog (J1), wide columns + log_order."""
     from shelfwatch.operators.snapshots import books_view
     return books_view(catalog(spark, sf_dir), fact(spark, sf_dir))
 
 
-def wide_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The de-duplicated log in wide column order, without the order column."""
-    return history(spark, sf_dir).select(*WIDE_COLUMNS)
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The de-duplicated observation history in wide form (same rows as ``books``)."""
+    return books(spark, sf_dir)
