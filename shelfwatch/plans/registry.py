@@ -490,22 +490,30 @@ def text_clean(spark, sf_dir):
     "CASE WHEN change < 0 THEN printf('-£%.2f', abs(CAST(change AS DOUBLE))) "
     "     ELSE printf('+£%.2f', CAST(change AS DOUBLE)) END AS change_text, "
     f"CASE WHEN change < 0 THEN printf('%.2f%%', {O.pct_half_even('price_new', 'price_old')}) "
-    f"     ELSE printf('+%.2f%%', {O.pct_half_even('price_new', 'price_old')}) END AS pct_text, "
-    "format('{:,}', CAST(SUM(CAST(price_new * 100 AS BIGINT)) OVER () AS BIGINT)) "
-    "AS total_cents_text "
+    f"     ELSE printf('+%.2f%%', {O.pct_half_even('price_new', 'price_old')}) END AS pct_text "
     "FROM ch_upc WHERE change <> 0"))
 def display_format(spark, sf_dir):
-    from pyspark.sql import Window
     ch = C.changed(_changes(spark, sf_dir)).where(F.col("change").isNotNull())
-    total = F.sum((F.col("price_new") * 100).cast("bigint")).over(Window.partitionBy())
     return ch.select(
         "title", "upc", FM.money("price_old").alias("old_price"),
         FM.money("price_new").alias("new_price"),
         F.when(F.col("change") < 0, FM.money_drop("change"))
          .otherwise(FM.money_gain("change")).alias("change_text"),
         F.when(F.col("change") < 0, FM.percent("pct"))
-         .otherwise(FM.percent_gain("pct")).alias("pct_text"),
-        FM.thousands(total).alias("total_cents_text"))
+         .otherwise(FM.percent_gain("pct")).alias("pct_text"))
+
+
+@register("kpi_display", O.q(
+    "SELECT format('{:,}', COUNT(*)) AS catalog_size, "
+    f"printf('£%.2f', {O.avg2('price')}) AS average_price, "
+    "format('{:,}', CAST(SUM(stock_quantity) AS BIGINT)) AS total_inventory, "
+    "CAST(COUNT(DISTINCT category) AS VARCHAR) AS total_categories FROM books"))
+def kpi_display(spark, sf_dir):
+    k = A.kpis(_books(spark, sf_dir))
+    return k.select(FM.thousands("total_books").alias("catalog_size"),
+                    FM.money("avg_price").alias("average_price"),
+                    FM.thousands("total_stock").alias("total_inventory"),
+                    F.col("unique_categories").cast("string").alias("total_categories"))
 
 
 # ---------------------------------------------------------------- data quality and loads
@@ -613,3 +621,93 @@ def page_headings(spark, sf_dir):
           ") b) c")
 def page_links(spark, sf_dir):
     return H.page_links(_pages(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- extensions
+from shelfwatch.operators import evolution as EV  # noqa: E402
+
+
+@register("scd2_rating", O.more("""
+daily AS (SELECT upc, date_collected, max(rating) AS rating FROM fact
+          GROUP BY upc, date_collected),
+marked AS (SELECT upc, rating, date_collected AS valid_from,
+                  lag(rating) OVER (PARTITION BY upc ORDER BY date_collected) AS prev_r,
+                  row_number() OVER (PARTITION BY upc ORDER BY date_collected) AS rn
+           FROM daily),
+versions AS (SELECT upc, rating, valid_from FROM marked
+             WHERE rn = 1 OR prev_r IS DISTINCT FROM rating)
+""", "SELECT upc, rating, valid_from, "
+     "lead(valid_from) OVER (PARTITION BY upc ORDER BY valid_from) AS valid_to, "
+     "lead(valid_from) OVER (PARTITION BY upc ORDER BY valid_from) IS NULL AS is_current "
+     "FROM versions"))
+def scd2_rating(spark, sf_dir):
+    return EV.scd2(B.fact(spark, sf_dir), "upc", ["rating"])
+
+
+@register("scd2_dimension", O.more("""
+marked AS (SELECT upc, title, category, product_url, date_collected AS valid_from,
+                  row_number() OVER (PARTITION BY upc ORDER BY date_collected) AS rn,
+                  lag(title) OVER w AS pt, lag(category) OVER w AS pc,
+                  lag(product_url) OVER w AS pu
+           FROM books WINDOW w AS (PARTITION BY upc ORDER BY date_collected)),
+versions AS (SELECT upc, title, category, product_url, valid_from FROM marked
+             WHERE rn = 1 OR pt IS DISTINCT FROM title OR pc IS DISTINCT FROM category
+                OR pu IS DISTINCT FROM product_url)
+""", "SELECT upc, title, category, product_url, valid_from, "
+     "lead(valid_from) OVER (PARTITION BY upc ORDER BY valid_from) AS valid_to, "
+     "lead(valid_from) OVER (PARTITION BY upc ORDER BY valid_from) IS NULL AS is_current "
+     "FROM versions"))
+def scd2_dimension(spark, sf_dir):
+    return EV.scd2(_books(spark, sf_dir))
+
+
+@register("fact_upsert", O.more("""
+ex AS (SELECT upc, price, rating, stock_quantity, date_collected FROM fact
+       WHERE date_collected = (SELECT latest_date FROM dates)),
+bt AS (SELECT upc, price, rating, stock_quantity,
+              (SELECT latest_date FROM dates) AS date_collected
+       FROM fact WHERE date_collected = (SELECT previous_date FROM dates))
+""", "SELECT COALESCE(e.upc, b.upc) AS upc, "
+     "CAST(CASE WHEN b.upc IS NOT NULL THEN b.price ELSE e.price END AS DOUBLE) AS price, "
+     "CASE WHEN e.upc IS NOT NULL THEN e.rating ELSE b.rating END AS rating, "
+     "CASE WHEN b.upc IS NOT NULL THEN b.stock_quantity ELSE e.stock_quantity END "
+     "AS stock_quantity, COALESCE(e.date_collected, b.date_collected) AS date_collected "
+     "FROM ex e FULL OUTER JOIN bt b ON e.upc = b.upc AND e.date_collected = b.date_collected"))
+def fact_upsert(spark, sf_dir):
+    fact = B.fact(spark, sf_dir).select("upc", "price", "rating", "stock_quantity",
+                                        "date_collected")
+    existing = S.snapshot_at(fact, S.latest_date(fact))
+    late = (S.snapshot_at(fact, S.previous_date(fact))
+            .withColumn("date_collected", S.latest_date(fact)))
+    out = EV.merge_facts(existing, late)
+    return out.withColumn("price", F.col("price").cast("double"))
+
+
+ALERT_PCT = 10.0
+
+
+@register("price_alerts", O.changes(
+    f"SELECT * FROM (SELECT title, upc, product_url, category, {O.change_cols()} FROM ch_upc "
+    f"WHERE change < 0) t WHERE abs(pct) >= {ALERT_PCT}"))
+def price_alerts(spark, sf_dir):
+    return _change_out(C.price_alerts(_changes(spark, sf_dir), ALERT_PCT))
+
+
+@register("rating_by_category", O.q(
+    "SELECT category, CASE WHEN COUNT(r) = 0 THEN NULL ELSE "
+    "CAST((2 * SUM(r) * 100 + COUNT(r)) // (2 * COUNT(r)) AS DOUBLE) / 100 END AS avg_rating, "
+    "COUNT(r) AS rated, COUNT(*) - COUNT(r) AS unrated FROM ("
+    f"SELECT category, CASE WHEN {O.rating_int('rating')} BETWEEN 1 AND 5 "
+    f"THEN {O.rating_int('rating')} END AS r FROM snapshot) t GROUP BY category"))
+def rating_by_category(spark, sf_dir):
+    return EV.rating_by_category(_snapshot(spark, sf_dir))
+
+
+SERIES_FROM, SERIES_TO = "1998-01-01", "1999-12-31"
+
+
+@register("price_series_range", O.q(
+    f"SELECT {WIDE_OUT} FROM books "
+    f"WHERE date_collected BETWEEN DATE '{SERIES_FROM}' AND DATE '{SERIES_TO}'"))
+def price_series_range(spark, sf_dir):
+    return _wide_out(EV.price_series(_books(spark, sf_dir), SERIES_FROM, SERIES_TO))
