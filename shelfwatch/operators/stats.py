@@ -38,14 +38,15 @@ def extreme_columns(order: Sequence[Column | str] = ("ingest_seq",)) -> list[Col
 
 
 def describe_price(snapshot: DataFrame, approx: bool = False,
-                   accuracy: int = 100000) -> DataFrame:
+                   accuracy: int = 100000, rounded: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation) and max.
 
     ``percentile`` is exact; its aggregation buffer is a map price -> count, so memory is
     bounded by the number of distinct prices (cents), not by rows. ``approx=True`` uses
     ``percentile_approx`` (bounded by ``accuracy``) for unbounded value domains.
     The mean is exact (decimal sum / count) rounded half-up to 5 places; quartiles are
-    rounded to 4 places (exact for cent prices); std to 5 places.
+    rounded to 4 places (exact for cent prices); std to 5 places. ``rounded=False``
+    returns the unrounded doubles (for display formatting).
     """
     p = F.col("price")
     d = p.cast("double")
@@ -53,12 +54,15 @@ def describe_price(snapshot: DataFrame, approx: bool = False,
         qs = F.percentile_approx(d, list(QUANTILES), accuracy)
     else:
         qs = F.percentile(d, F.array(*[F.lit(x) for x in QUANTILES]))
-    mean = F.round(F.sum(p).cast("decimal(20,2)") / F.count(p).cast("decimal(20,0)"), 5)
+    mean = F.try_divide(F.sum(p).cast("decimal(20,2)"), F.count(p).cast("decimal(20,0)"))
+    std = F.stddev_samp(d)
+    if rounded:
+        mean, std = F.round(mean, 5), F.round(std, 5)
     agg = snapshot.agg(F.count(p).alias("count"), mean.cast("double").alias("mean"),
-                       F.round(F.stddev_samp(d), 5).alias("std"),
-                       F.min(p).cast("double").alias("min"), qs.alias("_q"),
+                       std.alias("std"), F.min(p).cast("double").alias("min"), qs.alias("_q"),
                        F.max(p).cast("double").alias("max"))
+    quart = [F.col("_q")[i] for i in range(len(QUANTILES))]
+    if rounded:
+        quart = [F.round(q, 4) for q in quart]
     return agg.select("count", "mean", "std", "min",
-                      *[F.round(F.col("_q")[i], 4).alias(n)
-                        for i, n in enumerate(("p25", "p50", "p75"))],
-                      "max")
+                      *[q.alias(n) for q, n in zip(quart, ("p25", "p50", "p75"))], "max")

@@ -711,3 +711,18 @@ SERIES_FROM, SERIES_TO = "1998-01-01", "1999-12-31"
     f"WHERE date_collected BETWEEN DATE '{SERIES_FROM}' AND DATE '{SERIES_TO}'"))
 def price_series_range(spark, sf_dir):
     return _wide_out(EV.price_series(_books(spark, sf_dir), SERIES_FROM, SERIES_TO))
+
+
+# ---------------------------------------------------------------- the SQL statements
+from shelfwatch.plans import sql as SQ  # noqa: E402
+
+
+def _sql_query(name: str) -> Query:
+    def fn(spark, sf_dir):
+        return SQ.run(spark, name, _books(spark, sf_dir))
+    fn.__name__ = f"sql_{name}"
+    return fn
+
+
+for _n in SQ.STATEMENTS:
+    register(f"sql_{_n}", _ORACLE[_n])(_sql_query(_n))

@@ -83,7 +83,7 @@ def statistics_report(snapshot: DataFrame, source_label: str,
         F.bround(F.sum("price").cast("decimal(20,2)")
                  / F.count("price").cast("decimal(20,0)"), 2).cast("double").alias("avg"),
         *ST.extreme_columns(order))
-    desc = _describe_text(ST.describe_price(snapshot))
+    desc = _describe_text(ST.describe_price(snapshot, rounded=False))
     desc_lines = _describe_lines()
     hi, lo = _py_float(F.col("highest_price")), _py_float(F.col("lowest_price"))
     header = _lines(head, 0, [
