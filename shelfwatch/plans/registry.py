@@ -396,13 +396,117 @@ def describe_price_all(spark, sf_dir):
     return ST.describe_price(_books(spark, sf_dir))
 
 
-@register("statistics_report_lines")
+def _statistics_report_sql() -> str:
+    rule = "'" + "=" * 50 + "'"
+    cents = "CAST(price * 100 AS BIGINT)"
+    # half-even average to cents, in integers
+    avg = (f"(SELECT CAST((q + CASE WHEN 2 * r > n OR (2 * r = n AND q % 2 = 1) THEN 1 ELSE 0 "
+           f"END) AS DOUBLE) / 100 FROM (SELECT SUM({cents}) // COUNT(price) AS q, "
+           f"SUM({cents}) % COUNT(price) AS r, COUNT(price) AS n FROM snapshot) a)")
+    hi = "CAST(CAST((SELECT max(price) FROM snapshot) AS DOUBLE) AS VARCHAR)"
+    lo = "CAST(CAST((SELECT min(price) FROM snapshot) AS DOUBLE) AS VARCHAR)"
+    dear = (f"(SELECT title FROM snapshot WHERE price IS NOT NULL ORDER BY price DESC, "
+            f"{_LOG_ORDER_SQL} LIMIT 1)")
+    cheap = (f"(SELECT title FROM snapshot WHERE price IS NOT NULL ORDER BY price ASC, "
+             f"{_LOG_ORDER_SQL} LIMIT 1)")
+    head = [rule, "'       BOOKS.TOSCRAPE.COM - DATA ANALYSIS'", rule,
+            "'Data Source : Parquet tables'",
+            "'Total books in dataset: ' || CAST((SELECT COUNT(*) FROM snapshot) AS VARCHAR)",
+            "''", "'--- Price Statistics ---'", f"'Average price: ' || CAST({avg} AS VARCHAR)",
+            f"'Highest price: ' || {hi}", f"'Lowest price:  ' || {lo}", "''",
+            f"'Most expensive: ' || {dear} || ' (' || {hi} || ')'",
+            f"'Cheapest:       ' || {cheap} || ' (' || {lo} || ')'", "''",
+            "'--- Rating Distribution ---'", "'Stars | Count'", "'" + "-" * 20 + "'"]
+    labels = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+    stats = ("SELECT printf('%.6f', CAST(COUNT(price) AS DOUBLE)) AS v0, "
+             "printf('%.6f', CAST(SUM(price) AS DOUBLE) / COUNT(price)) AS v1, "
+             "printf('%.6f', stddev_samp(CAST(price AS DOUBLE))) AS v2, "
+             "printf('%.6f', CAST(min(price) AS DOUBLE)) AS v3, "
+             "printf('%.6f', quantile_cont(CAST(price AS DOUBLE), 0.25)) AS v4, "
+             "printf('%.6f', quantile_cont(CAST(price AS DOUBLE), 0.5)) AS v5, "
+             "printf('%.6f', quantile_cont(CAST(price AS DOUBLE), 0.75)) AS v6, "
+             "printf('%.6f', CAST(max(price) AS DOUBLE)) AS v7 FROM snapshot")
+    tz = ", ".join(f"length(v{i}) - length(rtrim(v{i}, '0'))" for i in range(8))
+    cuts = [f"substr(v{i}, 1, length(v{i}) - k)" for i in range(8)]
+    width = "greatest(" + ", ".join(f"length({c})" for c in cuts) + ")"
+    desc = ["''", "'--- Full Price Summary (.describe()) ---'"]
+    desc += [f"rpad('{lab}', 5, ' ') || lpad({c}, CAST({width} + 4 AS INTEGER), ' ')"
+             for lab, c in zip(labels, cuts)]
+    desc += ["'Name: Price, dtype: float64'", "''", rule, "'Analysis complete.'"]
+
+    def fixed(block, lines, src):
+        return " UNION ALL ".join(
+            f"SELECT {block} AS block, CAST(NULL AS VARCHAR) AS k1, CAST(NULL AS VARCHAR) AS k2, "
+            f"CAST(NULL AS VARCHAR) AS k3, {i} AS sub, {x} AS line FROM {src}"
+            for i, x in enumerate(lines))
+
+    hist = ("SELECT 1 AS block, lpad(CAST(rn AS VARCHAR), 12, '0') AS k1, "
+            "CAST(NULL AS VARCHAR) AS k2, CAST(NULL AS VARCHAR) AS k3, 0 AS sub, "
+            "'  ' || CAST(rn AS VARCHAR) || '   |  ' || printf('%3d', c) || '  ' || "
+            "repeat('*', CAST(c // 10 AS INTEGER)) AS line FROM ("
+            f"SELECT {O.rating_int('rating')} AS rn, COUNT(*) AS c FROM snapshot GROUP BY 1) h")
+    body = " UNION ALL ".join([fixed(0, head, "(SELECT 1) one"), hist,
+                               fixed(2, desc, "dtext")])
+    return O.more(f"dvals AS ({stats}), dtext AS (SELECT *, least({tz}, 5) AS k FROM dvals)",
+                  f"SELECT * FROM ({body}) t WHERE line IS NOT NULL")
+
+
+@register("statistics_report_lines", _statistics_report_sql())
 def statistics_report_lines(spark, sf_dir):
     return R.ordered(R.statistics_report(_snapshot(spark, sf_dir), "Parquet tables",
                                          [B.LOG_ORDER]))
 
 
-@register("change_report_lines")
+def _change_report_sql() -> str:
+    rule, sub = "'" + "=" * 65 + "'", "'" + "-" * 65 + "'"
+    pct = f"COALESCE(CAST({O.pct_half_even('price_new', 'price_old')} AS VARCHAR), 'inf')"
+    money = "printf('£%.2f', CAST({c} AS DOUBLE))"
+    old_new = (f"'  Old Price: ' || {money.format(c='price_old')} || '  |  New Price: ' || "
+               f"{money.format(c='price_new')}")
+    head = [rule, "'         PRICE CHANGE DETECTOR REPORT'", rule,
+            "'Comparing date: ' || p || '  -->  ' || l", "'Data Source:    Parquet tables'",
+            "'Total books checked: ' || CAST(compared AS VARCHAR)",
+            "'Total price changes found: ' || CAST(total_changed AS VARCHAR)", rule, "''",
+            "'[DECREASE] Price Drops (Good Deals):'", sub,
+            "CASE WHEN drops = 0 THEN '  No price drops found.' END"]
+    mid = ["'[INCREASE] Price Hikes (More Expensive):'", sub,
+           "CASE WHEN hikes = 0 THEN '  No price increases found.' END"]
+    tail = [rule, "'                       SUMMARY'", rule,
+            "'  Checked Books   : ' || CAST(compared AS VARCHAR)",
+            "'  Price Drops     : ' || CAST(drops AS VARCHAR)",
+            "'  Price Hikes     : ' || CAST(hikes AS VARCHAR)",
+            "'  Total Changes   : ' || CAST(total_changed AS VARCHAR)", rule]
+
+    def fixed(block, lines):
+        return " UNION ALL ".join(
+            f"SELECT {block} AS block, CAST(NULL AS VARCHAR) AS k1, CAST(NULL AS VARCHAR) AS k2, "
+            f"CAST(NULL AS VARCHAR) AS k3, {i} AS sub, {x} AS line FROM summ"
+            for i, x in enumerate(lines))
+
+    def per_row(block, cond, sign, paren):
+        lines = ["'* ' || title",
+                 f"{old_new} || '  |  Change: ' || {sign} || ' {paren}' || {pct} || '%)'",
+                 "'  Link: ' || product_url", "''"]
+        return " UNION ALL ".join(
+            f"SELECT {block} AS block, title AS k1, product_url AS k2, "
+            f"CAST(NULL AS VARCHAR) AS k3, {i} AS sub, {x} AS line FROM ch_url WHERE {cond}"
+            for i, x in enumerate(lines))
+
+    drop_sign = money.format(c="change")
+    hike_sign = "printf('+£%.2f', CAST(change AS DOUBLE))"
+    body = " UNION ALL ".join([fixed(0, head), per_row(1, "change < 0", drop_sign, "("),
+                               fixed(2, mid), per_row(3, "change > 0", hike_sign, "(+"),
+                               fixed(4, tail)])
+    return O.changes(
+        ", summ AS (SELECT COUNT(*) AS compared, COUNT(*) FILTER (WHERE change < 0) AS drops, "
+        "COUNT(*) FILTER (WHERE change > 0) AS hikes, "
+        "COUNT(*) FILTER (WHERE change <> 0 OR change IS NULL) AS total_changed, "
+        "(SELECT strftime(previous_date, '%Y-%m-%d') FROM dates) AS p, "
+        "(SELECT strftime(latest_date, '%Y-%m-%d') FROM dates) AS l FROM ch_url) "
+        f"SELECT * FROM ({body}) t WHERE line IS NOT NULL")
+
+
+@register("change_report_lines", _change_report_sql())
 def change_report_lines(spark, sf_dir):
     fact = B.fact(spark, sf_dir)
     ch = _changes(spark, sf_dir, C.URL_KEYS, ())
