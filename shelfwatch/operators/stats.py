@@ -37,17 +37,10 @@ def extreme_columns(order: Sequence[Column | str] = ("ingest_seq",)) -> list[Col
             F.min(price).cast("double").alias("lowest_price")]
 
 
-def describe_price(snapshot: DataFrame, approx: bool = False,
-                   accuracy: int = 100000, rounded: bool = True) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear interpolation) and max.
-
-    ``percentile`` is exact; its aggregation buffer is a map price -> count, so memory is
-    bounded by the number of distinct prices (cents), not by rows. ``approx=True`` uses
-    ``percentile_approx`` (bounded by ``accuracy``) for unbounded value domains.
-    The mean is exact (decimal sum / count) rounded half-up to 5 places; quartiles are
-    rounded to 4 places (exact for cent prices); std to 5 places. ``rounded=False``
-    returns the unrounded doubles (for display formatting).
-    """
+def describe_columns(approx: bool = False, accuracy: int = 100000,
+                     rounded: bool = True) -> tuple[list[Column], list[Column]]:
+    """Aggregate columns for :func:`describe_price` and the projection applied after the
+    aggregate (so callers can fold describe() into a larger single ``agg``)."""
     p = F.col("price")
     d = p.cast("double")
     if approx:
@@ -58,11 +51,27 @@ def describe_price(snapshot: DataFrame, approx: bool = False,
     std = F.stddev_samp(d)
     if rounded:
         mean, std = F.round(mean, 5), F.round(std, 5)
-    agg = snapshot.agg(F.count(p).alias("count"), mean.cast("double").alias("mean"),
-                       std.alias("std"), F.min(p).cast("double").alias("min"), qs.alias("_q"),
-                       F.max(p).cast("double").alias("max"))
+    aggs = [F.count(p).alias("count"), mean.cast("double").alias("mean"), std.alias("std"),
+            F.min(p).cast("double").alias("min"), qs.alias("_q"),
+            F.max(p).cast("double").alias("max")]
     quart = [F.col("_q")[i] for i in range(len(QUANTILES))]
     if rounded:
         quart = [F.round(q, 4) for q in quart]
-    return agg.select("count", "mean", "std", "min",
-                      *[q.alias(n) for q, n in zip(quart, ("p25", "p50", "p75"))], "max")
+    post = [F.col("count"), F.col("mean"), F.col("std"), F.col("min"),
+            *[q.alias(n) for q, n in zip(quart, ("p25", "p50", "p75"))], F.col("max")]
+    return aggs, post
+
+
+def describe_price(snapshot: DataFrame, approx: bool = False,
+                   accuracy: int = 100000, rounded: bool = True) -> DataFrame:
+    """Count, mean, sample std, min, quartiles (linear interpolation) and max.
+
+    ``percentile`` is exact; its aggregation buffer is a map price -> count, so memory is
+    bounded by the number of distinct prices (cents), not by rows. ``approx=True`` uses
+    ``percentile_approx`` (bounded by ``accuracy``) for unbounded value domains.
+    The mean is exact (decimal sum / count) rounded half-up to 5 places; quartiles are
+    rounded to 4 places (exact for cent prices); std to 5 places. ``rounded=False``
+    returns the unrounded doubles (for display formatting).
+    """
+    aggs, post = describe_columns(approx, accuracy, rounded)
+    return snapshot.agg(*aggs).select(*post)

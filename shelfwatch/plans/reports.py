@@ -34,12 +34,14 @@ KEY_COLS = ("block", "k1", "k2", "k3", "sub")
 
 
 def _lines(df: DataFrame, block: int, parts: Sequence[Column], k1: Column | None = None,
-           k2: Column | None = None, k3: Column | None = None) -> DataFrame:
+           k2: Column | None = None, k3: Column | None = None,
+           block_col: Column | None = None) -> DataFrame:
     """One output row per element of ``parts`` for each input row."""
     arr = F.array(*[F.struct(F.lit(i).alias("sub"), p.cast("string").alias("line"))
                     for i, p in enumerate(parts)])
     nul = F.lit(None).cast("string")
-    return df.select(F.lit(block).alias("block"),
+    b = block_col if block_col is not None else F.lit(block)
+    return df.select(b.alias("block"),
                      (k1 if k1 is not None else nul).cast("string").alias("k1"),
                      (k2 if k2 is not None else nul).cast("string").alias("k2"),
                      (k3 if k3 is not None else nul).cast("string").alias("k3"),
@@ -66,50 +68,60 @@ def _describe_lines() -> list[Column]:
             for lab, c in zip(DESCRIBE_LABELS, cut)]
 
 
-def _describe_text(desc: DataFrame) -> DataFrame:
-    names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    out = desc.select(*[F.format_string("%.6f", F.col(n).cast("double")).alias(f"_v{i}")
-                        for i, n in enumerate(names)])
-    zeros = [F.length(F.col(f"_v{i}")) - F.length(F.regexp_replace(F.col(f"_v{i}"), "0+$", ""))
-             for i in range(len(names))]
-    return out.withColumn("_k", F.least(*zeros, F.lit(5)))
-
-
 def statistics_report(snapshot: DataFrame, source_label: str,
                       order: Sequence[Column | str] = ("ingest_seq",)) -> DataFrame:
     """K7: the descriptive statistics report of a snapshot."""
+    d_aggs, d_post = ST.describe_columns(rounded=False)
     head = snapshot.agg(
         F.count(F.lit(1)).alias("n"),
         F.bround(F.sum("price").cast("decimal(20,2)")
                  / F.count("price").cast("decimal(20,0)"), 2).cast("double").alias("avg"),
-        *ST.extreme_columns(order))
-    desc = _describe_text(ST.describe_price(snapshot, rounded=False))
-    desc_lines = _describe_lines()
+        *ST.extreme_columns(order), *d_aggs)
+    names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    head = head.select("n", "avg", "most_expensive_title", "highest_price", "cheapest_title",
+                       "lowest_price", *d_post)
+    head = head.select("*", *[F.format_string("%.6f", F.col(n).cast("double")).alias(f"_v{i}")
+                              for i, n in enumerate(names)])
+    zeros = [F.length(F.col(f"_v{i}")) - F.length(F.regexp_replace(F.col(f"_v{i}"), "0+$", ""))
+             for i in range(len(names))]
+    head = head.withColumn("_k", F.least(*zeros, F.lit(5)))
     hi, lo = _py_float(F.col("highest_price")), _py_float(F.col("lowest_price"))
-    header = _lines(head, 0, [
-        F.lit(STATS_RULE), F.lit(STATS_TITLE), F.lit(STATS_RULE),
-        F.lit(f"Data Source : {source_label}"),
-        F.concat(F.lit("Total books in dataset: "), F.col("n").cast("string")),
-        F.lit(""), F.lit("--- Price Statistics ---"),
-        F.concat(F.lit("Average price: "), _py_float(F.col("avg"))),
-        F.concat(F.lit("Highest price: "), hi),
-        F.concat(F.lit("Lowest price:  "), lo),
-        F.lit(""),
-        F.concat(F.lit("Most expensive: "), F.col("most_expensive_title"), F.lit(" ("), hi,
-                 F.lit(")")),
-        F.concat(F.lit("Cheapest:       "), F.col("cheapest_title"), F.lit(" ("), lo,
-                 F.lit(")")),
-        F.lit(""), F.lit("--- Rating Distribution ---"), F.lit("Stars | Count"),
-        F.lit(HIST_RULE)])
+    fixed = _blocks(head, [
+        (0, [F.lit(STATS_RULE), F.lit(STATS_TITLE), F.lit(STATS_RULE),
+             F.lit(f"Data Source : {source_label}"),
+             F.concat(F.lit("Total books in dataset: "), F.col("n").cast("string")),
+             F.lit(""), F.lit("--- Price Statistics ---"),
+             F.concat(F.lit("Average price: "), _py_float(F.col("avg"))),
+             F.concat(F.lit("Highest price: "), hi),
+             F.concat(F.lit("Lowest price:  "), lo),
+             F.lit(""),
+             F.concat(F.lit("Most expensive: "), F.col("most_expensive_title"), F.lit(" ("),
+                      hi, F.lit(")")),
+             F.concat(F.lit("Cheapest:       "), F.col("cheapest_title"), F.lit(" ("), lo,
+                      F.lit(")")),
+             F.lit(""), F.lit("--- Rating Distribution ---"), F.lit("Stars | Count"),
+             F.lit(HIST_RULE)]),
+        (2, [F.lit(""), F.lit("--- Full Price Summary (.describe()) ---"),
+             *_describe_lines(), F.lit(DESCRIBE_FOOTER), F.lit(""), F.lit(STATS_RULE),
+             F.lit("Analysis complete.")])])
     dist = A.rating_distribution(snapshot)
     hist = _lines(dist, 1, [F.concat(F.lit("  "), F.col("rating_numeric").cast("string"),
                                      F.lit("   |  "), fmt.right_align("book_count"),
                                      F.lit("  "), F.col("bar"))],
                   k1=F.lpad(F.col("rating_numeric").cast("string"), 12, "0"))
-    describe = _lines(desc, 2, [F.lit(""), F.lit("--- Full Price Summary (.describe()) ---"),
-                                *desc_lines, F.lit(DESCRIBE_FOOTER), F.lit(""),
-                                F.lit(STATS_RULE), F.lit("Analysis complete.")])
-    return header.unionByName(hist).unionByName(describe)
+    return fixed.unionByName(hist)
+
+
+def _blocks(df: DataFrame, blocks: Sequence[tuple[int, Sequence[Column]]]) -> DataFrame:
+    """Fixed lines of several blocks from one row, in one projection (the input is read
+    once, whatever the number of blocks)."""
+    arr = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(i).alias("sub"),
+                             p.cast("string").alias("line"))
+                    for b, parts in blocks for i, p in enumerate(parts)])
+    nul = F.lit(None).cast("string")
+    return (df.select(F.inline(arr))
+              .select("block", nul.alias("k1"), nul.alias("k2"), nul.alias("k3"), "sub",
+                      "line"))
 
 
 def change_report(ch: DataFrame, previous: Column | str, latest: Column | str,
@@ -117,49 +129,45 @@ def change_report(ch: DataFrame, previous: Column | str, latest: Column | str,
     """K8: the price change report, one block of lines per dropped / raised product.
 
     ``ch`` is the output of ``price_changes`` on (title, product_url). Products are listed
-    by title and URL inside each section.
+    by title and URL inside each section. The change set is read twice: once for the
+    summary counts (one aggregate feeding every fixed line) and once for the product
+    blocks (drops and hikes in the same pass).
     """
     summary = C.change_summary(ch).select("*", _date_text(previous).alias("_prev"),
                                           _date_text(latest).alias("_last"))
-    header = _lines(summary, 0, [
-        F.lit(CHANGE_RULE), F.lit(CHANGE_TITLE), F.lit(CHANGE_RULE),
-        F.concat(F.lit("Comparing date: "), F.col("_prev"), F.lit("  -->  "), F.col("_last")),
-        F.lit(f"Data Source:    {source_label}"),
-        F.concat(F.lit("Total books checked: "), F.col("compared").cast("string")),
-        F.concat(F.lit("Total price changes found: "), F.col("total_changed").cast("string")),
-        F.lit(CHANGE_RULE), F.lit(""), F.lit("[DECREASE] Price Drops (Good Deals):"),
-        F.lit(CHANGE_SUBRULE),
-        F.when(F.col("drops") == 0, F.lit("  No price drops found."))])
+    fixed = _blocks(summary, [
+        (0, [F.lit(CHANGE_RULE), F.lit(CHANGE_TITLE), F.lit(CHANGE_RULE),
+             F.concat(F.lit("Comparing date: "), F.col("_prev"), F.lit("  -->  "),
+                      F.col("_last")),
+             F.lit(f"Data Source:    {source_label}"),
+             F.concat(F.lit("Total books checked: "), F.col("compared").cast("string")),
+             F.concat(F.lit("Total price changes found: "),
+                      F.col("total_changed").cast("string")),
+             F.lit(CHANGE_RULE), F.lit(""), F.lit("[DECREASE] Price Drops (Good Deals):"),
+             F.lit(CHANGE_SUBRULE),
+             F.when(F.col("drops") == 0, F.lit("  No price drops found."))]),
+        (2, [F.lit("[INCREASE] Price Hikes (More Expensive):"), F.lit(CHANGE_SUBRULE),
+             F.when(F.col("hikes") == 0, F.lit("  No price increases found."))]),
+        (4, [F.lit(CHANGE_RULE), F.lit(SUMMARY_TITLE), F.lit(CHANGE_RULE),
+             F.concat(F.lit("  Checked Books   : "), F.col("compared").cast("string")),
+             F.concat(F.lit("  Price Drops     : "), F.col("drops").cast("string")),
+             F.concat(F.lit("  Price Hikes     : "), F.col("hikes").cast("string")),
+             F.concat(F.lit("  Total Changes   : "), F.col("total_changed").cast("string")),
+             F.lit(CHANGE_RULE)])])
     pct_txt = F.coalesce(_py_float(F.col("pct")), F.lit("inf"))
-    old_new = [F.lit("  Old Price: "), fmt.money("price_old"), F.lit("  |  New Price: "),
-               fmt.money("price_new")]
-    drop_rows = ch.where(F.col("change") < 0)
-    drop_lines = _lines(drop_rows, 1, [
-        F.concat(F.lit("* "), F.col("title")),
-        F.concat(*old_new, F.lit("  |  Change: "), fmt.money_signed("change"), F.lit(" ("),
-                 pct_txt, F.lit("%)")),
-        F.concat(F.lit("  Link: "), F.col("product_url")), F.lit("")],
-        k1=F.col("title"), k2=F.col("product_url"))
-    mid = _lines(summary, 2, [
-        F.lit("[INCREASE] Price Hikes (More Expensive):"), F.lit(CHANGE_SUBRULE),
-        F.when(F.col("hikes") == 0, F.lit("  No price increases found."))])
-    hike_rows = ch.where(F.col("change") > 0)
-    hike_lines = _lines(hike_rows, 3, [
+    drop = F.col("change") < 0
+    change_txt = F.when(drop, F.concat(fmt.money_signed("change"), F.lit(" (")))\
+        .otherwise(F.concat(fmt.money_gain("change"), F.lit(" (+")))
+    moved = ch.where(F.col("change") != 0).withColumn(
+        "_block", F.when(drop, F.lit(1)).otherwise(F.lit(3)))
+    products = _lines(moved, 0, [
         F.concat(F.lit("* "), F.col("title")),
-        F.concat(*old_new, F.lit("  |  Change: "), fmt.money_gain("change"), F.lit(" (+"),
-                 pct_txt, F.lit("%)")),
+        F.concat(F.lit("  Old Price: "), fmt.money("price_old"), F.lit("  |  New Price: "),
+                 fmt.money("price_new"), F.lit("  |  Change: "), change_txt, pct_txt,
+                 F.lit("%)")),
         F.concat(F.lit("  Link: "), F.col("product_url")), F.lit("")],
-        k1=F.col("title"), k2=F.col("product_url"))
-    tail = _lines(summary, 4, [
-        F.lit(CHANGE_RULE), F.lit(SUMMARY_TITLE), F.lit(CHANGE_RULE),
-        F.concat(F.lit("  Checked Books   : "), F.col("compared").cast("string")),
-        F.concat(F.lit("  Price Drops     : "), F.col("drops").cast("string")),
-        F.concat(F.lit("  Price Hikes     : "), F.col("hikes").cast("string")),
-        F.concat(F.lit("  Total Changes   : "), F.col("total_changed").cast("string")),
-        F.lit(CHANGE_RULE)])
-    out = header.unionByName(drop_lines).unionByName(mid).unionByName(hike_lines) \
-        .unionByName(tail)
-    return out.where(F.col("line").isNotNull())
+        k1=F.col("title"), k2=F.col("product_url"), block_col=F.col("_block"))
+    return fixed.unionByName(products).where(F.col("line").isNotNull())
 
 
 def ordered(lines: DataFrame) -> DataFrame:
