@@ -129,6 +129,20 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def write_partitioned(df: DataFrame, path: str) -> None:
+    """Write a fact partitioned by date with few files per date.
+
+    A hash-partitioned input would make every task write into every date folder
+    (tasks x dates files). The ``rebalance`` hint shuffles by date and lets AQE size the
+    tasks at run time: small dates are coalesced into one task, a large (hot) date is
+    split over several tasks (no sampling pass, unlike a range partitioning). Rows are
+    sorted by upc within a date, which keeps the parquet min/max statistics on upc tight.
+    """
+    (df.hint("rebalance", "date_collected")
+       .sortWithinPartitions("date_collected", "upc")
+       .write.mode("overwrite").partitionBy("date_collected").parquet(path))
+
+
 def fact_path(spark: SparkSession, sf_dir: str) -> str:
     """Location of the stored fact table for ``sf_dir``, built on first use.
 
@@ -147,8 +161,7 @@ def fact_path(spark: SparkSession, sf_dir: str) -> str:
         if fs.exists(p):
             return path
         tmp = f"{root}/_tmp-{uuid.uuid4().hex}"
-        (build_history(spark, sf_dir).select(*FACT_COLS)
-            .write.mode("overwrite").partitionBy("date_collected").parquet(tmp))
+        write_partitioned(build_history(spark, sf_dir).select(*FACT_COLS), tmp)
         _, tp = _fs(spark, tmp)
         if not fs.rename(tp, p):
             fs.delete(tp, True)
