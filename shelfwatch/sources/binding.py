@@ -109,6 +109,7 @@ def build_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- stored fact table
 _BUILD_LOCK = threading.Lock()
+FACT_LAYOUT = "v2"  # bump when the stored layout changes, so old copies are not reused
 FACT_COLS = ["upc", "price", "rating", "stock_quantity", LOG_ORDER, "date_collected"]
 
 
@@ -120,7 +121,7 @@ def _fs(spark: SparkSession, path: str):
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Identity of the inputs: path, size and modification time of both source tables."""
-    parts = [sf_dir]
+    parts = [sf_dir, FACT_LAYOUT]
     for name in ("lineitem", "part"):
         fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
         for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [

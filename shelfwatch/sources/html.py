@@ -192,7 +192,21 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     independent, so the work spreads over all partitions of the page table.
     """
     src = pages.select(F.col("page_id").cast("long"), "url", "html")
-    return src.mapInPandas(_parse_batches, PARSED)
+    return _spread(src).mapInPandas(_parse_batches, PARSED)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Parsing is CPU-bound Python. When the scan yields fewer tasks than there are
+    cores (e.g. one large file with a single row group), spread the rows round-robin so
+    every core parses; a scan over many files already has enough tasks and is left as is.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - e.g. no RDD access in a remote session
+        pass
+    return df
 
 
 # ---------------------------------------------------------------- generic profile
