@@ -111,6 +111,23 @@ class Warehouse:
                .write.mode("append").partitionBy("version").parquet(self.catalog_path))
         return v
 
+    def vacuum_catalog(self, keep: int = 2) -> list[int]:
+        """Delete all but the ``keep`` newest dimension versions; returns the removed ones.
+
+        Only folder names are listed (one entry per version), no data is read.
+        """
+        fs, p = self._fs(self.catalog_path)
+        if not fs.exists(p):
+            return []
+        versions = sorted(int(st.getPath().getName().split("=", 1)[1])
+                          for st in fs.listStatus(p)
+                          if st.isDirectory() and st.getPath().getName().startswith("version="))
+        old = versions[:-keep] if keep > 0 else versions
+        for v in old:
+            fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+                f"{self.catalog_path}/version={v}"), True)
+        return old
+
     # ------------------------------------------------------------------ K5
     def replace_day(self, batch: DataFrame) -> None:
         """DELETE the batch's date(s) then INSERT, as one dynamic partition overwrite.
