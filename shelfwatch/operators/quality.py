@@ -44,10 +44,17 @@ def _row_violations(df: DataFrame) -> DataFrame:
                       "date_collected"))
 
 
+def key_counts(df: DataFrame, keys=("upc", "date_collected")) -> DataFrame:
+    """Rows per key (map-side pre-aggregated)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def duplicate_keys(df: DataFrame, keys=("upc", "date_collected"),
-                   rule: str = "unique_upc_date") -> DataFrame:
-    """One violation per key that occurs more than once (map-side pre-aggregated)."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                   rule: str = "unique_upc_date", counts: DataFrame | None = None
+                   ) -> DataFrame:
+    """One violation per key that occurs more than once."""
+    counts = counts if counts is not None else key_counts(df, keys)
+    dup = counts.where(F.col("_n") > 1)
     cols = [F.col(k) if k in keys else F.lit(None).cast(t)
             for k, t in (("upc", "string"), ("date_collected", "date"))]
     return dup.select(F.lit(rule).alias("rule"), *[c.alias(n) for c, n in
@@ -65,12 +72,14 @@ def _orphan_violations(history: DataFrame, catalog: DataFrame) -> DataFrame:
                                             "date_collected")
 
 
-def _multi_date(df: DataFrame) -> DataFrame:
+def _multi_date(df: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
     """A load batch must carry exactly one collection date (replace-by-date is per day).
 
-    The window runs over the distinct dates only, a handful of rows.
+    ``keyed`` (the per-(upc, date) counts, if already computed) is reused so the batch is
+    not scanned again; the window runs over the distinct dates only, a handful of rows.
     """
-    dates = df.select("date_collected").where(F.col("date_collected").isNotNull()).distinct()
+    src = keyed if keyed is not None else df
+    dates = src.select("date_collected").where(F.col("date_collected").isNotNull()).distinct()
     n = F.count(F.lit(1)).over(Window.partitionBy())
     return (dates.withColumn("_n", n).where(F.col("_n") > 1)
                  .select(F.lit("one_date_per_batch").alias("rule"),
@@ -80,11 +89,12 @@ def _multi_date(df: DataFrame) -> DataFrame:
 def violations(batch: DataFrame, catalog: DataFrame | None = None,
                single_date: bool = True) -> DataFrame:
     """All rule violations of a wide load batch (columns as in ``schemas.WIDE``)."""
-    out = _row_violations(batch).unionByName(duplicate_keys(batch))
+    keyed = key_counts(batch)
+    out = _row_violations(batch).unionByName(duplicate_keys(batch, counts=keyed))
     if catalog is not None:
         out = out.unionByName(_orphan_violations(batch, catalog))
     if single_date:
-        out = out.unionByName(_multi_date(batch))
+        out = out.unionByName(_multi_date(batch, keyed))
     return out
 
 

@@ -55,12 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting points at shared storage and is never overridden. Only when
     it is unset (local tests) do we create a private folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="shelfwatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
+    current = sc._jsc.sc().getCheckpointDir()
+    if path:
+        if not current.isDefined():
+            sc.setCheckpointDir(path)
+        return path
+    if not current.isDefined():
+        # Unset (local tests): a private folder. ``spark.checkpoint.dir`` itself cannot be
+        # changed at run time, so the context's checkpoint directory is set instead.
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwatch-ckpt-"))
+        current = sc._jsc.sc().getCheckpointDir()
+    return current.get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
