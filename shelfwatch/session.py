@@ -24,6 +24,11 @@ _DEFAULTS = {
     # more than a few thousand pages at once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Answer max/min/distinct over partition columns (the latest collection date) from the
+    # partition listing instead of a job that opens every file footer. Its one caveat, a
+    # partition folder holding only empty files, cannot occur in the tables written here:
+    # partitioned writes create no empty partitions and deletes drop emptied ones.
+    "spark.sql.optimizer.metadataOnly": "true",
 }
 
 
