@@ -692,8 +692,13 @@ from shelfwatch.sources import html as H  # noqa: E402
 
 
 def _decode(x: str) -> str:
-    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
-            f"'&middot;', '·'), '&amp;', '&')")
+    """HTML text decoding of the entities present in the pages; the semicolon is optional
+    (legacy references such as a truncated '&amp' decode too). '&amp' goes last so its
+    output is never decoded twice."""
+    out = x
+    for ent, ch in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{ent};?', '{ch}', 'g')"
+    return out
 
 
 def _pages(spark, sf_dir):
