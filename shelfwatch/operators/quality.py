@@ -98,6 +98,17 @@ def violations(batch: DataFrame, catalog: DataFrame | None = None,
     return out
 
 
+def validate(batch: DataFrame, catalog: DataFrame | None = None
+             ) -> tuple[DataFrame, DataFrame]:
+    """(rows that pass every row rule, all violations of the batch).
+
+    Loads use the violations to accept or reject a whole batch; the valid rows serve
+    callers that prefer to quarantine offending rows instead.
+    """
+    good, _ = split_valid(batch)
+    return good, violations(batch, catalog)
+
+
 def split_valid(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Row-rule quarantine: (rows passing every row rule, rows failing one, with reasons)."""
     flags = F.array_compact(F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.functions import clean as X
+from shelfwatch.operators.dedup import dedup_keep_last
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "source", "track", "wbr"}
@@ -249,7 +250,7 @@ def parse_detail(parsed: DataFrame) -> DataFrame:
     crumbs = F.col("breadcrumb")
     category = F.when(F.size(crumbs) > 2, F.element_at(crumbs, 3))
     return parsed.select(
-        "url",
+        "page_id", "url",
         X.or_unknown(category).alias("category"),
         X.or_unknown(upc).alias("upc"),
         F.when(avail.isNull(), F.lit(0)).otherwise(X.clean_stock(avail)).alias("stock_quantity"))
@@ -260,8 +261,12 @@ def enrich(listing: DataFrame, detail: DataFrame, run_date: str | None = None
     """Listing rows + detail attributes by URL; returns (records, rejected listings).
 
     A listing whose detail page is missing is rejected (the source logged and dropped it).
-    Both sides scale with the catalog, so the planner picks the join strategy.
+    A detail page present more than once (re-crawled) counts once: the one with the
+    highest ``page_id`` is kept, so the join never multiplies rows. Both sides scale with
+    the catalog, so the planner picks the join strategy.
     """
+    if "page_id" in detail.columns:
+        detail = dedup_keep_last(detail, ["url"], ["page_id"]).drop("page_id")
     d = detail.withColumnRenamed("url", "product_url")
     joined = listing.join(d, "product_url", "inner")
     date = F.lit(run_date).cast("date") if run_date else F.current_date()

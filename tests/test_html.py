@@ -55,7 +55,7 @@ def test_listing_cards_and_next(spark):
 
 
 def test_detail_defaults(spark):
-    got = {r.url: (r.category, r.upc, r.stock_quantity)
+    got = {r.url: (r.category, r.upc, r.stock_quantity)  # noqa: E501
            for r in H.parse_detail(H.parse_pages(_pages(spark, DETAILS))).collect()}
     assert got == {BASE + "a-light_1000/index.html": ("Poetry", "a897fe39b1053632", 22),
                    BASE + "b-book_999/index.html": ("Unknown", "Unknown", 0),
@@ -65,11 +65,12 @@ def test_detail_defaults(spark):
 def test_enrich_joins_and_rejects(spark):
     listing = H.parse_listing(H.parse_pages(_pages(spark, [
         (1, "https://books.toscrape.com/", LISTING_1), (2, BASE + "page-2.html", LISTING_2)])))
-    detail = H.parse_detail(H.parse_pages(_pages(spark, DETAILS[:2])))
+    recrawl = (20, DETAILS[0][1], DETAILS[0][2].replace("22 available", "21 available"))
+    detail = H.parse_detail(H.parse_pages(_pages(spark, DETAILS[:2] + [recrawl])))
     records, rejected = H.enrich(listing, detail, "2026-06-06")
     recs = sorted((r.title, r.upc, r.category, r.stock_quantity, r.rating, r.date_collected)
                   for r in records.collect())
-    assert recs == [("A Light in the Attic", "a897fe39b1053632", "Poetry", 22, "3",
+    assert recs == [("A Light in the Attic", "a897fe39b1053632", "Poetry", 21, "3",
                      dt.date(2026, 6, 6)),
                     ("B & C", "Unknown", "Unknown", 0, "0", dt.date(2026, 6, 6))]
     assert [r.title for r in rejected.collect()] == ["Last"]

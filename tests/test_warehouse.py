@@ -110,3 +110,11 @@ def test_run_date_stamp(spark, tmp_root):
     wh.ingest(b, run_date="2026-06-07")
     assert wh.history().first().date_collected == dt.date(2026, 6, 7)
     assert wh.books().where(F.col("title") == "A").count() == 1
+
+
+def test_validate_splits_rows(spark):
+    from shelfwatch.operators.quality import validate
+    b = batch(spark, [row("ok", "1.00", "u1", D1), row("neg", "-1.00", "u2", D1)])
+    good, bad = validate(b)
+    assert [r.upc for r in good.collect()] == ["u1"]
+    assert [(r.rule, r.upc) for r in bad.collect()] == [("price_non_negative", "u2")]
