@@ -835,3 +835,14 @@ def _sql_query(name: str) -> Query:
 
 for _n in SQ.STATEMENTS:
     register(f"sql_{_n}", _ORACLE[_n])(_sql_query(_n))
+
+
+@register("scd2_rating_incremental", _ORACLE["scd2_rating"])
+def scd2_rating_incremental(spark, sf_dir):
+    """E1 incremental: the SCD2 table of all dates before the latest one, with the latest
+    date's batch applied, must equal the SCD2 table built over all dates."""
+    fact = B.fact(spark, sf_dir).select("upc", "rating", "date_collected")
+    latest = S.latest_date(fact)
+    before = EV.scd2(fact.where(F.col("date_collected") < latest), "upc", ["rating"])
+    batch = S.snapshot_at(fact, latest)
+    return EV.scd2_apply(before, batch, "upc", ["rating"])
