@@ -168,10 +168,15 @@ class _PageParser(HTMLParser):
 
 
 def parse_page(html: str | None) -> dict:
+    """Raw fields of one page. A page the parser cannot finish keeps what was extracted
+    up to the failure, so one malformed page never fails the task."""
     p = _PageParser()
     if html:
-        p.feed(html)
-        p.close()
+        try:
+            p.feed(html)
+            p.close()
+        except Exception:  # noqa: BLE001 - partial result, like a lenient browser parse
+            pass
     return {"title": p.title, "h1": p.h1, "nav_links": p.nav_links, "cards": p.cards,
             "next_href": p.next_href, "breadcrumb": p.breadcrumb, "info_rows": p.info_rows}
 

@@ -86,3 +86,10 @@ def test_generic_profile(spark):
     assert heads == {5: ("T & U", 'Head "x"'), 6: (None, None)}
     links = [(r.pos, r.href, r.text) for r in H.page_links(parsed).orderBy("pos").collect()]
     assert links == [(0, "/a", "A"), (1, "/b", "B & C")]
+
+
+def test_malformed_page_does_not_fail(spark):
+    bad = "<html><body><nav><ul><li><a href='/x'>X</a></li></ul></nav><h1>T</h1><![if"
+    parsed = H.parse_pages(_pages(spark, [(1, "u", bad), (2, "v", "<h1>ok</h1>")]))
+    got = {r.page_id: r.h1 for r in H.page_headings(parsed).collect()}
+    assert got == {1: "T", 2: "ok"}
