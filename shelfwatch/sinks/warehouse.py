@@ -17,6 +17,7 @@ replaces it and leaves every other day untouched.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,10 +108,21 @@ class Warehouse:
         existing product not in the batch is kept. Returns the new version number."""
         merged = merge_catalog(self.catalog(), batch, order or ["ingest_seq"])
         v = version if version is not None else int(time.time() * 1000)
-        (merged.withColumn("version", F.lit(v).cast("long"))
-               .write.mode("append").partitionBy("version").parquet(self.catalog_path))
+        self._publish_catalog(merged, v)
         return v
 
+    def _publish_catalog(self, rows: DataFrame, version: int) -> None:
+        """Write a complete dimension version to a staging folder (names starting with '_'
+        are invisible to readers), then rename it to ``version=<v>`` in one step, so a
+        reader never sees a half-written version even if the job dies mid-commit."""
+        staging = f"{self.catalog_path}/_staging-{uuid.uuid4().hex}"
+        rows.select(*CATALOG_COLS).write.mode("overwrite").parquet(staging)
+        fs, src = self._fs(staging)
+        _, dst = self._fs(f"{self.catalog_path}/version={version}")
+        if not fs.rename(src, dst):
+            fs.delete(src, True)
+            raise OSError(f"could not publish catalog version {version}")
+
     def vacuum_catalog(self, keep: int = 2) -> list[int]:
         """Delete all but the ``keep`` newest dimension versions; returns the removed ones.
 
@@ -149,8 +161,7 @@ class Warehouse:
         """
         keys = upcs.select("upc").distinct()
         kept_cat = self.catalog().join(keys, "upc", "left_anti")
-        (kept_cat.withColumn("version", F.lit(int(time.time() * 1000)).cast("long"))
-                 .write.mode("append").partitionBy("version").parquet(self.catalog_path))
+        self._publish_catalog(kept_cat, int(time.time() * 1000))
         hist = self.history()
         touched = hist.join(keys, "upc", "left_semi").select("date_collected").distinct()
         touched_dates = [r[0] for r in touched.collect()]  # one row per touched day
