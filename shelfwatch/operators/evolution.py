@@ -21,7 +21,7 @@ from shelfwatch.functions.clean import parse_rating
 
 def scd2(observations: DataFrame, key: str = "upc",
          attrs: Sequence[str] = ("title", "category", "product_url"),
-         date: str = "date_collected") -> DataFrame:
+         date: str = "date_collected", unique_per_date: bool = False) -> DataFrame:
     """One row per version of ``attrs`` per ``key`` with ``valid_from`` /
     ``valid_to`` (exclusive, NULL while current) and ``is_current``.
 
@@ -29,11 +29,16 @@ def scd2(observations: DataFrame, key: str = "upc",
     map-side combine, so a key with a huge number of raw rows shrinks before any window —
     and the window then sees at most one row per collection date of each key.
     If a key carries several attribute values on one date, the largest wins.
+    ``unique_per_date=True`` (input already one row per key and date, e.g. the stored
+    fact) skips that reduction and its shuffle.
     """
     attrs = list(attrs)
-    daily = (observations.groupBy(key, date)
-             .agg(F.max(F.struct(*attrs)).alias("_a"))
-             .select(key, date, *[F.col(f"_a.{a}").alias(a) for a in attrs]))
+    if unique_per_date:
+        daily = observations.select(key, date, *attrs)
+    else:
+        daily = (observations.groupBy(key, date)
+                 .agg(F.max(F.struct(*attrs)).alias("_a"))
+                 .select(key, date, *[F.col(f"_a.{a}").alias(a) for a in attrs]))
     w = Window.partitionBy(key).orderBy(date)
     prev = F.lag(F.struct(*attrs)).over(w)
     changed = daily.withColumn("_prev", prev).where(

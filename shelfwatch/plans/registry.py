@@ -750,7 +750,7 @@ versions AS (SELECT upc, rating, valid_from FROM marked
      "lead(valid_from) OVER (PARTITION BY upc ORDER BY valid_from) IS NULL AS is_current "
      "FROM versions"))
 def scd2_rating(spark, sf_dir):
-    return EV.scd2(B.fact(spark, sf_dir), "upc", ["rating"])
+    return EV.scd2(B.fact(spark, sf_dir), "upc", ["rating"], unique_per_date=True)
 
 
 @register("scd2_dimension", O.more("""
@@ -843,6 +843,7 @@ def scd2_rating_incremental(spark, sf_dir):
     date's batch applied, must equal the SCD2 table built over all dates."""
     fact = B.fact(spark, sf_dir).select("upc", "rating", "date_collected")
     latest = S.latest_date(fact)
-    before = EV.scd2(fact.where(F.col("date_collected") < latest), "upc", ["rating"])
+    before = EV.scd2(fact.where(F.col("date_collected") < latest), "upc", ["rating"],
+                     unique_per_date=True)
     batch = S.snapshot_at(fact, latest)
     return EV.scd2_apply(before, batch, "upc", ["rating"])

@@ -47,7 +47,7 @@ def _rating_text(linenumber):
              .otherwise("N/A"))
 
 
-def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw observation log: wide rows plus ``log_order``; may repeat (title, url, date)."""
     li = _table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice",
@@ -109,7 +109,7 @@ def build_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- stored fact table
 _BUILD_LOCK = threading.Lock()
-FACT_LAYOUT = "v2"  # bump when the stored layout changes, so old copies are not reused
+FACT_LAYOUT = "v3"  # bump when the stored layout changes, so old copies are not reused
 FACT_COLS = ["upc", "price", "rating", "stock_quantity", LOG_ORDER, "date_collected"]
 
 
@@ -144,8 +144,8 @@ def write_partitioned(df: DataFrame, path: str) -> None:
        .write.mode("overwrite").partitionBy("date_collected").parquet(path))
 
 
-def fact_path(spark: SparkSession, sf_dir: str) -> str:
-    """Location of the stored fact table for ``sf_dir``, built on first use.
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Location of a table derived from ``sf_dir``, built on first use.
 
     The table lives in the shared folder named by ``spark.checkpoint.dir`` (never a
     machine-local folder on a cluster), partitioned by ``date_collected``. It is written
@@ -154,7 +154,7 @@ def fact_path(spark: SparkSession, sf_dir: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     root = f"{base}/shelfwatch-binding/{_fingerprint(spark, sf_dir)}"
-    path = f"{root}/fact"
+    path = f"{root}/{name}"
     fs, p = _fs(spark, path)
     if fs.exists(p):
         return path
@@ -162,13 +162,24 @@ def fact_path(spark: SparkSession, sf_dir: str) -> str:
         if fs.exists(p):
             return path
         tmp = f"{root}/_tmp-{uuid.uuid4().hex}"
-        write_partitioned(build_history(spark, sf_dir).select(*FACT_COLS), tmp)
+        write_partitioned(build(spark, sf_dir), tmp)
         _, tp = _fs(spark, tmp)
         if not fs.rename(tp, p):
             fs.delete(tp, True)
     return path
 
 
+def fact_path(spark: SparkSession, sf_dir: str) -> str:
+    """Stored fact: the de-duplicated log (upc, price, rating, stock, log_order, date)."""
+    return _stored(spark, sf_dir, "fact",
+                   lambda s, d: build_history(s, d).select(*FACT_COLS))
+
+
+def raw_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """Stored raw log: every observation, as the extraction job appends it."""
+    return _stored(spark, sf_dir, "raw_log", build_raw_log)
+
+
 FACT_SCHEMA = T.StructType([
     T.StructField("upc", T.StringType()),
     T.StructField("price", PRICE),
@@ -185,6 +196,28 @@ FACT_SCHEMA = T.StructType([
 ])
 
 
+RAW_LOG_SCHEMA = T.StructType([
+    T.StructField("title", T.StringType()),
+    T.StructField("price", PRICE),
+    T.StructField("rating", T.StringType()),
+    T.StructField("product_url", T.StringType()),
+    T.StructField("upc", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("stock_quantity", T.IntegerType()),
+    [f for f in FACT_SCHEMA.fields if f.name == LOG_ORDER][0],
+    T.StructField("date_collected", T.DateType()),
+])
+RAW_LOG_COLS = ["title", "price", "rating", "product_url", "date_collected", "upc",
+                "category", "stock_quantity", LOG_ORDER]
+
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw observation log (stored once, partitioned by date)."""
+    path = raw_log_path(spark, sf_dir)
+    return (spark.read.schema(RAW_LOG_SCHEMA).option("basePath", path).parquet(path)
+            .select(*RAW_LOG_COLS))
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price fact (stored, partitioned by date_collected): upc, price, rating,
     stock_quantity, log_order, date_collected."""
