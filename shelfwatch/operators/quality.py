@@ -2,7 +2,7 @@
 
 ``violations`` returns one row ``(rule, upc, date_collected)`` per offence. Row rules are
 evaluated in one pass (an array of failed rule names per row, exploded), the key rules
-with one aggregation each, the reference rule with one anti-join. Like SQL CHECK
+with one aggregation each, the foreign-key rule with one anti-join. Like SQL CHECK
 constraints, range rules pass on NULL.
 """
 
