@@ -118,3 +118,18 @@ def test_validate_splits_rows(spark):
     good, bad = validate(b)
     assert [r.upc for r in good.collect()] == ["u1"]
     assert [(r.rule, r.upc) for r in bad.collect()] == [("price_non_negative", "u2")]
+
+
+def test_plain_history_csv_keeps_last_in_file_order(spark, tmp_root):
+    """A log in the original 8-column layout (no batch / row ids): file order decides."""
+    path = f"{tmp_root}/history.csv"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("Title,Price,Rating,URL,Date_Collected,UPC,Category,Stock_Quantity\n")
+        f.write("A,10.00,Three,https://x/a,2026-06-05,u1,Poetry,3\n")
+        f.write("B,5.00,One,https://x/b,2026-06-05,u2,Poetry,1\n")
+        f.write("A,12.00,Three,https://x/a,2026-06-05,u1,Poetry,2\n")   # same-day re-run
+        f.write("A,11.00,Three,https://x/a,2026-06-06,u1,Poetry,2\n")
+    got = sorted((r.title, r.date_collected, r.price, r.stock_quantity)
+                 for r in read_history_csv(spark, path).collect())
+    assert got == [("A", D1, Decimal("12.00"), 2), ("A", D2, Decimal("11.00"), 2),
+                   ("B", D1, Decimal("5.00"), 1)]
