@@ -54,26 +54,38 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
                date: str = "date_collected") -> DataFrame:
     """E1 incremental: apply one dated batch (one row per key) to an SCD2 table.
 
-    Changed keys get their open version closed at the batch date and a new open version;
-    unchanged and absent keys keep their rows. Anti-/semi-joins plus a union, no window.
+    One full outer join of the open versions with the batch on ``key``: an unchanged key
+    keeps its open row, a changed key emits its closed old row and a new open row, keys
+    only on one side pass through. Closed (historic) versions are not touched.
     """
     attrs = list(attrs)
-    b = batch.select(key, *attrs, F.col(date).alias("valid_from"))
-    open_rows = current.where("is_current")
-    same = (b.alias("b").join(open_rows.alias("o"),
-                              [F.col(f"b.{key}") == F.col(f"o.{key}")] +
-                              [F.col(f"b.{a}").eqNullSafe(F.col(f"o.{a}")) for a in attrs],
-                              "left_semi"))
-    new_versions = b.join(same.select(key), key, "left_anti")
-    to_close = open_rows.join(new_versions.select(key, F.col("valid_from").alias("_d")),
-                              key, "inner")
-    closed = to_close.select(key, *attrs, "valid_from", F.col("_d").alias("valid_to"),
-                             F.lit(False).alias("is_current"))
-    kept = current.join(to_close.select(key, "valid_from"), [key, "valid_from"], "left_anti")
-    opened = new_versions.select(key, *attrs, "valid_from",
-                                 F.lit(None).cast("date").alias("valid_to"),
-                                 F.lit(True).alias("is_current"))
-    return kept.unionByName(closed).unionByName(opened)
+    o = current.where("is_current").select(
+        key, *[F.col(a).alias(f"_o_{a}") for a in attrs],
+        F.col("valid_from").alias("_o_from"), F.lit(True).alias("_in_o"))
+    b = batch.select(key, *[F.col(a).alias(f"_b_{a}") for a in attrs],
+                     F.col(date).alias("_b_from"), F.lit(True).alias("_in_b"))
+    j = o.join(b, key, "full_outer")
+    same = F.struct(*[F.col(f"_o_{a}") for a in attrs]).eqNullSafe(
+        F.struct(*[F.col(f"_b_{a}") for a in attrs]))
+    in_o, in_b = F.col("_in_o").isNotNull(), F.col("_in_b").isNotNull()
+
+    def version(prefix: str, start: str, end, current_flag) -> F.Column:
+        return F.struct(*[F.col(f"{prefix}{a}").alias(a) for a in attrs],
+                        F.col(start).alias("valid_from"), end.alias("valid_to"),
+                        F.lit(current_flag).alias("is_current"))
+
+    no_date = F.lit(None).cast("date")
+    old_open = version("_o_", "_o_from", no_date, True)
+    old_closed = version("_o_", "_o_from", F.col("_b_from"), False)
+    new_open = version("_b_", "_b_from", no_date, True)
+    rows = (F.when(in_o & ~in_b, F.array(old_open))
+             .when(~in_o & in_b, F.array(new_open))
+             .when(same, F.array(old_open))
+             .otherwise(F.array(old_closed, new_open)))
+    opened = j.select(key, F.explode(rows).alias("_v")).select(key, "_v.*")
+    closed = current.where(~F.col("is_current")).select(key, *attrs, "valid_from",
+                                                        "valid_to", "is_current")
+    return closed.unionByName(opened)
 
 
 def merge_facts(existing: DataFrame, batch: DataFrame,
