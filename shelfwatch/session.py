@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,28 @@ def get_session(master: str | None = None, app: str = "shelfwatch",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the workers, once per Spark context.
+
+    Python stages refer to their functions by module name. Where the driver alone has the
+    package on its path, Spark distributes a zip of it; a submitter's ``--py-files`` or an
+    installed package does no harm.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_shelfwatch_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="shelfwatch-ship-"), "shelfwatch.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._shelfwatch_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
