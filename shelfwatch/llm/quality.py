@@ -77,16 +77,20 @@ def references(docs: DataFrame, *, text_col: str = "text") -> dict[str, tuple[li
     Whole-corpus sums of integers; one row per language comes to the driver.
     """
     df = _add_histograms(docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text")))
-    df = df.filter(F.col("n_words") >= MIN_WORDS).drop("words", "text")
+    df = df.drop("words", "text")
     hits = [sum(_own_words(F.col("common"), words), F.lit(0)) for words in COMMON_WORDS.values()]
     df = df.withColumn("hits", F.array(*hits))
-    df = df.withColumn("language", F.array_position("hits", F.array_max("hits"))).filter(F.array_max("hits") > 0)
+    # No filter here: pushed to the scan it would work out all the counts a second time.
+    df = df.withColumn("language", F.when((F.col("n_words") >= MIN_WORDS) & (F.array_max("hits") > 0),
+                                          F.array_position("hits", F.array_max("hits"))))
     rows = df.groupBy("language").agg(
         F.sum("n_words").alias("n_words"),
         *[F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(_CLASSES) + 1)],
         *[F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(_ALL_WORDS))]).collect()
     out = {}
     for r in rows:
+        if r["language"] is None:
+            continue
         name = list(COMMON_WORDS)[r["language"] - 1]
         own = [r[f"w{_ALL_WORDS.index(w)}"] for w in COMMON_WORDS[name]]
         out[name] = ([r[f"c{k}"] for k in range(len(_CLASSES) + 1)], [*own, max(0, r["n_words"] - sum(own))])
@@ -101,7 +105,8 @@ def _distance(counts: Column, reference: list[int]) -> Column:
     def term(x: Column, other: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + other))).otherwise(0.0)
 
-    shares = F.transform(counts, lambda x: x / size)
+    # the total goes in as an array: inside a lambda it would be summed again for each item
+    shares = F.zip_with(counts, F.array_repeat(size, len(reference)), lambda x, n: x / n)
     parts = F.zip_with(shares, F.lit([x / total for x in reference]), lambda p, q: term(p, q) + term(q, p))
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
@@ -117,8 +122,9 @@ def judge(docs: DataFrame, refs: dict[str, tuple[list[int], list[int]]], *,
     df = df.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     # 64-bit hashes of the 8-word windows; most texts repeat none and stop here
     df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("lines", "words")
-    df = df.withColumn("windows", F.when(F.col("n_words") > WINDOW, F.transform(
-        F.sequence(F.lit(1), (F.col("n_words") - WINDOW + 1).cast("int")),
+    # (named twice, so that the planner keeps the hashes as a column of their own)
+    df = df.withColumn("windows", F.when(F.size("hashes") > WINDOW, F.transform(
+        F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1)),
         lambda i: F.xxhash64(F.slice("hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
     df = df.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows")).drop("hashes")
     df = df.withColumn("ordered", F.when(F.col("repeats"), F.sort_array(F.transform(
@@ -144,9 +150,12 @@ def judge(docs: DataFrame, refs: dict[str, tuple[list[int], list[int]]], *,
     df = df.withColumns(near)
     far = (F.col("n_words") >= MIN_WORDS) & (
         (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE))
-    return df.withColumn("kept", ~F.col("base_failed") & ~far).select(
-        "doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "class_distance", "word_distance", "kept")
+    df = df.withColumn("kept", ~F.col("base_failed") & ~far)
+    # One row in, one row out. A later filter on the verdict can't pass the generator; pushed
+    # down to the scan it would work out every count again, inside the lambdas as well.
+    found = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                     "base_failed", "class_distance", "word_distance", "kept")
+    return df.select("doc", F.explode(F.array(found)).alias("found")).select("doc", "found.*")
 
 
 def quality(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
