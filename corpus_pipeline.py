@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwatch.llm import packing, quality
+from shelfwatch.llm import neardup, packing, pii, quality
 from shelfwatch.llm.common import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,6 +22,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality(docs).filter("kept").select("doc.*")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data masked (and ``n_chars`` counted anew where it was)."""
+    return pii.redact(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the remaining documents in sequences of 1024 tokens at most."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -29,6 +39,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("minhash_near_dedup", near_duplicates),
+    ("pii", personal_data),
     ("packing", packed),
 ]
 

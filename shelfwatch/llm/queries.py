@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, counts, idfile, packing, quality
+from . import chunks, counts, idfile, license, neardup, packing, pii, quality, quoting, topk
 from .common import scratch
 
 
@@ -33,6 +33,28 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents")).drop("k1", "k2")
+
+
+def op5_topk_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector against all others."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op6_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digests(pii.find(_table(spark, sf_dir, "documents")))
+
+
+def op7_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, and its place in the order of replies."""
+    return quoting.reply_threads(_table(spark, sf_dir, "conversations")).select(
+        "message.conv_id", "message.turn", "message.role", "body", "parent_turn", "root_turn", "depth",
+        "n_quoted_lines", "n_linked")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.quality(_table(spark, sf_dir, "documents")).select(
@@ -46,9 +68,15 @@ def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License texts and notices in every document."""
+    return license.scan(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_range_coded_ids, op3_token_counts, op8_quality_rules,
-                                    op9_chunk_bpe)}
+    return {f.__name__: f for f in (
+        op1_packing, op2_range_coded_ids, op3_token_counts, op4_hyperminhash, op5_topk_bound, op6_contextual_pii,
+        op7_quote_linking, op8_quality_rules, op9_chunk_bpe, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
