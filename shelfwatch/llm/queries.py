@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import chunks, counts, idfile, license, neardup, packing, pii, quality, quoting, topk
 from .common import scratch
+from .oracles import oracle_sql  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +60,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.quality(_table(spark, sf_dir, "documents")).select(
         F.col("doc.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+        "n_repeat_words", "base_failed", "kept")
 
 
 def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +78,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_range_coded_ids, op3_token_counts, op4_hyperminhash, op5_topk_bound, op6_contextual_pii,
         op7_quote_linking, op8_quality_rules, op9_chunk_bpe, op10_license_scan)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
