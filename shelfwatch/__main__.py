@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfwatch.operators import changes as C
 from shelfwatch.operators import snapshots as S
 from shelfwatch.plans import reports as R
-from shelfwatch.session import get_session
+from shelfwatch.session import checkpointed, get_session
 from shelfwatch.sinks.warehouse import Warehouse
 from shelfwatch.sources import html as H
 from shelfwatch.sources.tables import read_first_available, read_history_csv, \
@@ -41,9 +41,12 @@ def ingest_pages(spark: SparkSession, warehouse: str, listing: str, detail: str,
     """Listing pages + detail pages (parquet tables page_id, url, html) -> one load."""
     lst = H.parse_listing(H.parse_pages(spark.read.parquet(listing)))
     det = H.parse_detail(H.parse_pages(spark.read.parquet(detail)))
-    records, rejected = H.enrich(lst, det, run_date)
-    info = Warehouse(spark, warehouse).ingest(records)
-    info["rejected_listings"] = rejected.count()
+    with checkpointed(H.enrich_flagged(lst, det, run_date)) as flagged:    # one parse of the pages
+        bad = F.col("reject_reason").isNotNull()
+        info = Warehouse(spark, warehouse).ingest(flagged.where(~bad))
+        rejected = flagged.where(bad).select("page_id", "title", "product_url", "reject_reason")
+        rejected.write.mode("append").parquet(f"{warehouse}/rejected_listings")
+        info["rejected_listings"] = rejected.count()
     return info
 
 

@@ -86,11 +86,6 @@ def or_unknown(col: Column | str) -> Column:
     return F.coalesce(_c(col), F.lit(UNKNOWN))
 
 
-def or_zero(col: Column | str) -> Column:
-    """Missing quantity -> 0."""
-    return F.coalesce(_c(col), F.lit(0))
-
-
 def to_date_text(col: Column | str) -> Column:
     """DATE -> 'YYYY-MM-DD' (lexicographic order equals date order)."""
     return F.date_format(_c(col), "yyyy-MM-dd")

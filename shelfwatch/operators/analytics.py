@@ -71,13 +71,18 @@ def category_counts(df: DataFrame, top: int | None = None, dropna: bool = False)
 
 def category_avg_price(df: DataFrame, top: int | None = None,
                        dropna: bool = False) -> DataFrame:
-    """Rounded average price and count per category, dearest first."""
+    """Rounded average price and count per category, dearest first.
+
+    The SQL flavour orders by the rounded average; the dashboard flavour (``dropna``) ranks
+    and cuts by the exact one, so of two that round alike the dearer comes first.
+    """
     src = df.where(F.col("category").isNotNull()) if dropna else df
+    exact = F.sum("price").cast("decimal(20,2)") / F.count("price").cast("decimal(20,0)")
     agg = src.groupBy("category").agg(
         exact_avg("price").cast("double").alias("average_price"),
-        F.count(F.lit(1)).alias("book_count"))
-    return _top(agg, top, F.col("average_price").desc_nulls_first(),
-                F.col("category").asc_nulls_first())
+        F.count(F.lit(1)).alias("book_count"), exact.alias("_exact"))
+    rank = F.col("_exact" if dropna else "average_price").desc_nulls_first()
+    return _top(agg, top, rank, F.col("category").asc_nulls_first()).drop("_exact")
 
 
 def category_stock(df: DataFrame, top: int | None = None, dropna: bool = False) -> DataFrame:
@@ -119,12 +124,13 @@ def with_rating_numeric(df: DataFrame) -> DataFrame:
     return df.withColumn("rating_numeric", parse_rating("rating"))
 
 
-def rating_distribution(snapshot: DataFrame) -> DataFrame:
+def rating_distribution(snapshot: DataFrame, per_star: int = 10) -> DataFrame:
     """A7 + A18 + O7 + X10 + X11: rows per star count with percent share and text bar.
 
     The share needs the grand total; it is taken with an unpartitioned window *after*
     the aggregation, so the single window task sees one row per distinct rating only.
-    ``share_pct`` is rounded half-up in integer arithmetic (exact).
+    ``share_pct`` is rounded half-up in integer arithmetic (exact). The bar has one mark per
+    ``per_star`` rows; raise it with the size of the snapshot.
     """
     agg = (with_rating_numeric(snapshot).groupBy("rating_numeric")
            .agg(F.count(F.lit(1)).alias("book_count")))
@@ -133,7 +139,7 @@ def rating_distribution(snapshot: DataFrame) -> DataFrame:
     return (agg.withColumn("_total", total)
                .withColumn("share_pct", basis_points.cast("double") / 100)
                .withColumn("stars", right_align("rating_numeric"))
-               .withColumn("bar", star_bar("book_count"))
+               .withColumn("bar", star_bar("book_count", per_star))
                .drop("_total")
                .orderBy("rating_numeric"))
 

@@ -21,14 +21,16 @@ from shelfwatch.functions.clean import parse_rating
 
 def scd2(observations: DataFrame, key: str = "upc",
          attrs: Sequence[str] = ("title", "category", "product_url"),
-         date: str = "date_collected", unique_per_date: bool = False) -> DataFrame:
+         date: str = "date_collected", unique_per_date: bool = False,
+         order: Sequence[str] | None = None) -> DataFrame:
     """One row per version of ``attrs`` per ``key`` with ``valid_from`` /
     ``valid_to`` (exclusive, NULL while current) and ``is_current``.
 
     Observations are first reduced to one row per (key, date) — an aggregate with
     map-side combine, so a key with a huge number of raw rows shrinks before any window —
     and the window then sees at most one row per collection date of each key.
-    If a key carries several attribute values on one date, the largest wins.
+    If a key carries several attribute values on one date, the last by ``order`` wins
+    (default: ``ingest_seq`` if there is such a column, else the largest values).
     ``unique_per_date=True`` (input already one row per key and date, e.g. the stored
     fact) skips that reduction and its shuffle.
     """
@@ -36,8 +38,10 @@ def scd2(observations: DataFrame, key: str = "upc",
     if unique_per_date:
         daily = observations.select(key, date, *attrs)
     else:
+        if order is None:
+            order = ["ingest_seq"] if "ingest_seq" in observations.columns else []
         daily = (observations.groupBy(key, date)
-                 .agg(F.max(F.struct(*attrs)).alias("_a"))
+                 .agg(F.max_by(F.struct(*attrs), F.struct(*order, *attrs)).alias("_a"))
                  .select(key, date, *[F.col(f"_a.{a}").alias(a) for a in attrs]))
     w = Window.partitionBy(key).orderBy(date)
     prev = F.lag(F.struct(*attrs)).over(w)
@@ -54,17 +58,18 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
                date: str = "date_collected") -> DataFrame:
     """E1 incremental: apply one dated batch (one row per key) to an SCD2 table.
 
-    One full outer join of the open versions with the batch on ``key``: an unchanged key
-    keeps its open row, a changed key emits its closed old row and a new open row, keys
-    only on one side pass through. Closed (historic) versions are not touched.
+    One full outer join of ``current`` with the batch on (key, is the version open): an
+    unchanged key keeps its open row, a changed key emits its closed old row and a new open
+    row, keys only on one side pass through, and closed (historic) versions meet nothing and
+    pass through as well, so ``current`` is read once.
     """
     attrs = list(attrs)
-    o = current.where("is_current").select(
-        key, *[F.col(a).alias(f"_o_{a}") for a in attrs],
-        F.col("valid_from").alias("_o_from"), F.lit(True).alias("_in_o"))
-    b = batch.select(key, *[F.col(a).alias(f"_b_{a}") for a in attrs],
+    o = current.select(
+        key, F.col("is_current").alias("_open"), *[F.col(a).alias(f"_o_{a}") for a in attrs],
+        F.col("valid_from").alias("_o_from"), F.col("valid_to").alias("_o_to"), F.lit(True).alias("_in_o"))
+    b = batch.select(key, F.lit(True).alias("_open"), *[F.col(a).alias(f"_b_{a}") for a in attrs],
                      F.col(date).alias("_b_from"), F.lit(True).alias("_in_b"))
-    j = o.join(b, key, "full_outer")
+    j = o.join(b, [key, "_open"], "full_outer")
     same = F.struct(*[F.col(f"_o_{a}") for a in attrs]).eqNullSafe(
         F.struct(*[F.col(f"_b_{a}") for a in attrs]))
     in_o, in_b = F.col("_in_o").isNotNull(), F.col("_in_b").isNotNull()
@@ -75,17 +80,15 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
                         F.lit(current_flag).alias("is_current"))
 
     no_date = F.lit(None).cast("date")
-    old_open = version("_o_", "_o_from", no_date, True)
+    as_it_was = F.struct(*[F.col(f"_o_{a}").alias(a) for a in attrs], F.col("_o_from").alias("valid_from"),
+                         F.col("_o_to").alias("valid_to"), F.col("_open").alias("is_current"))
     old_closed = version("_o_", "_o_from", F.col("_b_from"), False)
     new_open = version("_b_", "_b_from", no_date, True)
-    rows = (F.when(in_o & ~in_b, F.array(old_open))
+    rows = (F.when(in_o & ~in_b, F.array(as_it_was))
              .when(~in_o & in_b, F.array(new_open))
-             .when(same, F.array(old_open))
+             .when(same, F.array(as_it_was))
              .otherwise(F.array(old_closed, new_open)))
-    opened = j.select(key, F.explode(rows).alias("_v")).select(key, "_v.*")
-    closed = current.where(~F.col("is_current")).select(key, *attrs, "valid_from",
-                                                        "valid_to", "is_current")
-    return closed.unionByName(opened)
+    return j.select(key, F.explode(rows).alias("_v")).select(key, "_v.*")
 
 
 def merge_facts(existing: DataFrame, batch: DataFrame,

@@ -86,6 +86,14 @@ def _multi_date(df: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
                          F.lit(None).cast("string").alias("upc"), "date_collected"))
 
 
+def catalog_violations(catalog: DataFrame) -> DataFrame:
+    """The dimension's primary key, upc neither NULL nor repeated."""
+    null = catalog.where(F.col("upc").isNull()).select(
+        F.lit("upc_not_null").alias("rule"), "upc", F.lit(None).cast("date").alias("date_collected"))
+    known = catalog.where(F.col("upc").isNotNull())
+    return null.unionByName(duplicate_keys(known, ("upc",), "primary_key_upc"))
+
+
 def violations(batch: DataFrame, catalog: DataFrame | None = None,
                single_date: bool = True) -> DataFrame:
     """All rule violations of a wide load batch (columns as in ``schemas.WIDE``)."""
@@ -120,9 +128,8 @@ def split_valid(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class ValidationError(Exception):
-    """Raised by loads when a batch breaks a rule; ``violations`` holds the details."""
+    """Raised by loads when a batch breaks a rule; ``sample`` holds some of its offences."""
 
-    def __init__(self, violations_df: DataFrame, sample: list):
-        self.violations = violations_df
+    def __init__(self, sample: list):
         self.sample = sample
         super().__init__(f"batch rejected, e.g. {sample}")

@@ -7,6 +7,7 @@ a single filter next to the scan (pushed to parquet where the predicate allows i
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +68,11 @@ def keyword_match(keyword: str, regex: bool = True, cols=("title", "upc")) -> Co
     return out
 
 
+def _price(bound: float | str | Decimal) -> Column:
+    """A price bound as a decimal literal; a double would keep the range from the scan."""
+    return F.lit(Decimal(str(bound)))
+
+
 def search_catalog(snapshot: DataFrame, spec: SearchSpec) -> DataFrame:
     """apply ``spec`` to a snapshot; returns the display columns."""
     df = snapshot
@@ -90,9 +96,9 @@ def search_catalog(snapshot: DataFrame, spec: SearchSpec) -> DataFrame:
         price = F.col("price")
         df = df.where(price.isNotNull())
         if spec.price_min is not None:
-            df = df.where(price >= F.lit(spec.price_min))
+            df = df.where(price >= _price(spec.price_min))
         if spec.price_max is not None:
-            df = df.where(price <= F.lit(spec.price_max))
+            df = df.where(price <= _price(spec.price_max))
         if spec.in_stock_only:
             df = df.where(F.col("stock_quantity") > 0)
     return df.select("upc", "title", "category", "price", "rating_numeric",

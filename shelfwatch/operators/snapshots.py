@@ -29,8 +29,13 @@ def books_view(catalog: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def full_history(books: DataFrame) -> DataFrame:
-    """S2 + O8: every observation, oldest collection date first."""
-    return books.orderBy(F.col("date_collected").asc_nulls_last())
+    """S2 + O8: every observation, oldest collection date first.
+
+    The further keys (the whole row in the end) make the order unique, so the range sort can
+    deal the rows of one large date over many tasks.
+    """
+    rest = [c for c in WIDE_COLUMNS if c not in ("date_collected", "upc") and c in books.columns]
+    return books.orderBy(F.col("date_collected").asc_nulls_last(), "upc", *rest)
 
 
 def latest_date(history: DataFrame) -> Column:

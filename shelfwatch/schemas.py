@@ -38,7 +38,7 @@ WIDE = T.StructType([
 
 WIDE_COLUMNS = [f.name for f in WIDE.fields]
 
-# Header names of the CSV files written by the extraction job, in file order.
+# Header names of the CSV files written by the extraction job, in file order.
 CSV_HEADER = ["Title", "Price", "Rating", "URL", "Date_Collected", "UPC", "Category",
               "Stock_Quantity"]
 
@@ -54,8 +54,10 @@ CSV_SCHEMA = T.StructType([
     T.StructField("Stock_Quantity", T.StringType(), True),
 ])
 
-VIOLATIONS = T.StructType([
-    T.StructField("rule", T.StringType(), False),
-    T.StructField("upc", T.StringType(), True),
-    T.StructField("date_collected", T.DateType(), True),
-])
+# The one CSV dialect of all readers and writers: quotes are doubled inside quotes, blanks
+# belong to the value, empty text is written as "" and NULL as nothing.
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "encoding": "UTF-8",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_READ = {**CSV_DIALECT, "emptyValue": "", "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": "corrupt_record"}
+CSV_WRITE = {**CSV_DIALECT, "emptyValue": '""'}

@@ -7,14 +7,16 @@ need a lineage cut find the shared checkpoint folder the cluster configures.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Session defaults tuned for local runs; on a cluster the submitter's settings win because
-# ``getOrCreate`` keeps an existing session and we only fill unset keys.
+# Runtime defaults, set only where the session has no value of its own.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,33 +27,31 @@ _DEFAULTS = {
     # more than a few thousand pages at once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Answer max/min/distinct over partition columns (the latest collection date) from the
-    # partition listing instead of a job that opens every file footer. Its one caveat, a
-    # partition folder holding only empty files, cannot occur in the tables written here:
-    # partitioned writes create no empty partitions and deletes drop emptied ones.
-    "spark.sql.optimizer.metadataOnly": "true",
 }
 
 
 def get_session(master: str | None = None, app: str = "shelfwatch",
                 shuffle_partitions: int | None = None) -> SparkSession:
-    """Return the active session or build one with the library defaults."""
+    """Return the active session, or build one; unset keys get the library defaults.
+
+    A key that the submitter or the caller has set (``--conf``, spark-defaults, session
+    configuration) keeps its value.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", "16g")
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark = SparkSession.getActiveSession() or builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    for k, v in _DEFAULTS.items():
-        if spark.conf.get(k, None) is None:
+    have = spark.conf.getAll
+    wanted = dict(_DEFAULTS)
+    if shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in wanted.items():
+        if k not in have:
             spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -80,8 +80,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is never overridden. Only when
-    it is unset (local tests) do we create a private folder.
+    On a cluster this setting points at shared storage and is never overridden; without it
+    a cluster job stops here, because a machine-local folder would lose data. Only a local
+    master (tests) gets a private folder.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or \
@@ -92,18 +93,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(path)
         return path
     if not current.isDefined():
-        # Unset (local tests): a private folder. ``spark.checkpoint.dir`` itself cannot be
-        # changed at run time, so the context's checkpoint directory is set instead.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
+        # ``spark.checkpoint.dir`` itself cannot be changed at run time, so the context's
+        # checkpoint directory is set instead.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwatch-ckpt-"))
         current = sc._jsc.sc().getCheckpointDir()
     return current.get()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+@contextlib.contextmanager
+def checkpointed(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared checkpoint folder for the time of the block.
 
-def default_sf_dir() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    Reliable (it survives lost executors) and removed afterwards, so repeated loads leave
+    nothing behind.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/shelfwatch-tmp-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

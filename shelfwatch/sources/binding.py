@@ -120,13 +120,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the inputs: path, size and modification time of both source tables."""
+    """Identity of the inputs, in a constant number of calls however many files they have.
+
+    The content summary of each source table (bytes, files and folders at any depth, one
+    call) and the modification time of its top folder or file.
+    """
     parts = [sf_dir, FACT_LAYOUT]
     for name in ("lineitem", "part"):
         fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
-        for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [
-                fs.getFileStatus(p)]:
-            parts.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+        s = fs.getContentSummary(p)
+        parts.append(f"{name}:{s.getLength()}:{s.getFileCount()}:{s.getDirectoryCount()}:"
+                     f"{fs.getFileStatus(p).getModificationTime()}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -213,29 +217,15 @@ RAW_LOG_COLS = ["title", "price", "rating", "product_url", "date_collected", "up
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw observation log (stored once, partitioned by date)."""
-    try:
-        path = raw_log_path(spark, sf_dir)
-    except Exception as e:  # noqa: BLE001 - storage unavailable: same rows, computed
-        _warn("raw_log", e)
-        return build_raw_log(spark, sf_dir).select(*RAW_LOG_COLS)
+    path = raw_log_path(spark, sf_dir)
     return (spark.read.schema(RAW_LOG_SCHEMA).option("basePath", path).parquet(path)
             .select(*RAW_LOG_COLS))
 
 
-def _warn(name: str, e: Exception) -> None:
-    import warnings
-    warnings.warn(f"stored {name} unavailable ({type(e).__name__}: {str(e)[:200]}); "
-                  "computing it from the source tables instead", stacklevel=3)
-
-
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price fact (stored, partitioned by date_collected): upc, price, rating,
     stock_quantity, log_order, date_collected."""
-    try:
-        path = fact_path(spark, sf_dir)
-    except Exception as e:  # noqa: BLE001 - storage unavailable: same rows, computed
-        _warn("fact", e)
-        return build_history(spark, sf_dir).select(*FACT_COLS)
+    path = fact_path(spark, sf_dir)
     return spark.read.schema(FACT_SCHEMA).option("basePath", path).parquet(path)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from shelfwatch.functions import clean as X
 from shelfwatch.operators.dedup import dedup_keep_last
+from shelfwatch.session import ship_package
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "source", "track", "wbr"}
@@ -40,6 +41,7 @@ PARSED = T.StructType([
     T.StructField("next_href", T.StringType()),
     T.StructField("breadcrumb", T.ArrayType(T.StringType())),
     T.StructField("info_rows", T.ArrayType(ROW)),
+    T.StructField("parse_error", T.StringType()),
 ])
 
 
@@ -168,51 +170,47 @@ class _PageParser(HTMLParser):
 
 
 def parse_page(html: str | None) -> dict:
-    """Raw fields of one page. A page the parser cannot finish keeps what was extracted
-    up to the failure, so one malformed page never fails the task."""
-    p = _PageParser()
+    """Raw fields of one page. Where the parser cannot finish, ``parse_error`` says why and
+    the fields hold what came before; one malformed page never fails the task."""
+    p, error = _PageParser(), None
     if html:
         try:
             p.feed(html)
             p.close()
-        except Exception:  # noqa: BLE001 - partial result, like a lenient browser parse
-            pass
+        except (AssertionError, ValueError, IndexError) as e:
+            error = f"{type(e).__name__}: {e}"
     return {"title": p.title, "h1": p.h1, "nav_links": p.nav_links, "cards": p.cards,
-            "next_href": p.next_href, "breadcrumb": p.breadcrumb, "info_rows": p.info_rows}
+            "next_href": p.next_href, "breadcrumb": p.breadcrumb, "info_rows": p.info_rows,
+            "parse_error": error}
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         parsed = [parse_page(h) for h in pdf["html"]]
-        out = pd.DataFrame(parsed, columns=["title", "h1", "nav_links", "cards", "next_href",
-                                            "breadcrumb", "info_rows"])
+        out = pd.DataFrame(parsed, columns=[f.name for f in PARSED.fields[2:]])
         out.insert(0, "url", pdf["url"].values)
         out.insert(0, "page_id", pdf["page_id"].values)
         yield out
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per page with the raw extracted fields (schema ``PARSED``).
 
     Only ``page_id``, ``url`` and ``html`` cross into Python, in Arrow batches; pages are
-    independent, so the work spreads over all partitions of the page table.
+    independent, so the work spreads over all partitions of the page table. Parsing is
+    CPU-bound: for a table of few large files set ``partitions`` (the rows are then dealt
+    round-robin), or a smaller ``spark.sql.files.maxPartitionBytes``.
     """
+    ship_package(pages.sparkSession)
     src = pages.select(F.col("page_id").cast("long"), "url", "html")
-    return _spread(src).mapInPandas(_parse_batches, PARSED)
+    if partitions:
+        src = src.repartition(partitions)
+    return src.mapInPandas(_parse_batches, PARSED)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Parsing is CPU-bound Python. When the scan yields fewer tasks than there are
-    cores (e.g. one large file with a single row group), spread the rows round-robin so
-    every core parses; a scan over many files already has enough tasks and is left as is.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - e.g. no RDD access in a remote session
-        pass
-    return df
+def page_rejects(parsed: DataFrame) -> DataFrame:
+    """Pages that the parser could not finish, with the reason."""
+    return parsed.where(F.col("parse_error").isNotNull()).select("page_id", "url", "parse_error")
 
 
 # ---------------------------------------------------------------- generic profile
@@ -230,11 +228,13 @@ def page_links(parsed: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- product profile
 def parse_listing(parsed: DataFrame) -> DataFrame:
-    """H1 + U1 + H3: one row per product card of every listing page, cleaned.
+    """H1 + U1 + H3: one row per product card of every whole listing page, cleaned.
 
-    Columns: page_id, title, price, rating (star count), product_url, next_url.
+    Columns: page_id, title, price, rating (star count), product_url, next_url. Pages with
+    a parse error are left to ``page_rejects``.
     """
-    cards = parsed.select("page_id", "next_href", F.explode("cards").alias("c"))
+    cards = parsed.where(F.col("parse_error").isNull()).select(
+        "page_id", "next_href", F.explode("cards").alias("c"))
     return cards.select(
         "page_id",
         F.col("c.title").alias("title"),
@@ -248,35 +248,54 @@ def parse_listing(parsed: DataFrame) -> DataFrame:
 
 def parse_detail(parsed: DataFrame) -> DataFrame:
     """H2: category (third breadcrumb item when there are more than two), UPC and stock
-    from the info table, with the 'Unknown' / 0 defaults."""
+    from the info table. A missing row leaves 'Unknown' / 0; of repeated rows the last
+    counts (for the stock the last with digits)."""
     rows = F.col("info_rows")
-    upc = F.element_at(F.filter(rows, lambda r: r["th"] == "UPC"), 1)["td"]
-    avail = F.element_at(F.filter(rows, lambda r: r["th"] == "Availability"), 1)["td"]
+
+    def last(keep) -> F.Column:
+        return F.try_element_at(F.filter(rows, keep), F.lit(-1))["td"]
+
+    upc = last(lambda r: r["th"] == "UPC")
+    avail = last(lambda r: (r["th"] == "Availability") & r["td"].rlike("[0-9]"))
     crumbs = F.col("breadcrumb")
-    category = F.when(F.size(crumbs) > 2, F.element_at(crumbs, 3))
+    category = F.when(F.size(crumbs) > 2, F.try_element_at(crumbs, F.lit(3)))
     return parsed.select(
         "page_id", "url",
         X.or_unknown(category).alias("category"),
         X.or_unknown(upc).alias("upc"),
-        F.when(avail.isNull(), F.lit(0)).otherwise(X.clean_stock(avail)).alias("stock_quantity"))
+        F.when(avail.isNull(), F.lit(0)).otherwise(X.clean_stock(avail)).alias("stock_quantity"),
+        "parse_error")
 
 
-def enrich(listing: DataFrame, detail: DataFrame, run_date: str | None = None
-           ) -> tuple[DataFrame, DataFrame]:
-    """Listing rows + detail attributes by URL; returns (records, rejected listings).
+def enrich_flagged(listing: DataFrame, detail: DataFrame, run_date: str | None = None
+                   ) -> DataFrame:
+    """Every listing row with its detail attributes and ``reject_reason`` (NULL: good).
 
-    A listing whose detail page is missing is rejected (the source logged and dropped it).
-    A detail page present more than once (re-crawled) counts once: the one with the
-    highest ``page_id`` is kept, so the join never multiplies rows. Both sides scale with
-    the catalog, so the planner picks the join strategy.
+    A listing without a detail page, or with a broken one, is rejected (the source logged
+    and dropped it). A detail page present more than once (re-crawled) counts once: the one
+    with the highest ``page_id`` is kept, so the join never multiplies rows. Both sides
+    scale with the catalog, so the planner picks the join strategy.
     """
     if "page_id" in detail.columns:
         detail = dedup_keep_last(detail, ["url"], ["page_id"]).drop("page_id")
-    d = detail.withColumnRenamed("url", "product_url")
-    joined = listing.join(d, "product_url", "inner")
+    if "parse_error" not in detail.columns:
+        detail = detail.withColumn("parse_error", F.lit(None).cast("string"))
+    d = detail.withColumnRenamed("url", "product_url").withColumn("_found", F.lit(True))
     date = F.lit(run_date).cast("date") if run_date else F.current_date()
-    records = joined.select("title", "price", F.col("rating").cast("string").alias("rating"),
-                            "product_url", date.alias("date_collected"), "upc", "category",
-                            "stock_quantity")
-    rejected = listing.join(d.select("product_url"), "product_url", "left_anti")
-    return records, rejected
+    reason = (F.when(F.col("_found").isNull(), F.lit("no detail page"))
+               .when(F.col("parse_error").isNotNull(),
+                     F.concat(F.lit("broken detail page: "), F.col("parse_error"))))
+    return listing.join(d, "product_url", "left").select(
+        "page_id", "title", "price", F.col("rating").cast("string").alias("rating"),
+        "product_url", date.alias("date_collected"), "upc", "category", "stock_quantity",
+        reason.alias("reject_reason"))
+
+
+def enrich(listing: DataFrame, detail: DataFrame, run_date: str | None = None
+           ) -> tuple[DataFrame, DataFrame]:
+    """``enrich_flagged`` split into (records, rejected listings with their reason)."""
+    flagged = enrich_flagged(listing, detail, run_date)
+    bad = F.col("reject_reason").isNotNull()
+    return (flagged.where(~bad).drop("page_id", "reject_reason"),
+            flagged.where(bad).select("page_id", "title", "price", "rating", "product_url",
+                                      "reject_reason"))

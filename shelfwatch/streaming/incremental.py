@@ -1,10 +1,11 @@
 """Incremental ingestion with Structured Streaming.
 
 New run files (the CSV layout written by the extraction job) land in a folder; a file
-stream picks them up and ``foreachBatch`` hands every micro-batch to
-``Warehouse.ingest``. The load is idempotent per collection date (dimension upsert plus
-day replace), so a micro-batch replayed after a failure rewrites the same result: the
-sink is effectively exactly-once. The stream's own progress lives in
+stream picks them up, oldest first, and ``foreachBatch`` upserts every micro-batch on
+(upc, date_collected). A day may arrive as any number of files: nothing is replaced that a
+later file does not name, so the tables do not depend on how files fall into micro-batches.
+A micro-batch replayed after a failure applies the same rows again and changes nothing (the
+CSV log gets them twice and is repaired on reading). The stream's own progress lives in
 ``checkpoint_location``, which must be on shared storage.
 """
 
@@ -12,44 +13,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwatch.operators.quality import ValidationError
-from shelfwatch.schemas import CSV_SCHEMA
+from shelfwatch.schemas import CSV_READ, CSV_SCHEMA, WIDE_COLUMNS
+from shelfwatch.session import checkpointed
 from shelfwatch.sinks.warehouse import Warehouse
-from shelfwatch.sources.tables import _wide_from_csv
+from shelfwatch.sources.tables import _CORRUPT, _wide_from_csv
 
+#: Which of repeated rows came last: files by time and name, rows by their place.
+ORDER = ["file_time", "file_name", "block_start", "line"]
 
-def run_files(spark: SparkSession, source_dir: str, files_per_batch: int = 1) -> DataFrame:
-    """Streaming DataFrame of wide rows from CSV run files (explicit schema)."""
-    raw = (spark.readStream.schema(CSV_SCHEMA).option("header", True)
-           .option("maxFilesPerTrigger", files_per_batch).csv(source_dir))
-    return _wide_from_csv(raw)
+
+def run_files(spark: SparkSession, source_dir: str, files_per_batch: int = 100) -> DataFrame:
+    """Streaming rows of CSV run files, with their order and any corrupt line.
+
+    ``files_per_batch`` bounds the work of a micro-batch; it does not change results.
+    """
+    raw = (spark.readStream.schema(T.StructType([*CSV_SCHEMA.fields, _CORRUPT]))
+           .options(**CSV_READ).option("maxFilesPerTrigger", files_per_batch).csv(source_dir))
+    m = F.col("_metadata")
+    return raw.select("*", m["file_modification_time"].alias("file_time"), m["file_path"].alias("file_name"),
+                      m["file_block_start"].alias("block_start"))
 
 
 def start_ingest(spark: SparkSession, source_dir: str, warehouse_root: str,
                  checkpoint_location: str, available_now: bool = False,
                  processing_time: str = "1 minute", rejected_path: str | None = None,
-                 write_csv: bool = True) -> StreamingQuery:
-    """Start the incremental load. Each micro-batch is split by collection date and each
-    day is ingested on its own (a load batch carries one date). A day that breaks a rule
-    is written to ``rejected_path`` (if given) with its violations, and skipped.
-    """
+                 write_csv: bool = True, files_per_batch: int = 100) -> StreamingQuery:
+    """Start the incremental load. Rows that break a rule, and lines that are no record, go
+    to ``rejected_path`` (one folder per micro-batch); without it such a row ends the load."""
     wh = Warehouse(spark, warehouse_root)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        dates = [r[0] for r in batch.select("date_collected").distinct().collect()]
-        for i, d in enumerate(sorted(dates, key=lambda x: (x is None, x))):
-            day = batch.where(F.col("date_collected").eqNullSafe(F.lit(d)))
-            try:
-                wh.ingest(day, batch_id=epoch_id * 1000 + i, write_csv=write_csv)
-            except ValidationError as e:
-                if rejected_path is None:
-                    raise
-                e.violations.withColumn("epoch_id", F.lit(epoch_id)) \
-                    .write.mode("append").parquet(rejected_path)
-
-    writer = (run_files(spark, source_dir).writeStream.foreachBatch(load)
+        with checkpointed(batch.withColumn("line", F.monotonically_increasing_id())) as rows:
+            lines = rows.where(F.col("corrupt_record").isNotNull())
+            wide = _wide_from_csv(rows.where(F.col("corrupt_record").isNull()).drop("corrupt_record"))
+            bad = wh.ingest_part(wide.select(*WIDE_COLUMNS, *ORDER), ORDER, epoch_id, write_log=write_csv)
+            rejects = bad.select(*WIDE_COLUMNS, "file_name", "violated_rules", F.lit(None).cast("string")
+                                 .alias("corrupt_record")).unionByName(
+                _wide_from_csv(lines).select(*WIDE_COLUMNS, "file_name", F.array(F.lit("not_a_record"))
+                                             .alias("violated_rules"), "corrupt_record"))
+            if rejected_path is not None:
+                rejects.write.mode("overwrite").parquet(f"{rejected_path}/epoch={epoch_id}")
+            elif sample := rejects.limit(20).collect():
+                raise ValueError(f"rejected rows, e.g. {[r.asDict() for r in sample]}")
+
+    writer = (run_files(spark, source_dir, files_per_batch).writeStream.foreachBatch(load)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime=processing_time)

@@ -22,13 +22,16 @@ def test_archive_export_views_and_vacuum(spark, tmp_root):
     wh = Warehouse(spark, tmp_root)
     wh.ingest(_rows(spark, D1, ["1.00", "2.00"]), batch_id=1)
     wh.ingest(_rows(spark, D2, ["1.50", "2.00", "3.00"]), batch_id=2)
-    days = sorted(os.path.basename(x) for x in glob.glob(f"{wh.archive_path}/date_collected=*"))
-    assert days == ["date_collected=2026-06-05", "date_collected=2026-06-06"]
+    days = sorted(os.path.basename(x) for x in glob.glob(f"{wh.archive_path}/run_date=*"))
+    assert days == ["run_date=2026-06-05", "run_date=2026-06-06"]
+    day = read_snapshot_csv(spark, f"{wh.archive_path}/run_date=2026-06-05").collect()
+    assert {(r.upc, r.category, r.date_collected) for r in day} == {("u0", "Poetry", D1), ("u1", "Poetry", D1)}
     assert read_snapshot_csv(spark, wh.snapshot_path).count() == 3      # latest run only
     wh.export(wh.books(), f"{tmp_root}/export")
     assert read_snapshot_csv(spark, f"{tmp_root}/export").count() == 5
     wh.ensure_tables()
     assert spark.sql("SELECT COUNT(*) AS n FROM books").first().n == 5
+    assert spark.sql("SELECT COUNT(*) AS n FROM price_history").first().n == 5
     removed = wh.vacuum_catalog(keep=1)
     assert len(removed) == 1 and wh.catalog().count() == 3
 
