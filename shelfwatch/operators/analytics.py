@@ -94,6 +94,57 @@ def category_stock(df: DataFrame, top: int | None = None, dropna: bool = False)
                 F.col("category").asc_nulls_first())
 
 
+# ---------------------------------------------------------------- roll-ups of the star
+# Over the full history the fact is first summed per product, then joined: the shuffle and
+# the join carry one row per product instead of one per observation.
+def product_totals(history: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Per product of the dimension with facts: n, price_sum, price_n, stock (sums and counts)."""
+    sums = history.groupBy("upc").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(20,2)").alias("price_sum"),
+        F.count("price").alias("price_n"), F.sum("stock_quantity").alias("stock"))
+    return sums.join(catalog.select("upc", "title", "category"), "upc")
+
+
+def _star_average(scale: int = 2) -> Column:
+    total = F.sum("price_sum").cast("decimal(20,2)")
+    return F.round(total / F.nullif(F.sum("price_n"), F.lit(0)).cast("decimal(20,0)"), scale).cast("double")
+
+
+def star_total_records(totals: DataFrame) -> DataFrame:
+    """A1 over the star."""
+    return totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_scraped_records"))
+
+
+def star_average_price(totals: DataFrame) -> DataFrame:
+    """A2 over the star."""
+    return totals.agg(_star_average().alias("average_price"))
+
+
+def star_category_counts(totals: DataFrame) -> DataFrame:
+    """A8 over the star."""
+    agg = totals.groupBy("category").agg(F.sum("n").alias("book_count"))
+    return agg.orderBy(F.col("book_count").desc(), F.col("category").asc_nulls_first())
+
+
+def star_category_avg_price(totals: DataFrame) -> DataFrame:
+    """A9 over the star."""
+    agg = totals.groupBy("category").agg(_star_average().alias("average_price"), F.sum("n").alias("book_count"))
+    return agg.orderBy(F.col("average_price").desc_nulls_first(), F.col("category").asc_nulls_first())
+
+
+def star_category_stock(totals: DataFrame) -> DataFrame:
+    """A10 over the star."""
+    agg = totals.groupBy("category").agg(F.sum("stock").cast("bigint").alias("total_items_in_stock"))
+    return agg.orderBy(F.col("total_items_in_stock").desc_nulls_first(), F.col("category").asc_nulls_first())
+
+
+def star_observation_counts(totals: DataFrame, n: int = 10) -> DataFrame:
+    """A11 + O5 over the star."""
+    agg = totals.groupBy("title", "upc").agg(F.sum("n").alias("scrape_runs_logged"))
+    return agg.orderBy(F.col("scrape_runs_logged").desc(), F.col("title").asc_nulls_first(),
+                       F.col("upc").asc_nulls_first()).limit(n)
+
+
 def top_expensive(books: DataFrame, n: int = 10) -> DataFrame:
     """O1 + P2: the ``n`` dearest rows (TakeOrderedAndProject: per-task top-n, then merge)."""
     return (books.select("title", F.col("price").cast("double").alias("price"),

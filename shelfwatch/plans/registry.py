@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.operators import analytics as A
 from shelfwatch.operators import snapshots as S
+from shelfwatch.operators.dedup import dedup_keep_last
 from shelfwatch.plans import oracle as O
 from shelfwatch.sources import binding as B
 
@@ -47,6 +48,10 @@ def _snapshot(spark, sf_dir):
     return S.latest_snapshot(B.books(spark, sf_dir), B.fact(spark, sf_dir))
 
 
+def _totals(spark, sf_dir):
+    return A.product_totals(B.fact(spark, sf_dir), B.catalog(spark, sf_dir))
+
+
 WIDE_OUT = ("title, CAST(price AS DOUBLE) AS price, rating, product_url, date_collected, "
             "upc, category, stock_quantity")
 
@@ -85,7 +90,8 @@ def snapshot_at(spark, sf_dir):
     "SELECT title, CAST(price AS DOUBLE) AS price, rating, product_url, date_collected, upc, "
     "category, stock_quantity FROM history"))
 def dedup_history(spark, sf_dir):
-    return _wide_out(B.history(spark, sf_dir))
+    log = B.raw_log(spark, sf_dir)
+    return _wide_out(dedup_keep_last(log, ["title", "product_url", "date_collected"], [B.LOG_ORDER]))
 
 
 @register("collection_dates", O.q(
@@ -103,12 +109,12 @@ def last_two_dates(spark, sf_dir):
 # ---------------------------------------------------------------- analytics
 @register("total_records", O.q("SELECT COUNT(*) AS total_scraped_records FROM books"))
 def total_records(spark, sf_dir):
-    return A.total_records(_books(spark, sf_dir))
+    return A.star_total_records(_totals(spark, sf_dir))
 
 
 @register("average_price", O.q(f"SELECT {O.avg2('price')} AS average_price FROM books"))
 def average_price(spark, sf_dir):
-    return A.average_price(_books(spark, sf_dir))
+    return A.star_average_price(_totals(spark, sf_dir))
 
 
 @register("price_bounds", O.q(
@@ -129,7 +135,7 @@ def kpi_row(spark, sf_dir):
 @register("category_counts", O.q(
     "SELECT category, COUNT(*) AS book_count FROM books GROUP BY category"))
 def category_counts(spark, sf_dir):
-    return A.category_counts(_books(spark, sf_dir))
+    return A.star_category_counts(_totals(spark, sf_dir))
 
 
 @register("category_counts_top15", O.q(
@@ -143,7 +149,7 @@ def category_counts_top15(spark, sf_dir):
     f"SELECT category, {O.avg2('price')} AS average_price, COUNT(*) AS book_count "
     "FROM books GROUP BY category"))
 def category_avg_price(spark, sf_dir):
-    return A.category_avg_price(_books(spark, sf_dir))
+    return A.star_category_avg_price(_totals(spark, sf_dir))
 
 
 @register("category_avg_price_latest", O.q(
@@ -154,18 +160,20 @@ def category_avg_price_latest(spark, sf_dir):
 
 
 @register("category_avg_price_top25", O.q(
-    f"SELECT * FROM (SELECT category, {O.avg2('price')} AS average_price, "
-    "COUNT(*) AS book_count FROM snapshot WHERE category IS NOT NULL GROUP BY category) t "
-    "ORDER BY average_price DESC, category ASC LIMIT 25"))
+    f"SELECT title AS category, {O.avg2('price')} AS average_price, COUNT(*) AS book_count "
+    "FROM snapshot WHERE title IS NOT NULL GROUP BY title "
+    "ORDER BY CAST(SUM(CAST(price * 100 AS BIGINT)) AS HUGEINT) * 1000000000000 // COUNT(price) DESC, title LIMIT 25"))
 def category_avg_price_top25(spark, sf_dir):
-    return A.category_avg_price(_snapshot(spark, sf_dir), top=25, dropna=True)
+    """Over titles, of which there are more than 25, so that the cut by exact mean matters."""
+    by_title = _snapshot(spark, sf_dir).withColumn("category", F.col("title"))
+    return A.category_avg_price(by_title, top=25, dropna=True)
 
 
 @register("category_stock", O.q(
     "SELECT category, CAST(SUM(stock_quantity) AS BIGINT) AS total_items_in_stock "
     "FROM books GROUP BY category"))
 def category_stock(spark, sf_dir):
-    return A.category_stock(_books(spark, sf_dir))
+    return A.star_category_stock(_totals(spark, sf_dir))
 
 
 @register("top_expensive", O.q(
@@ -186,7 +194,7 @@ def scarce_stock(spark, sf_dir):
     "SELECT title, upc, COUNT(*) AS scrape_runs_logged FROM books GROUP BY title, upc "
     "ORDER BY scrape_runs_logged DESC, title, upc LIMIT 10"))
 def observation_counts(spark, sf_dir):
-    return A.observation_counts(_books(spark, sf_dir), 10)
+    return A.star_observation_counts(_totals(spark, sf_dir), 10)
 
 
 @register("rating_distribution", O.q(
@@ -754,11 +762,15 @@ def scd2_rating(spark, sf_dir):
 
 
 @register("scd2_dimension", O.more("""
+daily AS (SELECT * FROM (SELECT upc, title, category || '-' || CAST(stock_quantity % 2 AS VARCHAR) AS category,
+            product_url, date_collected, row_number() OVER (PARTITION BY upc, date_collected ORDER BY l_shipdate DESC,
+              l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS last
+          FROM raw_log) t WHERE last = 1),
 marked AS (SELECT upc, title, category, product_url, date_collected AS valid_from,
                   row_number() OVER (PARTITION BY upc ORDER BY date_collected) AS rn,
                   lag(title) OVER w AS pt, lag(category) OVER w AS pc,
                   lag(product_url) OVER w AS pu
-           FROM books WINDOW w AS (PARTITION BY upc ORDER BY date_collected)),
+           FROM daily WINDOW w AS (PARTITION BY upc ORDER BY date_collected)),
 versions AS (SELECT upc, title, category, product_url, valid_from FROM marked
              WHERE rn = 1 OR pt IS DISTINCT FROM title OR pc IS DISTINCT FROM category
                 OR pu IS DISTINCT FROM product_url)
@@ -767,7 +779,10 @@ versions AS (SELECT upc, title, category, product_url, valid_from FROM marked
      "lead(valid_from) OVER (PARTITION BY upc ORDER BY valid_from) IS NULL AS is_current "
      "FROM versions"))
 def scd2_dimension(spark, sf_dir):
-    return EV.scd2(_books(spark, sf_dir))
+    """Over the raw log, with a category that changes from run to run and within a date."""
+    log = B.raw_log(spark, sf_dir).withColumn("category", F.concat(
+        "category", F.lit("-"), (F.col("stock_quantity") % 2).cast("string")))
+    return EV.scd2(log, order=[B.LOG_ORDER])
 
 
 @register("fact_upsert", O.more("""
@@ -847,3 +862,6 @@ def scd2_rating_incremental(spark, sf_dir):
                      unique_per_date=True)
     batch = S.snapshot_at(fact, latest)
     return EV.scd2_apply(before, batch, "upc", ["rating"])
+
+
+from shelfwatch.plans import registry_loads  # noqa: E402, F401  (registers its queries)

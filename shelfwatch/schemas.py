@@ -58,6 +58,8 @@ CSV_SCHEMA = T.StructType([
 # belong to the value, empty text is written as "" and NULL as nothing.
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "encoding": "UTF-8",
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-CSV_READ = {**CSV_DIALECT, "emptyValue": "", "mode": "PERMISSIVE",
+# Reading, Spark takes an empty value for NULL; a quoted one comes as this mark until parsed.
+CSV_EMPTY = "\u0001empty\u0001"
+CSV_READ = {**CSV_DIALECT, "emptyValue": CSV_EMPTY, "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": "corrupt_record"}
 CSV_WRITE = {**CSV_DIALECT, "emptyValue": '""'}

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shelfwatch.functions.clean import from_date_text
 from shelfwatch.operators.dedup import dedup_keep_last
-from shelfwatch.schemas import CSV_DIALECT, CSV_HEADER, CSV_READ, CSV_SCHEMA, PRICE, WIDE_COLUMNS
+from shelfwatch.schemas import CSV_DIALECT, CSV_EMPTY, CSV_HEADER, CSV_READ, CSV_SCHEMA, PRICE, WIDE_COLUMNS
 
 _CORRUPT = T.StructField("corrupt_record", T.StringType(), True)
 CSV_LOG_SCHEMA = T.StructType(CSV_SCHEMA.fields + [
@@ -20,6 +20,7 @@ CSV_LOG_SCHEMA = T.StructType(CSV_SCHEMA.fields + [
 
 
 def _wide_from_csv(df: DataFrame) -> DataFrame:
+    df = df.withColumns({c: F.when(F.col(c) == CSV_EMPTY, F.lit("")).otherwise(F.col(c)) for c in CSV_HEADER})
     return df.select(
         F.col("Title").alias("title"),
         F.col("Price").try_cast(PRICE).alias("price"),
