@@ -268,8 +268,10 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 def digests(found: DataFrame) -> DataFrame:
     """Counts of the base spans, their SHA-256, and all spans as text."""
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-         for k in range(len(KINDS))]
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    n = [count(k) for k in range(len(KINDS))]
     return found.select("doc_id", *n, F.sha2(_joined("base"), 256).alias("base_sha256"),
                         _joined("spans").alias("spans"))
 

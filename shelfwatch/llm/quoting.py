@@ -108,8 +108,7 @@ WITH RECURSIVE line AS (
          len(regexp_extract(x, '^[ \t]*(?:>[ \t]*)+')) - len(replace(regexp_extract(x, '^[ \t]*(?:>[ \t]*)+'), '>', '')) AS level,
          regexp_replace(x, '^[ \t]*(?:>[ \t]*)+', '') AS body
   FROM (SELECT conv_id, turn, unnest(xs) AS x, generate_subscripts(xs, 1) AS i
-        FROM (SELECT DISTINCT conv_id, turn, string_split_regex(coalesce(text, ''), '\r?\n') AS xs FROM conversations
-              WHERE conv_id IS NOT NULL AND turn IS NOT NULL))
+        FROM (SELECT DISTINCT conv_id, turn, string_split_regex(coalesce(text, ''), '\r?\n') AS xs FROM conversations))
 ), run AS (
   SELECT *, sum(CASE WHEN trim(body, ' ' || chr(9)) = '' OR level IS DISTINCT FROM before THEN 1 ELSE 0 END)
               OVER (PARTITION BY conv_id, turn ORDER BY i) AS run
@@ -118,7 +117,7 @@ WITH RECURSIVE line AS (
   SELECT conv_id, turn, level, lower(trim(regexp_replace(string_agg(body, chr(10) ORDER BY i), '\s+', ' ', 'g'))) AS p
   FROM run GROUP BY conv_id, turn, level, run
 ), first_seen AS (
-  SELECT conv_id, p, min(turn) AS original FROM passage WHERE level = 0 AND p <> '' GROUP BY 1, 2
+  SELECT conv_id, p, min(turn) AS original FROM passage WHERE level = 0 AND p <> '' AND turn IS NOT NULL GROUP BY 1, 2
 ), vote AS (
   SELECT q.conv_id, q.turn, q.level, f.original, sum(length(q.p)) AS chars, count(*) AS n
   FROM (SELECT DISTINCT * FROM passage WHERE level > 0 AND p <> '') q
@@ -143,7 +142,7 @@ SELECT c.conv_id, c.turn, c.role,
        r.parent AS parent_turn, coalesce(t.root, c.turn) AS root_turn, CAST(coalesce(t.depth, 0) AS BIGINT) AS depth,
        CAST(coalesce(q.n, 0) AS BIGINT) AS n_quoted_lines, CAST(coalesce(r.n_linked, 0) AS BIGINT) AS n_linked
 FROM conversations c
-LEFT JOIN quoted q ON q.conv_id = c.conv_id AND q.turn = c.turn
+LEFT JOIN quoted q ON q.conv_id IS NOT DISTINCT FROM c.conv_id AND q.turn IS NOT DISTINCT FROM c.turn
 LEFT JOIN reply r ON r.conv_id = c.conv_id AND r.turn = c.turn
 LEFT JOIN top t ON t.conv_id = c.conv_id AND t.turn = c.turn
 """
