@@ -4,11 +4,12 @@ A block is coded with a model that starts fresh in it. Three experts predict the
 
 * order 2: the id that last followed the same two ids (hashed context);
 * order 1: the id that last followed the same id;
-* order 0: the id frequencies so far, refreshed every ``EPOCH`` ids.
+* order 0: the id frequencies so far.
 
 The mixture P(id) = w2 [id = guess2] + w1 [id = guess1] + w0 P0(id) drives a 64-bit range
 coder with carries. The weights are adaptive, one set for each pair of confidences that the
-two guesses have earned (and whether they agree). Encoder and decoder run all blocks of a batch in step,
+two guesses have earned (and whether they agree). Guesses adapt with every id, weights and
+frequencies every ``EPOCH`` ids. Blocks hold at most 32,767 different ids. Encoder and decoder run all blocks of a batch in step,
 one numpy lane per block, so neither works id by id in Python.
 """
 
@@ -21,7 +22,7 @@ import numpy as np
 
 MAGIC = b"CMR1"
 EPOCH = 256
-_BITS1, _BITS2, _SCALE = 11, 12, 18
+_BITS1, _BITS2, _SCALE, _CASES = 11, 12, 18, 128
 _GAIN = 24
 _0, _16, _32, _SHIFT0 = np.uint64(0), np.uint64(16), np.uint64(32), np.uint64(_SCALE)
 _LOW, _WORD = np.uint64(1 << 32), np.uint64(0xFFFFFFFF)
@@ -37,78 +38,97 @@ class _Model:
     def __init__(self, sizes: np.ndarray):
         lanes = len(sizes)
         self.sizes, self.base = sizes, np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        self.count = np.ones(int(sizes.sum()), np.int32)
+        self.count = np.ones(int(sizes.sum()), np.int64)
         lane = np.arange(lanes)
-        self.off1, self.off2, self.offw = lane << _BITS1, lane << _BITS2, lane * 128
-        # guess * 8 + confidence; -8: no guess yet
-        self.slot1 = np.full(lanes << _BITS1, -8, np.int32)
-        self.slot2 = np.full(lanes << _BITS2, -8, np.int32)
-        # probability, of 256, that the order-2 guess is right; that the order-1 guess is, if not
-        self.right2 = np.tile(np.repeat(np.arange(16, 240, 28, dtype=np.int16), 8), lanes * 2)
-        self.right1 = np.tile(np.arange(16, 240, 28, dtype=np.int16), lanes * 16)
-        self.prev1, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.off1, self.off2, self.offw = lane << _BITS1, lane << _BITS2, lane * _CASES
+        # guess << 16 | times it was right in a row; guess -1: none yet
+        self.slot1 = np.full(lanes << _BITS1, -65536, np.int32)
+        self.slot2 = np.full(lanes << _BITS2, -65536, np.int32)
+        # for each case: how often it came, order 2 was right, order 1 was right where order 2 wasn't
+        trust = np.arange(16, 240, 28) / 256
+        self.came = np.full(lanes * _CASES, 8.0)
+        self.right2 = np.tile(np.repeat(trust, 8), lanes * 2) * 8
+        self.right1 = np.tile(np.tile(trust, 8), lanes * 2) * (8 - self.right2)
+        self.seen: list[tuple] = []
         self.refresh()
 
     def refresh(self) -> None:
-        """Order-0 frequencies, at least 1 each, of a sum of ``1 << _SCALE`` at most."""
+        """Take in what came since the last time: weights of the orders, and order-0 frequencies
+        (at least 1 each, of a sum of ``1 << _SCALE`` at most)."""
+        if self.seen:
+            cases, twos, ones, places = (np.concatenate(c) for c in zip(*self.seen))
+            self.seen.clear()
+            n = len(self.came)
+            self.came += np.bincount(cases, minlength=n)
+            self.right2 += np.bincount(cases, twos, n)
+            self.right1 += np.bincount(cases, ones & ~twos, n)
+            self.count += _GAIN * np.bincount(places, minlength=len(self.count))
+        w2 = (self.right2 / (self.came + 0.5) * 65000).astype(np.int64) + 100
+        rest = 65536 - w2
+        w1 = (rest * (self.right1 / (self.came - self.right2 + 0.5) * 0.98)).astype(np.int64) + 4
+        self.w2, self.w12, self.w0 = (w.astype(np.uint64) for w in (w2, w2 + w1, rest - w1))
+        self.w1 = self.w12 - self.w2
         total = np.add.reduceat(self.count, self.base)
         share = (((1 << _SCALE) - self.sizes) / total).repeat(self.sizes)
-        self.freq = (self.count * share).astype(np.uint32) + np.uint32(1)
-        self.flat = np.cumsum(self.freq, dtype=np.int64) - self.freq          # ascending over all lanes
+        freq = (self.count * share).astype(np.int64) + 1
+        self.flat = np.cumsum(freq) - freq                    # ascending over all lanes
         self.first = self.flat[self.base]
-        self.cum = (self.flat - self.first.repeat(self.sizes)).astype(np.uint32)
-
-    def predict(self, n: int):
-        """For the first ``n`` lanes: both guesses, and the weights of orders 2, 1 and 0."""
-        p1 = self.prev1[:n]
-        self.i1 = self.off1[:n] + (p1 & ((1 << _BITS1) - 1))
-        self.i2 = self.off2[:n] + ((p1 * 10007 + self.prev2[:n]) & ((1 << _BITS2) - 1))
-        self.v1, self.v2 = self.slot1.take(self.i1), self.slot2.take(self.i2)
-        g1, g2 = self.v1 >> 3, self.v2 >> 3
-        self.iw = self.offw[:n] + ((self.v2 & 7) << 3) + (self.v1 & 7) + ((g1 == g2) << 6)
-        self.p2, self.p1 = self.right2.take(self.iw), self.right1.take(self.iw)
-        miss = 256 - self.p2.astype(np.int64)
-        w1 = miss * self.p1
-        return g1, g2, 65536 - (miss << 8), w1, (miss << 8) - w1
-
-    def learn(self, n: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """``x`` came; which guesses it met."""
-        self.right2[self.iw] = self.p2 + (((hit2 * np.int16(248)) + np.int16(4) - self.p2) >> 4)
-        self.right1[self.iw] = np.where(hit2, self.p1, self.p1 + ((hit1 * np.int16(248) + np.int16(4) - self.p1) >> 4))
-        x8 = (x << 3).astype(np.int32)
-        self.slot1[self.i1] = np.where(hit1, np.minimum(self.v1 + 1, self.v1 | 7), x8)
-        self.slot2[self.i2] = np.where(hit2, np.minimum(self.v2 + 1, self.v2 | 7), x8)
-        self.count[self.base[:n] + x] += _GAIN
-        self.prev2[:n] = self.prev1[:n]
-        self.prev1[:n] = x
+        self.cum = (self.flat - self.first.repeat(self.sizes)).astype(np.uint64)
+        self.freq = freq.astype(np.uint64)
+
+    def predict(self, n: int, i1: np.ndarray, i2: np.ndarray):
+        """For the first ``n`` lanes, with their contexts: guesses of orders 1 and 2, and the case."""
+        v1, v2 = self.slot1.take(i1), self.slot2.take(i2)
+        g1, g2 = v1 >> 16, v2 >> 16
+        case = np.minimum(v2 & 0xFFFF, 7) * 8
+        case += np.minimum(v1 & 0xFFFF, 7)
+        case += (g1 == g2) * 64
+        return v1, v2, g1, g2, case + self.offw[:n]
+
+    def learn(self, i1, i2, v1, v2, x16, hit2, hit1, case, q) -> None:
+        self.slot1[i1] = np.where(hit1, v1 + 1, x16)
+        self.slot2[i2] = np.where(hit2, v2 + 1, x16)
+        self.seen.append((case, hit2, hit1, q))
+
+    def context2(self, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+        return (p1 * 10007 + p2) & ((1 << _BITS2) - 1)
 
 
 def _encode_lanes(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
     """Code words of each lane. Lanes come longest first."""
     lens = np.array([len(s) for s in symbols])
     steps, lanes = int(lens[0]), len(symbols)
-    grid = np.zeros((steps, lanes), np.int32)
+    grid = np.zeros((steps + 2, lanes), np.int32)              # two zeros stand before each block
     for k, s in enumerate(symbols):
-        grid[:len(s), k] = s
+        grid[2:len(s) + 2, k] = s
     live = np.searchsorted(-lens, -np.arange(steps), "left").tolist()   # lanes with more ids
     words = np.zeros((lanes, steps + 4), np.uint32)
     used = np.zeros(lanes, np.int64)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     model = _Model(sizes)
     for t, n in enumerate(live):
-        if t and t % EPOCH == 0:
-            model.refresh()
-        x = grid[t, :n].astype(np.int64)
-        g1, g2, w2, w1, w0 = model.predict(n)
+        at = t % EPOCH
+        if not at:
+            if t:
+                model.refresh()
+            # ids, places and contexts of the whole epoch at once
+            xs = grid[t + 2:t + 2 + EPOCH]
+            one, two = grid[t + 1:t + 1 + len(xs)].astype(np.int64), grid[t:t + len(xs)].astype(np.int64)
+            qs, x16s = xs + model.base, xs << 16
+            i1s = (one & ((1 << _BITS1) - 1)) + model.off1
+            i2s = model.context2(one, two) + model.off2
+        x, q, i1, i2 = xs[at, :n], qs[at, :n], i1s[at, :n], i2s[at, :n]
+        v1, v2, g1, g2, case = model.predict(n, i1, i2)
         hit2, hit1 = g2 == x, g1 == x
-        guessed, q = hit2 | hit1, model.base[:n] + x
+        guessed = hit2 | hit1
+        w2, w12 = model.w2.take(case), model.w12.take(case)
         unit = rng[:n] >> _16
-        fine = (unit * w0.astype(np.uint64)) >> _SHIFT0
+        fine = (unit * model.w0.take(case)) >> _SHIFT0
         # where the part of the interval starts, and its size
-        start = unit * np.where(hit2, 0, np.where(hit1, w2, w2 + w1)).astype(np.uint64)
+        start = unit * np.where(hit1, w2, w12)
         start += np.where(guessed, _0, fine * model.cum.take(q))
-        rng[:n] = np.where(guessed, unit * np.where(hit2, w2, w1).astype(np.uint64),
-                           fine * model.freq.take(q))
+        start[hit2] = _0
+        rng[:n] = np.where(guessed, unit * np.where(hit2, w2, w12 - w2), fine * model.freq.take(q))
         new = low[:n] + start
         for k in np.flatnonzero(new < start).tolist():    # a carry into the words written
             p = used[k] - 1
@@ -123,7 +143,7 @@ def _encode_lanes(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
             used[small] += 1
             low[small] <<= _32
             rng[small] <<= _32
-        model.learn(n, x, hit2, hit1)
+        model.learn(i1, i2, v1, v2, x16s[at, :n], hit2, hit1, case, q)
     for shift in (_32, _0):
         words[np.arange(lanes), used] = (low >> shift) & _WORD
         used += 1
@@ -143,34 +163,34 @@ def _decode_lanes(words: list[np.ndarray], lens: np.ndarray, sizes: np.ndarray)
     rng = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     out = np.zeros((steps, lanes), np.int32)
     model = _Model(sizes)
+    one = two = np.zeros(lanes, np.int64)
     for t, n in enumerate(live):
         if t and t % EPOCH == 0:
             model.refresh()
-        g1, g2, w2, w1, w0 = model.predict(n)
+        i1 = (one[:n] & ((1 << _BITS1) - 1)) + model.off1[:n]
+        i2 = model.context2(one[:n], two[:n]) + model.off2[:n]
+        v1, v2, g1, g2, case = model.predict(n, i1, i2)
         unit = rng[:n] >> _16
-        fine = (unit * w0.astype(np.uint64)) >> _SHIFT0
-        bound2, bound1 = unit * w2.astype(np.uint64), unit * (w2 + w1).astype(np.uint64)
+        fine = (unit * model.w0.take(case)) >> _SHIFT0
+        bound2, bound1 = unit * model.w2.take(case), unit * model.w12.take(case)
         now = code[:n]
-        by2 = now < bound2
-        guessed = now < bound1
+        by2, guessed = now < bound2, now < bound1
         # order 0: the last symbol whose cumulative frequency is not above the value
-        rest = np.where(guessed, _0, now - bound1) // fine
-        q = np.searchsorted(model.flat, model.first[:n] + rest.astype(np.int64), "right") - 1
-        x = np.where(by2, g2, np.where(guessed, g1, q - model.base[:n]))
+        rest = np.where(guessed, _0, now - bound1)
+        q = np.searchsorted(model.flat, model.first[:n] + (rest // fine).astype(np.int64), "right") - 1
+        x = np.where(guessed, np.where(by2, g2, g1), q - model.base[:n])
         if ((x < 0) | (x >= model.sizes[:n])).any():
             raise Corrupt("a code word leads outside the block's ids")
-        start = np.where(by2, _0, np.where(guessed, bound2,
-                                           bound1 + fine * model.cum.take(q)))
-        rng[:n] = np.where(by2, bound2, np.where(guessed, bound1 - bound2,
-                                                 fine * model.freq.take(q)))
-        code[:n] = now - start
+        code[:n] = np.where(guessed, np.where(by2, now, now - bound2), rest - fine * model.cum.take(q))
+        rng[:n] = np.where(guessed, np.where(by2, bound2, bound1 - bound2), fine * model.freq.take(q))
         small = np.flatnonzero(rng[:n] < _LOW)
         if len(small):
             code[small] = (code[small] << _32) | grid[small, np.minimum(used[small], width - 1)]
             used[small] += 1
             rng[small] <<= _32
         out[t, :n] = x
-        model.learn(n, x, g2 == x, g1 == x)
+        model.learn(i1, i2, v1, v2, x << 16, g2 == x, g1 == x, case, x + model.base[:n])
+        one, two = x, one
     return out
 
 
