@@ -93,3 +93,17 @@ def test_malformed_page_does_not_fail(spark):
     parsed = H.parse_pages(_pages(spark, [(1, "u", bad), (2, "v", "<h1>ok</h1>")]))
     got = {r.page_id: r.h1 for r in H.page_headings(parsed).collect()}
     assert got == {1: "T", 2: "ok"}
+
+
+def test_a_broken_page_is_rejected_not_read_in_part(spark):
+    broken = LISTING_2.replace("</body>", "<![broken[</body>")
+    parsed = H.parse_pages(_pages(spark, [(1, "l1", LISTING_1), (2, "l2", broken)]), partitions=2)
+    assert {r.page_id for r in H.parse_listing(parsed).collect()} == {1}
+    assert [(r.page_id, r.parse_error.split(":")[0]) for r in H.page_rejects(parsed).collect()] == [(2, "AssertionError")]
+
+
+def test_the_last_of_repeated_rows_counts(spark):
+    page = _detail(["Home", "Books", "Poetry"], [("UPC", "old"), ("Availability", "In stock (4 available)"),
+                                                 ("UPC", "new"), ("Availability", "soon")])
+    got = H.parse_detail(H.parse_pages(_pages(spark, [(1, "u", page)]))).first()
+    assert (got.upc, got.stock_quantity) == ("new", 4)

@@ -133,3 +133,57 @@ def test_plain_history_csv_keeps_last_in_file_order(spark, tmp_root):
                  for r in read_history_csv(spark, path).collect())
     assert got == [("A", D1, Decimal("12.00"), 2), ("A", D2, Decimal("11.00"), 2),
                    ("B", D1, Decimal("5.00"), 1)]
+
+
+def test_versions_count_up_and_no_load_is_lost(spark, tmp_root, monkeypatch):
+    """Two loads that start from the same version: the second redoes its change on the first's."""
+    wh, other = Warehouse(spark, tmp_root), Warehouse(spark, tmp_root)
+    wh.ingest(batch(spark, [row("A", "1.00", "u1", D1)]))
+    publish, raced = Warehouse._publish_catalog, []
+
+    def racing(self, rows, version):
+        if self is wh and not raced:
+            raced.append(version)
+            other.ingest(batch(spark, [row("B", "1.00", "u2", D2)]))
+        return publish(self, rows, version)
+
+    monkeypatch.setattr(Warehouse, "_publish_catalog", racing)
+    wh.upsert_catalog(batch(spark, [row("C", "1.00", "u3", D2)]), ["title"])
+    assert raced == [2] and wh.versions() == [1, 2, 3]
+    assert {r.upc for r in wh.catalog().collect()} == {"u1", "u2", "u3"}
+    assert not publish(wh, wh.catalog(), 2)                       # an existing version is never touched
+    assert {r.upc for r in wh.catalog(2).collect()} == {"u1", "u2"}
+
+
+def test_an_emptied_catalog_stays_empty(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.ingest(batch(spark, [row("A", "1.00", "u1", D1)]))
+    wh.delete_products(spark.createDataFrame([("u1",)], "upc string"))
+    assert wh.catalog().count() == 0 and wh.history().count() == 0 and wh.books().count() == 0
+
+
+def test_fact_upsert_keeps_the_rest_of_the_day(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.ingest(batch(spark, [row("A", "1.00", "u1", D1), row("B", "2.00", "u2", D1)]))
+    new = batch(spark, [row("A", "1.50", "u1", D1, rating="One"), row("C", "3.00", "u3", D1)]) \
+        .withColumn("ingest_seq", F.lit(9).cast("long"))
+    for _ in range(2):                                            # a replay changes nothing
+        wh.upsert_facts(new)
+        got = {(r.upc, r.price, r.rating) for r in wh.history().collect()}
+        assert got == {("u1", Decimal("1.50"), "Three"), ("u2", Decimal("2.00"), "Three"), ("u3", Decimal("3.00"), "Three")}
+
+
+def test_session_keeps_what_is_set(spark):
+    from shelfwatch.session import get_session
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert get_session().conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_ties_on_one_date_go_to_the_last_logged(spark):
+    from shelfwatch.operators.evolution import scd2
+    rows = spark.createDataFrame([("u", "z", D1, 1), ("u", "a", D1, 2), ("u", "a", D2, 3)],
+                                 "upc string, title string, date_collected date, ingest_seq long")
+    assert [(r.title, r.valid_from) for r in scd2(rows, attrs=["title"]).collect()] == [("a", D1)]
