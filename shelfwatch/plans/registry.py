@@ -404,6 +404,7 @@ def describe_price_all(spark, sf_dir):
     return ST.describe_price(_books(spark, sf_dir))
 
 
+# Fixed values in the next two oracles: headings, rules and labels of the report layouts.
 def _statistics_report_sql() -> str:
     rule = "'" + "=" * 50 + "'"
     cents = "CAST(price * 100 AS BIGINT)"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The eight statements and the column names of their contract.
 STATEMENTS = {
     "total_records":
         "SELECT COUNT(*) AS total_scraped_records FROM {books}",
