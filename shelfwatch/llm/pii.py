@@ -246,14 +246,14 @@ def _joined(spans) -> F.Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _spans(docs: DataFrame, columns: list, text_col: str) -> DataFrame:
+def _spans(docs: DataFrame, columns: list, text: F.Column) -> DataFrame:
     """``columns`` of every row with base and all spans, each in order."""
     ship_package(docs.sparkSession)
     kind = T.StructType([T.StructField("base", _SPAN), T.StructField("mentions", _MENTION)])
     scan = F.pandas_udf(_scan, kind)
-    scanned = staged(docs.select(*columns, scan(F.col(text_col)).alias("s")).select(
+    scanned = staged(docs.select(*columns, scan(text).alias("s")).select(
         "*", "s.base", "s.mentions").drop("s").withColumn("row", F.monotonically_increasing_id()), "scanned")
-    found = _discover(scanned.select("row", "mentions"), docs.select(F.col(text_col).alias("text")))
+    found = _discover(scanned.select("row", "mentions"), docs.select(text.alias("text")))
     rest = scanned.drop("mentions")
     if found is None:
         return rest.drop("row").withColumn("spans", F.col("base"))
@@ -263,7 +263,7 @@ def _spans(docs: DataFrame, columns: list, text_col: str) -> DataFrame:
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, base and spans (arrays of start, kind number, end)."""
-    return _spans(docs, [F.col(id_col).alias("doc_id")], text_col)
+    return _spans(docs, [F.col(id_col).alias("doc_id")], F.col(text_col))
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -293,9 +293,10 @@ def _mask(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def redact(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with every span masked; ``length_col``, where present, counts the new text."""
     # the whole row goes along as one struct, so no column of the caller can clash
-    found = _spans(docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text")), ["doc", "text"], "text")
+    text = F.col("doc").getField(text_col)
+    found = _spans(docs.select(F.struct("*").alias("doc")), [F.col("doc")], text)
     mask = F.pandas_udf(_mask, T.StringType())
-    found = found.withColumn("clean", F.when(F.size("spans") > 0, mask("text", "spans")).otherwise(F.col("text")))
+    found = found.withColumn("clean", F.when(F.size("spans") > 0, mask(text, "spans")).otherwise(text))
     out = []
     for f in docs.schema.fields:
         c = F.col("doc").getField(f.name)
