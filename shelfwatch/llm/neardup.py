@@ -9,14 +9,18 @@
    cost one row each.
 3. Bands of ``BAND`` registers are hashed; classes that share a band meet in a bucket. At
    similarity 0.75 a pair misses all 32 bands with a chance of 5 in a million.
-4. In each bucket all members are compared with one leader. Links join classes to components.
-   Only buckets whose other members still lie in several components go on: small ones
-   compare the members of different components, larger ones take a new leader each round, so
-   no pair of different components stays uncompared, and no round makes more than
-   SMALL_BUCKET / 2 pairs for a member.
-5. A compared pair is estimated from the two sketches (registers that agree, corrected for
-   those that agree by chance); unless the estimate is far below the limit, the link is
-   decided on both full sets.
+4. In each bucket all members are compared with one leader, its best connected member. Links join classes to components.
+   Members of buckets that still hold several components go on by an exact way: each set's
+   shingles are put in order of their number among these members, and sets that are similar
+   enough must share one of the first n - ceil(0.75 n) + 1 (prefix filter). Texts that only
+   share a frequent passage drop out here, as their own shingles come first.
+5. In the buckets of those shingles, in rounds, about ``LEADERS`` members outside a bucket's
+   largest component are compared with all members of other components and then leave it,
+   until one component is left. Pairs inside a component are never made, and a round makes
+   about LEADERS pairs for a member.
+6. A compared pair is estimated from the two sketches (registers that agree, corrected for
+   those that agree by chance); unless the estimate is far below the limit, the texts are
+   fetched and the link is decided on both full sets.
 
 Defined results: null, empty and blank texts have no shingles and are their own component;
 a null ``doc_id`` never becomes a component's id unless all its ids are null; repeated rows
@@ -32,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +46,7 @@ SHINGLE = 5
 PERCENT = 75
 REGISTERS, BAND = 128, 4
 _BUCKET_BITS, _MANTISSA = 7, 10
-SMALL_BUCKET = 64
+LEADERS = 32
 #: Standard errors below the limit at which an estimate rules a pair out.
 MARGIN = 6.0
 MEMO_WORDS = 400_000
@@ -165,49 +170,94 @@ def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(cid)], ["band", "cid"])
 
 
+def _shingle_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, text) to one row (cid, shingle) for each shingle."""
+    for batch in batches:
+        cids, out, size = [], [], 0
+        for cid, text in zip(batch.column("cid").to_pylist(), raw_texts(batch.column("text"))):
+            s = shingle_set(text)
+            out.append(s.view(np.int64))
+            cids.append(np.full(len(s), cid))
+            size += len(s)
+            if size > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cids)), pa.array(np.concatenate(out))],
+                                                 ["cid", "shingle"])
+                cids, out, size = [], [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cids)), pa.array(np.concatenate(out))],
+                                             ["cid", "shingle"])
+
+
+def prefix_buckets(members: DataFrame, percent: int) -> DataFrame:
+    """(band, cid): the shingles by which ``members`` can have a partner of ``percent`` at all.
+
+    Shingles of one member alone come first in the order and can't be shared, so they only
+    shorten what is left of the prefix.
+    """
+    rows = staged(members.select("cid", "text").mapInArrow(_shingle_task, "cid long, shingle long"), "shingles")
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    by_number = W.partitionBy("cid").orderBy("holders", "shingle")
+    ranked = rows.join(shared, "shingle").join(members.select("cid", "n_shingles"), "cid").withColumns({
+        "place": F.row_number().over(by_number), "n_shared": F.count(F.lit(1)).over(W.partitionBy("cid"))})
+    n = F.col("n_shingles")
+    prefix = n - F.ceil(n * percent / 100) + 1
+    return ranked.filter(F.col("place") <= prefix - (n - F.col("n_shared"))).select(
+        F.col("shingle").alias("band"), "cid")
+
+
+def _estimate_task(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                      for c in ("r_a", "r_b"))
+            na, nb = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            agree = (ra == rb).mean(axis=1)
+            chance = np.array([chance_agreement(x, y) for x, y in zip(
+                np.rint(2 * np.log2(na)).astype(int).tolist(), np.rint(2 * np.log2(nb)).astype(int).tolist())])
+            small, large = np.minimum(na, nb), np.maximum(na, nb)
+            error = np.sqrt(0.1875 * (1 / REGISTERS + 1 / small))
+            stay = ((agree - chance) / (1 - chance) >= percent / 100 - MARGIN * error) & (100 * small >= percent * large)
+            yield batch.select(["a", "b"]).filter(pa.array(stay))
+    return run
+
+
 def _verify_task(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
         size = 0
 
-        def full(cid: int, text: bytes) -> np.ndarray:
+        def full(cid: int, text: pa.Scalar) -> np.ndarray:
             nonlocal size
             got = known.get(cid)
             if got is None:
                 if size > 4_000_000:                       # hashes kept at a time
                     known.clear()
                     size = 0
-                got = known[cid] = shingle_set(text)
+                got = known[cid] = shingle_set(text.as_py())
                 size += len(got) + 16
             return got
 
         for batch in batches:
-            ca, cb, na, nb, ra, rb = (batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "r_a", "r_b"))
+            ca, cb = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             ta, tb = (batch.column(c).cast(pa.binary()) for c in ("t_a", "t_b"))
             linked = []
             for i in range(batch.num_rows):
-                small, large = sorted((na[i], nb[i]))
-                if 100 * small < percent * large:
-                    continue
-                error = (0.1875 * (1 / REGISTERS + 1 / small)) ** 0.5
-                about = estimate(np.frombuffer(ra[i], np.uint16), np.frombuffer(rb[i], np.uint16), na[i], nb[i])
-                if about < percent / 100 - MARGIN * error:
-                    continue
-                x, y = full(ca[i], ta[i].as_py()), full(cb[i], tb[i].as_py())
+                x, y = full(ca[i], ta[i]), full(cb[i], tb[i])
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    linked.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([ca[i] for i in linked], pa.int64()),
-                                              pa.array([cb[i] for i in linked], pa.int64())], ["a", "b"])
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
     return run
 
 
 def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked; ``members``: (cid, n, registers, text)."""
-    def side(x: str) -> DataFrame:
-        return members.select(F.col("cid").alias(x), F.col("n_shingles").alias(f"n_{x}"),
-                              F.col("registers").alias(f"r_{x}"), F.col("text").alias(f"t_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify_task(percent), "a long, b long")
+    """The pairs (a, b) of classes that are linked; ``members``: (cid, n_shingles, registers, text)."""
+    def side(x: str, **columns: str) -> DataFrame:
+        return members.select(F.col("cid").alias(x), *[F.col(c).alias(f"{k}_{x}") for k, c in columns.items()])
+    near = pairs.join(side("a", n="n_shingles", r="registers"), "a").join(
+        side("b", n="n_shingles", r="registers"), "b").mapInArrow(_estimate_task(percent), "a long, b long")
+    near = staged(near, "near")
+    return near.join(side("a", t="text"), "a").join(side("b", t="text"), "b").select(
+        "a", "b", "t_a", "t_b").mapInArrow(_verify_task(percent), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -231,6 +281,18 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.drop("was")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after more ``links`` (a, b), by way of one edge between any two labels."""
+    def of(x: str) -> DataFrame:
+        return labels.toDF(x, f"label_{x}")
+    ends = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")))
+    up = components(staged(ends.filter("a <> b").distinct(), "label_links"))
+    alone = up.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti")
+    return staged(labels.unionByName(alone).join(up.toDF("label", "higher"), "label", "left").select(
+        "node", F.coalesce("higher", "label").alias("label")), "labels")
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, and its row key (k1, k2).
@@ -250,43 +312,55 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     bands = classes.select("cid", "registers").mapInArrow(_band_task, "band long, cid long")
-    shared = (bands.groupBy("band").agg(F.min("cid").alias("leader"), F.max("cid").alias("last"))
-              .filter("leader < last").drop("last"))
-    buckets = staged(bands.join(shared, "band"), "buckets")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    met = staged(bands.join(shared, "band"), "met")
+    # The leader is the member that meets most others over all its bands: the text that a
+    # group of near copies was made from, to which all of them are close.
+    degree = met.groupBy("cid").agg(F.sum("size").alias("degree"))
+    leaders = met.join(degree, "cid").groupBy("band").agg(
+        F.max_by("cid", F.struct("degree", -F.col("cid"))).alias("leader"))
+    buckets = staged(met.select("band", "cid").join(leaders, "band"), "buckets")
     ids = buckets.select("cid").distinct()
     wanted = classes.join(ids, "cid").select("cid", "n_shingles", "registers", "key.k1", "key.k2")
     texts = rows.select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
     members = staged(texts.join(wanted, ["k1", "k2"]).select("cid", "n_shingles", "registers", "text"), "members")
 
-    pairs = buckets.filter("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
-    pairs = staged(pairs, "pairs")
+    pairs = staged(buckets.filter("cid <> leader").select(
+        F.least("leader", "cid").alias("a"), F.greatest("leader", "cid").alias("b")).distinct(), "pairs")
     links = staged(verified(pairs, members, percent), "links")
-    left, tried = buckets.filter("cid <> leader").drop("leader"), pairs
     labels = components(links)
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(labels.toDF("cid", "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+
+    rest = labelled(buckets.filter("cid <> leader").drop("leader"))
+    several = rest.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    open_ids = staged(rest.join(several, "band").select("cid").distinct(), "open_ids")
+    left = staged(prefix_buckets(members.join(open_ids, "cid"), percent), "prefixes")
+    tried, turn = pairs, 0
     while True:
-        state = left.join(labels.toDF("cid", "label"), "cid", "left").withColumn(
-            "label", F.coalesce("label", "cid"))
-        open_buckets = (state.groupBy("band").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"),
-            F.min("cid").alias("leader")).filter("low < high").drop("low", "high"))
-        state = staged(state.join(open_buckets, "band"), "open")
+        turn += 1
+        state = labelled(left)
+        parts = state.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+        mixed = (parts.groupBy("band").agg(
+            F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"),
+            F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"))
+            .filter("labels > 1")
+            .select("band", "main", F.ceil((F.col("size") - F.col("most")) / LEADERS).alias("every")))
+        state = staged(state.join(mixed, "band").withColumn(
+            "leads", (F.col("label") != F.col("main"))
+            & (F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("every")) == 0)).drop("main", "every"), "open")
         if not state.limit(1).count():
             break
-        small = state.filter(F.col("size") <= SMALL_BUCKET)
-        x = small.select("band", F.col("cid").alias("a"), F.col("label").alias("of_a"))
-        y = small.select("band", F.col("cid").alias("b"), F.col("label").alias("of_b"))
-        across = x.join(y, (x.band == y.band) & (x.a < y.b) & (x.of_a != y.of_b)).select("a", "b")
-        large = state.filter(F.col("size") > SMALL_BUCKET)
-        lead = large.select("band", F.col("leader").alias("a"), F.col("cid").alias("b"), "label")
-        own = large.filter("cid = leader").select("band", F.col("label").alias("of_a"))
-        star = lead.join(own, "band").filter("a <> b AND label <> of_a").select("a", "b")
-        pairs = staged(across.union(star).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        lead = state.filter("leads").select("band", F.col("cid").alias("x"), F.col("label").alias("of_x"))
+        against = lead.join(state, "band").filter("label <> of_x").select(
+            F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
+        pairs = staged(against.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.union(pairs)
         more = staged(verified(pairs, members, percent), "links")
-        links = links.union(more)
         if more.limit(1).count():
-            labels = components(links)
-        left = large.filter("cid <> leader").select("cid", "band")
+            labels = merged(labels, more)
+        left = state.filter("NOT leads").select("cid", "band")
     named = labels.join(classes.select(F.col("cid").alias("node"), "min_doc"), "node")
     lowest = named.groupBy("label").agg(F.min("min_doc").alias("component_id"))
     of_class = labels.join(lowest, "label").select(F.col("node").alias("cid"), "component_id", F.lit(True).alias("in_component"))
