@@ -9,7 +9,8 @@
    counts exact). Where no candidate stands behind such a pattern, nothing can be found and
    the second pass is left out.
 3. The graph of patterns and instances is scored in ``ROUNDS`` rounds: the confidence of a
-   pattern for a kind is the summed score of its instances over its occurrences (plus one);
+   pattern for a kind is the summed score of its instances, each as often as it stands behind
+   the pattern, over its occurrences (plus one); copies of a text count on both sides;
    the score of an instance is 1 if it is a seed of the kind, else 1 less the product of
    (1 - confidence) over its patterns.
 4. Candidates behind patterns of at least ``MIN_CONFIDENCE`` become spans of that kind.
@@ -205,14 +206,15 @@ def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def _confidences(edges: DataFrame, occurrences: DataFrame) -> DataFrame:
     """(pattern, kind, confidence) after scoring the graph of patterns and instances."""
-    pairs = staged(edges.groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed"))
-                   .join(occurrences, "pattern"), "graph")
+    pairs = staged(edges.groupBy("pattern", "kind", "instance").agg(
+        F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times")).join(occurrences, "pattern"), "graph")
     seeds = pairs.groupBy("kind", "instance").agg(F.max("seed").alias("known"))
     scores = seeds.select("kind", "instance", "known", F.col("known").cast("double").alias("score"))
     confidence = None
     for _ in range(ROUNDS):
         confidence = staged(pairs.join(scores, ["kind", "instance"]).groupBy("pattern", "kind")
-                            .agg((F.sum("score") / (F.max("n") + 1)).alias("confidence")), "confidence")
+                            .agg((F.sum(F.col("score") * F.col("times")) / (F.max("n") + 1)).alias("confidence")),
+                            "confidence")
         scores = staged(pairs.join(confidence, ["pattern", "kind"]).groupBy("kind", "instance").agg(
             F.max("seed").alias("own"), F.sum(F.log1p(-F.least("confidence", F.lit(1 - 1e-9)))).alias("doubt"))
             .join(seeds, ["kind", "instance"])

@@ -97,6 +97,15 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert clean[9].text == "please dial hotline number: [PHONE] today" and clean[9].n_chars == len(clean[9].text)
 
 
+def test_a_context_copied_thousands_of_times_still_discovers(spark):
+    texts = [f"please dial hotline number: +1 (555) 010-99{i:02d} today {i}" for i in range(9)]
+    texts += [texts[0]] * 2000 + [f"note {i}: please dial hotline number: +1 (555) 010-9901 bye" for i in range(500)]
+    texts += ["please dial hotline number: 555 010 7788 today"]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    found = pii.digests(pii.find(df)).filter(F.col("doc_id") == len(texts) - 1).first()
+    assert found.n_phone == 0 and found.spans == "phone:28:40"
+
+
 def test_pii_of_odd_rows(odd_docs, no_docs):
     found = pii.digests(pii.find(odd_docs))
     assert found.count() == len(ODD)
