@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .common import staged
 
 BLOCK_ROWS, QUERY_ROWS, STEP = 4096, 512, 8
 _BLOCK = "block long, ids binary, cells binary, dims int"
@@ -124,6 +125,20 @@ def _best_slowly(q_ids, q, ids, x, k):
     return out
 
 
+def _apart(ids: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of ``ids`` in groups that hold each id once.
+
+    Vectors of one id and equal score are one result, so they must not share a search.
+    """
+    order = np.argsort(ids, kind="stable")
+    at = np.arange(len(ids))
+    first = np.append(True, np.diff(ids[order]) != 0)[:len(ids)]
+    turn = np.empty(len(ids), int)
+    turn[order] = at - np.maximum.accumulate(np.where(first, at, 0))
+    by_turn = np.argsort(turn, kind="stable")
+    yield from np.split(by_turn, np.flatnonzero(np.diff(turn[by_turn])) + 1)
+
+
 def _search_task(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,9 +146,10 @@ def _search_task(k: int):
                 q_ids, ids = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
                 q = np.frombuffer(r["q_cells"]).reshape(r["q_dims"], len(q_ids))
                 x = np.frombuffer(r["cells"]).reshape(r["dims"], len(ids))
-                a, b, c = best_of_block(q_ids, q, ids, x, k)
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (a, b, c)],
-                                                 ["query_id", "vec_id", "score"])
+                for part in _apart(ids):
+                    a, b, c = best_of_block(q_ids, q, ids[part], x[:, part], k)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (a, b, c)],
+                                                     ["query_id", "vec_id", "score"])
     return run
 
 
@@ -149,6 +165,12 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 10, scale: float = 1
     rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite).select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"),
         is_query.alias("is_query"))
+    # Before the blocks are built, as copies would take the k places of a block. Vectors that
+    # differ in zeros at their end only are copies too.
+    ends = F.array_position(F.reverse(F.transform("vector", lambda v: v != 0)), True)
+    rows = rows.withColumn("vector", F.when(ends == 0, F.array().cast("array<double>")).otherwise(
+        F.slice("vector", 1, (F.size("vector") - ends + 1).cast("int"))))
+    rows = staged(rows.groupBy("vec_id", "vector").agg(F.max("is_query").alias("is_query")), "vectors")
     queries = rows.filter("is_query").select("vec_id", "vector")
     n_blocks = max(1, -(-queries.count() // QUERY_ROWS))
     # Block numbers only have to be known on the query side: each query block goes to all

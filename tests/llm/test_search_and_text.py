@@ -46,6 +46,21 @@ def test_topk_ties_nulls_lengths_and_large_values(spark):
     assert rows(topk.top_k(spark.createDataFrame([(i, v, "", "") for i, v in large], VECTORS), is_query)) == best(large)
 
 
+def test_topk_of_rows_repeated_many_times(spark):
+    """Copies of a best candidate, of a query, and of one id with several vectors of one score."""
+    r = random.Random(11)
+    vectors = [(i, [r.choice([-1.0, 0.0, 1.0, 0.5]) for _ in range(9)]) for i in range(301)]
+    vectors += [(400 + i, [3.0 + i] * 9) for i in range(12)]
+    copies = vectors[-1:] * 50 + [(411, [14.0] * 9 + [0.0] * j) for j in range(30)] + vectors[100:101] * 50
+    df = spark.createDataFrame([(i, v, "z", "z") for i, v in vectors + copies], VECTORS).coalesce(1)
+    assert rows(topk.top_k(df, F.col("vec_id") % 100 == 0)) == best(vectors)
+    many = [(1, [9.0, float(i)]) for i in range(50)] + [(i, [float(10 - i % 7), 0.0]) for i in range(2, 30)] + [(0, [1.0])]
+    df = spark.createDataFrame([(i, v, "z", "z") for i, v in many], VECTORS).coalesce(1)
+    got = rows(topk.top_k(df, F.col("vec_id") == 0))
+    expected = sorted({(-int(1024 * v[0]) * 1024, i) for i, v in many if i})[:10]
+    assert got == [(0, n + 1, i, -s) for n, (s, i) in enumerate(expected)]
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
          "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
          "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
