@@ -6,10 +6,13 @@ places is kept, runs of equal words around each anchor are added, and the gaps b
 aligned the same way, where more words have become unique. Coverage is the share of template
 words aligned.
 
-A long text holds a template in a stretch of about its length, and may hold it twice, so a
-template is aligned with windows of twice its length that overlap by half. A window is
-aligned only if it holds enough of the template's words to reach the coverage asked for (no
-window that could reach it is left out). Hits that overlap become one, the best covered.
+Words that a template doesn't have say nothing about it, so they are dropped first: inserted
+words of that kind, however many, change nothing. What is left is read once for chains of
+template words in template order; a chain gains 1 a word and loses ``SKIP`` for each template
+word that it passes over. A chain that covers enough is a hit; of overlapping ones the best
+is. Its stretch is aligned as above, and the better of alignment and chain counts. Then what
+lies between hits is aligned as a whole, for hits that are torn further apart. No step has a
+grid, so a hit doesn't depend on where in the text it starts.
 
 Defined results: null and empty texts have no hits; a null ``doc_id`` and repeated rows have
 their hits each; an empty table gives an empty result; other columns are ignored, whatever
@@ -30,6 +33,7 @@ from pyspark.sql import types as T
 from .common import text_rows
 
 MIN_COVERAGE = 0.8
+SKIP = 0.25
 
 # Notices and grants as their publishers word them.
 TEMPLATES = {
@@ -114,44 +118,85 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def chains(at: list[tuple[int, ...]], size: int, need: float) -> Iterator[tuple[int, int, int]]:
+    """(first, last, words matched) of disjoint chains of ``need`` words at least, ascending.
+
+    ``at``: for each word of the text its places in the template of ``size`` words, descending.
+    """
+    reach = size + int(size / SKIP)          # no chain of a positive score passes over more
+    lo = 0
+    while True:
+        # best chain that ends at each template place or before: (score as of word 0, first, matched)
+        row = [(-float("inf"), 0, 0)] * size
+        best, done = None, False
+        for p in range(lo, len(at)):
+            for j in at[p]:
+                score, first, matched = 1.0, p, 1
+                if j and (had := row[j - 1][0] - SKIP * (p - 1)) > 0:
+                    score, first, matched = had + 1, row[j - 1][1], row[j - 1][2] + 1
+                entry = (score + SKIP * p, first, matched)
+                for i in range(j, size):
+                    if row[i] >= entry:
+                        break
+                    row[i] = entry
+                if matched >= need:
+                    if best and first > best[2]:
+                        done = True
+                    elif not best or score > best[0]:
+                        best = score, first, p, matched
+            if best and (done or best[3] == size or p - best[2] > reach):
+                break
+        if not best:
+            return
+        yield best[1:]
+        lo = best[2] + 1
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], min_coverage: float):
         self.min_coverage = min_coverage
-        self.templates = [(name, t, frozenset(t), Counter(t)) for name, text in templates.items() if (t := words(text))]
+        self.templates = []
+        for name, text in templates.items():
+            if t := words(text):
+                at = {w: tuple(j for j in reversed(range(len(t))) if t[j] == w) for w in t}
+                self.templates.append((name, t, at, Counter(t)))
         self.vocabulary = frozenset(w for _, t, _, _ in self.templates for w in t)
 
-    def _window_hits(self, text: list[str], name: str, t: list[str], need: float, known: frozenset,
-                     times: Counter, places: list[int]) -> Iterator[tuple]:
-        size, step = 2 * len(t), len(t)
-        for lo in range(0, max(1, len(text) - step), step):
-            i, j = bisect_left(places, lo), bisect_left(places, lo + size)
-            if j - i < need:
+    def _hits(self, held: list[str], t: list[str], at: dict, times: Counter, need: float) -> list[tuple[int, int, int]]:
+        """(first, last, words matched) of each hit in the words ``held``, which are all template words."""
+        out, free, lo = [], [], 0
+        for first, last, matched in chains([at[x] for x in held], len(t), need):
+            found = align(held[first:last + 1], t)
+            out.append((first + found[0][0], first + found[-1][0], len(found)) if len(found) >= matched
+                       else (first, last, matched))
+            free.append((lo, first))
+            lo = last + 1
+        free.append((lo, len(held)))
+        while free:
+            a, b = free.pop()
+            if b - a < need or sum(min(n, times[x]) for x, n in Counter(held[a:b]).items()) < need:
                 continue
-            held = Counter(text[p] for p in places[i:j])
-            if sum(min(n, times[w]) for w, n in held.items()) < need:
-                continue
-            found = align(text[lo:lo + size], t)
+            found = align(held[a:b], t)
             if len(found) >= need:
-                yield len(found) / len(t), lo + found[0][0], lo + found[-1][0] + 1
+                out.append((a + found[0][0], a + found[-1][0], len(found)))
+                free += [(a, out[-1][0]), (out[-1][1] + 1, b)]
+        return sorted(out)
 
     def __call__(self, text: str) -> list[tuple[str, float, int, int]]:
         """(template, coverage, first word, end word) of each hit."""
         w = words(text)
         present = self.vocabulary.intersection(w)
         out = []
-        for name, t, known, times in self.templates:
+        for name, t, at, times in self.templates:
             need = self.min_coverage * len(t)
             if sum(n for x, n in times.items() if x in present) < need:
                 continue
-            places = [i for i, x in enumerate(w) if x in known]
-            hits: list[tuple] = []
-            for hit in self._window_hits(w, name, t, need, known, times, places):
-                if hits and hit[1] < hits[-1][2]:          # the same stretch, seen from the next window
-                    if hit[0] > hits[-1][0]:
-                        hits[-1] = hit
-                else:
-                    hits.append(hit)
-            out += [(name, *h) for h in hits]
+            places = [i for i, x in enumerate(w) if x in at]
+            held = [w[p] for p in places]
+            if sum(min(n, times[x]) for x, n in Counter(held).items()) < need:
+                continue
+            out += [(name, n / len(t), places[first], places[last] + 1)
+                    for first, last, n in self._hits(held, t, at, times, need)]
         return out
 
 

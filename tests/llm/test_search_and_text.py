@@ -224,6 +224,24 @@ def test_licenses_are_found_where_they_stand(spark, odd_docs, no_docs):
     assert license.scan(odd_docs).count() == 0 and license.scan(no_docs).count() == 0
 
 
+def test_licenses_with_insertions_at_every_offset():
+    scanner = license.Scanner(license.TEMPLATES, license.MIN_COVERAGE)
+    found = scanner("see our page Released under the terms and conditions of the MIT License")
+    assert found == [("MIT-notice", 1.0, 3, 13)]
+    for name, template in license.TEMPLATES.items():
+        t = license.words(template)
+        n = len(t)
+        other = [x for x in ("zebra", "the", "pear", "of") if x in ("zebra", "pear") or n > 20]
+        for extra in (0, 1, n // 2, n, 3 * n):
+            torn = t[:n // 2] + ["zebra"] * extra + t[n // 2:]
+            for before in range(2 * n):
+                text = (other * n)[:before] + torn + ["zebra"] * 9
+                assert (name, 1.0, before, before + n + extra) in scanner(" ".join(text)), (name, extra, before)
+        copies = (t + t[:n - n // 6] + t) * 20                      # whole and shortened, one after the other
+        ends = [h[2:] for h in scanner(" ".join(copies)) if h[0] == name]
+        assert len(ends) == 60 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_op10_against_plain_notices(spark):
     notices = {k: v for k, v in license.TEMPLATES.items() if k.endswith("notice")}
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
