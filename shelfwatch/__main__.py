@@ -24,7 +24,7 @@ from shelfwatch.plans import reports as R
 from shelfwatch.session import checkpointed, get_session
 from shelfwatch.sinks.warehouse import Warehouse
 from shelfwatch.sources import html as H
-from shelfwatch.sources.tables import read_first_available, read_history_csv, \
+from shelfwatch.sources.tables import csv_rejects, read_first_available, read_history_csv, \
     read_snapshot_csv
 
 WAREHOUSE_LABEL = "Parquet warehouse"
@@ -38,20 +38,45 @@ def _nonempty_warehouse(wh: Warehouse) -> DataFrame:
 
 def ingest_pages(spark: SparkSession, warehouse: str, listing: str, detail: str,
                  run_date: str | None = None) -> dict:
-    """Listing pages + detail pages (parquet tables page_id, url, html) -> one load."""
-    lst = H.parse_listing(H.parse_pages(spark.read.parquet(listing)))
-    det = H.parse_detail(H.parse_pages(spark.read.parquet(detail)))
-    with checkpointed(H.enrich_flagged(lst, det, run_date)) as flagged:    # one parse of the pages
-        bad = F.col("reject_reason").isNotNull()
-        info = Warehouse(spark, warehouse).ingest(flagged.where(~bad))
-        rejected = flagged.where(bad).select("page_id", "title", "product_url", "reject_reason")
-        rejected.write.mode("append").parquet(f"{warehouse}/rejected_listings")
-        info["rejected_listings"] = rejected.count()
+    """Listing pages + detail pages (parquet tables page_id, url, html) -> one load.
+
+    Beside it: listings without a whole detail page in ``rejected_listings``, pages that the
+    parser could not finish in ``rejected_pages``. Their numbers are returned.
+    """
+    with checkpointed(H.parse_pages(spark.read.parquet(listing))) as lst, \
+            checkpointed(H.parse_pages(spark.read.parquet(detail))) as det:   # one parse of the pages
+        with checkpointed(H.enrich_flagged(H.parse_listing(lst), H.parse_detail(det), run_date)) as flagged:
+            bad = F.col("reject_reason").isNotNull()
+            info = Warehouse(spark, warehouse).ingest(flagged.where(~bad))
+            rejected = flagged.where(bad).select("page_id", "title", "product_url", "reject_reason")
+            rejected.write.mode("append").parquet(f"{warehouse}/rejected_listings")
+            info["rejected_listings"] = rejected.count()
+        pages = [H.page_rejects(p).select(F.lit(kind).alias("kind"), "*")
+                 for kind, p in (("listing", lst), ("detail", det))]
+        broken = pages[0].union(pages[1])
+        broken.write.mode("append").parquet(f"{warehouse}/rejected_pages")
+        info["rejected_pages"] = broken.count()
     return info
 
 
+def _write_csv_rejects(spark: SparkSession, csv: str, target: str, mode: str, log: bool = False) -> int:
+    """Write the lines of ``csv`` without the right columns to ``target``; their number."""
+    with checkpointed(csv_rejects(spark, csv, log)) as rejects:
+        rejects.write.mode(mode).parquet(target)
+        return rejects.count()
+
+
+def _with_csv_rejects(spark: SparkSession, label: str, csv: str, out: str, log: bool = False) -> str:
+    """``label`` with the number of lines left out, which are written beside the report."""
+    n = _write_csv_rejects(spark, csv, f"{out.rstrip('/')}_rejected_lines", "overwrite", log)
+    return f"{label}, {n} lines rejected" if n else label
+
+
 def ingest_csv(spark: SparkSession, warehouse: str, csv: str) -> dict:
-    return Warehouse(spark, warehouse).ingest(read_snapshot_csv(spark, csv))
+    """A snapshot CSV -> one load; lines without its columns go to ``rejected_lines``."""
+    info = Warehouse(spark, warehouse).ingest(read_snapshot_csv(spark, csv))
+    info["rejected_lines"] = _write_csv_rejects(spark, csv, f"{warehouse}/rejected_lines", "append")
+    return info
 
 
 def analyze(spark: SparkSession, warehouse: str, out: str,
@@ -65,6 +90,8 @@ def analyze(spark: SparkSession, warehouse: str, out: str,
                         lambda: read_snapshot_csv(spark, csv_fallback)
                         .withColumn("ingest_seq", F.monotonically_increasing_id())))
     snap, label = read_first_available(readers)
+    if label != WAREHOUSE_LABEL:
+        label = _with_csv_rejects(spark, label, csv_fallback, out)
     R.write_report(R.statistics_report(snap, label), out)
     return label
 
@@ -78,6 +105,8 @@ def compare(spark: SparkSession, warehouse: str, out: str,
         readers.append(("CSV Backup Log (Fallback)",
                         lambda: read_history_csv(spark, log_fallback)))
     books, label = read_first_available(readers)
+    if label != WAREHOUSE_LABEL:
+        label = _with_csv_rejects(spark, label, log_fallback, out, log=True)
     ch = C.latest_changes(books, books, C.URL_KEYS, ())
     R.write_report(R.change_report(ch, S.previous_date(books), S.latest_date(books), label),
                    out)

@@ -3,7 +3,7 @@ functions (the same path as ``python -m shelfwatch``)."""
 
 import glob
 
-from shelfwatch.__main__ import analyze, compare, export, ingest_pages, main
+from shelfwatch.__main__ import analyze, compare, export, ingest_csv, ingest_pages, main
 
 BASE = "https://books.toscrape.com/catalogue/"
 
@@ -73,3 +73,32 @@ def test_fallback_label(spark, tmp_root):
     assert "Data Source : CSV Snapshot Backup" in _text(f"{tmp_root}/out")
     assert main(["analyze", "--warehouse", f"{tmp_root}/none", "--out", f"{tmp_root}/o2",
                  "--csv-fallback", csv]) == 0
+
+
+def test_broken_pages_and_lines_are_kept_and_counted(spark, tmp_root):
+    from shelfwatch.schemas import CSV_HEADER
+    wh = f"{tmp_root}/wh"
+    listing, detail = _write_pages(spark, tmp_root, "d1", [("51.77", "Three"), ("13.99", "One")])
+    broken = _listing([("9.99", "One")]) + "<![broken["
+    for path, row in ((listing, (2, "l2", broken)), (detail, (20, f"{BASE}book-9_9/index.html", broken))):
+        spark.createDataFrame([row], "page_id long, url string, html string").write.mode("append").parquet(path)
+    info = ingest_pages(spark, wh, listing, detail, run_date="2026-06-05")
+    assert (info["rejected_listings"], info["rejected_pages"]) == (0, 2)
+    got = spark.read.parquet(f"{wh}/rejected_pages").collect()
+    assert sorted((r.kind, r.page_id, r.parse_error.split(":")[0]) for r in got) == [
+        ("detail", 20, "AssertionError"), ("listing", 2, "AssertionError")]
+
+    csv = f"{tmp_root}/books.csv"
+    with open(csv, "w", encoding="utf-8") as f:
+        f.write(",".join(CSV_HEADER) + "\nA,10.00,Two,https://x/a,2026-06-05,u1,Poetry,3\nonly,three,fields\n"
+                + 'B,10.00,Two,https://x/b,2026-06-05,u2,"Poe\ntry",3\n')
+    info = ingest_csv(spark, f"{tmp_root}/wh2", csv)
+    assert info["rejected_lines"] == 3
+    lines = ['B,10.00,Two,https://x/b,2026-06-05,u2,"Poe', "only,three,fields", 'try",3']
+    assert sorted(r.corrupt_record for r in spark.read.parquet(f"{tmp_root}/wh2/rejected_lines").collect()) == lines
+    label = analyze(spark, f"{tmp_root}/none", f"{tmp_root}/a", csv_fallback=csv)
+    assert label.endswith(", 3 lines rejected") and label in _text(f"{tmp_root}/a")
+    label = compare(spark, f"{tmp_root}/none", f"{tmp_root}/c", log_fallback=csv)
+    assert label.endswith(", 3 lines rejected") and label in _text(f"{tmp_root}/c")
+    for out in ("a", "c"):
+        assert spark.read.parquet(f"{tmp_root}/{out}_rejected_lines").count() == 3
