@@ -2,7 +2,8 @@
 
 1. One pass over the texts finds the base spans (email, ip, card, phone) and, outside them,
    candidates: strings that look like an identifier but meet none of the forms. Each is
-   taken with its lexical pattern, the two words before it.
+   taken with its lexical pattern, the two words before it; a label glued to it ('tel:') is a
+   word, punctuation alone is none.
 2. Base spans are the seeds. A pattern with ``MIN_SEEDS`` different seed instances of one
    kind is worth scoring; how often those patterns occur anywhere in the corpus is counted
    in a second pass (a bit map of fixed size picks the word pairs to count, a join makes the
@@ -56,6 +57,10 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 _CANDIDATE = re.compile(r"(?<![\w@.+-])(?:[A-Za-z0-9._%+-]{2,64}@[A-Za-z0-9-]{2,64}"
                         r"|[0-9]{1,4}(?:\.[0-9]{1,4}){2,5}|[0-9][0-9\x20().-]{5,28}[0-9])(?![\w@])")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_CHANGE = re.compile(r"(?<=[A-Za-z])(?![A-Za-z])|(?<=[0-9])(?![0-9])|(?<=[^A-Za-z0-9])")
+#: Characters before an identifier in which the words of its pattern lie.
+REACH = 120
 
 
 def luhn(digits: str) -> bool:
@@ -115,12 +120,29 @@ def _plain(word: str) -> str:
 
 
 def _pattern(text: str, start: int) -> str:
-    """The two words before a place, lower-cased, digits as 0; '' where there are none."""
-    lo = max(0, start - 120)
+    """The two words before a place, lower-cased, digits as 0; '' where there are none.
+
+    What stands before the place in its own word ('tel:') is a word too, unless it is
+    punctuation only, as are words elsewhere.
+    """
+    lo = max(0, start - REACH)
     words = _WORD.findall(text, lo, start)
-    if lo and len(words) > 2:
-        words = words[1:]                              # the first may be cut
-    return " ".join(_plain(w) for w in words[-2:]) if len(words) >= 2 else ""
+    if lo and words and not _SPACE.match(text, lo - 1) and not _SPACE.match(text, lo):
+        words = words[1:]                              # its beginning is out of reach
+    plain = [p for w in words if (p := _plain(w))]
+    return " ".join(plain[-2:]) if len(plain) >= 2 else ""
+
+
+def _forms(word: str) -> tuple[str, ...]:
+    """All that ``_pattern`` can make of a word or its beginning; the last is that of the word.
+
+    An identifier can only start where the kind of character changes.
+    """
+    whole = _plain(word)
+    if word.isascii() and whole.isalpha():                 # one run of letters
+        return (whole,)
+    starts = {_plain(word[:m.start()]) for m in _CHANGE.finditer(word, 0, REACH)}
+    return (*(starts - {whole, ""}), whole)
 
 
 def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
@@ -163,9 +185,9 @@ def _scan(texts: pd.Series) -> pd.DataFrame:
 
 
 def _count_task(bits: bytes):
-    """Count the word pairs whose bit is set."""
+    """Count the word pairs whose bit is set, by the rule of ``_pattern``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain: dict[str, str] = {}
+        forms: dict[str, tuple[str, ...]] = {}
 
         def out(counts: Counter) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
@@ -176,17 +198,19 @@ def _count_task(bits: bytes):
             for text in batch.column(0).to_pylist():
                 before = None
                 for w in _WORD.findall(text or ""):
-                    p = plain.get(w)
-                    if p is None:
-                        if len(plain) > 300_000:
-                            plain.clear()
-                        p = plain[w] = _plain(w)
+                    f = forms.get(w)
+                    if f is None:
+                        if len(forms) > 300_000:
+                            forms.clear()
+                        f = forms[w] = _forms(w)
                     if before is not None:
-                        pair = f"{before} {p}"
-                        h = zlib.crc32(pair.encode()) % MAP_BITS
-                        if bits[h >> 3] >> (h & 7) & 1:
-                            counts[pair] += 1
-                    before = p
+                        for p in f:
+                            if p:
+                                pair = f"{before} {p}"
+                                h = zlib.crc32(pair.encode()) % MAP_BITS
+                                if bits[h >> 3] >> (h & 7) & 1:
+                                    counts[pair] += 1
+                    before = f[-1] or before
                 if len(counts) > 200_000:
                     yield out(counts)
                     counts = Counter()

@@ -121,6 +121,26 @@ def test_a_context_copied_thousands_of_times_still_discovers(spark):
     assert found.n_phone == 0 and found.spans == "phone:28:40"
 
 
+def test_patterns_of_glued_labels_and_brackets_are_counted_as_they_are_taken(spark):
+    import pyarrow as pa
+    r, bits = random.Random(12), b"\xff" * (pii.MAP_BITS // 8)
+    pieces = ["tel:", "<", "(", "a@b", "é", "x_", "%", " ", " ", "  ", "...", "5550101", "+1 (555) 010-9999", "a.b@c.de",
+              "10.0.0.1", "word", "w" * 70, "="]
+    for _ in range(3000):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(3, 30)))
+        batch = pa.RecordBatch.from_pydict({"text": [text]})
+        counts = {k: n for b in pii._count_task(bits)(iter([batch])) for k, n in zip(*b.to_pydict().values())}
+        places = {(p, text.rfind(" ", 0, start)) for p, _, _, start, _, _ in pii.mentions(text, pii.base_spans(text))}
+        for pattern in {p for p, _ in places}:
+            assert sum(p == pattern for p, _ in places) <= counts.get(pattern, 0), (pattern, text)
+    seeds = ["my tel:+1-555-010-99{:02d} ok", "his phone: (+1 555 010 99{:02d}) ok", "by mail <user{}@host.example> ok"]
+    unseen = ["my tel:5550101 ok", "his phone: (555) 010-1234 ok", "by mail <someone@host> ok"]
+    texts = [t.format(i) for t in seeds for i in range(12)] + unseen
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    found = {x.doc_id: x.spans for x in pii.digests(pii.find(df)).collect()}
+    assert [found[36 + i] for i in range(3)] == ["phone:7:14", "phone:12:25", "email:9:21"]
+
+
 def test_pii_of_odd_rows(odd_docs, no_docs):
     found = pii.digests(pii.find(odd_docs))
     assert found.count() == len(ODD)
