@@ -4,7 +4,7 @@
    candidates: strings that look like an identifier but meet none of the forms. Each is
    taken with its lexical pattern, the two words before it; a label glued to it ('tel:') is a
    word, punctuation alone is none.
-2. Base spans are the seeds. A pattern with ``MIN_SEEDS`` different seed instances of one
+2. Base spans are the first seeds. A pattern with ``MIN_SEEDS`` different seed instances of one
    kind is worth scoring; how often those patterns occur anywhere in the corpus is counted
    in a second pass (a bit map of fixed size picks the word pairs to count, a join makes the
    counts exact). Where no candidate stands behind such a pattern, nothing can be found and
@@ -14,7 +14,9 @@
    the pattern, over its occurrences (plus one); copies of a text count on both sides;
    the score of an instance is 1 if it is a seed of the kind, else 1 less the product of
    (1 - confidence) over its patterns.
-4. Candidates behind patterns of at least ``MIN_CONFIDENCE`` become spans of that kind.
+4. Candidates behind patterns of at least ``MIN_CONFIDENCE`` become spans of that kind, and
+   their instances seeds. Steps 2 to 4 (with the counts of all that may become a pattern,
+   taken once) are repeated until no instance is added.
 
 Spans count code points, the end is exclusive. Defined results: null and empty texts have no
 spans; a null ``doc_id`` and repeated rows stay rows of their own; an empty table gives an
@@ -228,11 +230,10 @@ def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return counts.groupBy("pattern").agg(F.sum("n").alias("n")).join(patterns, "pattern", "left_semi")
 
 
-def _confidences(edges: DataFrame, occurrences: DataFrame) -> DataFrame:
+def _confidences(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """(pattern, kind, confidence) after scoring the graph of patterns and instances."""
-    pairs = staged(edges.groupBy("pattern", "kind", "instance").agg(
-        F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times")).join(occurrences, "pattern"), "graph")
-    seeds = pairs.groupBy("kind", "instance").agg(F.max("seed").alias("known"))
+    seeds = staged(pairs.select("kind", "instance").distinct().join(
+        known.withColumn("known", F.lit(True)), ["kind", "instance"], "left").fillna(False, ["known"]), "instances")
     scores = seeds.select("kind", "instance", "known", F.col("known").cast("double").alias("score"))
     confidence = None
     for _ in range(ROUNDS):
@@ -240,7 +241,7 @@ def _confidences(edges: DataFrame, occurrences: DataFrame) -> DataFrame:
                             .agg((F.sum(F.col("score") * F.col("times")) / (F.max("n") + 1)).alias("confidence")),
                             "confidence")
         scores = staged(pairs.join(confidence, ["pattern", "kind"]).groupBy("kind", "instance").agg(
-            F.max("seed").alias("own"), F.sum(F.log1p(-F.least("confidence", F.lit(1 - 1e-9)))).alias("doubt"))
+            F.sum(F.log1p(-F.least("confidence", F.lit(1 - 1e-9)))).alias("doubt"))
             .join(seeds, ["kind", "instance"])
             .select("kind", "instance", "known",
                     F.when(F.col("known"), 1.0).otherwise(1 - F.exp("doubt")).alias("score")), "scores")
@@ -250,16 +251,33 @@ def _confidences(edges: DataFrame, occurrences: DataFrame) -> DataFrame:
 def _discover(scanned: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(row, found): spans behind high-confidence patterns; None if there can be none."""
     edges = scanned.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
-    strong = (edges.filter("seed").groupBy("pattern", "kind").agg(F.countDistinct("instance").alias("n_seeds"))
-              .filter(F.col("n_seeds") >= MIN_SEEDS).select("pattern", "kind"))
-    strong = staged(strong, "patterns")
-    hopeful = edges.filter("NOT seed").join(strong, ["pattern", "kind"], "left_semi")
-    if not hopeful.limit(1).count():
+    pairs = staged(edges.groupBy("pattern", "kind", "instance").agg(
+        F.max("seed").alias("seed"), F.max(~F.col("seed")).alias("open"), F.count(F.lit(1)).alias("times")), "pairs")
+
+    def several(pairs: DataFrame) -> DataFrame:
+        return (pairs.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n_seeds"))
+                .filter(F.col("n_seeds") >= MIN_SEEDS).select("pattern", "kind"))
+
+    def strong_by(known: DataFrame) -> DataFrame:
+        return staged(several(pairs.join(known, ["kind", "instance"], "left_semi")), "patterns")
+
+    known = staged(pairs.filter("seed").select("kind", "instance").distinct(), "known")
+    strong, n_known = strong_by(known), known.count()
+    if not pairs.filter("open").join(strong, ["pattern", "kind"], "left_semi").limit(1).count():
         return None
-    patterns = strong.select("pattern").distinct()
-    counts = staged(_occurrences(texts, patterns), "occurrences")
-    good = _confidences(edges.join(patterns, "pattern", "left_semi"), counts).filter(
-        F.col("confidence") >= MIN_CONFIDENCE).join(strong, ["pattern", "kind"], "left_semi")
+    # all that may become a pattern in some generation is counted in the one pass
+    counts = staged(_occurrences(texts, several(pairs).select("pattern").distinct()), "occurrences")
+    while True:
+        graph = staged(pairs.join(strong.select("pattern").distinct(), "pattern", "left_semi")
+                       .join(counts, "pattern"), "graph")
+        good = staged(_confidences(graph, known).filter(F.col("confidence") >= MIN_CONFIDENCE)
+                      .join(strong, ["pattern", "kind"], "left_semi"), "good")
+        accepted = pairs.filter("open").join(good, ["pattern", "kind"], "left_semi").select("kind", "instance")
+        known, before = staged(known.union(accepted).distinct(), "known"), n_known
+        n_known = known.count()
+        if n_known == before:
+            break
+        strong = strong_by(known)
     best = (edges.filter("NOT seed").join(good, ["pattern", "kind"]).groupBy("row", "start", "end")
             .agg(F.max(F.struct("confidence", (-F.col("kind")).alias("kind"))).alias("best")))
     return best.groupBy("row").agg(F.collect_list(F.struct(

@@ -141,6 +141,18 @@ def test_patterns_of_glued_labels_and_brackets_are_counted_as_they_are_taken(spa
     assert [found[36 + i] for i in range(3)] == ["phone:7:14", "phone:12:25", "email:9:21"]
 
 
+def test_discovered_identifiers_lead_to_further_patterns(spark):
+    """Three generations: dial hotline, whose finds stand behind call desk, and those behind ring office."""
+    number = "555 010 {:04d}".format
+    texts = [f"dial hotline +1 555 010 {i:04d} now" for i in range(12)]
+    texts += [f"dial hotline {number(i)} now" for i in range(100, 104)]
+    texts += [f"call desk {number(i)} now" for i in [*range(100, 104), *range(200, 204)]]
+    texts += [f"ring office {number(i)} now" for i in [*range(200, 204), 300]] + [f"some lot {number(i)} now" for i in range(400, 410)]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    found = {x.doc_id: x.spans for x in pii.digests(pii.find(df)).collect()}
+    assert [bool(found[i]) for i in range(len(texts))] == ["some lot" not in t for t in texts]
+
+
 def test_pii_of_odd_rows(odd_docs, no_docs):
     found = pii.digests(pii.find(odd_docs))
     assert found.count() == len(ODD)
