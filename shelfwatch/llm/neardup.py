@@ -299,6 +299,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
 
     The key is a 128-bit hash of id and text: rows of equal id and text share it.
     """
+    return _grouped(docs, percent, id_col, text_col).drop("component")
+
+
+def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with ``component``, which doesn't depend on ids (null without words)."""
     rows = text_rows(docs, id_col, text_col)
     rows = rows.withColumns({"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit(7), "text", "doc_id")})
     id_type = rows.schema["doc_id"].dataType
@@ -363,27 +368,33 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
         left = state.filter("NOT leads").select("cid", "band")
     named = labels.join(classes.select(F.col("cid").alias("node"), "min_doc"), "node")
     lowest = named.groupBy("label").agg(F.min("min_doc").alias("component_id"))
-    of_class = labels.join(lowest, "label").select(F.col("node").alias("cid"), "component_id", F.lit(True).alias("in_component"))
+    of_class = labels.join(lowest, "label").select(
+        F.col("node").alias("cid"), "label", "component_id", F.lit(True).alias("in_component"))
     by_set = (classes.select("f1", "f2", "cid", "min_doc").join(of_class, "cid", "left")
               .select("f1", "f2", F.when(F.col("in_component"), F.col("component_id")).otherwise(F.col("min_doc"))
-                      .alias("component_id")))
+                      .alias("component_id"), F.coalesce("label", "cid").alias("component")))
     full = found.filter("n_shingles > 0").join(by_set, ["f1", "f2"])
-    none = found.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id", "k1", "k2"]
+    none = found.filter("n_shingles = 0").withColumns(
+        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")})
+    columns = ["doc_id", "n_shingles", "component_id", "k1", "k2", "component"]
     return full.select(*columns).union(none.select(*columns)).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        "k1", "k2")
+        "k1", "k2", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` of which one of each group stays: that of the smallest id.
 
+    Null ids come last; of texts that share the smallest id that of the smallest row key stays.
     Rows of equal id and text count as one document, of which one row stays. Documents
     without words all stay.
     """
-    keep = (near_duplicates(docs, percent=percent, id_col=id_col, text_col=text_col).filter("kept")
-            .select("k1", "k2").distinct())
+    found = staged(_grouped(docs, percent, id_col, text_col), "grouped")
+    least = found.filter("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("best"))
+    keep = (least.select("best.k1", "best.k2").union(found.filter("component IS NULL").select("k1", "k2"))
+            .distinct())
     keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64(id_col, text_col).alias("k1"),
                         F.xxhash64(F.lit(7), text_col, id_col).alias("k2"))
     return keyed.dropDuplicates(["k1", "k2"]).join(keep, ["k1", "k2"]).select("doc.*")

@@ -92,6 +92,18 @@ def test_odd_rows_and_pipeline_form(spark, odd_docs, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0 and neardup.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_one_of_each_group_stays_where_ids_are_null_or_repeated(spark):
+    def near(k, word):
+        return " ".join(f"{word}{i if i != k else 'changed'}" for i in range(200))
+    docs = [(None, near(5 * i, "a")) for i in range(8)]                # all without an id
+    docs += [(7, near(5 * i, "b")) for i in range(8)]                  # all of one id
+    docs += [(9, "some other text of its own " + " ".join(f"x{i}" for i in range(50)))]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], DOCS).repartition(3)
+    n = neardup.near_duplicates(df).filter("kept").count()
+    kept = neardup.drop_near_duplicates(df).collect()
+    assert n == 17 and sorted((r.doc_id is not None, r.doc_id or 0) for r in kept) == [(False, 0), (True, 7), (True, 9)]
+
+
 def test_sketch_estimate():
     r = np.random.default_rng(2)
     for n, share in ((4000, 0.5), (4000, 0.9), (300, 0.8), (5000, 0.0)):
