@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quoting
+from . import divergence, fim, quoting
 from .quality import COMMON_WORDS
 
 _WS = r"[\x20\x09-\x0D]+"
@@ -98,4 +98,5 @@ FROM base LEFT JOIN near ON near.doc_id = base.doc_id
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_hyperminhash": NEAR_DUPLICATES, "op5_topk_bound": TOP_K,
-            "op7_quote_linking": quoting.ORACLE_SQL, "op8_quality_rules": _quality()}
+            "op7_quote_linking": quoting.ORACLE_SQL, "op8_quality_rules": _quality(),
+            "op12_fill_in_middle": fim.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}

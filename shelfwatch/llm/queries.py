@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, counts, idfile, license, neardup, packing, pii, quality, quoting, topk
+from . import (chunks, counts, divergence, fim, idfile, license, neardup, packing, pii, quality, quoting, topk,
+               toxicity)
 from .common import scratch
 from .oracles import oracle_sql  # noqa: F401
 
@@ -74,7 +75,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, and the offsets (start:end, code points) of toxic spans."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"),
+        F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the fill-in-middle output of every document and of the text restored from it."""
+    return fim.digests(fim.restored(fim.pieces(_table(spark, sf_dir, "documents"))))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its most prominent terms."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_range_coded_ids, op3_token_counts, op4_hyperminhash, op5_topk_bound, op6_contextual_pii,
-        op7_quote_linking, op8_quality_rules, op9_chunk_bpe, op10_license_scan)}
+        op7_quote_linking, op8_quality_rules, op9_chunk_bpe, op10_license_scan,
+        op11_toxic_spans, op12_fill_in_middle, op13_source_divergence)}
