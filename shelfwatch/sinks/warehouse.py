@@ -16,6 +16,7 @@ replaces it and leaves every other day untouched.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -69,29 +70,37 @@ class Warehouse:
         fs, p = self._fs(path)
         return fs.exists(p)
 
-    def ensure_tables(self, database: str | None = None) -> None:
+    def table_name(self, table: str, database: str | None = None) -> str:
+        """Name of a table of this warehouse in the session's catalog: bound to the root, so
+        that any number of warehouses lie side by side."""
+        fs, p = self._fs(self.root)
+        mark = hashlib.sha256(str(fs.makeQualified(p)).encode()).hexdigest()[:12]
+        return ".".join(f"`{x}`" for x in (database, f"{table}_{mark}") if x)
+
+    def ensure_tables(self, database: str | None = None) -> str:
         """CREATE TABLE IF NOT EXISTS: make the folders, and register the data.
 
         The price fact becomes a table of the session's catalog over its folder; where that
-        catalog is persistent (a metastore) so is the table. The dimension changes its
-        folder with each version, so it is a view over the current one, as is ``books``.
+        catalog is persistent (a metastore) so is the table. Its name holds a mark of the
+        root and is returned. The dimension changes its folder with each version, so it is a
+        view over the current one. The temporary views ``price_history``, ``catalog``,
+        ``history`` and ``books`` show the warehouse that was registered last.
         """
         for path in (self.catalog_path, self.history_path):
             if not self._exists(path):
                 fs, p = self._fs(path)
                 fs.mkdirs(p)
-        name = f"{database}.price_history" if database else "price_history"
+        name = self.table_name("price_history", database)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in HISTORY.fields)
         location = self.history_path.replace("'", "\\'")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
                        f"PARTITIONED BY (date_collected) LOCATION '{location}'")
-        about = {r[0]: r[1] for r in self.spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
-        if not about["Location"].rstrip("/").endswith(self.history_path.split("://")[-1]):
-            raise ValueError(f"{name} exists already, over {about['Location']}")
         self.spark.catalog.recoverPartitions(name)
+        self.spark.table(name).createOrReplaceTempView("price_history")
         self.catalog().createOrReplaceTempView("catalog")
         self.history().createOrReplaceTempView("history")
         self.books().createOrReplaceTempView("books")
+        return name
 
     # ------------------------------------------------------------------ reads
     def versions(self) -> list[int]:

@@ -1,12 +1,14 @@
 """A key holding a third of all rows: results stay exact and whole."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from shelfwatch.operators import changes as C
 from shelfwatch.operators.dedup import dedup_keep_last
 from shelfwatch.operators.quality import violations
+from shelfwatch.schemas import WIDE
 from shelfwatch.sinks.warehouse import Warehouse, merge_catalog
 
 N = 90_000
@@ -60,6 +62,26 @@ def test_hot_key_join_and_upsert(spark, tmp_root):
 
 def test_ensure_tables_on_empty_warehouse(spark, tmp_root):
     wh = Warehouse(spark, f"{tmp_root}/fresh")
-    wh.ensure_tables()
+    name = wh.ensure_tables()
     assert spark.sql("SELECT COUNT(*) AS n FROM books").first().n == 0
     assert wh.catalog().count() == 0
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_two_warehouses_in_one_session(spark, tmp_root):
+    day = dt.date(2026, 6, 6)
+    houses = [Warehouse(spark, f"{tmp_root}/{k}") for k in ("a", "b")]
+    names = []
+    for n, wh in enumerate(houses, 1):
+        rows = spark.createDataFrame(
+            [(f"T{i}", Decimal("1.00"), "Two", f"https://x/{i}", day, f"u{i}", "Poetry", 3) for i in range(n)], WIDE)
+        wh.ingest(rows, batch_id=1, write_csv=False)
+        names.append(wh.ensure_tables())
+    assert len(set(names)) == 2
+    assert [spark.table(x).count() for x in names] == [1, 2]
+    assert spark.table("price_history").count() == 2            # the views show the last one
+    houses[0].ensure_tables()                                   # again, and the first one
+    assert spark.table("price_history").count() == 1
+    for x in names:
+        spark.sql(f"DROP TABLE {x}")
+    assert [wh.history().count() for wh in houses] == [1, 2]    # the data isn't the catalog's
