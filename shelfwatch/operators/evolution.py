@@ -22,7 +22,7 @@ from shelfwatch.functions.clean import parse_rating
 def scd2(observations: DataFrame, key: str = "upc",
          attrs: Sequence[str] = ("title", "category", "product_url"),
          date: str = "date_collected", unique_per_date: bool = False,
-         order: Sequence[str] | None = None) -> DataFrame:
+         order: Sequence[str] | None = None, keep_dates: bool = False) -> DataFrame:
     """One row per version of ``attrs`` per ``key`` with ``valid_from`` /
     ``valid_to`` (exclusive, NULL while current) and ``is_current``.
 
@@ -32,9 +32,12 @@ def scd2(observations: DataFrame, key: str = "upc",
     If a key carries several attribute values on one date, the last by ``order`` wins
     (default: ``ingest_seq`` if there is such a column, else the largest values).
     ``unique_per_date=True`` (input already one row per key and date, e.g. the stored
-    fact) skips that reduction and its shuffle.
+    fact) skips that reduction and its shuffle. ``keep_dates=True`` adds ``observed``, the
+    dates a version was seen on, which ``scd2_merge`` needs to split a version.
     """
     attrs = list(attrs)
+    if keep_dates:
+        return scd2_merge(None, observations, key, attrs, date, order)
     if unique_per_date:
         daily = observations.select(key, date, *attrs)
     else:
@@ -62,6 +65,9 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
     unchanged key keeps its open row, a changed key emits its closed old row and a new open
     row, keys only on one side pass through, and closed (historic) versions meet nothing and
     pass through as well, so ``current`` is read once.
+
+    For batches in the order of their dates only: a changed key whose open version starts on
+    the batch's date or later ends the job with an error (see ``scd2_merge``).
     """
     attrs = list(attrs)
     o = current.select(
@@ -82,7 +88,9 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
     no_date = F.lit(None).cast("date")
     as_it_was = F.struct(*[F.col(f"_o_{a}").alias(a) for a in attrs], F.col("_o_from").alias("valid_from"),
                          F.col("_o_to").alias("valid_to"), F.col("_open").alias("is_current"))
-    old_closed = version("_o_", "_o_from", F.col("_b_from"), False)
+    in_order = F.when(F.col("_b_from") > F.col("_o_from"), F.col("_b_from")).otherwise(F.raise_error(F.lit(
+        "late batch: a version starts on its date or later; use scd2_merge")).cast("date"))
+    old_closed = version("_o_", "_o_from", in_order, False)
     new_open = version("_b_", "_b_from", no_date, True)
     rows = (F.when(in_o & ~in_b, F.array(as_it_was))
              .when(~in_o & in_b, F.array(new_open))
@@ -91,6 +99,82 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
     return j.select(key, F.explode(rows).alias("_v")).select(key, "_v.*")
 
 
+def scd2_merge(current: DataFrame | None, batch: DataFrame, key: str = "upc",
+               attrs: Sequence[str] = ("title", "category", "product_url"),
+               date: str = "date_collected", order: Sequence[str] | None = None) -> DataFrame:
+    """E1 for batches of any dates in any order: ``current`` (with ``observed``, as
+    ``scd2(keep_dates=True)`` builds it) after ``batch``.
+
+    An observation inside a version of other attributes splits it at the dates the version
+    was really seen on; neighbours that come to be equal are joined. So the table after any
+    number of batches in any order is that of ``scd2`` over all their rows. An observation of
+    a date that is known replaces what was seen on it; within a batch the last by ``order``
+    counts (default as in ``scd2``).
+
+    Batch rows are folded to one list of dates per key (map-side first) and meet the versions
+    by one equi-join. Only versions that a new date falls into are opened to single dates, and
+    only keys of the batch go through the window that joins neighbours.
+    """
+    attrs = list(attrs)
+    if order is None:
+        order = ["ingest_seq"] if "ingest_seq" in batch.columns else []
+    daily = (batch.groupBy(F.col(key).alias("_key"), F.col(date).alias("_date"))
+             .agg(F.max_by(F.struct(*attrs), F.struct(*order, *attrs)).alias("_attrs")))
+    seen = daily.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_date", "_attrs"))).alias("_new"))
+    columns = [key, *attrs, "valid_from", "valid_to", "is_current", "observed"]
+    if current is None:
+        untouched = None
+        pieces = seen.select("_key", F.explode("_new").alias("_e")).select(
+            "_key", F.col("_e._attrs").alias("_attrs"), F.array("_e._date").alias("_dates"))
+    else:
+        old = current.select(F.col(key).alias("_key"), F.struct(*attrs).alias("_attrs"), "valid_from", "valid_to",
+                             F.col("observed").alias("_dates"), F.lit(True).alias("_old"))
+        new = seen.select(F.col("_key").alias("_batch_key"), "_new")
+        met = (old.join(new, F.col("_key").eqNullSafe(F.col("_batch_key")), "full_outer")
+               .withColumn("_key", F.when(F.col("_old"), F.col("_key")).otherwise(F.col("_batch_key"))))
+        untouched = met.where(F.col("_new").isNull()).select(
+            F.col("_key").alias(key), "_attrs.*", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"),
+            F.col("_dates").alias("observed"))
+        pieces = _split(met.where(F.col("_new").isNotNull()))
+    w = Window.partitionBy("_key").orderBy("_start")
+    islands = (pieces.withColumn("_start", F.element_at("_dates", 1))
+               .withColumn("_prev", F.lag(F.struct("_attrs")).over(w))
+               .withColumn("_turn", F.when(F.col("_prev").isNotNull() & F.col("_attrs").eqNullSafe(
+                   F.col("_prev._attrs")), 0).otherwise(1))
+               .withColumn("_island", F.sum("_turn").over(w)))
+    versions = islands.groupBy("_key", "_island").agg(
+        F.first("_attrs").alias("_attrs"), F.array_sort(F.flatten(F.collect_list("_dates"))).alias("observed"))
+    first = F.element_at("observed", 1)
+    merged = (versions.withColumn("valid_from", first)
+              .withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy("_key").orderBy("valid_from")))
+              .select(F.col("_key").alias(key), "_attrs.*", "valid_from", "valid_to",
+                      F.col("valid_to").isNull().alias("is_current"), "observed"))
+    return (merged if untouched is None else untouched.unionByName(merged)).select(*columns)
+
+
+def _split(met: DataFrame) -> DataFrame:
+    """Versions beside the batch's observations of their key (``_new``) to (_key, _attrs, _dates):
+    a version without a new date as it is, any other as single dates."""
+    first = F.min("valid_from").over(Window.partitionBy("_key"))      # dates before it belong to the first version
+    rows = met.withColumn("_first", F.col("valid_from") == first)
+    mine = F.filter("_new", lambda e: F.col("_old").isNull() | (
+        (F.col("_first") | (e["_date"] >= F.col("valid_from")))
+        & (F.col("valid_to").isNull() | (e["_date"] < F.col("valid_to")))))
+    rows = rows.withColumn("_mine", mine)
+    taken = F.transform("_mine", lambda e: e["_date"])
+    kept = F.filter("_dates", lambda d: ~F.array_contains(taken, d))
+
+    def piece(attrs, dates):
+        return F.struct(attrs.alias("_attrs"), dates.alias("_dates"))
+
+    whole = F.array(piece(F.col("_attrs"), F.col("_dates")))
+    single = F.concat(F.when(F.col("_old"), F.transform(kept, lambda d: piece(F.col("_attrs"), F.array(d))))
+                       .otherwise(F.slice(whole, 1, 0)),
+                      F.transform("_mine", lambda e: piece(e["_attrs"], F.array(e["_date"]))))
+    return rows.select("_key", F.explode(F.when(F.size("_mine") == 0, whole).otherwise(single)).alias("_p")).select(
+        "_key", "_p.*")
+
+
 def merge_facts(existing: DataFrame, batch: DataFrame,
                 keys: Sequence[str] = ("upc", "date_collected"),
                 updated: Sequence[str] = ("price", "stock_quantity")) -> DataFrame:

@@ -1,6 +1,8 @@
 import datetime as dt
+import itertools
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import types as T
 
 from shelfwatch.operators import evolution as EV
@@ -88,3 +90,62 @@ def test_schema_evolution(spark):
                            T.StructField("price", T.DecimalType(10, 2))])
     aligned = EV.align_schema(old, target)
     assert aligned.columns == ["upc", "category", "price"]
+
+
+def _history(rows):
+    """SCD2 over (upc, title, date) rows in plain Python: (upc, title, from, to)."""
+    out = []
+    for upc in {r[0] for r in rows}:
+        seen = sorted({r[2]: r[1] for r in rows if r[0] == upc}.items())
+        starts = [(d, t) for i, (d, t) in enumerate(seen) if i == 0 or seen[i - 1][1] != t]
+        out += [(upc, t, d, starts[i + 1][0] if i + 1 < len(starts) else None) for i, (d, t) in enumerate(starts)]
+    return sorted(out, key=str)
+
+
+def test_scd2_merge_in_every_order_of_batches(spark):
+    d = [dt.date(2026, 6, k) for k in range(1, 8)]
+    batches = [[("u1", "One", d[0]), ("u2", "x", d[3]), (None, "n", d[2])],
+               [("u1", "Two", d[5]), ("u2", "y", d[1]), ("u2", "x", d[6])],
+               [("u1", "Five", d[2]), ("u1", "One", d[1]), ("u3", None, d[0]), (None, "m", d[4])],
+               [("u1", "One", d[3]), ("u2", None, d[2]), ("u3", None, d[4]), (None, "n", d[5])]]
+    schema = "upc string, title string, date_collected date"
+    want = _history([r for b in batches for r in b])
+    frames = [spark.createDataFrame(b, schema) for b in batches]
+
+    def rows(table):
+        got = table.collect()
+        assert all(r.is_current == (r.valid_to is None) and r.observed[0] == r.valid_from for r in got)
+        return sorted(((r.upc, r.title, r.valid_from, r.valid_to) for r in got), key=str)
+
+    whole = EV.scd2(frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3]),
+                    attrs=["title"], keep_dates=True)
+    assert rows(whole) == want
+    for order in itertools.permutations(range(4)):
+        table = None
+        for n in order:
+            table = EV.scd2_merge(table, frames[n], attrs=["title"])
+        if order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 0, 3, 2), (2, 3, 0, 1), (1, 2, 0, 3)):
+            assert rows(table) == want, order
+
+
+def test_scd2_merge_corrects_and_repeats(spark):
+    d = [dt.date(2026, 6, k) for k in range(1, 6)]
+    schema = "upc string, title string, date_collected date, ingest_seq long"
+    base = EV.scd2(spark.createDataFrame([("u", "a", x, 0) for x in d], schema), attrs=["title"], keep_dates=True)
+    fix = spark.createDataFrame([("u", "z", d[2], 1), ("u", "b", d[2], 2)], schema)      # the last by ingest_seq
+    once = EV.scd2_merge(base, fix, attrs=["title"])
+    twice = EV.scd2_merge(once, fix, attrs=["title"])
+    want = [("u", "a", d[0], d[2]), ("u", "b", d[2], d[3]), ("u", "a", d[3], None)]
+    for table in (once, twice):
+        assert sorted([(r.upc, r.title, r.valid_from, r.valid_to) for r in table.collect()], key=lambda r: r[2]) == want
+    back = EV.scd2_merge(once, spark.createDataFrame([("u", "a", d[2], 3)], schema), attrs=["title"])
+    assert [(r.valid_from, r.valid_to, len(r.observed)) for r in back.collect()] == [(d[0], None, 5)]
+    assert EV.scd2_merge(once, fix.limit(0), attrs=["title"]).count() == 3
+
+
+def test_scd2_apply_refuses_a_late_batch(spark):
+    obs = spark.createDataFrame([("u", "One", "c", "l", D1), ("u", "Two", "c", "l", D3)],
+                                "upc string, title string, category string, product_url string, date_collected date")
+    late = spark.createDataFrame([("u", "Five", "c", "l", D2)], obs.schema)
+    with pytest.raises(Exception, match="late batch"):
+        EV.scd2_apply(EV.scd2(obs), late).collect()
