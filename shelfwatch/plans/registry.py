@@ -865,4 +865,19 @@ def scd2_rating_incremental(spark, sf_dir):
     return EV.scd2_apply(before, batch, "upc", ["rating"])
 
 
-from shelfwatch.plans import registry_loads  # noqa: E402, F401  (registers its queries)
+@register("scd2_late_batches", _ORACLE["scd2_rating"].replace(
+    "FROM versions", ", (SELECT CAST(count(*) AS INTEGER) FROM fact f WHERE f.upc = versions.upc "
+    "AND f.date_collected >= versions.valid_from AND f.date_collected < coalesce((SELECT min(v.valid_from) FROM versions v "
+    "WHERE v.upc = versions.upc AND v.valid_from > versions.valid_from), DATE '9999-12-31')) AS n_observed FROM versions"))
+def scd2_late_batches(spark, sf_dir):
+    """E1, late batches: all observations in four batches whose dates interleave, the newest
+    first; the table equals SCD2 over all of them."""
+    fact = B.fact(spark, sf_dir).select("upc", "rating", "date_collected")
+    part = F.pmod(F.col("upc").cast("long") * 7 + F.year("date_collected") * 4 + F.quarter("date_collected"), F.lit(4))
+    table = None
+    for n in (3, 0, 2, 1):
+        table = EV.scd2_merge(table, fact.where(part == n), "upc", ["rating"])
+    return table.withColumn("n_observed", F.size("observed")).drop("observed")
+
+
+from shelfwatch.plans import registry_ledger, registry_loads  # noqa: E402, F401  (register their queries)
