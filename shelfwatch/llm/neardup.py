@@ -9,15 +9,18 @@
    cost one row each.
 3. Bands of ``BAND`` registers are hashed; classes that share a band meet in a bucket. At
    similarity 0.75 a pair misses all 32 bands with a chance of 5 in a million.
-4. In each bucket all members are compared with one leader, its best connected member. Links join classes to components.
-   Members of buckets that still hold several components go on by an exact way: each set's
-   shingles are put in order of their number among these members, and sets that are similar
-   enough must share one of the first n - ceil(0.75 n) + 1 (prefix filter). Texts that only
-   share a frequent passage drop out here, as their own shingles come first.
-5. In the buckets of those shingles, in rounds, about ``LEADERS`` members outside a bucket's
-   largest component are compared with all members of other components and then leave it,
-   until one component is left. Pairs inside a component are never made, and a round makes
-   about LEADERS pairs for a member.
+4. In each bucket all members are compared with one leader, its best connected member. Links
+   join classes to components.
+5. Members of buckets that still hold several components go on by an exact way. Each set's
+   shingles are put in order of their number among these members (rare ones first). Sets of n
+   and m shingles are linked if they share o = ceil(0.75 (n + m) / 1.75) at least, so a common
+   shingle stands where o can still be reached behind it in both (prefix and positional
+   filter). The shorter set of a pair is indexed by the short prefix that sets of its own
+   size need (a seventh of it), the longer one looks up with up to a quarter. Entries of the
+   index that agree in shingle, size, place and component are one cell; look-ups meet cells of
+   other components under the size and position conditions, and only what passes is expanded to
+   members. Texts that only share a frequent passage, and near copies that are too far from their
+   group, have too many shingles of their own before the shared ones and meet nothing.
 6. A compared pair is estimated from the two sketches (registers that agree, corrected for
    those that agree by chance); unless the estimate is far below the limit, the texts are
    fetched and the link is decided on both full sets.
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +49,6 @@ SHINGLE = 5
 PERCENT = 75
 REGISTERS, BAND = 128, 4
 _BUCKET_BITS, _MANTISSA = 7, 10
-LEADERS = 32
 #: Standard errors below the limit at which an estimate rules a pair out.
 MARGIN = 6.0
 MEMO_WORDS = 400_000
@@ -188,21 +190,41 @@ def _shingle_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                              ["cid", "shingle"])
 
 
-def prefix_buckets(members: DataFrame, percent: int) -> DataFrame:
-    """(band, cid): the shingles by which ``members`` can have a partner of ``percent`` at all.
+def overlap(n: Column, m: Column, percent: int) -> Column:
+    """Common shingles that sets of ``n`` and ``m`` need to be linked."""
+    return F.call_function("div", percent * (n + m) + (99 + percent), F.lit(100 + percent))
 
-    Shingles of one member alone come first in the order and can't be shared, so they only
-    shorten what is left of the prefix.
+
+def prefix_entries(members: DataFrame, percent: int) -> DataFrame:
+    """(band, cid, n, place): the shared shingles by which members can find a partner at all.
+
+    ``place`` counts from 1 in the set's order by number of holders; shingles of one member alone
+    come first and can't be shared, so they only move the others back.
     """
     rows = staged(members.select("cid", "text").mapInArrow(_shingle_task, "cid long, shingle long"), "shingles")
     shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     by_number = W.partitionBy("cid").orderBy("holders", "shingle")
-    ranked = rows.join(shared, "shingle").join(members.select("cid", "n_shingles"), "cid").withColumns({
-        "place": F.row_number().over(by_number), "n_shared": F.count(F.lit(1)).over(W.partitionBy("cid"))})
     n = F.col("n_shingles")
-    prefix = n - F.ceil(n * percent / 100) + 1
-    return ranked.filter(F.col("place") <= prefix - (n - F.col("n_shared"))).select(
-        F.col("shingle").alias("band"), "cid")
+    ranked = rows.join(shared, "shingle").join(members.select("cid", "n_shingles"), "cid").withColumn(
+        "place", F.row_number().over(by_number) + n - F.count(F.lit(1)).over(W.partitionBy("cid")))
+    shortest = F.call_function("div", percent * n + 99, F.lit(100))        # of a set that can be linked at all
+    return ranked.filter(F.col("place") <= n - shortest + 1).select(
+        F.col("shingle").alias("band"), "cid", n.alias("n"), "place")
+
+
+def prefix_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of different components that can be linked, from (band, cid, n, place, label)."""
+    n, place = F.col("n"), F.col("place")
+    index = entries.filter(place <= n - overlap(n, n, percent) + 1)
+    cells = index.select("band", "n", "place", "label").distinct()
+    seek = entries.select(F.col("band").alias("band_x"), F.col("cid").alias("x"), n.alias("n_x"), place.alias("place_x"),
+                          F.col("label").alias("label_x"))
+    reach = 1 + F.least(F.col("n_x") - F.col("place_x"), n - place)
+    passed = seek.join(cells, (F.col("band_x") == F.col("band")) & (F.col("label") != F.col("label_x"))
+                       & (n <= F.col("n_x")) & (100 * n >= percent * F.col("n_x"))
+                       & (reach >= overlap(F.col("n_x"), n, percent))).select("x", "band", "n", "place", "label")
+    return passed.join(index, ["band", "n", "place", "label"]).select(
+        F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
 
 
 def _estimate_task(percent: int):
@@ -341,31 +363,9 @@ def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataF
     rest = labelled(buckets.filter("cid <> leader").drop("leader"))
     several = rest.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     open_ids = staged(rest.join(several, "band").select("cid").distinct(), "open_ids")
-    left = staged(prefix_buckets(members.join(open_ids, "cid"), percent), "prefixes")
-    tried, turn = pairs, 0
-    while True:
-        turn += 1
-        state = labelled(left)
-        parts = state.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = (parts.groupBy("band").agg(
-            F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"),
-            F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"))
-            .filter("labels > 1")
-            .select("band", "main", F.ceil((F.col("size") - F.col("most")) / LEADERS).alias("every")))
-        state = staged(state.join(mixed, "band").withColumn(
-            "leads", (F.col("label") != F.col("main"))
-            & (F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("every")) == 0)).drop("main", "every"), "open")
-        if not state.limit(1).count():
-            break
-        lead = state.filter("leads").select("band", F.col("cid").alias("x"), F.col("label").alias("of_x"))
-        against = lead.join(state, "band").filter("label <> of_x").select(
-            F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
-        pairs = staged(against.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.union(pairs)
-        more = staged(verified(pairs, members, percent), "links")
-        if more.limit(1).count():
-            labels = merged(labels, more)
-        left = state.filter("NOT leads").select("cid", "band")
+    entries = staged(labelled(prefix_entries(members.join(open_ids, "cid"), percent)), "prefixes")
+    more = staged(prefix_pairs(entries, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    labels = merged(labels, staged(verified(more, members, percent), "links"))
     named = labels.join(classes.select(F.col("cid").alias("node"), "min_doc"), "node")
     lowest = named.groupBy("label").agg(F.min("min_doc").alias("component_id"))
     of_class = labels.join(lowest, "label").select(

@@ -76,6 +76,60 @@ def test_chains_short_texts_and_shared_passages(spark):
     check(neardup.near_duplicates(df).collect(), docs)
 
 
+def linked_pairs(texts):
+    """All pairs (i, j) of texts that are linked, by the product of the incidence matrix."""
+    sets = [shingles(t) for t in texts]
+    column = {x: k for k, x in enumerate(set().union(*sets))}
+    held = np.zeros((len(sets), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        held[i, [column[x] for x in s]] = 1
+    both, n = held @ held.T, held.sum(axis=1)
+    return np.argwhere(np.triu(100 * both >= 75 * (n[:, None] + n[None, :] - both), 1))
+
+
+def near_copies(n, n_words, edits, seed):
+    """Copies of one text, each with 0 to ``edits`` words changed, dropped or added."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(500)}" for _ in range(n_words)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        for _ in range(r.randrange(edits + 1)):
+            at = r.randrange(len(words))
+            words[at:at + 1] = r.choice([[f"x{r.randrange(10 ** 6)}"], [f"y{r.randrange(3)}"], [], [words[at], "new"]])
+        out.append(" ".join(words))
+    return out
+
+
+def test_a_large_group_of_near_copies_around_the_limit(spark):
+    texts = near_copies(3000, 150, 12, seed=2)
+    parent = list(range(len(texts)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in linked_pairs(texts):
+        a, b = sorted((top(a), top(b)))
+        parent[b] = a
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS).repartition(4)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+    assert got == {i: top(i) for i in range(len(texts))}
+    assert 50 < len(set(got.values())) < 2000                # some outside, most within
+
+
+def test_prefix_pairs_hold_every_link(spark):
+    texts = near_copies(150, 60, 8, seed=3) + near_copies(60, 9, 2, seed=4) + ["a b c d e f g", "a b c d e f g h"]
+    members = spark.createDataFrame([(i, len(shingles(t)), t) for i, t in enumerate(texts)],
+                                    "cid long, n_shingles long, text string")
+    entries = neardup.prefix_entries(members, 75).selectExpr("*", "cid AS label")
+    found = {(r.a, r.b) for r in neardup.prefix_pairs(entries, 75).collect()}
+    same = {(i, j) for i in range(len(texts)) for j in range(i) if shingles(texts[i]) == shingles(texts[j])}
+    assert {tuple(x) for x in linked_pairs(texts).tolist()} <= found | {(j, i) for i, j in same}
+    # One component: nothing to look for.
+    assert neardup.prefix_pairs(entries.selectExpr("band", "cid", "n", "place", "1 AS label"), 75).count() == 0
+
+
 def test_odd_rows_and_pipeline_form(spark, odd_docs, no_docs):
     got = rows(neardup.near_duplicates(odd_docs).select("doc_id", "n_shingles", "component_id", "kept"))
     assert len(got) == odd_docs.count()
