@@ -3,16 +3,18 @@
 A text and a template are aligned over their words (lower-cased letters and digits). Words
 that occur once on either side are anchors; the longest increasing subsequence of their
 places is kept, runs of equal words around each anchor are added, and the gaps between are
-aligned the same way, where more words have become unique. Coverage is the share of template
-words aligned.
-
-Words that a template doesn't have say nothing about it, so they are dropped first: inserted
-words of that kind, however many, change nothing. What is left is read once for chains of
-template words in template order; a chain gains 1 a word and loses ``SKIP`` for each template
-word that it passes over. A chain that covers enough is a hit; of overlapping ones the best
-is. Its stretch is aligned as above, and the better of alignment and chain counts. Then what
-lies between hits is aligned as a whole, for hits that are torn further apart. No step has a
-grid, so a hit doesn't depend on where in the text it starts.
+aligned the same way, where more words have become unique; a gap without a unique common word
+is aligned by its longest common subsequence. Coverage is the share of template words aligned.
+
+A text may hold a template anywhere and several times, so the stretches to align are looked for
+first: the text's words are read once for chains of template words in template order. A chain
+gains 1 a word and loses ``SKIP`` for each template word and ``INSERT`` for each other word that
+it passes over, so words may be inserted anywhere, but a stretch must be dense: words strewn over
+a long text are no chain. A chain that could cover enough is aligned as above, stretch against
+template; the alignment alone decides whether it is a hit, its coverage and its bounds. Words of
+the stretch that the template doesn't have can't be aligned and are left out of that. Of
+overlapping chains the best counts. No step has a grid, so a hit doesn't depend on where in the
+text it starts.
 
 Defined results: null and empty texts have no hits; a null ``doc_id`` and repeated rows have
 their hits each; an empty table gives an empty result; other columns are ignored, whatever
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from .common import text_rows
 
 MIN_COVERAGE = 0.8
-SKIP = 0.25
+SKIP, INSERT = 0.25, 0.125
 
 # Notices and grants as their publishers word them.
 TEMPLATES = {
@@ -89,6 +91,24 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, for gaps in which no word is unique."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            table[i][j] = 1 + table[i + 1][j + 1] if a[i] == b[j] else max(table[i + 1][j], table[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif table[i + 1][j] >= table[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Matched places (in a, in b), ascending on both sides."""
     out: list[tuple[int, int]] = []
@@ -115,26 +135,35 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
             last_a, last_b = i + 1, j + 1
         if last_a > a0:
             todo.append((last_a, a1, last_b, b1))
+        else:
+            out += [(a0 + i, b0 + j) for i, j in common(a[a0:a1], b[b0:b1])]
     return sorted(out)
 
 
-def chains(at: list[tuple[int, ...]], size: int, need: float) -> Iterator[tuple[int, int, int]]:
+def density(matched: int, stretch: int) -> float:
+    """What ``matched`` words are worth in a stretch of so many words; a hit's must be positive."""
+    return matched - INSERT * (stretch - matched)
+
+
+def chains(at: list[tuple[int, ...]], places: list[int], size: int, need: float) -> Iterator[tuple[int, int, int]]:
     """(first, last, words matched) of disjoint chains of ``need`` words at least, ascending.
 
-    ``at``: for each word of the text its places in the template of ``size`` words, descending.
+    ``at``: for each word that the template has, in text order, its places in the template of
+    ``size`` words, descending; ``places``: its place in the text.
     """
-    reach = size + int(size / SKIP)          # no chain of a positive score passes over more
+    reach = size + int(size / SKIP)          # no chain of a positive score passes over more of these
+    cost = [SKIP * p + INSERT * (place - p) for p, place in enumerate(places)]
     lo = 0
     while True:
-        # best chain that ends at each template place or before: (score as of word 0, first, matched)
+        # best chain that ends at each template place or before: (score as of cost 0, first, matched)
         row = [(-float("inf"), 0, 0)] * size
         best, done = None, False
         for p in range(lo, len(at)):
             for j in at[p]:
                 score, first, matched = 1.0, p, 1
-                if j and (had := row[j - 1][0] - SKIP * (p - 1)) > 0:
+                if j and (had := row[j - 1][0] - cost[p] + SKIP) > 0:
                     score, first, matched = had + 1, row[j - 1][1], row[j - 1][2] + 1
-                entry = (score + SKIP * p, first, matched)
+                entry = (score + cost[p], first, matched)
                 for i in range(j, size):
                     if row[i] >= entry:
                         break
@@ -162,25 +191,19 @@ class Scanner:
                 self.templates.append((name, t, at, Counter(t)))
         self.vocabulary = frozenset(w for _, t, _, _ in self.templates for w in t)
 
-    def _hits(self, held: list[str], t: list[str], at: dict, times: Counter, need: float) -> list[tuple[int, int, int]]:
-        """(first, last, words matched) of each hit in the words ``held``, which are all template words."""
-        out, free, lo = [], [], 0
-        for first, last, matched in chains([at[x] for x in held], len(t), need):
-            found = align(held[first:last + 1], t)
-            out.append((first + found[0][0], first + found[-1][0], len(found)) if len(found) >= matched
-                       else (first, last, matched))
-            free.append((lo, first))
+    def _hits(self, held: list[str], places: list[int], t: list[str], at: dict, need: float
+              ) -> Iterator[tuple[int, int, int]]:
+        """(first word, last word, words aligned) of each hit; ``held``: the template words of the text."""
+        lo = 0
+        for first, last, _ in chains([at[x] for x in held], places, len(t), need):
+            if first - lo >= need:                    # a chain that lost to this one may stand without its end
+                yield from self._hits(held[lo:first], places[lo:first], t, at, need)
             lo = last + 1
-        free.append((lo, len(held)))
-        while free:
-            a, b = free.pop()
-            if b - a < need or sum(min(n, times[x]) for x, n in Counter(held[a:b]).items()) < need:
-                continue
-            found = align(held[a:b], t)
+            found = align(held[first:last + 1], t)
             if len(found) >= need:
-                out.append((a + found[0][0], a + found[-1][0], len(found)))
-                free += [(a, out[-1][0]), (out[-1][1] + 1, b)]
-        return sorted(out)
+                a, b = places[first + found[0][0]], places[first + found[-1][0]]
+                if density(len(found), b + 1 - a) > 0:
+                    yield a, b, len(found)
 
     def __call__(self, text: str) -> list[tuple[str, float, int, int]]:
         """(template, coverage, first word, end word) of each hit."""
@@ -195,8 +218,7 @@ class Scanner:
             held = [w[p] for p in places]
             if sum(min(n, times[x]) for x, n in Counter(held).items()) < need:
                 continue
-            out += [(name, n / len(t), places[first], places[last] + 1)
-                    for first, last, n in self._hits(held, t, at, times, need)]
+            out += [(name, n / len(t), first, last + 1) for first, last, n in self._hits(held, places, t, at, need)]
         return out
 
 

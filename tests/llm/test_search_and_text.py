@@ -274,12 +274,64 @@ def test_licenses_with_insertions_at_every_offset():
         assert len(ends) == 60 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_words_strewn_over_ordinary_text_are_no_license():
+    scanner = license.Scanner(license.TEMPLATES, license.MIN_COVERAGE)
+    mid = " word" * 600
+    assert scanner(f"She was released{mid} under{mid} the bridge{mid} by mit students{mid} a license.") == []
+    r = random.Random(1)
+    vocabulary = sorted({w for t in license.TEMPLATES.values() for w in license.words(t)})
+    plain = [f"p{i}" for i in range(400)]
+    for k in range(40):                                   # long texts with every template word in any order
+        text = [r.choice(plain) if r.random() < 0.9 else r.choice(vocabulary) for _ in range(4000)]
+        assert scanner(" ".join(text)) == [], k
+
+
+def _stretches(w, t, need):
+    """Every stretch (a, b) of ``w`` that begins and ends on template words, with its common subsequence."""
+    for a in range(len(w)):
+        for b in range(a + 1, len(w) + 1):
+            if w[a] in t and w[b - 1] in t and b - a >= need:
+                yield a, b, lcs(w[a:b], t)
+
+
+def test_licenses_against_all_stretches():
+    r = random.Random(6)
+    templates = {"x": "released under the mit license", "y": "licensed under cc by nc 4 0", "z": "the a the b the c the d"}
+    scanner = license.Scanner(templates, 0.8)
+    hits = 0
+    for _ in range(400):
+        name = r.choice(list(templates))
+        t = templates[name].split()
+        w = [r.choice([*t, "pear", "zebra"]) for _ in range(r.randrange(0, 12))]
+        at = r.randrange(len(w) + 1)
+        w[at:at] = [x for x in t if r.random() < 0.9]
+        for _ in range(r.randrange(3)):
+            w.insert(r.randrange(len(w) + 1), "kiwi")
+        need = 0.8 * len(t)
+        got = [h for h in scanner(" ".join(w)) if h[0] == name]
+        for _, coverage, a, b in got:                     # nothing that the words don't hold
+            n = round(coverage * len(t))
+            assert need <= n <= lcs(w[a:b], t) and license.density(n, b - a) > 0
+        dense = [(a, b) for a, b, n in _stretches(w, t, need) if n == len(t) == b - a]
+        assert all(any(h[2] < b and a < h[3] for h in got) for a, b in dense)      # whole ones are found
+        if not any(n >= need and license.density(n, b - a) > 0 for a, b, n in _stretches(w, t, need)):
+            assert not got
+        hits += len(got)
+    assert hits > 100
+
+
 def test_op10_against_plain_notices(spark):
     notices = {k: v for k, v in license.TEMPLATES.items() if k.endswith("notice")}
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     expected = {(i, k) for i, t in text.items() for k, v in notices.items() if v in (t or "")}
-    got = {(r.doc_id, r.license) for r in queries.op10_license_scan(spark, SF_SMALL).filter("coverage = 1").collect()}
+    scan = queries.op10_license_scan(spark, SF_SMALL).collect()
+    got = {(r.doc_id, r.license) for r in scan if r.coverage == 1}
     assert expected and expected <= got
+    for r in scan:                                        # and nothing that isn't there
+        t = license.words(license.TEMPLATES[r.license])
+        own = license.words(text[r.doc_id])[r.start_word:r.end_word]
+        n = round(r.coverage * len(t))
+        assert n <= lcs(own, t) and license.density(n, len(own)) > 0
 
 
 def test_pipeline_stages(spark, odd_docs, no_docs):
