@@ -2,12 +2,13 @@
 
 1. One pass over the texts finds the base spans (email, ip, card, phone) and, outside them,
    candidates: strings that look like an identifier but meet none of the forms. Each is
-   taken with its lexical pattern, the two words before it; a label glued to it ('tel:') is a
-   word, punctuation alone is none.
+   taken with its lexical pattern, the two words before it however far off; of what is glued to
+   it in its own word since the last digit or '@' ('tel:'), the last run of letters is a word,
+   punctuation alone is none.
 2. Base spans are the first seeds. A pattern with ``MIN_SEEDS`` different seed instances of one
    kind is worth scoring; how often those patterns occur anywhere in the corpus is counted
-   in a second pass (a bit map of fixed size picks the word pairs to count, a join makes the
-   counts exact). Where no candidate stands behind such a pattern, nothing can be found and
+   in a second pass (a bit map of ``BITS_A_PATTERN`` bits a pattern picks the word pairs to
+   count, a join makes the counts exact). Where no candidate stands behind such a pattern, nothing can be found and
    the second pass is left out.
 3. The graph of patterns and instances is scored in ``ROUNDS`` rounds: the confidence of a
    pattern for a kind is the summed score of its instances, each as often as it stands behind
@@ -31,6 +32,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,8 +44,9 @@ from .common import staged
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS, MIN_CONFIDENCE, ROUNDS = 3, 0.7, 3
-#: Bits of the map that picks word pairs to count.
-MAP_BITS = 1 << 20
+#: Bits of the map that picks word pairs to count: as many a pattern, within these powers of two.
+#: Beyond the upper one (32 MB a task) more pairs than needed are counted, and the join drops them.
+BITS_A_PATTERN, LEAST_BITS, MOST_BITS = 16, 20, 28
 
 # The four forms. Each equals its plain form on every text; the look-behind and
 # the search from '@' outwards only spare retries inside a run, so the time stays linear.
@@ -55,14 +58,13 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
-# Candidates: an address without a full domain, a number, a dotted number.
-_CANDIDATE = re.compile(r"(?<![\w@.+-])(?:[A-Za-z0-9._%+-]{2,64}@[A-Za-z0-9-]{2,64}"
+# Candidates: an address without a full domain, a number, a dotted number. A run of address
+# characters is tried once, from its beginning.
+_CANDIDATE = re.compile(r"(?<![\w@.%+-])(?:[A-Za-z0-9._%+-]{2,}@[A-Za-z0-9-]{2,}"
                         r"|[0-9]{1,4}(?:\.[0-9]{1,4}){2,5}|[0-9][0-9\x20().-]{5,28}[0-9])(?![\w@])")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SPACE = re.compile(r"[\x20\x09-\x0D]")
-_CHANGE = re.compile(r"(?<=[A-Za-z])(?![A-Za-z])|(?<=[0-9])(?![0-9])|(?<=[^A-Za-z0-9])")
-#: Characters before an identifier in which the words of its pattern lie.
-REACH = 120
+#: Runs of letters, ASCII ones apart from others: an address may begin between the two.
+_LETTERS = re.compile(r"[a-z]+|[^\W\d_a-z]+")
 
 
 def luhn(digits: str) -> bool:
@@ -121,50 +123,66 @@ def _plain(word: str) -> str:
     return _DIGIT.sub("0", word.lower().strip("\"'()[]<>.,;!?"))
 
 
-def _pattern(text: str, start: int) -> str:
-    """The two words before a place, lower-cased, digits as 0; '' where there are none.
-
-    What stands before the place in its own word ('tel:') is a word too, unless it is
-    punctuation only, as are words elsewhere.
-    """
-    lo = max(0, start - REACH)
-    words = _WORD.findall(text, lo, start)
-    if lo and words and not _SPACE.match(text, lo - 1) and not _SPACE.match(text, lo):
-        words = words[1:]                              # its beginning is out of reach
-    plain = [p for w in words if (p := _plain(w))]
-    return " ".join(plain[-2:]) if len(plain) >= 2 else ""
-
-
 def _forms(word: str) -> tuple[str, ...]:
-    """All that ``_pattern`` can make of a word or its beginning; the last is that of the word.
-
-    An identifier can only start where the kind of character changes.
-    """
+    """What stands for a word in a pattern: each of its runs of letters, where something is
+    glued to them, and the whole word, last ('' for punctuation)."""
     whole = _plain(word)
-    if word.isascii() and whole.isalpha():                 # one run of letters
-        return (whole,)
-    starts = {_plain(word[:m.start()]) for m in _CHANGE.finditer(word, 0, REACH)}
-    return (*(starts - {whole, ""}), whole)
+    runs = [r for r in _LETTERS.findall(word.casefold()) if r != whole]
+    return (*runs, whole)
+
+
+class _Words:
+    """The words of a text, for patterns of places that are asked for in ascending order."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.ahead = _WORD.finditer(text)
+        self.word = next(self.ahead, None)
+        self.last: list[str] = []                      # the two words before ``word``
+        self.asked = 0                                 # in ``word``, everything before is passed
+
+    def pattern(self, start: int) -> str:
+        """The two words before a place, lower-cased, digits as 0; '' where there are none."""
+        while self.word and self.word.end() <= start:
+            if plain := _plain(self.word.group()):
+                self.last = [*self.last[-1:], plain]
+            self.word, self.asked = next(self.ahead, None), 0
+        last = self.last
+        if self.word and self.word.start() < start:
+            lo = max(self.word.start(), self.asked)
+            glued = self.text[lo:start]
+            cut = max(glued.rfind(c) for c in "0123456789@")
+            if runs := _LETTERS.findall(glued[cut + 1:].casefold()):
+                last = [*last[-1:], runs[-1]]
+            if cut >= 0:
+                self.asked = lo + cut + 1
+        return " ".join(last) if len(last) == 2 else ""
+
+
+def _pattern(text: str, start: int) -> str:
+    return _Words(text).pattern(start)
 
 
 def mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """(pattern, kind, instance, start, end, seed) of the seeds and the candidates."""
-    out = []
-    for start, kind, end in spans:
-        value = text[start:end].lower() if kind == 0 else _NOT_DIGIT.sub("", text[start:end])
-        out.append((_pattern(text, start), kind, value, start, end, True))
+    """(pattern, kind, instance, start, end, seed) of the seeds and the candidates, by start.
+
+    ``spans`` ascend. One walk over spans, candidates and words, linear in the text.
+    """
+    found = [(start, end, kind, True) for start, kind, end in spans]
     if _DIGIT.search(text) or "@" in text:
-        taken = iter(spans)
-        now = next(taken, None)
+        k = reach = 0                                  # spans before k end at ``reach`` or before
         for m in _CANDIDATE.finditer(text):
-            while now and now[2] <= m.start():
-                now = next(taken, None)
-            if now and now[0] < m.end() or any(s < m.end() and m.start() < e for s, _, e in spans):
-                continue
-            for kind in _kinds_of(m.group()):
-                value = m.group().lower() if kind == 0 else _NOT_DIGIT.sub("", m.group())
-                out.append((_pattern(text, m.start()), kind, value, m.start(), m.end(), False))
-    return [x for x in out if x[0]]
+            while k < len(spans) and spans[k][0] < m.end():
+                reach = max(reach, spans[k][2])
+                k += 1
+            if reach <= m.start():
+                found += [(m.start(), m.end(), kind, False) for kind in _kinds_of(m.group())]
+    out, words = [], _Words(text)
+    for start, end, kind, seed in sorted(found):
+        if pattern := words.pattern(start):
+            value = text[start:end].lower() if kind == 0 else _NOT_DIGIT.sub("", text[start:end])
+            out.append((pattern, kind, value, start, end, seed))
+    return out
 
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()),
@@ -187,7 +205,9 @@ def _scan(texts: pd.Series) -> pd.DataFrame:
 
 
 def _count_task(bits: bytes):
-    """Count the word pairs whose bit is set, by the rule of ``_pattern``."""
+    """Count the word pairs whose bit is set, by the rule of ``_Words.pattern``."""
+    size = len(bits) * 8
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms: dict[str, tuple[str, ...]] = {}
 
@@ -202,14 +222,16 @@ def _count_task(bits: bytes):
                 for w in _WORD.findall(text or ""):
                     f = forms.get(w)
                     if f is None:
-                        if len(forms) > 300_000:
-                            forms.clear()
-                        f = forms[w] = _forms(w)
+                        f = _forms(w)
+                        if len(w) <= 64:
+                            if len(forms) > 300_000:
+                                forms.clear()
+                            forms[w] = f
                     if before is not None:
                         for p in f:
                             if p:
                                 pair = f"{before} {p}"
-                                h = zlib.crc32(pair.encode()) % MAP_BITS
+                                h = zlib.crc32(pair.encode()) % size
                                 if bits[h >> 3] >> (h & 7) & 1:
                                     counts[pair] += 1
                     before = f[-1] or before
@@ -222,11 +244,18 @@ def _count_task(bits: bytes):
 
 def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, n): how often each of ``patterns`` occurs in all texts."""
-    places = patterns.select((F.crc32(F.encode("pattern", "UTF-8")) % MAP_BITS).alias("bit")).distinct()
-    bits = bytearray(MAP_BITS // 8)
-    for row in places.toLocalIterator():                  # MAP_BITS at most
-        bits[row["bit"] >> 3] |= 1 << (row["bit"] & 7)
-    counts = texts.mapInArrow(_count_task(bytes(bits)), "pattern string, n long")
+    patterns = staged(patterns, "to_count")
+    power = min(max((BITS_A_PATTERN * patterns.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    bit = F.crc32(F.encode("pattern", "UTF-8")) % (1 << power)
+    # 63 bits of the map a row: its size bounds what comes to the driver
+    rows = patterns.select(F.call_function("div", bit, F.lit(63)).alias("part"), (bit % 63).cast("int").alias("at")).groupBy(
+        "part").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("mask")).toArrow()
+    places = np.concatenate([np.zeros(0, np.int64), *(
+        part[(mask >> at) & 1 == 1] * 63 + at for at in range(63)
+        for part, mask in [(rows.column("part").to_numpy(), rows.column("mask").to_numpy())])])
+    bits = np.zeros(1 << power, np.uint8)
+    bits[places] = 1
+    counts = texts.mapInArrow(_count_task(np.packbits(bits, bitorder="little").tobytes()), "pattern string, n long")
     return counts.groupBy("pattern").agg(F.sum("n").alias("n")).join(patterns, "pattern", "left_semi")
 
 

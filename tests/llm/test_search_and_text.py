@@ -1,6 +1,8 @@
 """Top-k, personal data, quotations, quality, licenses and the pipeline."""
 import random
 import re
+import time
+from collections import Counter
 
 import corpus_pipeline
 import duckdb
@@ -123,7 +125,7 @@ def test_a_context_copied_thousands_of_times_still_discovers(spark):
 
 def test_patterns_of_glued_labels_and_brackets_are_counted_as_they_are_taken(spark):
     import pyarrow as pa
-    r, bits = random.Random(12), b"\xff" * (pii.MAP_BITS // 8)
+    r, bits = random.Random(12), b"\xff" * 1024
     pieces = ["tel:", "<", "(", "a@b", "é", "x_", "%", " ", " ", "  ", "...", "5550101", "+1 (555) 010-9999", "a.b@c.de",
               "10.0.0.1", "word", "w" * 70, "="]
     for _ in range(3000):
@@ -153,6 +155,119 @@ def test_discovered_identifiers_lead_to_further_patterns(spark):
     assert [bool(found[i]) for i in range(len(texts))] == ["some lot" not in t for t in texts]
 
 
+WS = r"[\x20\x09-\x0D]"
+
+
+def plain_word(w):
+    return re.sub("[0-9]", "0", w.lower().strip("\"'()[]<>.,;!?"))
+
+
+def letter_runs(w):
+    return re.findall(r"[a-z]+|[^\W\d_a-z]+", w.casefold())
+
+
+def plain_pattern(text, start):
+    *words, glued = re.split(WS, text[:start])
+    got = [p for w in words if (p := plain_word(w))] + letter_runs(re.split("[0-9@]", glued)[-1])[-1:]
+    return " ".join(got[-2:]) if len(got) > 1 else ""
+
+
+def plain_mentions(text):
+    """(pattern, kind, instance, start, end, seed), by trying every candidate against every span."""
+    spans = plain_spans(text)
+    all_of = [(s, e, k, True) for s, k, e in spans]
+    for m in pii._CANDIDATE.finditer(text):
+        if not any(s < m.end() and m.start() < e for s, _, e in spans):
+            all_of += [(m.start(), m.end(), k, False) for k in pii._kinds_of(m.group())]
+    out = []
+    for s, e, k, seed in sorted(all_of):
+        if p := plain_pattern(text, s):
+            out.append((p, k, text[s:e].lower() if k == 0 else re.sub("[^0-9]", "", text[s:e]), s, e, seed))
+    return out
+
+
+def plain_discovery(texts):
+    """Spans of every text: scoring and discovery in plain Python."""
+    found = [plain_mentions(t) for t in texts]
+    n = Counter()
+    for t in texts:
+        before = None
+        for w in re.findall(r"[^\x20\x09-\x0D]+", t):
+            whole = plain_word(w)
+            if before:
+                n.update(f"{before} {f}" for f in [*[x for x in letter_runs(w) if x != whole], whole] if f)
+            before = whole or before
+    times = Counter((p, k, i) for ms in found for p, k, i, *_ in ms)
+    known = {(k, i) for ms in found for _, k, i, _, _, seed in ms if seed}
+    open_ = {(p, k, i) for ms in found for p, k, i, _, _, seed in ms if not seed}
+    while True:
+        held = Counter((p, k) for p, k, i in times if (k, i) in known)
+        strong = {x for x, c in held.items() if c >= pii.MIN_SEEDS}
+        graph = [(x, t) for x, t in times.items() if any(x[0] == p for p, _ in strong)]
+        score = {x[1:]: float(x[1:] in known) for x, _ in graph}
+        for _ in range(pii.ROUNDS):
+            total = Counter()
+            for (p, k, i), t in graph:
+                total[p, k] += score[k, i] * t
+            trust = {x: v / (n[x[0]] + 1) for x, v in total.items()}
+            doubt = {}
+            for (p, k, i), _ in graph:
+                doubt[k, i] = doubt.get((k, i), 1.0) * (1 - min(trust[p, k], 1 - 1e-9))
+            score = {x: 1.0 if x in known else 1 - d for x, d in doubt.items()}
+        good = {x: trust[x] for x in strong if x in trust and trust[x] >= pii.MIN_CONFIDENCE}
+        new = {(k, i) for p, k, i in open_ if (p, k) in good} - known
+        known |= new
+        if not new:
+            break
+    out = []
+    for t, ms in zip(texts, found):
+        best = {}
+        for p, k, _, s, e, seed in ms:
+            if not seed and (p, k) in good:
+                best[s, e] = max(best.get((s, e), (0, 0)), (round(good[p, k], 9), -k))
+        out.append(sorted(plain_spans(t) + [(s, -k, e) for (s, e), (_, k) in best.items()]))
+    return out
+
+
+def test_patterns_of_a_long_text_against_plain_ones_and_in_linear_time():
+    r = random.Random(3)
+    pieces = ["tel:", "<", "(", "a@b", "é", "x_", "%", " ", " ", "\n", "...", "5550101", "+1 (555) 010-9999", "a.b@c.de",
+              "10.0.0.1", "word", "w" * 300, "=", "Straße", "ΣΑΣ", " " * 200]
+    for _ in range(1500):
+        t = "".join(r.choice(pieces) for _ in range(r.randint(1, 40)))
+        assert sorted(pii.mentions(t, pii.base_spans(t))) == sorted(plain_mentions(t)), t
+    assert pii.mentions("call " + "x" * 5000 + " office " + "(" * 3000 + "5550101", [])[0][0] == "x" * 5000 + " office"
+    for text in ("a@b.cd " * 40_000, "a@b.cd," * 40_000, "tel:5550101 " * 40_000, "a%" * 200_000, "x:5550101," * 30_000):
+        start = time.perf_counter()
+        pii.mentions(text, pii.base_spans(text))
+        assert time.perf_counter() - start < 10
+
+
+def test_scoring_and_discovery_against_brute_force(spark):
+    """Contexts of all kinds, right and misleading ones, a hundred times over."""
+    r = random.Random(11)
+    number = lambda: f"555 010 {r.randrange(300):04d}"
+    forms = {"phone": [lambda: "+1 " + number(), number], "email": [lambda: f"u{r.randrange(90)}@host.example",
+             lambda: f"u{r.randrange(90)}@host"], "ip": [lambda: f"10.0.0.{r.randrange(99)}", lambda: f"10.0.{r.randrange(99)}"]}
+    contexts = [(f"{a} {b}", r.choice(list(forms)), r.random()) for a in ("dial", "write", "see", "at") for b in (
+        "desk", "home:", "(office)", "no.", "lot")]
+    texts = []
+    for k in range(1200):
+        words = []
+        for _ in range(r.randrange(1, 4)):
+            c, kind, share = r.choice(contexts)
+            full, part = forms[kind]
+            words += [r.choice(["", "of the", "and so"]), c, full() if r.random() < share else part() if r.random() < 0.8 else ""]
+        texts.append(" ".join(words) + r.choice([".", " now", "\n"]))
+    texts += [texts[0]] * 300
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS).repartition(4)
+    want = plain_discovery(texts)
+    got = {x.doc_id: x.spans for x in pii.digests(pii.find(df)).collect()}
+    assert sum(len(w) > len(plain_spans(t)) for w, t in zip(want, texts)) > 100       # discovery does run
+    for i, spans in enumerate(want):
+        assert got[i] == ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans), (i, texts[i])
+
+
 def test_pii_of_odd_rows(odd_docs, no_docs):
     found = pii.digests(pii.find(odd_docs))
     assert found.count() == len(ODD)
