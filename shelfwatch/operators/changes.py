@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.operators.snapshots import latest_date, previous_date, snapshot_at
@@ -102,6 +102,24 @@ def change_summary(ch: DataFrame) -> DataFrame:
                   F.count_if((c != 0) | c.isNull()).alias("total_changed"))
 
 
+def consecutive_changes(history: DataFrame) -> DataFrame:
+    """E3 over a whole history: each observation beside the one before it of the same product.
+
+    (upc, date_collected) must be unique. Rows: upc, date_collected, previous_date, price_old,
+    price_new, change, pct (all but the date and new price NULL for a product's first date).
+    """
+    w = Window.partitionBy("upc").orderBy("date_collected")
+    rows = history.select("upc", "date_collected", F.lag("date_collected").over(w).alias("previous_date"),
+                          F.lag("price").over(w).alias("price_old"), F.col("price").alias("price_new"))
+    return with_change(rows)
+
+
+def with_change(rows: DataFrame) -> DataFrame:
+    """X6, X7 as columns ``change`` and ``pct`` of ``price_old`` and ``price_new``."""
+    return rows.withColumn("change", change_amount(F.col("price_old"), F.col("price_new"))).withColumn(
+        "pct", change_percent(F.col("change"), F.col("price_old")))
+
+
 def price_alerts(ch: DataFrame, threshold_pct: float) -> DataFrame:
     """Drops at least ``threshold_pct`` percent deep, ready for a notification sink."""
     return drops(ch, threshold_pct).select(

@@ -1,4 +1,4 @@
-"""Registered queries of the ledger warehouse, over the observations of all dates."""
+"""Registered queries of the ledger warehouse and of the alert stream, over the observations of all dates."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from shelfwatch.operators import snapshots as S
 from shelfwatch.plans import oracle as O
-from shelfwatch.plans.registry import register
+from shelfwatch.plans.registry import ALERT_PCT, register
 from shelfwatch.plans.registry_loads import _LOADED_SQL, _scratch
 from shelfwatch.schemas import PRICE, WIDE_COLUMNS
 from shelfwatch.sinks.ledger import Ledger
 from shelfwatch.sources import binding as B
+from shelfwatch.streaming import alerts as AL
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,3 +93,23 @@ def ledger_micro_batches(spark, sf_dir):
     ledger.ingest_part(rows.where("CAST(upc AS BIGINT) % 4 = 0").withColumn("price", (F.col("price") + 1).cast(PRICE)),
                        ["ingest_seq"], "fix", False)
     return _loaded(ledger)
+
+
+@register("stream_price_alerts", O.q(
+    "SELECT upc, date_collected, previous_date, CAST(price_old AS DOUBLE) AS price_old, CAST(price_new AS DOUBLE) AS price_new, "
+    "CAST(price_new - price_old AS DOUBLE) AS change FROM (SELECT upc, date_collected, lag(date_collected) OVER w AS "
+    "previous_date, lag(price) OVER w AS price_old, price AS price_new FROM fact "
+    "WINDOW w AS (PARTITION BY upc ORDER BY date_collected)) "
+    # at least 9.995 percent, which half-even rounding to two places makes 10
+    "WHERE price_new < price_old AND (price_old - price_new) * 100000 >= 9995 * price_old"))
+def stream_price_alerts(spark, sf_dir):
+    """E3 on a stream: all observations as files whose dates interleave, two files a micro-batch."""
+    root = _scratch(spark)
+    rows = B.fact(spark, sf_dir).select("upc", "date_collected", "price", F.lit(0).cast("long").alias("ingest_seq"))
+    part = F.pmod(F.xxhash64("upc", "date_collected"), F.lit(4))
+    rows.withColumn("part", part).repartition(4, "part").drop("part").write.parquet(f"{root}/files")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/files")
+    AL.start_alerts(stream, f"{root}/pairs", f"{root}/state", available_now=True).awaitTermination()
+    out = AL.alerts(AL.current(spark, f"{root}/pairs"), ALERT_PCT).drop("pct")
+    return out.select("upc", "date_collected", "previous_date",
+                      *[F.col(c).cast("double").alias(c) for c in ("price_old", "price_new", "change")])
