@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import n_parts, raw_texts, text_rows
+from .common import n_parts, raw_texts, staged, text_rows
 from .rangecoder import decode_blocks, encode_blocks
 from .vocab import vocabulary
 
@@ -189,11 +189,12 @@ def _join_crcs(pieces: pd.Series) -> pd.Series:
 def document_digests(spark: SparkSession, source: str) -> DataFrame:
     """Per document of a file set: doc_id, start, n_tokens, ids_crc32, in no fixed order.
 
-    Only documents cut over several blocks are gathered (checksums, not ids).
+    The files are decoded once: places and checksums of the pieces are staged (some 60 bytes
+    each). Only documents cut over several blocks are gathered (checksums, not ids).
     """
-    pieces = read_pieces(spark, source).select(
+    pieces = staged(read_pieces(spark, source).select(
         "part", "ordinal", "doc_id", "start_in_doc", "start_in_part", "length", "doc_ids",
-        F.crc32("ids").alias("crc"))
+        F.crc32("ids").alias("crc")), "pieces")
     join_crcs = F.pandas_udf(_join_crcs, T.LongType())
     one = pieces.filter(F.col("length") == F.col("doc_ids")).select(
         "part", "doc_id", "start_in_part", F.col("doc_ids").alias("n_tokens"), F.col("crc").alias("ids_crc32"))

@@ -9,8 +9,9 @@ A block is coded with a model that starts fresh in it. Three experts predict the
 The mixture P(id) = w2 [id = guess2] + w1 [id = guess1] + w0 P0(id) drives a 64-bit range
 coder with carries. The weights are adaptive, one set for each pair of confidences that the
 two guesses have earned (and whether they agree). Guesses adapt with every id, weights and
-frequencies every ``EPOCH`` ids. Blocks hold at most 32,767 different ids. Encoder and decoder run all blocks of a batch in step,
-one numpy lane per block, so neither works id by id in Python.
+frequencies every ``EPOCH`` ids. Blocks hold at most 32,767 different ids (``encode_blocks``
+refuses others). Encoder and decoder run all blocks of a batch in step, one numpy lane per
+block, so neither works id by id in Python.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import numpy as np
 
 MAGIC = b"CMR1"
 EPOCH = 256
+MOST_IDS = 32_767
 _BITS1, _BITS2, _SCALE, _CASES = 11, 12, 18, 128
 _GAIN = 24
 _0, _16, _32, _SHIFT0 = np.uint64(0), np.uint64(16), np.uint64(32), np.uint64(_SCALE)
@@ -195,13 +197,18 @@ def _decode_lanes(words: list[np.ndarray], lens: np.ndarray, sizes: np.ndarray)
 
 
 def encode_blocks(blocks: list[np.ndarray], tables: list[bytes]) -> list[bytes]:
-    """A self-contained payload for each block of ids; ``tables``: bytes to carry with each."""
+    """A self-contained payload for each block of ids; ``tables``: bytes to carry with each.
+
+    Raises ``ValueError`` for a block of more than ``MOST_IDS`` different ids.
+    """
     out: list[bytes] = [b""] * len(blocks)
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     full = [k for k in order if len(blocks[k])]
     ids, symbols = {}, []
     for k in full:
         ids[k], inverse = np.unique(blocks[k], return_inverse=True)
+        if len(ids[k]) > MOST_IDS:
+            raise ValueError(f"a block of {len(ids[k])} different ids; {MOST_IDS} at most")
         symbols.append(inverse.astype(np.int64))
     coded = dict(zip(full, _encode_lanes(symbols, np.array([len(ids[k]) for k in full])))) if full else {}
     for k in order:
