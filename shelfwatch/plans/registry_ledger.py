@@ -1,16 +1,21 @@
-"""Registered queries of the ledger warehouse and of the alert stream, over the observations of all dates."""
+"""Registered queries of the ledger warehouse, the alert stream, the keyword index, exact quantiles and log runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwatch.operators import keyword_index as KI
+from shelfwatch.operators import quantiles as Q
+from shelfwatch.operators import search as SR
 from shelfwatch.operators import snapshots as S
 from shelfwatch.plans import oracle as O
-from shelfwatch.plans.registry import ALERT_PCT, register
-from shelfwatch.plans.registry_loads import _LOADED_SQL, _scratch
+from shelfwatch.plans.registry import _STARS, ALERT_PCT, KEYWORD, _search_sql, register
+from shelfwatch.plans.registry_loads import _HARD_SQL, _LOADED_SQL, _PART_SQL, _hard_texts, _scratch, _wide
 from shelfwatch.schemas import PRICE, WIDE_COLUMNS
 from shelfwatch.sinks.ledger import Ledger
+from shelfwatch.sinks.log_runs import LogRuns
+from shelfwatch.sinks.warehouse import Warehouse
 from shelfwatch.sources import binding as B
 from shelfwatch.streaming import alerts as AL
 
@@ -95,6 +100,45 @@ def ledger_micro_batches(spark, sf_dir):
     return _loaded(ledger)
 
 
+@register("search_keyword_indexed", _search_sql(
+    f"(coalesce(regexp_matches(title, '(?i){KEYWORD}'), false) OR "
+    f"coalesce(regexp_matches(upc, '(?i){KEYWORD}'), false)) AND {_STARS}"))
+def search_keyword_indexed(spark, sf_dir):
+    """F9 by way of the trigram index of the whole dimension."""
+    path = f"{_scratch(spark)}/postings"
+    KI.build(B.catalog(spark, sf_dir), path)
+    snapshot = S.latest_snapshot(B.books(spark, sf_dir), B.fact(spark, sf_dir))
+    return KI.search(snapshot, SR.SearchSpec(keyword=KEYWORD), path).withColumn("price", F.col("price").cast("double"))
+
+
+_NET = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
+
+
+@register("describe_net_price", "SELECT count(x) AS count, round(avg(x), 3) AS mean, round(stddev_samp(x), 3) AS std, min(x) AS min, "
+          + ", ".join(f"round(quantile_cont(x, {q / 1000}), 6) AS p{q / 10:g}" for q in (250, 500, 750, 995)).replace("p99.5", "p99_5")
+          + f", max(x) AS max FROM (SELECT {_NET} AS x FROM lineitem)")
+def describe_net_price(spark, sf_dir):
+    """A12 on a column of distinct doubles: quartiles by selection in passes, not one map of all values."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.expr(_NET).alias("x"))
+    out = Q.describe(rows, "x", (0.25, 0.5, 0.75, 0.995), accuracy=2000, at_hand=2000)
+    return out.select("count", F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"), "min",
+                      *[F.round(f"`{c}`", 6).alias(c.replace(".", "_")) for c in ("p25", "p50", "p75", "p99.5")], "max")
+
+
+@register("csv_log_runs", f"""WITH {_PART_SQL}, {_HARD_SQL}
+SELECT title, CASE WHEN CAST(upc AS BIGINT) % 3 = 0 THEN price + 1 ELSE price END AS price, rating, product_url,
+  date_collected, upc, category, stock_quantity FROM hard""")
+def csv_log_runs(spark, sf_dir):
+    """A run taken into the compacted log, a later one above its watermark."""
+    root = _scratch(spark)
+    files, rows = Warehouse(spark, root), _hard_texts(spark, sf_dir)
+    runs = LogRuns(spark, files.log_path, f"{root}/runs")
+    files.append_log(rows, 1)
+    runs.compact()
+    files.append_log(rows.where("CAST(upc AS BIGINT) % 3 = 0").withColumn("price", (F.col("price") + 1).cast(PRICE)), 2)
+    return _wide(runs.read())
+
+
 @register("stream_price_alerts", O.q(
     "SELECT upc, date_collected, previous_date, CAST(price_old AS DOUBLE) AS price_old, CAST(price_new AS DOUBLE) AS price_new, "
     "CAST(price_new - price_old AS DOUBLE) AS change FROM (SELECT upc, date_collected, lag(date_collected) OVER w AS "

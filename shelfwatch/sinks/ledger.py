@@ -28,7 +28,6 @@ from __future__ import annotations
 import copy
 import datetime as dt
 import json
-import os
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -41,6 +40,7 @@ from shelfwatch.operators.evolution import align_schema, merge_facts
 from shelfwatch.operators.quality import ValidationError, split_valid, violations
 from shelfwatch.schemas import CATALOG, HISTORY, WIDE_COLUMNS
 from shelfwatch.session import checkpointed
+from shelfwatch.sinks.commits import CommitLog
 from shelfwatch.sinks.warehouse import Warehouse
 
 State = dict
@@ -59,7 +59,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16, max_deltas: int = 8):
         self.spark, self.root, self.buckets, self.max_deltas = spark, root.rstrip("/"), buckets, max_deltas
         self.files = Warehouse(spark, root)                 # CSV sinks and file system helpers
-        self._path = f"{self.root}/_ledger"
+        self._log = CommitLog(spark, f"{self.root}/_ledger")
 
     # ------------------------------------------------------------------ commits
     def _empty(self) -> State:
@@ -68,11 +68,7 @@ class Ledger:
 
     def commits(self) -> list[int]:
         """Numbers of the commits at hand, ascending."""
-        fs, p = self.files._fs(self._path)
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+        return self._log.numbers()
 
     def state(self, version: int | None = None) -> State:
         """What commit ``version`` (default: the last) says."""
@@ -81,42 +77,10 @@ class Ledger:
             if not found:
                 return self._empty()
             version = found[-1]
-        fs, p = self.files._fs(f"{self._path}/{version:012d}.json")
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self._log.read(version)
 
     def _publish(self, state: State) -> bool:
-        """Create the commit file if no other load has created it; readers never see half of it."""
-        target, temp = f"{self._path}/{state['version']:012d}.json", f"{self._path}/_{uuid.uuid4().hex}"
-        fs, src = self.files._fs(temp)
-        out = fs.create(src, True)
-        out.write(bytearray(json.dumps(state).encode()))
-        out.close()
-        _, dst = self.files._fs(target)
-        try:
-            if fs.getUri().getScheme() == "file":
-                try:
-                    os.link(src.toUri().getPath(), dst.toUri().getPath())
-                except FileExistsError:
-                    return False
-                return True
-            jvm = self.spark.sparkContext._jvm
-            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-                fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-            none = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-            try:
-                context.rename(fs.makeQualified(src), fs.makeQualified(dst), none)
-            except Exception:
-                if fs.exists(dst):
-                    return False
-                raise
-            return True
-        finally:
-            if fs.exists(src):
-                fs.delete(src, False)
+        return self._log.publish(state["version"], state)
 
     def _commit(self, operation: str, change: Callable[[State], None], load: str | None = None, tries: int = 10) -> State:
         for _ in range(tries):
@@ -433,8 +397,7 @@ class Ledger:
                     fs.delete(s.getPath(), True)
                     removed.append(name)
         for v in commits[:-keep]:
-            fs, p = self.files._fs(f"{self._path}/{v:012d}.json")
-            fs.delete(p, False)
+            self._log.drop(v)
         return sorted(removed)
 
     def ensure_tables(self) -> None:

@@ -75,7 +75,7 @@ def _log_schema(spark: SparkSession, path: str) -> T.StructType:
     return CSV_LOG_SCHEMA if "Row_Id" in header else CSV_SCHEMA
 
 
-def read_history_csv(spark: SparkSession, path: str, dedup: bool = True,
+def read_history_csv(spark: SparkSession, path: str | list[str], dedup: bool = True,
                      with_order: bool = True, multi_line: bool = False) -> DataFrame:
     """The append-mode history log, keep-last per (title, url, date).
 
