@@ -1,10 +1,13 @@
 """Quality rules: counts, repetition, and divergence from language references.
 
-Everything is built from DataFrame functions. ``references`` reads all documents once and
-sums, for each language of ``COMMON_WORDS``, the character classes and the common words of
-the documents that use that language's words most. ``judge`` then takes each document by
-itself: the base counts, and the Jensen-Shannon distance (base 2, 0 to 1) of its two
-histograms to the nearest reference. A document is rejected if the base rules fail, or if it
+Everything is built from DataFrame functions. ``measure`` counts everything of each document
+in one pass over the texts; its rows are staged. ``references`` sums, for each language of
+``COMMON_WORDS``, the character classes and the common words of the measured documents that use
+that language's words most; references of a clean corpus can be given instead. ``judge`` takes
+each measured document by itself: the base rules, and the Jensen-Shannon distance (base 2, 0 to
+1) of its two histograms to the nearest reference. References of the corpus itself stand for
+its majority: where junk makes up so much of a language's running words that it moves the sums
+by about the limits (0.3), junk passes and clean texts fail; give references then. A document is rejected if the base rules fail, or if it
 has at least ``MIN_WORDS`` words and either distance is above its limit. Shorter documents,
 and all documents while no reference exists, are judged by the base rules alone. A language
 without reference is measured against the others; give its words to have it judged fairly.
@@ -22,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 MIN_BASE_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
@@ -71,16 +76,40 @@ def _own_words(common: Column, words: list[str]) -> list[Column]:
     return [common[_ALL_WORDS.index(w)] for w in words]
 
 
-def references(docs: DataFrame, *, text_col: str = "text") -> dict[str, tuple[list[int], list[int]]]:
+def measure(docs: DataFrame, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``doc`` (the columns ``carry`` of the row; all by default), all counts, and both histograms."""
+    kept = [docs[c] for c in (docs.columns if carry is None else carry)]
+    df = docs.select(F.struct(*kept).alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    df = _add_histograms(df)
+    df = df.withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
+    df = df.withColumn("n_symbols", F.col("classes")[5])
+    df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    df = df.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
+    # 64-bit hashes of the 8-word windows; most texts repeat none and stop here
+    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("lines", "words")
+    # (named twice, so that the planner keeps the hashes as a column of their own)
+    df = df.withColumn("windows", F.when(F.size("hashes") > WINDOW, F.transform(
+        F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1)),
+        lambda i: F.xxhash64(F.slice("hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows")).drop("hashes")
+    df = df.withColumn("ordered", F.when(F.col("repeats"), F.sort_array(F.transform(
+        "windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    df = df.withColumn("starts", F.sort_array(F.transform(F.filter("ordered", lambda x, k: (
+        F.coalesce(F.get("ordered", k - 1)["h"] == x["h"], F.lit(False))
+        | F.coalesce(F.get("ordered", k + 1)["h"] == x["h"], F.lit(False)))), lambda x: x["i"])))
+    df = df.withColumn("n_repeat_words", F.coalesce(F.aggregate(F.transform("starts", lambda x, k: F.least(
+        F.coalesce(F.get("starts", k + 1) - x, F.lit(WINDOW)), F.lit(WINDOW))),
+        F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
+    return df.select("doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common")
+
+
+def references(measured: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
     """Per language: character-class counts, and counts of its common words plus all others.
 
-    Whole-corpus sums of integers; one row per language comes to the driver.
+    Sums of integers over all measured rows; one row per language comes to the driver.
     """
-    df = _add_histograms(docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text")))
-    df = df.drop("words", "text")
     hits = [sum(_own_words(F.col("common"), words), F.lit(0)) for words in COMMON_WORDS.values()]
-    df = df.withColumn("hits", F.array(*hits))
-    # No filter here: pushed to the scan it would work out all the counts a second time.
+    df = measured.drop("doc").withColumn("hits", F.array(*hits))
     df = df.withColumn("language", F.when((F.col("n_words") >= MIN_WORDS) & (F.array_max("hits") > 0),
                                           F.array_position("hits", F.array_max("hits"))))
     rows = df.groupBy("language").agg(
@@ -111,30 +140,9 @@ def _distance(counts: Column, reference: list[int]) -> Column:
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def judge(docs: DataFrame, refs: dict[str, tuple[list[int], list[int]]], *,
-          text_col: str = "text") -> DataFrame:
-    """Columns ``doc`` (the whole row), the counts, both distances, base_failed and kept."""
-    df = docs.select(F.struct("*").alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    df = _add_histograms(df)
-    df = df.withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
-    df = df.withColumn("n_symbols", F.col("classes")[5])
-    df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    df = df.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
-    # 64-bit hashes of the 8-word windows; most texts repeat none and stop here
-    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("lines", "words")
-    # (named twice, so that the planner keeps the hashes as a column of their own)
-    df = df.withColumn("windows", F.when(F.size("hashes") > WINDOW, F.transform(
-        F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1)),
-        lambda i: F.xxhash64(F.slice("hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")))
-    df = df.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows")).drop("hashes")
-    df = df.withColumn("ordered", F.when(F.col("repeats"), F.sort_array(F.transform(
-        "windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    df = df.withColumn("starts", F.sort_array(F.transform(F.filter("ordered", lambda x, k: (
-        F.coalesce(F.get("ordered", k - 1)["h"] == x["h"], F.lit(False))
-        | F.coalesce(F.get("ordered", k + 1)["h"] == x["h"], F.lit(False)))), lambda x: x["i"])))
-    df = df.withColumn("n_repeat_words", F.coalesce(F.aggregate(F.transform("starts", lambda x, k: F.least(
-        F.coalesce(F.get("starts", k + 1) - x, F.lit(WINDOW)), F.lit(WINDOW))),
-        F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
+def judge(measured: DataFrame, refs: dict[str, tuple[list[int], list[int]]]) -> DataFrame:
+    """Columns ``doc``, the counts, base_failed, both distances and kept of measured rows."""
+    df = measured
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_BASE_WORDS)
                        | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     near = {"class_distance": F.lit(0.0), "word_distance": F.lit(0.0)}
@@ -151,13 +159,15 @@ def judge(docs: DataFrame, refs: dict[str, tuple[list[int], list[int]]], *,
     far = (F.col("n_words") >= MIN_WORDS) & (
         (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE))
     df = df.withColumn("kept", ~F.col("base_failed") & ~far)
-    # One row in, one row out. A later filter on the verdict can't pass the generator; pushed
-    # down to the scan it would work out every count again, inside the lambdas as well.
-    found = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                     "base_failed", "class_distance", "word_distance", "kept")
-    return df.select("doc", F.explode(F.array(found)).alias("found")).select("doc", "found.*")
+    return df.select("doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                     "class_distance", "word_distance", "kept")
 
 
-def quality(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``judge`` against the references of the same documents."""
-    return judge(docs, references(docs, text_col=text_col), text_col=text_col)
+def quality(docs: DataFrame, *, text_col: str = "text", carry: list[str] | None = None,
+            refs: dict[str, tuple[list[int], list[int]]] | None = None) -> DataFrame:
+    """``judge`` of every row against ``refs``, by default those of the same documents.
+
+    The measured rows are written once, with the columns ``carry`` (all by default).
+    """
+    measured = staged(measure(docs, text_col=text_col, carry=carry), "measured")
+    return judge(measured, references(measured) if refs is None else refs)

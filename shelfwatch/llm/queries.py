@@ -59,7 +59,7 @@ def op7_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    return quality.quality(_table(spark, sf_dir, "documents")).select(
+    return quality.quality(_table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         F.col("doc.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "kept")
 
