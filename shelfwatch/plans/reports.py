@@ -28,6 +28,34 @@ CHANGE_TITLE = "         PRICE CHANGE DETECTOR REPORT"
 SUMMARY_TITLE = "                       SUMMARY"
 DESCRIBE_LABELS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 DESCRIBE_FOOTER = "Name: Price, dtype: float64"
+STATS_SOURCE, CHANGE_SOURCE = "Data Source : ", "Data Source:    "
+COMPARING = "Comparing date: "
+ARROW = "  -->  "
+CHECKED = "Total books checked: "
+FOUND = "Total price changes found: "
+DROPS_HEAD = "[DECREASE] Price Drops (Good Deals):"
+NO_DROPS = "  No price drops found."
+HIKES_HEAD = "[INCREASE] Price Hikes (More Expensive):"
+NO_HIKES = "  No price increases found."
+SUM_CHECKED = "  Checked Books   : "
+SUM_DROPS = "  Price Drops     : "
+SUM_HIKES = "  Price Hikes     : "
+SUM_TOTAL = "  Total Changes   : "
+OLD_PRICE = "  Old Price: "
+NEW_PRICE = "  |  New Price: "
+CHANGE_BY = "  |  Change: "
+LINK = "  Link: "
+DATASET = "Total books in dataset: "
+PRICE_HEAD = "--- Price Statistics ---"
+AVERAGE = "Average price: "
+HIGHEST = "Highest price: "
+LOWEST = "Lowest price:  "
+DEAREST = "Most expensive: "
+CHEAPEST = "Cheapest:       "
+RATING_HEAD = "--- Rating Distribution ---"
+RATING_COLUMNS = "Stars | Count"
+SUMMARY_HEAD = "--- Full Price Summary (.describe()) ---"
+COMPLETE = "Analysis complete."
 # --------------------------------------------------------------------------------------
 
 KEY_COLS = ("block", "k1", "k2", "k3", "sub")
@@ -88,22 +116,22 @@ def statistics_report(snapshot: DataFrame, source_label: str,
     hi, lo = _py_float(F.col("highest_price")), _py_float(F.col("lowest_price"))
     fixed = _blocks(head, [
         (0, [F.lit(STATS_RULE), F.lit(STATS_TITLE), F.lit(STATS_RULE),
-             F.lit(f"Data Source : {source_label}"),
-             F.concat(F.lit("Total books in dataset: "), F.col("n").cast("string")),
-             F.lit(""), F.lit("--- Price Statistics ---"),
-             F.concat(F.lit("Average price: "), _py_float(F.col("avg"))),
-             F.concat(F.lit("Highest price: "), hi),
-             F.concat(F.lit("Lowest price:  "), lo),
+             F.lit(STATS_SOURCE + source_label),
+             F.concat(F.lit(DATASET), F.col("n").cast("string")),
+             F.lit(""), F.lit(PRICE_HEAD),
+             F.concat(F.lit(AVERAGE), _py_float(F.col("avg"))),
+             F.concat(F.lit(HIGHEST), hi),
+             F.concat(F.lit(LOWEST), lo),
              F.lit(""),
-             F.concat(F.lit("Most expensive: "), F.col("most_expensive_title"), F.lit(" ("),
+             F.concat(F.lit(DEAREST), F.col("most_expensive_title"), F.lit(" ("),
                       hi, F.lit(")")),
-             F.concat(F.lit("Cheapest:       "), F.col("cheapest_title"), F.lit(" ("), lo,
+             F.concat(F.lit(CHEAPEST), F.col("cheapest_title"), F.lit(" ("), lo,
                       F.lit(")")),
-             F.lit(""), F.lit("--- Rating Distribution ---"), F.lit("Stars | Count"),
+             F.lit(""), F.lit(RATING_HEAD), F.lit(RATING_COLUMNS),
              F.lit(HIST_RULE)]),
-        (2, [F.lit(""), F.lit("--- Full Price Summary (.describe()) ---"),
+        (2, [F.lit(""), F.lit(SUMMARY_HEAD),
              *_describe_lines(), F.lit(DESCRIBE_FOOTER), F.lit(""), F.lit(STATS_RULE),
-             F.lit("Analysis complete.")])])
+             F.lit(COMPLETE)])])
     dist = A.rating_distribution(snapshot)
     hist = _lines(dist, 1, [F.concat(F.lit("  "), F.col("rating_numeric").cast("string"),
                                      F.lit("   |  "), fmt.right_align("book_count"),
@@ -137,22 +165,22 @@ def change_report(ch: DataFrame, previous: Column | str, latest: Column | str,
                                           _date_text(latest).alias("_last"))
     fixed = _blocks(summary, [
         (0, [F.lit(CHANGE_RULE), F.lit(CHANGE_TITLE), F.lit(CHANGE_RULE),
-             F.concat(F.lit("Comparing date: "), F.col("_prev"), F.lit("  -->  "),
+             F.concat(F.lit(COMPARING), F.col("_prev"), F.lit(ARROW),
                       F.col("_last")),
-             F.lit(f"Data Source:    {source_label}"),
-             F.concat(F.lit("Total books checked: "), F.col("compared").cast("string")),
-             F.concat(F.lit("Total price changes found: "),
+             F.lit(CHANGE_SOURCE + source_label),
+             F.concat(F.lit(CHECKED), F.col("compared").cast("string")),
+             F.concat(F.lit(FOUND),
                       F.col("total_changed").cast("string")),
-             F.lit(CHANGE_RULE), F.lit(""), F.lit("[DECREASE] Price Drops (Good Deals):"),
+             F.lit(CHANGE_RULE), F.lit(""), F.lit(DROPS_HEAD),
              F.lit(CHANGE_SUBRULE),
-             F.when(F.col("drops") == 0, F.lit("  No price drops found."))]),
-        (2, [F.lit("[INCREASE] Price Hikes (More Expensive):"), F.lit(CHANGE_SUBRULE),
-             F.when(F.col("hikes") == 0, F.lit("  No price increases found."))]),
+             F.when(F.col("drops") == 0, F.lit(NO_DROPS))]),
+        (2, [F.lit(HIKES_HEAD), F.lit(CHANGE_SUBRULE),
+             F.when(F.col("hikes") == 0, F.lit(NO_HIKES))]),
         (4, [F.lit(CHANGE_RULE), F.lit(SUMMARY_TITLE), F.lit(CHANGE_RULE),
-             F.concat(F.lit("  Checked Books   : "), F.col("compared").cast("string")),
-             F.concat(F.lit("  Price Drops     : "), F.col("drops").cast("string")),
-             F.concat(F.lit("  Price Hikes     : "), F.col("hikes").cast("string")),
-             F.concat(F.lit("  Total Changes   : "), F.col("total_changed").cast("string")),
+             F.concat(F.lit(SUM_CHECKED), F.col("compared").cast("string")),
+             F.concat(F.lit(SUM_DROPS), F.col("drops").cast("string")),
+             F.concat(F.lit(SUM_HIKES), F.col("hikes").cast("string")),
+             F.concat(F.lit(SUM_TOTAL), F.col("total_changed").cast("string")),
              F.lit(CHANGE_RULE)])])
     pct_txt = F.coalesce(_py_float(F.col("pct")), F.lit("inf"))
     drop = F.col("change") < 0
@@ -162,10 +190,10 @@ def change_report(ch: DataFrame, previous: Column | str, latest: Column | str,
         "_block", F.when(drop, F.lit(1)).otherwise(F.lit(3)))
     products = _lines(moved, 0, [
         F.concat(F.lit("* "), F.col("title")),
-        F.concat(F.lit("  Old Price: "), fmt.money("price_old"), F.lit("  |  New Price: "),
-                 fmt.money("price_new"), F.lit("  |  Change: "), change_txt, pct_txt,
+        F.concat(F.lit(OLD_PRICE), fmt.money("price_old"), F.lit(NEW_PRICE),
+                 fmt.money("price_new"), F.lit(CHANGE_BY), change_txt, pct_txt,
                  F.lit("%)")),
-        F.concat(F.lit("  Link: "), F.col("product_url")), F.lit("")],
+        F.concat(F.lit(LINK), F.col("product_url")), F.lit("")],
         k1=F.col("title"), k2=F.col("product_url"), block_col=F.col("_block"))
     return fixed.unionByName(products).where(F.col("line").isNotNull())
 
