@@ -146,8 +146,9 @@ def page_enrich(spark, sf_dir):
     "UNION ALL SELECT k, 'broken page' FROM p WHERE k % 17 = 0 "
     "UNION ALL SELECT k + 10000000, 'broken page' FROM p WHERE k % 13 = 0 AND k % 11 <> 0"))
 def page_rejects(spark, sf_dir):
-    listing = H.parse_pages(_listing_pages(spark, sf_dir))
-    detail = H.parse_pages(_detail_pages(spark, sf_dir))
+    # each page is parsed once, for its records and for its faults
+    listing = _staged(H.parse_pages(_listing_pages(spark, sf_dir)))
+    detail = _staged(H.parse_pages(_detail_pages(spark, sf_dir)))
     _, bad = H.enrich(H.parse_listing(listing), H.parse_detail(detail), _RUN_DATE)
     reason = F.regexp_extract("reject_reason", "^[^:]*", 0)
     pages = H.page_rejects(listing).unionByName(H.page_rejects(detail))
@@ -160,6 +161,12 @@ def _scratch(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwatch-run/{uuid.uuid4().hex}"
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    path = _scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _hard_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog as wide rows whose titles need every rule of the CSV dialect."""
     k = F.col("k")
