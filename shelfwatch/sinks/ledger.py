@@ -400,6 +400,10 @@ class Ledger:
             self._log.drop(v)
         return sorted(removed)
 
+    def export(self, df: DataFrame, path: str) -> None:
+        """K9: any wide frame as CSV with the original header."""
+        self.files.export(df, path)
+
     def ensure_tables(self) -> None:
         """K6: temporary views ``catalog``, ``price_history``, ``history`` and ``books`` of the last commit."""
         state = self.state()
@@ -408,3 +412,9 @@ class Ledger:
         fact.createOrReplaceTempView("history")
         self.catalog(state).createOrReplaceTempView("catalog")
         self.books(state).createOrReplaceTempView("books")
+
+
+def open_store(spark: SparkSession, root: str, ledger: bool = False) -> Ledger | Warehouse:
+    """The store at ``root``: a ledger where it has commits or ``ledger`` asks for one."""
+    found = Ledger(spark, root)
+    return found if ledger or found.commits() else Warehouse(spark, root)

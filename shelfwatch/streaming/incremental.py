@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwatch.schemas import CSV_READ, CSV_SCHEMA, WIDE_COLUMNS
 from shelfwatch.session import checkpointed
-from shelfwatch.sinks.warehouse import Warehouse
+from shelfwatch.sinks.ledger import Ledger, open_store
 from shelfwatch.sources.tables import _CORRUPT, _wide_from_csv
 
 #: Which of repeated rows came last: files by time and name, rows by their place.
@@ -40,16 +40,20 @@ def run_files(spark: SparkSession, source_dir: str, files_per_batch: int = 100)
 def start_ingest(spark: SparkSession, source_dir: str, warehouse_root: str,
                  checkpoint_location: str, available_now: bool = False,
                  processing_time: str = "1 minute", rejected_path: str | None = None,
-                 write_csv: bool = True, files_per_batch: int = 100) -> StreamingQuery:
+                 write_csv: bool = True, files_per_batch: int = 100, ledger: bool = False) -> StreamingQuery:
     """Start the incremental load. Rows that break a rule, and lines that are no record, go
-    to ``rejected_path`` (one folder per micro-batch); without it such a row ends the load."""
-    wh = Warehouse(spark, warehouse_root)
+    to ``rejected_path`` (one folder per micro-batch); without it such a row ends the load.
+
+    Into a ledger (``ledger``, or where the root is one) each micro-batch is one commit under
+    the name of this stream's checkpoint and the batch, so a replay finds it done."""
+    wh = open_store(spark, warehouse_root, ledger)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         with checkpointed(batch.withColumn("line", F.monotonically_increasing_id())) as rows:
             lines = rows.where(F.col("corrupt_record").isNotNull())
             wide = _wide_from_csv(rows.where(F.col("corrupt_record").isNull()).drop("corrupt_record"))
-            bad = wh.ingest_part(wide.select(*WIDE_COLUMNS, *ORDER), ORDER, epoch_id, write_log=write_csv)
+            load = f"{checkpoint_location}#{epoch_id}" if isinstance(wh, Ledger) else epoch_id
+            bad = wh.ingest_part(wide.select(*WIDE_COLUMNS, *ORDER), ORDER, load, write_log=write_csv)
             rejects = bad.select(*WIDE_COLUMNS, "file_name", "violated_rules", F.lit(None).cast("string")
                                  .alias("corrupt_record")).unionByName(
                 _wide_from_csv(lines).select(*WIDE_COLUMNS, "file_name", F.array(F.lit("not_a_record"))

@@ -3,7 +3,10 @@ functions (the same path as ``python -m shelfwatch``)."""
 
 import glob
 
+import pytest
+
 from shelfwatch.__main__ import analyze, compare, export, ingest_csv, ingest_pages, main
+from shelfwatch.sinks.ledger import Ledger, open_store
 
 BASE = "https://books.toscrape.com/catalogue/"
 
@@ -38,13 +41,14 @@ def _text(path):
     return "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{path}/part-*")))
 
 
-def test_pages_to_reports(spark, tmp_root):
+@pytest.mark.parametrize("ledger", [False, True])
+def test_pages_to_reports(spark, tmp_root, ledger):
     wh = f"{tmp_root}/wh"
     day1 = _write_pages(spark, tmp_root, "d1", [("51.77", "Three"), ("13.99", "One"),
                                                 ("53.74", "Five")])
     day2 = _write_pages(spark, tmp_root, "d2", [("45.99", "Three"), ("13.99", "One"),
                                                 ("56.24", "Five")])
-    ingest_pages(spark, wh, *day1, run_date="2026-06-05")
+    ingest_pages(spark, wh, *day1, run_date="2026-06-05", ledger=ledger)
     info = ingest_pages(spark, wh, *day2, run_date="2026-06-06")
     assert info["rejected_listings"] == 0
     assert analyze(spark, wh, f"{tmp_root}/analysis") == "Parquet warehouse"
@@ -60,6 +64,7 @@ def test_pages_to_reports(spark, tmp_root):
     assert "  Total Changes   : 2" in report
     export(spark, wh, f"{tmp_root}/export")
     assert len(_text(f"{tmp_root}/export/history").strip().split("\n")) == 7   # header + 6
+    assert isinstance(open_store(spark, wh), Ledger) == ledger                 # the second load found the ledger
 
 
 def test_fallback_label(spark, tmp_root):

@@ -3,6 +3,9 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
+
+from shelfwatch.sinks.ledger import Ledger, open_store
 from shelfwatch.sinks.warehouse import Warehouse
 from shelfwatch.streaming.incremental import start_ingest
 
@@ -16,7 +19,8 @@ def _write(path, rows):
             f.write(",".join(str(x) for x in r) + "\n")
 
 
-def test_stream_ingests_each_run_once(spark, tmp_root):
+@pytest.mark.parametrize("ledger", [False, True])
+def test_stream_ingests_each_run_once(spark, tmp_root, ledger):
     src = os.path.join(tmp_root, "incoming")
     os.makedirs(src)
     _write(os.path.join(src, "books_2026-06-05.csv"),
@@ -28,9 +32,10 @@ def test_stream_ingests_each_run_once(spark, tmp_root):
            [("C", "-1.00", "Two", "https://x/c", "2026-06-07", "u3", "Travel", 1)])
     wh_root = os.path.join(tmp_root, "wh")
     q = start_ingest(spark, src, wh_root, os.path.join(tmp_root, "ckpt"),
-                     available_now=True, rejected_path=os.path.join(tmp_root, "rejected"))
+                     available_now=True, rejected_path=os.path.join(tmp_root, "rejected"), ledger=ledger)
     q.awaitTermination(300)
-    wh = Warehouse(spark, wh_root)
+    wh = open_store(spark, wh_root)
+    assert isinstance(wh, Ledger) == ledger
     got = sorted((r.upc, r.date_collected, r.price) for r in wh.history().collect())
     assert got == [("u1", dt.date(2026, 6, 5), Decimal("51.77")),
                    ("u1", dt.date(2026, 6, 6), Decimal("45.99")),
