@@ -20,6 +20,7 @@ rows; an empty table gives none. Other columns are ignored, whatever their names
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,16 +173,23 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 10, scale: float = 1
         F.slice("vector", 1, (F.size("vector") - ends + 1).cast("int"))))
     rows = staged(rows.groupBy("vec_id", "vector").agg(F.max("is_query").alias("is_query")), "vectors")
     queries = rows.filter("is_query").select("vec_id", "vector")
-    n_blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    # Block numbers only have to be known on the query side: each query block goes to all
-    # slots, and a candidate block stays in one.
+    n_queries, n_rows = queries.count(), rows.count()
+    n_blocks = max(1, -(-n_queries // QUERY_ROWS))
+    # A grid of slots: a query block goes to all slots of its row, a candidate block to all of its
+    # column. Rows and columns are such that both sides are copied alike; few rows at first.
     slots = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    x = (rows.select("vec_id", "vector").mapInArrow(_block_task(BLOCK_ROWS, scale), _BLOCK)
-         .withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int")).drop("block"))
+    across = min(n_blocks, max(1, round(math.sqrt(slots * n_queries / max(n_rows, 1)))))
+    down = max(1, slots // across)
+
+    def dealt(block_ids: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(block_ids), F.lit(n)).cast("int")
+
+    x = (rows.select("vec_id", "vector").mapInArrow(_block_task(BLOCK_ROWS, scale), _BLOCK).drop("block")
+         .withColumn("column", dealt("ids", down)).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(across - 1)))))
     q = (queries.repartition(n_blocks).mapInArrow(_block_task(QUERY_ROWS, scale), _BLOCK)
          .select(F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"), F.col("dims").alias("q_dims"),
-                 F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot")))
-    best = x.join(q, "slot").drop("slot").mapInArrow(_search_task(k), "query_id long, vec_id long, score long")
+                 dealt("ids", across).alias("row"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("column")))
+    best = x.join(q, ["row", "column"]).drop("row", "column").mapInArrow(_search_task(k), "query_id long, vec_id long, score long")
     by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.dropDuplicates().withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -1,4 +1,5 @@
 """Top-k, personal data, quotations, quality, licenses and the pipeline."""
+import math
 import random
 import re
 import time
@@ -48,6 +49,21 @@ def test_topk_ties_nulls_lengths_and_large_values(spark):
     assert rows(topk.top_k(spark.createDataFrame([(i, v, "", "") for i, v in large], VECTORS), is_query)) == best(large)
 
 
+def test_topk_over_a_grid_of_slots(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 5)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    r = np.random.default_rng(8)
+    vectors = [(i, r.normal(size=6).round(2).tolist()) for i in range(90)]
+    df = spark.createDataFrame([(i, v, "", "") for i, v in vectors], VECTORS).repartition(3)
+    got = {}
+    for x in topk.top_k(df, F.col("vec_id") % 2 == 0).collect():                 # 4 rows of slots, 2 columns each or so
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    cells = {i: [math.floor(1024 * c) for c in v] for i, v in vectors}
+    for q in range(0, 90, 2):
+        best_of = sorted((-sum(a * b for a, b in zip(cells[q], cells[i])), i) for i in cells if i != q)[:10]
+        assert sorted(got[q]) == [(k, i, -s) for k, (s, i) in enumerate(best_of, 1)]
+
+
 def test_topk_of_rows_repeated_many_times(spark):
     """Copies of a best candidate, of a query, and of one id with several vectors of one score."""
     r = random.Random(11)
