@@ -7,8 +7,6 @@ checkpoint folder and read them back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from shelfwatch.operators import snapshots as S
 from shelfwatch.plans import oracle as O
 from shelfwatch.plans.registry import register
 from shelfwatch.schemas import PRICE, WIDE_COLUMNS
-from shelfwatch.session import ensure_checkpoint_dir
+from shelfwatch.session import scratch_folder
 from shelfwatch.sinks.warehouse import Warehouse
 from shelfwatch.sources import binding as B
 from shelfwatch.sources import html as H
@@ -158,7 +156,7 @@ def page_rejects(spark, sf_dir):
 
 # ---------------------------------------------------------------- CSV files
 def _scratch(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwatch-run/{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark, 'shelfwatch-run')}/data"
 
 
 def _staged(df: DataFrame) -> DataFrame:

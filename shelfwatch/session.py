@@ -7,8 +7,10 @@ need a lineage cut find the shared checkpoint folder the cluster configures.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -66,7 +68,9 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_shelfwatch_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="shelfwatch-ship-"), "shelfwatch.zip")
+    folder = tempfile.mkdtemp(prefix="shelfwatch-ship-")       # of the driver; Spark serves the file from it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "shelfwatch.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(root):
             for name in sorted(names):
@@ -102,6 +106,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current.get()
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder under the shared checkpoint folder, for tables that lazy results read.
+
+    The file system removes it when the application ends, so repeated jobs leave nothing behind
+    and results stay readable as long as they can be used.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
 @contextlib.contextmanager
 def checkpointed(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` written to the shared checkpoint folder for the time of the block.
