@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import scratch_folder, ship_package
 
 #: Text bytes that one step inside a task works on at a time.
 STEP_BYTES = 2_000_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder path under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    """A new folder path under the shared checkpoint folder, removed when the application ends."""
+    return f"{scratch_folder(spark, 'llm')}/{name}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
