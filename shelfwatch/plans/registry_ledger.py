@@ -25,7 +25,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession) -> Ledger:
-    return Ledger(spark, _scratch(spark), buckets=8)
+    return Ledger(spark, _scratch(spark), buckets=4)
 
 
 def _loaded(ledger: Ledger) -> DataFrame:
@@ -80,9 +80,9 @@ def ledger_dates(spark, sf_dir):
     ledger = _ledger(spark)
     ledger.ingest(_rows(spark, sf_dir), write_csv=False, single_date=False)
     state = ledger.state()
-    return ledger.collection_dates(state).join(ledger.last_two_dates(state), F.lit(True), "left").select(
-        "date_collected", F.coalesce(F.col("date_collected") == F.col("previous_date"), F.lit(False)).alias("is_previous"),
-        (F.col("date_collected") == F.col("latest_date")).alias("is_latest"))
+    two = [None, *ledger.dates(state)][-2:]
+    flags = [F.coalesce(F.col("date_collected") == F.lit(d), F.lit(False)) for d in two]
+    return ledger.collection_dates(state).select("date_collected", flags[0].alias("is_previous"), flags[1].alias("is_latest"))
 
 
 @register("ledger_micro_batches", O.q(

@@ -54,7 +54,9 @@ class Conflict(Exception):
 
 
 class Ledger:
-    """``buckets`` and ``max_deltas`` count when the root is new or compacted."""
+    """``buckets`` counts when the root is new: as many as make files of some 128 MB of the base
+    and of a day of the fact (thousands for a catalog of billions). ``max_deltas``: deltas that
+    readers merge at most, before a load folds them into the base."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16, max_deltas: int = 8):
         self.spark, self.root, self.buckets, self.max_deltas = spark, root.rstrip("/"), buckets, max_deltas
@@ -63,7 +65,7 @@ class Ledger:
 
     # ------------------------------------------------------------------ commits
     def _empty(self) -> State:
-        return {"version": 0, "operation": "new", "loads": [], "buckets": self.buckets, "base": None, "deltas": [],
+        return {"version": 0, "id": "new", "operation": "new", "loads": [], "buckets": self.buckets, "base": None, "deltas": [],
                 "days": {}, "catalog": json.loads(CATALOG.json()), "history": json.loads(HISTORY.json())}
 
     def commits(self) -> list[int]:
@@ -89,7 +91,7 @@ class Ledger:
                 return state
             new = copy.deepcopy(state)
             change(new)
-            new |= {"version": state["version"] + 1, "operation": operation}
+            new |= {"version": state["version"] + 1, "id": uuid.uuid4().hex[:12], "operation": operation}
             if load is not None:
                 new["loads"].append(load)
             if self._publish(new):
@@ -147,14 +149,14 @@ class Ledger:
         schema = self._schema(state, "history")
         if not state["days"]:
             return self.spark.createDataFrame([], schema)
-        return self.spark.table(self._register(f"facts_v{state['version']}", schema, f"{self.root}/history",
+        return self.spark.table(self._register(f"facts_{state['id']}", schema, f"{self.root}/history",
                                                state["buckets"], state["days"])).select(*schema.names)
 
     def _base(self, state: State) -> DataFrame:
         schema = self._schema(state, "catalog")
         if not state["base"]:
             return self.spark.createDataFrame([], schema)
-        return self.spark.table(self._register(f"base_v{state['version']}", schema, f"{self.root}/{state['base']}",
+        return self.spark.table(self._register(f"base_{state['id']}", schema, f"{self.root}/{state['base']}",
                                                state["buckets"], None))
 
     def _latest(self, state: State) -> DataFrame | None:
