@@ -236,3 +236,14 @@ def test_two_ledgers_and_views(spark, ledger, tmp_root):
     for x, n in ((ledger, 1), (other, 2)):
         x.ensure_tables()
         assert [spark.table(t).count() for t in ("price_history", "catalog", "books")] == [n] * 3
+
+
+def test_a_ledger_on_another_file_system(spark, tmp_root):
+    """A root that isn't a local path: commits by rename without overwrite."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.default.link./shelf", f"file://{tmp_root}")
+    remote = L.Ledger(spark, "viewfs:///shelf/ledger", buckets=2)
+    remote.ingest(rows(spark, [("u1", "A", "1.00", D[0])]), batch_id=1, write_csv=False)
+    state = remote.state()
+    assert state["version"] == 1 and not remote._publish(state) and remote.commits() == [1]
+    remote.ingest(rows(spark, [("u1", "B", "2.00", D[1])]), batch_id=2, write_csv=False)
+    assert facts(remote) == [("u1", "B", 1.0, D[0]), ("u1", "B", 2.0, D[1])]
