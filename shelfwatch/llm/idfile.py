@@ -19,8 +19,8 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+import functools
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -151,7 +151,7 @@ def part_starts(spark: SparkSession, source: str) -> DataFrame:
     return sums.select("part", F.coalesce(F.sum("part_ids").over(before), F.lit(0)).alias("part_start"))
 
 
-def _crc_matrix_times(matrix: list[int], vector: int) -> int:
+def _crc_matrix_times(matrix: Sequence[int], vector: int) -> int:
     out, k = 0, 0
     while vector:
         if vector & 1:
@@ -161,20 +161,25 @@ def _crc_matrix_times(matrix: list[int], vector: int) -> int:
     return out
 
 
-def crc32_join(crc1: int, crc2: int, len2: int) -> int:
-    """CRC-32 of a + b from those of a and b: crc1 moved over ``len2`` zero bytes, xor crc2."""
-    if not len2:
-        return crc1
+@functools.lru_cache(8192)
+def _crc_shift(n: int) -> tuple[int, ...]:
+    """The matrix that moves a CRC-32 over ``n`` zero bytes; pieces have few different lengths."""
     # over one zero bit, then squared: 2, 4, 8 (a byte), 16 ... bits
     op = [0xEDB88320] + [1 << k for k in range(31)]
     for _ in range(3):
         op = [_crc_matrix_times(op, v) for v in op]
-    while len2:
-        if len2 & 1:
-            crc1 = _crc_matrix_times(op, crc1)
+    out = [1 << k for k in range(32)]
+    while n:
+        if n & 1:
+            out = [_crc_matrix_times(op, v) for v in out]
         op = [_crc_matrix_times(op, v) for v in op]
-        len2 >>= 1
-    return crc1 ^ crc2
+        n >>= 1
+    return tuple(out)
+
+
+def crc32_join(crc1: int, crc2: int, len2: int) -> int:
+    """CRC-32 of a + b from those of a and b: crc1 moved over ``len2`` zero bytes, xor crc2."""
+    return _crc_matrix_times(_crc_shift(len2), crc1) ^ crc2
 
 
 def _join_crcs(pieces: pd.Series) -> pd.Series:
