@@ -34,6 +34,17 @@ def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(F.col("p_retailprice") * 100).cast("decimal(12,0)") / 100).cast(PRICE).alias("price"))
 
 
+#: Pages that one task parses; a few seconds of work.
+PAGES_PER_TASK = 20_000
+
+
+def _dealt_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``_part`` dealt over as many tasks as its pages take: the table is small in bytes, so a
+    scan has few splits. The narrow rows are dealt, before pages are made of them."""
+    part = _part(spark, sf_dir)
+    return part.repartition(part.count() // PAGES_PER_TASK + 1)      # the count reads footers only
+
+
 # Where the n-th listing stands; every other link names the catalogue folder itself.
 _HREF_SQL = "CASE WHEN k % 2 = 0 THEN 'catalogue/' ELSE '' END || 'p_' || CAST(k AS VARCHAR) || '/index.html'"
 _URL_SQL = (f"CASE WHEN k % 2 = 0 THEN '{SITE_BASE_URL}' ELSE '{SITE_CATALOGUE_URL}' END || {_HREF_SQL}")
@@ -59,7 +70,7 @@ def _listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 3 == 1, F.lit('<ul><li class="next"><a href="page-3.html">next</a></li></ul>'))
             .otherwise(F.lit("")))
     broken = F.when(k % 17 == 0, F.lit("<![broken[")).otherwise(F.lit(""))
-    return _part(spark, sf_dir).select(
+    return _dealt_part(spark, sf_dir).select(
         k.alias("page_id"), F.concat(F.lit("list-"), k.cast("string")).alias("url"),
         F.concat(F.lit("<html><body>"), card, nxt, broken, F.lit("</body></html>")).alias("html"))
 
@@ -85,7 +96,7 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.when(k % 13 == 0, F.lit("<![broken[")).otherwise(F.lit(""))
     page = F.concat(F.lit("<html><body>"), crumb, broken, table, F.lit("</body></html>"))
     base = F.when(k % 2 == 0, F.lit(SITE_BASE_URL)).otherwise(F.lit(SITE_CATALOGUE_URL))
-    return _part(spark, sf_dir).where(k % 11 != 0).select(
+    return _dealt_part(spark, sf_dir).where(k % 11 != 0).select(
         (k + 10_000_000).alias("page_id"), F.concat(base, _href()).alias("url"), page.alias("html"))
 
 

@@ -46,6 +46,13 @@ def _dealt_first(df, keys):
     return f"hashpartitioning({keys}" in exchange and "REPARTITION_BY_COL" in exchange
 
 
+def test_pages_are_parsed_by_tasks_of_bounded_work(spark, tables, monkeypatch):
+    monkeypatch.setattr(RL, "PAGES_PER_TASK", 20)
+    for pages, n in ((RL._listing_pages(spark, tables[0]), 90), (RL._detail_pages(spark, tables[0]), 81)):
+        per_task = H.parse_pages(pages).groupBy(F.spark_partition_id()).count().collect()
+        assert len(per_task) == 5 and sum(x["count"] for x in per_task) == n
+
+
 def test_state_of_many_products_in_few_rows(spark, tmp_root):
     r = random.Random(7)
     rows = [(f"u{r.randrange(300)}", DAY + dt.timedelta(r.randrange(20)), Decimal(r.randrange(100, 2000)) / 100, k) for k in range(1500)]
