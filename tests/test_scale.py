@@ -46,6 +46,18 @@ def _dealt_first(df, keys):
     return f"hashpartitioning({keys}" in exchange and "REPARTITION_BY_COL" in exchange
 
 
+def test_fact_is_dealt_by_key_before_it_is_sorted(spark, tables):
+    root, items = tables
+    history = B.build_history(spark, root)
+    assert _dealt_first(history, "l_partkey")
+    last = {}
+    for order, part, supp, line, qty, price, discount, ship in items:
+        key = str(part), dt.date(ship.year, ship.month - (ship.month - 1) % 3, 1)
+        last[key] = max(last.get(key, ()), (ship, order, line, supp, price, qty))
+    got = {(r.upc, r.date_collected): tuple(r.log_order) for r in history.collect()}
+    assert got == last and history.count() == len(last) < len(items)
+
+
 def test_pages_are_parsed_by_tasks_of_bounded_work(spark, tables, monkeypatch):
     monkeypatch.setattr(RL, "PAGES_PER_TASK", 20)
     for pages, n in ((RL._listing_pages(spark, tables[0]), 90), (RL._detail_pages(spark, tables[0]), 81)):
