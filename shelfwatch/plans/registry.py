@@ -90,8 +90,10 @@ def snapshot_at(spark, sf_dir):
     "SELECT title, CAST(price AS DOUBLE) AS price, rating, product_url, date_collected, upc, "
     "category, stock_quantity FROM history"))
 def dedup_history(spark, sf_dir):
-    log = B.raw_log(spark, sf_dir)
-    return _wide_out(dedup_keep_last(log, ["title", "product_url", "date_collected"], [B.LOG_ORDER]))
+    keys = ["title", "product_url", "date_collected"]
+    # few rows a key: dealt before they are sorted by key, no task sorts a whole split of the log
+    log = B.raw_log(spark, sf_dir).repartition(*keys)
+    return _wide_out(dedup_keep_last(log, keys, [B.LOG_ORDER]))
 
 
 @register("collection_dates", O.q(
@@ -783,7 +785,7 @@ def scd2_dimension(spark, sf_dir):
     """Over the raw log, with a category that changes from run to run and within a date."""
     log = B.raw_log(spark, sf_dir).withColumn("category", F.concat(
         "category", F.lit("-"), (F.col("stock_quantity") % 2).cast("string")))
-    return EV.scd2(log, order=[B.LOG_ORDER])
+    return EV.scd2(log.repartition("upc", "date_collected"), order=[B.LOG_ORDER])      # dealt as in dedup_history
 
 
 @register("fact_upsert", O.more("""

@@ -58,6 +58,12 @@ def test_fact_is_dealt_by_key_before_it_is_sorted(spark, tables):
     assert got == last and history.count() == len(last) < len(items)
 
 
+def test_log_is_dealt_by_key_before_it_is_sorted(spark, tables):
+    root, _ = tables
+    assert _dealt_first(R.dedup_history(spark, root), "title")
+    assert _dealt_first(R.scd2_dimension(spark, root), "upc")
+
+
 def test_pages_are_parsed_by_tasks_of_bounded_work(spark, tables, monkeypatch):
     monkeypatch.setattr(RL, "PAGES_PER_TASK", 20)
     for pages, n in ((RL._listing_pages(spark, tables[0]), 90), (RL._detail_pages(spark, tables[0]), 81)):
