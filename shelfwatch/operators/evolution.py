@@ -101,7 +101,8 @@ def scd2_apply(current: DataFrame, batch: DataFrame, key: str = "upc",
 
 def scd2_merge(current: DataFrame | None, batch: DataFrame, key: str = "upc",
                attrs: Sequence[str] = ("title", "category", "product_url"),
-               date: str = "date_collected", order: Sequence[str] | None = None) -> DataFrame:
+               date: str = "date_collected", order: Sequence[str] | None = None,
+               partitions: int | None = None) -> DataFrame:
     """E1 for batches of any dates in any order: ``current`` (with ``observed``, as
     ``scd2(keep_dates=True)`` builds it) after ``batch``.
 
@@ -114,6 +115,10 @@ def scd2_merge(current: DataFrame | None, batch: DataFrame, key: str = "upc",
     Batch rows are folded to one list of dates per key (map-side first) and meet the versions
     by one equi-join. Only versions that a new date falls into are opened to single dates, and
     only keys of the batch go through the window that joins neighbours.
+
+    ``partitions``: into how many the keys are dealt for the windows, so that a task's memory
+    follows from it (some hundred thousand observations each). By default Spark decides from the
+    bytes shuffled, which compress to a small part of the rows' size in memory.
     """
     attrs = list(attrs)
     if order is None:
@@ -135,7 +140,10 @@ def scd2_merge(current: DataFrame | None, batch: DataFrame, key: str = "upc",
         untouched = met.where(F.col("_new").isNull()).select(
             F.col("_key").alias(key), "_attrs.*", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"),
             F.col("_dates").alias("observed"))
-        pieces = _split(met.where(F.col("_new").isNotNull()))
+        met = met.where(F.col("_new").isNotNull())
+        pieces = _split(met.repartition(partitions, "_key") if partitions else met)
+    if partitions and current is None:
+        pieces = pieces.repartition(partitions, "_key")
     w = Window.partitionBy("_key").orderBy("_start")
     islands = (pieces.withColumn("_start", F.element_at("_dates", 1))
                .withColumn("_prev", F.lag(F.struct("_attrs")).over(w))

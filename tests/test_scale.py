@@ -71,6 +71,19 @@ def test_pages_are_parsed_by_tasks_of_bounded_work(spark, tables, monkeypatch):
         assert len(per_task) == 5 and sum(x["count"] for x in per_task) == n
 
 
+def test_late_batches_dealt_into_given_partitions(spark):
+    r = random.Random(5)
+    rows = list({(f"u{r.randrange(9)}", DAY + dt.timedelta(r.randrange(15))): None for _ in range(80)})
+    seen = spark.createDataFrame([(u, d, r.choice("ab")) for u, d in rows], "upc string, date_collected date, rating string").cache()
+    part = F.pmod(F.xxhash64("upc", "date_collected"), F.lit(3))
+    table = None
+    for n in (2, 0, 1):
+        table = EV.scd2_merge(table, seen.where(part == n), "upc", ["rating"], partitions=7)
+    assert _plan(table).count(", 7), REPARTITION_BY_NUM") >= 3
+    want = EV.scd2(seen, "upc", ["rating"])
+    assert sorted(map(tuple, table.drop("observed").collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_state_of_many_products_in_few_rows(spark, tmp_root):
     r = random.Random(7)
     rows = [(f"u{r.randrange(300)}", DAY + dt.timedelta(r.randrange(20)), Decimal(r.randrange(100, 2000)) / 100, k) for k in range(1500)]
