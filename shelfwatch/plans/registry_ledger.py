@@ -24,8 +24,13 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.books(spark, sf_dir).select(*WIDE_COLUMNS)
 
 
-def _ledger(spark: SparkSession) -> Ledger:
-    return Ledger(spark, _scratch(spark), buckets=4)
+#: Rows of the fact in one bucket, over all dates; a load is written by one task a bucket.
+BUCKET_ROWS = 1_000_000
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    rows = B.fact(spark, sf_dir).count()                             # footers are read, no rows
+    return Ledger(spark, _scratch(spark), buckets=max(4, -(-rows // BUCKET_ROWS)))
 
 
 def _loaded(ledger: Ledger) -> DataFrame:
@@ -39,7 +44,7 @@ def _loaded(ledger: Ledger) -> DataFrame:
 def ledger_star_join(spark, sf_dir):
     """All dates loaded at once, then some products of the latest date under a new
     title, which the dimension's delta shows on every date."""
-    ledger, rows = _ledger(spark), _rows(spark, sf_dir)
+    ledger, rows = _ledger(spark, sf_dir), _rows(spark, sf_dir)
     ledger.ingest(rows, batch_id="all", write_csv=False, single_date=False)
     ledger.compact()
     latest = S.latest_snapshot(rows, B.fact(spark, sf_dir)).where("CAST(upc AS BIGINT) % 5 = 0")
@@ -51,7 +56,7 @@ def ledger_star_join(spark, sf_dir):
 @register("ledger_cascade_delete", O.q(f"SELECT {_LOADED_SQL} FROM books WHERE CAST(upc AS BIGINT) % 3 <> 0"))
 def ledger_cascade_delete(spark, sf_dir):
     """J6 over all dates: every third product with all its facts, in one commit."""
-    ledger = _ledger(spark)
+    ledger = _ledger(spark, sf_dir)
     ledger.ingest(_rows(spark, sf_dir), write_csv=False, single_date=False)
     ledger.delete_products(B.catalog(spark, sf_dir).where("CAST(upc AS BIGINT) % 3 = 0").select("upc"))
     return _loaded(ledger)
@@ -62,7 +67,7 @@ def ledger_cascade_delete(spark, sf_dir):
     "THEN 'C' || CAST(stock_quantity % 3 AS VARCHAR) END AS currency FROM books"))
 def ledger_added_column(spark, sf_dir):
     """E5: earlier dates without a column, the latest with it, then one of the earlier dates again."""
-    ledger, rows, fact = _ledger(spark), _rows(spark, sf_dir), B.fact(spark, sf_dir)
+    ledger, rows, fact = _ledger(spark, sf_dir), _rows(spark, sf_dir), B.fact(spark, sf_dir)
     latest = F.col("date_collected") == S.latest_date(fact)
     ledger.ingest(rows.where(~latest), write_csv=False, single_date=False)
     ledger.ingest(rows.where(latest).withColumn("currency", F.concat(
@@ -77,7 +82,7 @@ def ledger_added_column(spark, sf_dir):
     "FROM (SELECT DISTINCT date_collected FROM books)"))
 def ledger_dates(spark, sf_dir):
     """A13, A15, W2 from the commit: no fact file is read."""
-    ledger = _ledger(spark)
+    ledger = _ledger(spark, sf_dir)
     ledger.ingest(_rows(spark, sf_dir), write_csv=False, single_date=False)
     state = ledger.state()
     two = [None, *ledger.dates(state)][-2:]
@@ -91,7 +96,7 @@ def ledger_dates(spark, sf_dir):
 def ledger_micro_batches(spark, sf_dir):
     """E2 + E6 over all dates: the observations in parts, one of them three times, then a
     correction of some products."""
-    ledger, rows = _ledger(spark), _rows(spark, sf_dir)
+    ledger, rows = _ledger(spark, sf_dir), _rows(spark, sf_dir)
     part = F.pmod(F.xxhash64("upc", "date_collected"), F.lit(3))
     for n, load in ((0, "a"), (1, "b"), (1, "b"), (2, "c"), (1, None)):
         ledger.ingest_part(rows.where(part == n), ["ingest_seq"], load, False)

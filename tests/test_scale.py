@@ -71,6 +71,14 @@ def test_pages_are_parsed_by_tasks_of_bounded_work(spark, tables, monkeypatch):
         assert len(per_task) == 5 and sum(x["count"] for x in per_task) == n
 
 
+def test_buckets_grow_with_the_fact(spark, tables, monkeypatch):
+    monkeypatch.setattr(RG, "BUCKET_ROWS", 10)
+    rows = B.fact(spark, tables[0]).count()
+    assert RG._ledger(spark, tables[0]).buckets == -(-rows // 10) > 4
+    got = RG.ledger_micro_batches(spark, tables[0])
+    assert got.count() == rows == got.select("upc", "date_collected").distinct().count()
+
+
 def test_late_batches_dealt_into_given_partitions(spark):
     r = random.Random(5)
     rows = list({(f"u{r.randrange(9)}", DAY + dt.timedelta(r.randrange(15))): None for _ in range(80)})
