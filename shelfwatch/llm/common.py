@@ -41,6 +41,12 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def each_text(column: pa.Array, rows: int = 256) -> Iterator[bytes]:
+    """``raw_texts`` one after the other; only ``rows`` of a batch are Python objects at a time."""
+    for lo in range(0, len(column), rows):
+        yield from raw_texts(column.slice(lo, rows))
+
+
 def slices(texts: list, step: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``step`` bytes of text each (one row at least)."""
     start, size = 0, 0

@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import n_parts, raw_texts, staged, text_rows
+from .common import each_text, n_parts, staged, text_rows
 from .rangecoder import decode_blocks, encode_blocks
 from .vocab import vocabulary
 
@@ -78,7 +78,7 @@ def _write_task(path: str, spaced: bool, end_id: int):
             return out
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
+            for doc, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
                 raw = vocab.encode(text, spaced) + end
                 total, at = len(raw) // 4, 0
                 if size and size + total > BLOCK_IDS:

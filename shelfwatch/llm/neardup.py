@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw_texts, staged, text_rows
+from .common import each_text, staged, text_rows
 
 SHINGLE = 5
 PERCENT = 75
@@ -51,7 +51,10 @@ REGISTERS, BAND = 128, 4
 _BUCKET_BITS, _MANTISSA = 7, 10
 #: Standard errors below the limit at which an estimate rules a pair out.
 MARGIN = 6.0
-MEMO_WORDS = 400_000
+#: Hashes of words and of whole texts that a task keeps (some 20 MB each); it forgets them at its end,
+#: as Spark's Python workers live on and later stages need the room.
+MEMO_WORDS = 100_000
+MEMO_HASHES = 2_000_000
 
 _FILL = np.random.default_rng(4).random((REGISTERS, REGISTERS))
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -149,7 +152,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> float:
 def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, f1, f2, regs = [], [], [], []
-        for text in raw_texts(batch.column("text")):
+        for text in each_text(batch.column("text")):
             s = shingle_set(text)
             a, b = fingerprint(s)
             n.append(len(s))
@@ -160,6 +163,7 @@ def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(n, pa.int64()),
              pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(regs, pa.binary())],
             ["doc_id", "k1", "k2", "n_shingles", "f1", "f2", "registers"])
+    _WORDS.clear()
 
 
 def _band_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +180,7 @@ def _shingle_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(cid, text) to one row (cid, shingle) for each shingle."""
     for batch in batches:
         cids, out, size = [], [], 0
-        for cid, text in zip(batch.column("cid").to_pylist(), raw_texts(batch.column("text"))):
+        for cid, text in zip(batch.column("cid").to_pylist(), each_text(batch.column("text"))):
             s = shingle_set(text)
             out.append(s.view(np.int64))
             cids.append(np.full(len(s), cid))
@@ -188,6 +192,7 @@ def _shingle_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cids)), pa.array(np.concatenate(out))],
                                              ["cid", "shingle"])
+    _WORDS.clear()
 
 
 def overlap(n: Column, m: Column, percent: int) -> Column:
@@ -252,7 +257,7 @@ def _verify_task(percent: int):
             nonlocal size
             got = known.get(cid)
             if got is None:
-                if size > 4_000_000:                       # hashes kept at a time
+                if size > MEMO_HASHES:
                     known.clear()
                     size = 0
                 got = known[cid] = shingle_set(text.as_py())
@@ -268,6 +273,7 @@ def _verify_task(percent: int):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        _WORDS.clear()
     return run
 
 

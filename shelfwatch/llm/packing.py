@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw_texts, staged, text_rows
+from .common import each_text, staged, text_rows
 from .vocab import vocabulary
 
 WINDOW = 1024
@@ -123,7 +123,7 @@ def _pack_task(path: str, spaced: bool, end_id: int, window: int, limit: int, ke
                 schema = pa.schema([("doc_id", batch.column(0).type), *[(n, pa.int64()) for n in (
                     "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset")],
                     ("part", pa.int32()), ("open", pa.bool_()), ("ids", pa.binary())])
-            for doc, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
+            for doc, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
                 ids = vocab.encode(text, spaced) + end
                 total = len(ids) // 4
                 whole = total - total % window

@@ -22,8 +22,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries kept per worker; the memo starts anew when it is full.
-MEMO_ENTRIES = 500_000
+#: Entries kept per worker (some 40 MB); the memo starts anew when it is full.
+MEMO_ENTRIES = 200_000
 
 # ASCII (without control characters other than tab, newline, return), Latin-1 letters and
 # common typographic marks: characters whose class, lower case and normal form are plain.
@@ -70,7 +70,7 @@ class Vocabulary:
 
     def _by_units(self, text: bytes, spaced: bool) -> bytes:
         units = spaced_units(text) if spaced else text.split()
-        if len(self.units) > MEMO_ENTRIES // 5:
+        if len(self.units) > MEMO_ENTRIES // 2:
             self.units.clear()
         new = [u for u in dict.fromkeys(units) if u not in self.units]
         for i in range(0, len(new), 10_000):

@@ -3,9 +3,10 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_SMALL
 
-from shelfwatch.llm import neardup, queries
+from shelfwatch.llm import common, neardup, queries
 
 from .conftest import DOCS, rows
 
@@ -167,3 +168,28 @@ def test_sketch_estimate():
         about = neardup.estimate(neardup.sketch(a), neardup.sketch(b), len(a), len(b))
         assert abs(about - share) < 0.2
     assert 0 < neardup.chance_agreement(20, 20) < 0.01
+
+
+def test_tasks_keep_little_and_forget_it_at_their_end(monkeypatch):
+    """Spark's Python workers live on: what a task keeps would take the memory of later stages."""
+    texts = [f"word{i} stands in text {i} and nowhere else" if i % 7 else None for i in range(1000)]
+    ids = pa.array(range(1000), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, ids, pa.array(texts)], ["doc_id", "k1", "k2", "cid", "text"])
+    at_once = []
+
+    def seen(column, raw=common.raw_texts):
+        at_once.append(len(column))
+        return raw(column)
+
+    plain = common.raw_texts(batch.column("text"))
+    monkeypatch.setattr(common, "raw_texts", seen)
+    sketched = pa.Table.from_batches(neardup._sketch_task(iter([batch])))
+    assert sketched.column("n_shingles").to_pylist() == [len(neardup.shingle_set(t)) for t in plain]
+    assert max(at_once) <= 256 and sum(at_once) == 1000
+    neardup._WORDS.clear()
+    for task in (neardup._sketch_task, neardup._shingle_task):
+        assert list(task(iter([batch]))) and not neardup._WORDS
+    pairs = pa.RecordBatch.from_arrays([ids[1:3], ids[2:4], pa.array(texts[1:3]), pa.array(texts[2:4])],
+                                       ["a", "b", "t_a", "t_b"])
+    assert list(neardup._verify_task(75)(iter([pairs]))) and not neardup._WORDS
+    assert list(common.each_text(pa.array(texts, pa.large_string()), 10)) == plain
