@@ -31,12 +31,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import each_text, n_parts, staged, text_rows
+from .common import n_parts, staged, text_rows
 from .rangecoder import decode_blocks, encode_blocks
-from .vocab import vocabulary
+from .wordids import encode_texts
 
 BLOCK_IDS = 4096
-#: Blocks that one task codes side by side (bounds its memory).
+#: Blocks that one task holds at a time (bounds its memory).
 LANES = 1536
 
 _PIECE = np.dtype([("doc", "<i8"), ("null", "u1"), ("ordinal", "<i8"), ("start", "<i8"), ("n", "<i4"), ("total", "<i8")])
@@ -49,7 +49,7 @@ def _write_task(path: str, spaced: bool, end_id: int):
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, part = vocabulary(path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         done: list[tuple] = []                 # (first_id, ids, pieces) of closed blocks
         ids: list[bytes] = []
         pieces: list[tuple] = []
@@ -78,8 +78,8 @@ def _write_task(path: str, spaced: bool, end_id: int):
             return out
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
-                raw = vocab.encode(text, spaced) + end
+            for doc, raw in zip(batch.column(0).to_pylist(), encode_texts(path, batch.column(1), spaced)):
+                raw += end
                 total, at = len(raw) // 4, 0
                 if size and size + total > BLOCK_IDS:
                     close()

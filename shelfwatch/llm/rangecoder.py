@@ -1,4 +1,4 @@
-"""Adaptive context-mixing range coder for token ids, many blocks side by side.
+"""Adaptive context-mixing range coder for token ids, many streams side by side.
 
 A block is coded with a model that starts fresh in it. Three experts predict the next id:
 
@@ -9,9 +9,13 @@ A block is coded with a model that starts fresh in it. Three experts predict the
 The mixture P(id) = w2 [id = guess2] + w1 [id = guess1] + w0 P0(id) drives a 64-bit range
 coder with carries. The weights are adaptive, one set for each pair of confidences that the
 two guesses have earned (and whether they agree). Guesses adapt with every id, weights and
-frequencies every ``EPOCH`` ids. Blocks hold at most 32,767 different ids (``encode_blocks``
-refuses others). Encoder and decoder run all blocks of a batch in step, one numpy lane per
-block, so neither works id by id in Python.
+frequencies after the steps that ``_refreshes`` names. Blocks hold at most 32,767 different
+ids (``encode_blocks`` refuses others).
+
+A block is cut into up to ``STREAMS`` equal runs of ids. Each run has a range coder of its
+own; all of them share, and teach, the model of the block. Encoder and decoder run the
+streams of some hundred blocks in step, one numpy lane per stream, so neither works id by id
+in Python, and the models in use stay small enough for a processor's cache.
 """
 
 from __future__ import annotations
@@ -21,179 +25,301 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMR1"
-EPOCH = 256
+MAGIC = b"CMR2"
+STREAMS = 16
 MOST_IDS = 32_767
-_BITS1, _BITS2, _SCALE, _CASES = 11, 12, 18, 128
+#: Ids of a stream at least, and streams that are coded side by side.
+_STREAM_IDS, _SIDE = 128, 1536
+_BITS1, _BITS2, _CASES = 11, 12, 128
 _GAIN = 24
-_0, _16, _32, _SHIFT0 = np.uint64(0), np.uint64(16), np.uint64(32), np.uint64(_SCALE)
+_0, _16, _32, _48 = (np.uint64(k) for k in (0, 16, 32, 48))
 _LOW, _WORD = np.uint64(1 << 32), np.uint64(0xFFFFFFFF)
+#: Ids below this get their places in a block from a table instead of a sort.
+_SMALL_ID = 1 << 17
 
 
 class Corrupt(ValueError):
     """A block whose checksum or structure is wrong."""
 
 
+def _streams(n: int) -> tuple[int, int]:
+    """Number of streams of a block of ``n`` ids, and ids of each (the last may have fewer)."""
+    each = -(-n // min(STREAMS, max(1, n // _STREAM_IDS)))
+    return -(-n // each), each
+
+
+def _refreshes(step: int) -> bool:
+    return step >= 4 and (step & (step - 1) == 0 or step % 64 == 0)
+
+
+class _Lanes:
+    """The streams of some blocks, longest first: block, first id and number of ids of each."""
+
+    def __init__(self, lens: list[int]):
+        block, first, size = [], [], []
+        for k, n in enumerate(lens):
+            count, each = _streams(n)
+            block += [k] * count
+            first += range(0, n, each)
+            size += [each] * (count - 1) + [n - each * (count - 1)]
+        size = np.array(size, np.int64)
+        order = np.argsort(-size, kind="stable")
+        self.block, self.first, self.size = np.array(block)[order], np.array(first)[order], size[order]
+        self.steps = int(self.size[0])
+        #: For each step, the lanes that have more ids.
+        self.live = np.searchsorted(-self.size, -np.arange(self.steps), "left").tolist()
+
+
 class _Model:
-    """State of all lanes; the same calls in the same order on both sides."""
+    """State of all blocks; the same calls in the same order on both sides."""
 
-    def __init__(self, sizes: np.ndarray):
-        lanes = len(sizes)
+    def __init__(self, sizes: np.ndarray, lane_block: np.ndarray):
+        blocks = len(sizes)
         self.sizes, self.base = sizes, np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        # order-0 frequencies of a block sum up to ``1 << bits``
+        self.bits = np.where(sizes > 4096, 16, 13)
+        self.lift = (16 - self.bits).repeat(sizes).astype(np.uint64)
         self.count = np.ones(int(sizes.sum()), np.int64)
-        lane = np.arange(lanes)
-        self.off1, self.off2, self.offw = lane << _BITS1, lane << _BITS2, lane * _CASES
-        # guess << 16 | times it was right in a row; guess -1: none yet
-        self.slot1 = np.full(lanes << _BITS1, -65536, np.int32)
-        self.slot2 = np.full(lanes << _BITS2, -65536, np.int32)
+        self.off1, self.off2, self.offw = lane_block << _BITS1, lane_block << _BITS2, lane_block * _CASES
+        # guess << 3 | times it was right in a row (7 at most); guess -1: none yet
+        self.slot1 = np.full(blocks << _BITS1, -8, np.int32)
+        self.slot2 = np.full(blocks << _BITS2, -8, np.int32)
         # for each case: how often it came, order 2 was right, order 1 was right where order 2 wasn't
         trust = np.arange(16, 240, 28) / 256
-        self.came = np.full(lanes * _CASES, 8.0)
-        self.right2 = np.tile(np.repeat(trust, 8), lanes * 2) * 8
-        self.right1 = np.tile(np.tile(trust, 8), lanes * 2) * (8 - self.right2)
+        self.came = np.full(blocks * _CASES, 8.0)
+        self.right2 = np.tile(np.repeat(trust, 8), blocks * 2) * 8
+        self.right1 = np.tile(np.tile(trust, 8), blocks * 2) * (8 - self.right2)
         self.seen: list[tuple] = []
         self.refresh()
 
     def refresh(self) -> None:
-        """Take in what came since the last time: weights of the orders, and order-0 frequencies
-        (at least 1 each, of a sum of ``1 << _SCALE`` at most)."""
+        """Take in what came since the last time: weights of the orders, and order-0 frequencies."""
         if self.seen:
             cases, twos, ones, places = (np.concatenate(c) for c in zip(*self.seen))
             self.seen.clear()
             n = len(self.came)
             self.came += np.bincount(cases, minlength=n)
-            self.right2 += np.bincount(cases, twos, n)
-            self.right1 += np.bincount(cases, ones & ~twos, n)
+            self.right2 += np.bincount(cases[twos], minlength=n)
+            self.right1 += np.bincount(cases[ones & ~twos], minlength=n)
             self.count += _GAIN * np.bincount(places, minlength=len(self.count))
         w2 = (self.right2 / (self.came + 0.5) * 65000).astype(np.int64) + 100
-        rest = 65536 - w2
-        w1 = (rest * (self.right1 / (self.came - self.right2 + 0.5) * 0.98)).astype(np.int64) + 4
-        self.w2, self.w12, self.w0 = (w.astype(np.uint64) for w in (w2, w2 + w1, rest - w1))
-        self.w1 = self.w12 - self.w2
+        w1 = ((65536 - w2) * (self.right1 / (self.came - self.right2 + 0.5) * 0.98)).astype(np.int64) + 4
+        # where the part of order 1 starts, and that of order 0, of 1 << 32
+        self.weights = w2.astype(np.uint64) << _16 | (w2 + w1).astype(np.uint64) << _48
         total = np.add.reduceat(self.count, self.base)
-        share = (((1 << _SCALE) - self.sizes) / total).repeat(self.sizes)
-        freq = (self.count * share).astype(np.int64) + 1
-        self.flat = np.cumsum(freq) - freq                    # ascending over all lanes
-        self.first = self.flat[self.base]
-        self.cum = (self.flat - self.first.repeat(self.sizes)).astype(np.uint64)
-        self.freq = freq.astype(np.uint64)
+        share = ((1 << self.bits) - self.sizes) / total
+        freq = (self.count * share.repeat(self.sizes)).astype(np.int64) + 1
+        freq[self.base] += (1 << self.bits) - np.add.reduceat(freq, self.base)
+        cum = np.cumsum(freq) - freq                        # ascending over all blocks
+        self.freq = freq
+        own = (cum - cum[self.base].repeat(self.sizes)).astype(np.uint64)
+        self.part = own << self.lift << _32 | freq.astype(np.uint64) << self.lift
 
     def predict(self, n: int, i1: np.ndarray, i2: np.ndarray):
-        """For the first ``n`` lanes, with their contexts: guesses of orders 1 and 2, and the case."""
+        """For the first ``n`` lanes, with their contexts: what the slots hold, the weights' case,
+        and where the parts of orders 1 and 0 start."""
         v1, v2 = self.slot1.take(i1), self.slot2.take(i2)
-        g1, g2 = v1 >> 16, v2 >> 16
-        case = np.minimum(v2 & 0xFFFF, 7) * 8
-        case += np.minimum(v1 & 0xFFFF, 7)
-        case += (g1 == g2) * 64
-        return v1, v2, g1, g2, case + self.offw[:n]
-
-    def learn(self, i1, i2, v1, v2, x16, hit2, hit1, case, q) -> None:
-        self.slot1[i1] = np.where(hit1, v1 + 1, x16)
-        self.slot2[i2] = np.where(hit2, v2 + 1, x16)
+        case = ((v1 ^ v2).view(np.uint32) < 8) * np.int32(64)    # both guess the same
+        case += (v2 & 7) << 3
+        case += v1 & 7
+        case = case + self.offw[:n]
+        w = self.weights.take(case)
+        return v1, v2, case, w & _WORD, w >> _32
+
+    def learn(self, i1, i2, v1, v2, x8, hit2, hit1, case, q) -> None:
+        # streams of a block may meet in a slot: the last one's entry stays
+        self.slot1[i1] = np.where(hit1, np.minimum(v1 + 1, v1 | 7), x8)
+        self.slot2[i2] = np.where(hit2, np.minimum(v2 + 1, v2 | 7), x8)
         self.seen.append((case, hit2, hit1, q))
 
-    def context2(self, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
-        return (p1 * 10007 + p2) & ((1 << _BITS2) - 1)
-
-
-def _encode_lanes(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
-    """Code words of each lane. Lanes come longest first."""
-    lens = np.array([len(s) for s in symbols])
-    steps, lanes = int(lens[0]), len(symbols)
-    grid = np.zeros((steps + 2, lanes), np.int32)              # two zeros stand before each block
-    for k, s in enumerate(symbols):
-        grid[2:len(s) + 2, k] = s
-    live = np.searchsorted(-lens, -np.arange(steps), "left").tolist()   # lanes with more ids
-    words = np.zeros((lanes, steps + 4), np.uint32)
-    used = np.zeros(lanes, np.int64)
-    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    model = _Model(sizes)
-    for t, n in enumerate(live):
-        at = t % EPOCH
-        if not at:
-            if t:
-                model.refresh()
-            # ids, places and contexts of the whole epoch at once
-            xs = grid[t + 2:t + 2 + EPOCH]
-            one, two = grid[t + 1:t + 1 + len(xs)].astype(np.int64), grid[t:t + len(xs)].astype(np.int64)
-            qs, x16s = xs + model.base, xs << 16
-            i1s = (one & ((1 << _BITS1) - 1)) + model.off1
-            i2s = model.context2(one, two) + model.off2
-        x, q, i1, i2 = xs[at, :n], qs[at, :n], i1s[at, :n], i2s[at, :n]
-        v1, v2, g1, g2, case = model.predict(n, i1, i2)
-        hit2, hit1 = g2 == x, g1 == x
-        guessed = hit2 | hit1
-        w2, w12 = model.w2.take(case), model.w12.take(case)
-        unit = rng[:n] >> _16
-        fine = (unit * model.w0.take(case)) >> _SHIFT0
-        # where the part of the interval starts, and its size
-        start = unit * np.where(hit1, w2, w12)
-        start += np.where(guessed, _0, fine * model.cum.take(q))
+    def finder(self) -> np.ndarray:
+        """The id at each place of the order-0 part, block after block."""
+        return (np.arange(len(self.freq)) - self.base.repeat(self.sizes)).astype(np.int16).repeat(self.freq)
+
+
+def _encode_group(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
+    """Number of code words of each stream, and the words, of each block."""
+    lanes = _Lanes([len(s) for s in symbols])
+    steps, many = lanes.steps, len(lanes.block)
+    rows = np.zeros((many, steps + 2), np.int32)               # two zeros stand before each stream
+    for row, k, lo, n in zip(rows, lanes.block.tolist(), lanes.first.tolist(), lanes.size.tolist()):
+        row[2:n + 2] = symbols[k][lo:lo + n]
+    grid = np.ascontiguousarray(rows.T)
+    width = steps + 4
+    words = np.zeros(many * width, np.uint32)
+    at = np.arange(many) * width                               # where the next word goes
+    low, rng = np.zeros(many, np.uint64), np.full(many, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    model = _Model(sizes, lanes.block)
+    base = model.base[lanes.block]
+    for t, n in enumerate(lanes.live):
+        if t and _refreshes(t):
+            model.refresh()
+        if t % 64 == 0:                                        # places and contexts of the next steps at once
+            xs = grid[t + 2:t + 66]
+            one, two = grid[t + 1:t + 1 + len(xs)], grid[t:t + len(xs)]
+            qs, x8s = xs + base, xs << 3
+            i1s, i2s = _context1(one) + model.off1, _context2(one, two) + model.off2
+        k = t % 64
+        x8, q, i1, i2 = x8s[k, :n], qs[k, :n], i1s[k, :n], i2s[k, :n]
+        v1, v2, case, part1, part0 = model.predict(n, i1, i2)
+        hit2, hit1 = (v2 ^ x8).view(np.uint32) < 8, (v1 ^ x8).view(np.uint32) < 8
+        weight0 = (_LOW - part0) >> _16
+        place = model.part.take(q)
+        # where the part of the interval starts, and its size, of 1 << 32
+        start = np.where(hit1, part1, part0 + weight0 * (place >> _32))
+        size = np.where(hit1, part0 - part1, weight0 * (place & _WORD))
         start[hit2] = _0
-        rng[:n] = np.where(guessed, unit * np.where(hit2, w2, w12 - w2), fine * model.freq.take(q))
-        new = low[:n] + start
-        for k in np.flatnonzero(new < start).tolist():    # a carry into the words written
-            p = used[k] - 1
-            while words[k, p] == 0xFFFFFFFF:
-                words[k, p] = 0
-                p -= 1
-            words[k, p] += 1
-        low[:n] = new
-        small = np.flatnonzero(rng[:n] < _LOW)
+        np.copyto(size, part1, where=hit2)
+        unit = rng[:n] >> _32
+        start *= unit
+        now, new = unit * size, low[:n] + start
+        carry = np.flatnonzero(new < start)
+        if len(carry):                                         # into the words written
+            p = at[carry] - 1
+            words[p] += np.uint32(1)
+            for p in p[words[p] == 0].tolist():
+                while words[p] == 0:
+                    p -= 1
+                    words[p] += np.uint32(1)
+        low[:n], rng[:n] = new, now
+        small = np.flatnonzero(now < _LOW)
         if len(small):
-            words[small, used[small]] = low[small] >> _32
-            used[small] += 1
-            low[small] <<= _32
-            rng[small] <<= _32
-        model.learn(i1, i2, v1, v2, x16s[at, :n], hit2, hit1, case, q)
-    for shift in (_32, _0):
-        words[np.arange(lanes), used] = (low >> shift) & _WORD
-        used += 1
-    return [words[k, :used[k]].astype("<u4").tobytes() for k in range(lanes)]
-
-
-def _decode_lanes(words: list[np.ndarray], lens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Symbols (step, lane) of lanes that come longest first."""
-    steps, lanes = int(lens[0]), len(words)
-    width = max(map(len, words)) + 2
-    grid = np.zeros((lanes, width), np.uint32)
-    for k, w in enumerate(words):
-        grid[k, :len(w)] = w
-    live = np.searchsorted(-lens, -np.arange(steps), "left").tolist()
-    code = (grid[:, 0].astype(np.uint64) << _32) | grid[:, 1]
-    used = np.full(lanes, 2)
-    rng = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out = np.zeros((steps, lanes), np.int32)
-    model = _Model(sizes)
-    one = two = np.zeros(lanes, np.int64)
-    for t, n in enumerate(live):
-        if t and t % EPOCH == 0:
+            put, top = at[small], new[small]
+            words[put] = top >> _32
+            at[small] = put + 1
+            low[small] = top << _32
+            rng[small] = now[small] << _32
+        model.learn(i1, i2, v1, v2, x8, hit2, hit1, case, q)
+    # one more word, with zeros after it, names a value of the last interval
+    last = low + _WORD
+    for p in (at[last < low] - 1).tolist():
+        words[p] += np.uint32(1)
+        while words[p] == 0:
+            p -= 1
+            words[p] += np.uint32(1)
+    words[at] = last >> _32
+    rows, used = words.reshape(many, width), at + 1 - np.arange(many) * width
+    streams: list[list[int]] = [[] for _ in symbols]
+    for lane in np.lexsort((lanes.first, lanes.block)).tolist():
+        streams[lanes.block[lane]].append(lane)
+    return [used[own].astype(_length_type(len(s))).tobytes()
+            + b"".join([rows[lane, :used[lane]].astype("<u4").tobytes() for lane in own])
+            for own, s in zip(streams, symbols)]
+
+
+def _length_type(n: int) -> str:
+    """Of the number of words of a stream; an id takes one word at most."""
+    return "<u2" if _streams(n)[1] < 65_000 else "<u4"
+
+
+def _context1(p1: np.ndarray) -> np.ndarray:
+    return p1 & ((1 << _BITS1) - 1)
+
+
+def _context2(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    return (p1 * np.int32(10007) + p2) & ((1 << _BITS2) - 1)
+
+
+def _decode_group(coded: list[bytes], lens: list[int], sizes: np.ndarray) -> list[np.ndarray]:
+    """Symbols of each block."""
+    lanes = _Lanes(lens)
+    steps, many = lanes.steps, len(lanes.block)
+    streams = []
+    for body, n in zip(coded, lens):
+        count, kind = _streams(n)[0], np.dtype(_length_type(n))
+        if len(body) < count * kind.itemsize:
+            raise Corrupt("the streams of a block don't fill it")
+        used = np.frombuffer(body, kind, count).astype(np.int64)
+        words = body[count * kind.itemsize:]
+        if 4 * int(used.sum()) != len(words):
+            raise Corrupt("the streams of a block don't fill it")
+        streams.append(np.split(np.frombuffer(words, "<u4"), np.cumsum(used)[:-1]))
+    width = max(len(w) for s in streams for w in s) + 4
+    rows = np.zeros((many, width), np.uint32)
+    for row, k, number in zip(rows, lanes.block.tolist(),
+                              [lo // _streams(lens[k])[1] for k, lo in zip(lanes.block.tolist(), lanes.first.tolist())]):
+        w = streams[k][number]
+        row[:len(w)] = w
+    words = rows.reshape(-1).astype(np.uint64)
+    at = np.arange(many) * width
+    code = (words[at] << _32) | words[at + 1]
+    at += 2
+    rng = np.full(many, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    out = np.zeros((steps, many), np.int32)
+    model = _Model(sizes, lanes.block)
+    base, shift = model.base[lanes.block], 16 - model.bits[lanes.block]
+    places = (np.cumsum(1 << model.bits) - (1 << model.bits))[lanes.block]
+    finder = model.finder()
+    one = two = np.zeros(many, np.int32)
+    for t, n in enumerate(lanes.live):
+        if t and _refreshes(t):
             model.refresh()
-        i1 = (one[:n] & ((1 << _BITS1) - 1)) + model.off1[:n]
-        i2 = model.context2(one[:n], two[:n]) + model.off2[:n]
-        v1, v2, g1, g2, case = model.predict(n, i1, i2)
-        unit = rng[:n] >> _16
-        fine = (unit * model.w0.take(case)) >> _SHIFT0
-        bound2, bound1 = unit * model.w2.take(case), unit * model.w12.take(case)
+            finder = model.finder()
+        i1, i2 = _context1(one[:n]) + model.off1[:n], _context2(one[:n], two[:n]) + model.off2[:n]
+        v1, v2, case, part1, part0 = model.predict(n, i1, i2)
         now = code[:n]
-        by2, guessed = now < bound2, now < bound1
-        # order 0: the last symbol whose cumulative frequency is not above the value
-        rest = np.where(guessed, _0, now - bound1)
-        q = np.searchsorted(model.flat, model.first[:n] + (rest // fine).astype(np.int64), "right") - 1
-        x = np.where(guessed, np.where(by2, g2, g1), q - model.base[:n])
-        if ((x < 0) | (x >= model.sizes[:n])).any():
+        unit = rng[:n] >> _32
+        value = now // unit
+        by2, by1 = value < part1, value < part0
+        # order 0: the id at the value's place (exact: both are whole numbers far below 1 << 53)
+        rest = (value - part0).view(np.int64).astype(np.float64) * 65536.0
+        place = (rest / (_LOW - part0).view(np.int64).astype(np.float64)).astype(np.int64)
+        place >>= shift[:n]
+        place += places[:n]
+        x = np.where(by1, v1 >> 3, finder.take(place, mode="clip"))
+        np.copyto(x, v2 >> 3, where=by2)
+        if x.min() < 0:
             raise Corrupt("a code word leads outside the block's ids")
-        code[:n] = np.where(guessed, np.where(by2, now, now - bound2), rest - fine * model.cum.take(q))
-        rng[:n] = np.where(guessed, np.where(by2, bound2, bound1 - bound2), fine * model.freq.take(q))
-        small = np.flatnonzero(rng[:n] < _LOW)
+        q = x + base[:n]
+        weight0, place = (_LOW - part0) >> _16, model.part.take(q)
+        start = np.where(by1, part1, part0 + weight0 * (place >> _32))
+        size = np.where(by1, part0 - part1, weight0 * (place & _WORD))
+        start[by2] = _0
+        np.copyto(size, part1, where=by2)
+        now = now - unit * start
+        wide = unit * size
+        code[:n], rng[:n] = now, wide
+        small = np.flatnonzero(wide < _LOW)
         if len(small):
-            code[small] = (code[small] << _32) | grid[small, np.minimum(used[small], width - 1)]
-            used[small] += 1
-            rng[small] <<= _32
+            get = at[small]
+            code[small] = (now[small] << _32) | words.take(get, mode="clip")
+            at[small] = get + 1
+            rng[small] = wide[small] << _32
         out[t, :n] = x
-        model.learn(i1, i2, v1, v2, x << 16, g2 == x, g1 == x, case, x + model.base[:n])
+        x8 = x << 3
+        model.learn(i1, i2, v1, v2, x8, (v2 ^ x8).view(np.uint32) < 8, (v1 ^ x8).view(np.uint32) < 8, case, q)
         one, two = x, one
-    return out
+    blocks = [np.zeros(n, np.int32) for n in lens]
+    for row, k, lo, n in zip(np.ascontiguousarray(out.T), lanes.block.tolist(), lanes.first.tolist(),
+                             lanes.size.tolist()):
+        blocks[k][lo:lo + n] = row[:n]
+    return blocks
+
+
+def _groups(lens: list[int]) -> list[list[int]]:
+    """Blocks with ids, longest first, in groups of some ``_SIDE`` streams."""
+    groups, room = [], 0
+    for k in sorted((k for k, n in enumerate(lens) if n), key=lambda k: -lens[k]):
+        if room <= 0:
+            groups.append([])
+            room = _SIDE
+        groups[-1].append(k)
+        room -= _streams(lens[k])[0]
+    return groups
+
+
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids in ascending order, and the place of each id among them."""
+    most = int(ids.max())
+    if most >= _SMALL_ID:
+        own, places = np.unique(ids, return_inverse=True)
+        return own, places.astype(np.int32)
+    met = np.zeros(most + 1, bool)
+    met[ids] = True
+    own = np.flatnonzero(met)
+    number = np.empty(most + 1, np.int32)
+    number[own] = np.arange(len(own))
+    return own.astype(np.uint32), number.take(ids)
 
 
 def encode_blocks(blocks: list[np.ndarray], tables: list[bytes]) -> list[bytes]:
@@ -201,24 +327,25 @@ def encode_blocks(blocks: list[np.ndarray], tables: list[bytes]) -> list[bytes]:
 
     Raises ``ValueError`` for a block of more than ``MOST_IDS`` different ids.
     """
-    out: list[bytes] = [b""] * len(blocks)
-    order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
-    full = [k for k in order if len(blocks[k])]
-    ids, symbols = {}, []
-    for k in full:
-        ids[k], inverse = np.unique(blocks[k], return_inverse=True)
-        if len(ids[k]) > MOST_IDS:
-            raise ValueError(f"a block of {len(ids[k])} different ids; {MOST_IDS} at most")
-        symbols.append(inverse.astype(np.int64))
-    coded = dict(zip(full, _encode_lanes(symbols, np.array([len(ids[k]) for k in full])))) if full else {}
-    for k in order:
+    ids, coded = {}, {}
+    for group in _groups([len(b) for b in blocks]):
+        symbols = []
+        for k in group:
+            ids[k], own = _numbered(blocks[k])
+            if len(ids[k]) > MOST_IDS:
+                raise ValueError(f"a block of {len(ids[k])} different ids; {MOST_IDS} at most")
+            symbols.append(own)
+        coded.update(zip(group, _encode_group(symbols, np.array([len(ids[k]) for k in group]))))
+    out: list[bytes] = []
+    for k, block in enumerate(blocks):
         own = ids.get(k, np.zeros(0, np.uint32))
-        known = zlib.compress(np.diff(own, prepend=np.zeros(1, own.dtype)).astype("<u4").tobytes(), 6)
+        steps = np.diff(own, prepend=np.zeros(1, own.dtype))
+        known = zlib.compress(steps.astype("<u2" if len(own) and steps.max() < 65_536 else "<u4").tobytes(), 6)
         table = zlib.compress(tables[k], 6)
-        body = struct.pack("<4sIIII", MAGIC, len(blocks[k]), len(own), len(known), len(table)) \
+        body = struct.pack("<4sIIII", MAGIC, len(block), len(own), len(known), len(table)) \
             + known + table + coded.get(k, b"")
-        body += struct.pack("<I", zlib.crc32(blocks[k].astype("<u4").tobytes()))
-        out[k] = body + struct.pack("<I", zlib.crc32(body))
+        body += struct.pack("<I", zlib.crc32(block.astype("<u4").tobytes()))
+        out.append(body + struct.pack("<I", zlib.crc32(body)))
     return out
 
 
@@ -229,18 +356,16 @@ def decode_blocks(payloads: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]
         if len(p) < 28 or p[:4] != MAGIC or zlib.crc32(p[:-4]) != struct.unpack("<I", p[-4:])[0]:
             raise Corrupt("the checksum of a block is wrong")
         _, n, n_ids, n_known, n_table = struct.unpack("<4sIIII", p[:20])
-        known = np.cumsum(np.frombuffer(zlib.decompress(p[20:20 + n_known]), "<u4"), dtype=np.uint32)
+        known = zlib.decompress(p[20:20 + n_known])
+        known = np.cumsum(np.frombuffer(known, "<u2" if len(known) == 2 * n_ids else "<u4"), dtype=np.uint32)
         table = zlib.decompress(p[20 + n_known:20 + n_known + n_table])
-        found.append((n, known, table, np.frombuffer(p[20 + n_known + n_table:-8], "<u4"),
-                      struct.unpack("<I", p[-8:-4])[0]))
+        found.append((n, known, table, p[20 + n_known + n_table:-8], struct.unpack("<I", p[-8:-4])[0]))
     blocks = [np.zeros(0, np.uint32)] * len(found)
-    full = sorted((k for k in range(len(found)) if found[k][0]), key=lambda k: -found[k][0])
-    if full:
-        grid = _decode_lanes([found[k][3].astype(np.uint64) for k in full],
-                             np.array([found[k][0] for k in full]),
-                             np.array([len(found[k][1]) for k in full]))
-        for lane, k in enumerate(full):
-            blocks[k] = found[k][1][grid[:found[k][0], lane]]
+    for group in _groups([x[0] for x in found]):
+        got = _decode_group([found[k][3] for k in group], [found[k][0] for k in group],
+                            np.array([len(found[k][1]) for k in group]))
+        for k, symbols in zip(group, got):
+            blocks[k] = found[k][1][symbols]
     for block, x in zip(blocks, found):
         if zlib.crc32(block.astype("<u4").tobytes()) != x[4]:
             raise Corrupt("the ids of a block don't match their checksum")
