@@ -116,22 +116,27 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, batch.num_rows, LANES):
             now = batch.slice(lo, LANES)
             blocks, tables = decode_blocks(now.column("payload").to_pylist())
-            out: list[np.ndarray] = []
             ids: list[bytes] = []
-            for part, first, block, table in zip(now.column("part").to_pylist(), now.column("first_id").to_pylist(),
-                                                 blocks, tables):
-                t = np.frombuffer(table, _PIECE)
-                at = np.cumsum(t["n"]) - t["n"]
-                raw = block.astype("<u4").tobytes()
-                ids += [raw[4 * a:4 * (a + n)] for a, n in zip(at.tolist(), t["n"].tolist())]
-                out.append(np.rec.fromarrays([np.full(len(t), part), t["ordinal"], t["doc"], t["null"], t["start"],
-                                              first + at - t["start"], t["n"], t["total"]]))
-            t = np.concatenate(out)
-            doc = pa.array(t["f2"], pa.int64(), mask=t["f3"].astype(bool))
+            pieces = np.frombuffer(b"".join(tables), _PIECE)
+            counts = [len(t) // _PIECE.itemsize for t in tables]
+            lo = 0
+            for block, k in zip(blocks, counts):
+                raw, at = block.astype("<u4").tobytes(), 0
+                for n in pieces["n"][lo:lo + k].tolist():
+                    ids.append(raw[at:at + 4 * n])
+                    at += 4 * n
+                lo += k
+            # ids before each piece: of the part before its block, and of the block before it
+            before = np.cumsum(pieces["n"], dtype=np.int64) - pieces["n"]
+            head = np.cumsum([0, *counts])[:-1]
+            first = now.column("first_id").to_numpy() - before[head]
+            at = before + first.repeat(counts)
+            doc = pa.array(pieces["doc"], pa.int64(), mask=pieces["null"].astype(bool))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(t["f0"], pa.int32()), pa.array(t["f1"], pa.int64()), doc, pa.array(t["f4"], pa.int64()),
-                 pa.array(t["f5"], pa.int64()), pa.array(t["f6"], pa.int32()), pa.array(t["f7"], pa.int64()),
-                 pa.array(ids, pa.binary())],
+                [pa.array(now.column("part").to_numpy().repeat(counts), pa.int32()),
+                 pa.array(pieces["ordinal"], pa.int64()), doc, pa.array(pieces["start"], pa.int64()),
+                 pa.array(at - pieces["start"], pa.int64()), pa.array(pieces["n"], pa.int32()),
+                 pa.array(pieces["total"], pa.int64()), pa.array(ids, pa.binary())],
                 ["part", "ordinal", "doc_id", "start_in_doc", "start_in_part", "length", "doc_ids", "ids"])
 
 
@@ -182,13 +187,27 @@ def crc32_join(crc1: int, crc2: int, len2: int) -> int:
     return _crc_matrix_times(_crc_shift(len2), crc1) ^ crc2
 
 
-def _join_crcs(pieces: pd.Series) -> pd.Series:
-    def one(rows) -> int:
-        crc = 0
-        for row in rows:
-            crc = crc32_join(crc, row["crc"], 4 * row["length"])
-        return crc
-    return pieces.map(one)
+@functools.lru_cache(64)
+def _crc_power(k: int) -> np.ndarray:
+    """What moving a CRC-32 over ``2 ** k`` zero bytes makes of each of its bits."""
+    return np.array(_crc_shift(1 << k), np.uint32)
+
+
+def crc32_moved(crcs: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Each CRC-32 moved over ``n`` zero bytes; those of all parts of a text, moved over what
+    follows them, give the CRC-32 of the text by xor."""
+    out = crcs.astype(np.uint32)
+    for k in range(int(n.max(initial=0)).bit_length()):
+        some = np.flatnonzero(n >> k & 1)
+        crc, moved = out[some], np.zeros(len(some), np.uint32)
+        for bit, value in enumerate(_crc_power(k)):
+            moved ^= (crc >> np.uint32(bit) & np.uint32(1)) * value
+        out[some] = moved
+    return out
+
+
+def _moved(crc: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series(crc32_moved(crc.to_numpy(), n.to_numpy()).astype(np.int64))
 
 
 def document_digests(spark: SparkSession, source: str) -> DataFrame:
@@ -200,14 +219,15 @@ def document_digests(spark: SparkSession, source: str) -> DataFrame:
     pieces = staged(read_pieces(spark, source).select(
         "part", "ordinal", "doc_id", "start_in_doc", "start_in_part", "length", "doc_ids",
         F.crc32("ids").alias("crc")), "pieces")
-    join_crcs = F.pandas_udf(_join_crcs, T.LongType())
+    moved = F.pandas_udf(_moved, T.LongType())
+    behind = 4 * (F.col("doc_ids") - F.col("start_in_doc") - F.col("length"))
     one = pieces.filter(F.col("length") == F.col("doc_ids")).select(
         "part", "doc_id", "start_in_part", F.col("doc_ids").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
-    cut = (pieces.filter(F.col("length") != F.col("doc_ids")).groupBy("part", "ordinal")
+    cut = (pieces.filter(F.col("length") != F.col("doc_ids"))
+           .withColumn("crc", moved("crc", behind)).groupBy("part", "ordinal")
            .agg(F.first("doc_id").alias("doc_id"), F.first("start_in_part").alias("start_in_part"),
-                F.first("doc_ids").alias("n_tokens"),
-                F.sort_array(F.collect_list(F.struct("start_in_doc", "length", "crc"))).alias("pieces"))
-           .select("part", "doc_id", "start_in_part", "n_tokens", join_crcs("pieces").alias("ids_crc32")))
+                F.first("doc_ids").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32"))
+           .select("part", "doc_id", "start_in_part", "n_tokens", "ids_crc32"))
     starts = F.broadcast(part_starts(spark, source))     # one row per range partition
     return one.unionByName(cut).join(starts, "part").select(
         "doc_id", (F.col("part_start") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32")

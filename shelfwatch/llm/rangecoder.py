@@ -49,7 +49,7 @@ def _streams(n: int) -> tuple[int, int]:
 
 
 def _refreshes(step: int) -> bool:
-    return step >= 4 and (step & (step - 1) == 0 or step % 64 == 0)
+    return step in (8, 32) or (step > 0 and step % 64 == 0)
 
 
 class _Lanes:
@@ -113,7 +113,7 @@ class _Model:
         cum = np.cumsum(freq) - freq                        # ascending over all blocks
         self.freq = freq
         own = (cum - cum[self.base].repeat(self.sizes)).astype(np.uint64)
-        self.part = own << self.lift << _32 | freq.astype(np.uint64) << self.lift
+        self.part = (own << _32 | freq.astype(np.uint64)) << self.lift
 
     def predict(self, n: int, i1: np.ndarray, i2: np.ndarray):
         """For the first ``n`` lanes, with their contexts: what the slots hold, the weights' case,
@@ -137,6 +137,13 @@ class _Model:
         return (np.arange(len(self.freq)) - self.base.repeat(self.sizes)).astype(np.int16).repeat(self.freq)
 
 
+def _carry(words: np.ndarray, places: np.ndarray) -> None:
+    """Add one to the words at the places, and to those before them while it runs over."""
+    while len(places):
+        words[places] += np.uint32(1)
+        places = places[words[places] == 0] - 1
+
+
 def _encode_group(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
     """Number of code words of each stream, and the words, of each block."""
     lanes = _Lanes([len(s) for s in symbols])
@@ -173,14 +180,7 @@ def _encode_group(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
         unit = rng[:n] >> _32
         start *= unit
         now, new = unit * size, low[:n] + start
-        carry = np.flatnonzero(new < start)
-        if len(carry):                                         # into the words written
-            p = at[carry] - 1
-            words[p] += np.uint32(1)
-            for p in p[words[p] == 0].tolist():
-                while words[p] == 0:
-                    p -= 1
-                    words[p] += np.uint32(1)
+        _carry(words, at[:n][new < start] - 1)
         low[:n], rng[:n] = new, now
         small = np.flatnonzero(now < _LOW)
         if len(small):
@@ -192,11 +192,7 @@ def _encode_group(symbols: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
         model.learn(i1, i2, v1, v2, x8, hit2, hit1, case, q)
     # one more word, with zeros after it, names a value of the last interval
     last = low + _WORD
-    for p in (at[last < low] - 1).tolist():
-        words[p] += np.uint32(1)
-        while words[p] == 0:
-            p -= 1
-            words[p] += np.uint32(1)
+    _carry(words, at[last < low] - 1)
     words[at] = last >> _32
     rows, used = words.reshape(many, width), at + 1 - np.arange(many) * width
     streams: list[list[int]] = [[] for _ in symbols]
@@ -233,7 +229,8 @@ def _decode_group(coded: list[bytes], lens: list[int], sizes: np.ndarray) -> lis
         words = body[count * kind.itemsize:]
         if 4 * int(used.sum()) != len(words):
             raise Corrupt("the streams of a block don't fill it")
-        streams.append(np.split(np.frombuffer(words, "<u4"), np.cumsum(used)[:-1]))
+        words, ends = np.frombuffer(words, "<u4"), np.cumsum(used).tolist()
+        streams.append([words[lo:hi] for lo, hi in zip([0, *ends], ends)])
     width = max(len(w) for s in streams for w in s) + 4
     rows = np.zeros((many, width), np.uint32)
     for row, k, number in zip(rows, lanes.block.tolist(),

@@ -18,7 +18,7 @@ from .common import each_text
 from .vocab import _BYTE_CHARS, Vocabulary, vocabulary
 
 #: Text bytes worked on at a time (one row at least).
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 12_000_000
 #: Pre-tokens that the newer half of a worker's memo holds (some 200 bytes each).
 MEMO_WORDS = 250_000
 #: Pre-tokens in one call of the library.
@@ -57,20 +57,20 @@ def _rare_places(data: np.ndarray, kinds: np.ndarray, high: bool) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _starts(low: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _starts(data: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Whether a pre-token starts at each byte; ``ends`` holds the borders of the texts."""
-    start = np.empty(len(low), bool)
+    start = np.empty(len(data), bool)
     start[:1] = True
     np.not_equal(kinds[1:], kinds[:-1], out=start[1:])
     start |= kinds == _DIGIT
-    start[ends[ends < len(low)]] = True
+    start[ends[ends < len(data)]] = True
     start &= kinds != _SPACE
     # 's 't 're 've 'm 'll 'd: an apostrophe that starts a pre-token, letters of the same text after it
-    at = np.flatnonzero((low[:-1] == 0x27) & start[:-1] & (kinds[1:] == _LETTER))
+    at = np.flatnonzero((data[:-1] == 0x27) & start[:-1] & (kinds[1:] == _LETTER))
     if len(at):
         end = ends[np.searchsorted(ends, at, "right")]
-        one = low[at + 1]
-        two = np.where(at + 2 < end, low[np.minimum(at + 2, len(low) - 1)], 0)
+        one = data[at + 1] | 0x20                              # ASCII letters in lower case
+        two = np.where(at + 2 < end, data[np.minimum(at + 2, len(data) - 1)] | 0x20, 0)
         short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
         long = np.isin(one.astype(np.int32) << 8 | two, [b[0] << 8 | b[1] for b in (b"re", b"ve", b"ll")])
         hit = (short | long) & (at + 1 < end)
@@ -139,13 +139,10 @@ class WordEncoder:
         data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]]
         ends -= ends[0]
         whole = bytearray(data)
-        kinds, low = (np.frombuffer(whole.translate(t), np.uint8) for t in (_CLASS, _LOWER))
+        data, kinds = np.frombuffer(whole, np.uint8), np.frombuffer(whole.translate(_CLASS), np.uint8)
         high = bool(data.max() >= 0x80)
         if high:
-            letter = data[:-1] == 0xC3
-            np.copyto(kinds[1:], _LETTER, where=letter)
-            letter &= (data[1:] >= 0x80) & (data[1:] <= 0x9E)        # capital letters
-            low[1:] += letter.view(np.uint8) << 5
+            np.copyto(kinds[1:], _LETTER, where=data[:-1] == 0xC3)
         rare = np.zeros(len(texts), bool)
         rare[np.searchsorted(ends, _rare_places(data, kinds, high), "right") - 1] = True
         # a special token's text stands in few texts, if any
@@ -153,18 +150,28 @@ class WordEncoder:
             for m in self.vocab.marks:
                 rare |= pc.match_substring(texts, m).to_numpy(zero_copy_only=False)
         if rare.any():
-            kinds[np.repeat(rare, np.diff(ends))] = _SPACE          # they have no words here
-        start = _starts(low, kinds, ends)
+            away = np.repeat(rare, np.diff(ends))                  # they have no words here
+            kinds[away], data[away] = _SPACE, 32
+        if high:
+            capital = data[:-1] == 0xC3
+            capital &= (data[1:] >= 0x80) & (data[1:] <= 0x9E)
+            data[1:] += capital.view(np.uint8) << 5
+        start = _starts(data, kinds, ends)
         at = np.flatnonzero(start)
         word_ends = np.searchsorted(at, ends)
         raw, id_ends = b"", np.zeros(len(ends), np.int64)
         if len(at):
-            solid = kinds != _SPACE
-            low, start = low[solid], start[solid]
-            borders = np.append(np.flatnonzero(start), len(low)).astype(np.int32)
+            # a pre-token ends before the next one, or before white space
+            start[:-1] = start[1:]
+            start[-1] = True
+            start[:-1] |= kinds[1:] == _SPACE
+            start &= kinds != _SPACE
+            borders = np.zeros(len(at) + 1, np.int32)
+            np.cumsum(np.flatnonzero(start) - at + 1, out=borders[1:])
+            low = whole.translate(_LOWER, b"\t\n\r ")
             words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(borders), pa.py_buffer(low)])
             coded = words.dictionary_encode()
-            del at, start, solid, kinds, borders, low, words
+            del at, start, kinds, data, whole, borders, low, words
             ids = pa.array(self._word_ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
             raw = memoryview(ids.buffers()[2])
             id_ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1][word_ends]
