@@ -20,6 +20,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,7 +43,7 @@ LANES = 1536
 _PIECE = np.dtype([("doc", "<i8"), ("null", "u1"), ("ordinal", "<i8"), ("start", "<i8"), ("n", "<i4"), ("total", "<i8")])
 _BLOCK_SCHEMA = "part int, block long, first_id long, n_ids int, payload binary"
 _PIECE_SCHEMA = ("part int, ordinal long, doc_id long, start_in_doc long, start_in_part long, "
-                 "length int, doc_ids long, ids binary")
+                 "length int, doc_ids long")
 
 
 def _write_task(path: str, spaced: bool, end_id: int):
@@ -111,19 +112,20 @@ def write_ids(docs: DataFrame, target: str, vocab_path: str, *, spaced: bool = F
      .write.option("compression", "none").parquet(target))
 
 
-def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_task(batches: Iterator[pa.RecordBatch], keep_ids: bool = True) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, LANES):
             now = batch.slice(lo, LANES)
             blocks, tables = decode_blocks(now.column("payload").to_pylist())
-            ids: list[bytes] = []
+            found: list = []                    # ids of each piece, or their checksum
             pieces = np.frombuffer(b"".join(tables), _PIECE)
             counts = [len(t) // _PIECE.itemsize for t in tables]
             lo = 0
             for block, k in zip(blocks, counts):
-                raw, at = block.astype("<u4").tobytes(), 0
+                raw, at = memoryview(block.astype("<u4").tobytes()), 0
                 for n in pieces["n"][lo:lo + k].tolist():
-                    ids.append(raw[at:at + 4 * n])
+                    piece = raw[at:at + 4 * n]
+                    found.append(bytes(piece) if keep_ids else zlib.crc32(piece))
                     at += 4 * n
                 lo += k
             # ids before each piece: of the part before its block, and of the block before it
@@ -136,16 +138,20 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(now.column("part").to_numpy().repeat(counts), pa.int32()),
                  pa.array(pieces["ordinal"], pa.int64()), doc, pa.array(pieces["start"], pa.int64()),
                  pa.array(at - pieces["start"], pa.int64()), pa.array(pieces["n"], pa.int32()),
-                 pa.array(pieces["total"], pa.int64()), pa.array(ids, pa.binary())],
-                ["part", "ordinal", "doc_id", "start_in_doc", "start_in_part", "length", "doc_ids", "ids"])
+                 pa.array(pieces["total"], pa.int64()), pa.array(found, pa.binary() if keep_ids else pa.int64())],
+                ["part", "ordinal", "doc_id", "start_in_doc", "start_in_part", "length", "doc_ids",
+                 "ids" if keep_ids else "crc"])
 
 
-def read_pieces(spark: SparkSession, source: str) -> DataFrame:
+def read_pieces(spark: SparkSession, source: str, *, keep_ids: bool = True) -> DataFrame:
     """Decoded pieces of documents; one row per document, more for those cut over blocks.
 
-    ``start_in_part`` counts the ids of the part before the document.
+    ``start_in_part`` counts the ids of the part before the document. With ``keep_ids`` false
+    the column ``crc`` stands for ``ids``: the CRC-32 of the ids just decoded.
     """
-    return spark.read.schema(_BLOCK_SCHEMA).parquet(source).mapInArrow(_read_task, _PIECE_SCHEMA)
+    return spark.read.schema(_BLOCK_SCHEMA).parquet(source).mapInArrow(
+        functools.partial(_read_task, keep_ids=keep_ids),
+        f"{_PIECE_SCHEMA}, {'ids binary' if keep_ids else 'crc long'}")
 
 
 def part_starts(spark: SparkSession, source: str) -> DataFrame:
@@ -216,9 +222,7 @@ def document_digests(spark: SparkSession, source: str) -> DataFrame:
     The files are decoded once: places and checksums of the pieces are staged (some 60 bytes
     each). Only documents cut over several blocks are gathered (checksums, not ids).
     """
-    pieces = staged(read_pieces(spark, source).select(
-        "part", "ordinal", "doc_id", "start_in_doc", "start_in_part", "length", "doc_ids",
-        F.crc32("ids").alias("crc")), "pieces")
+    pieces = staged(read_pieces(spark, source, keep_ids=False), "pieces")
     moved = F.pandas_udf(_moved, T.LongType())
     behind = 4 * (F.col("doc_ids") - F.col("start_in_doc") - F.col("length"))
     one = pieces.filter(F.col("length") == F.col("doc_ids")).select(

@@ -319,6 +319,22 @@ def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own.astype(np.uint32), number.take(ids)
 
 
+def _packed(own: np.ndarray) -> bytes:
+    """Steps between ascending ids: a byte each; 255, and four more at the end, for the larger ones."""
+    steps = np.diff(own, prepend=np.zeros(1, own.dtype))
+    large = steps >= 255
+    return np.where(large, 255, steps).astype(np.uint8).tobytes() + steps[large].astype("<u4").tobytes()
+
+
+def _unpacked(known: bytes, n: int) -> np.ndarray:
+    steps = np.frombuffer(known, np.uint8, n).astype(np.uint32)
+    large = steps == 255
+    if len(known) != n + 4 * np.count_nonzero(large):
+        raise Corrupt("the ids of a block don't fill their table")
+    steps[large] = np.frombuffer(known, "<u4", offset=n)
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def encode_blocks(blocks: list[np.ndarray], tables: list[bytes]) -> list[bytes]:
     """A self-contained payload for each block of ids; ``tables``: bytes to carry with each.
 
@@ -336,8 +352,7 @@ def encode_blocks(blocks: list[np.ndarray], tables: list[bytes]) -> list[bytes]:
     out: list[bytes] = []
     for k, block in enumerate(blocks):
         own = ids.get(k, np.zeros(0, np.uint32))
-        steps = np.diff(own, prepend=np.zeros(1, own.dtype))
-        known = zlib.compress(steps.astype("<u2" if len(own) and steps.max() < 65_536 else "<u4").tobytes(), 6)
+        known = _packed(own)
         table = zlib.compress(tables[k], 6)
         body = struct.pack("<4sIIII", MAGIC, len(block), len(own), len(known), len(table)) \
             + known + table + coded.get(k, b"")
@@ -353,8 +368,7 @@ def decode_blocks(payloads: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]
         if len(p) < 28 or p[:4] != MAGIC or zlib.crc32(p[:-4]) != struct.unpack("<I", p[-4:])[0]:
             raise Corrupt("the checksum of a block is wrong")
         _, n, n_ids, n_known, n_table = struct.unpack("<4sIIII", p[:20])
-        known = zlib.decompress(p[20:20 + n_known])
-        known = np.cumsum(np.frombuffer(known, "<u2" if len(known) == 2 * n_ids else "<u4"), dtype=np.uint32)
+        known = _unpacked(p[20:20 + n_known], n_ids)
         table = zlib.decompress(p[20 + n_known:20 + n_known + n_table])
         found.append((n, known, table, p[20 + n_known + n_table:-8], struct.unpack("<I", p[-8:-4])[0]))
     blocks = [np.zeros(0, np.uint32)] * len(found)

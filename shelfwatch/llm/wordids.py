@@ -8,6 +8,7 @@ memo).
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +19,9 @@ from .common import each_text
 from .vocab import _BYTE_CHARS, Vocabulary, vocabulary
 
 #: Text bytes worked on at a time (one row at least).
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 10_000_000
 #: Pre-tokens that the newer half of a worker's memo holds (some 200 bytes each).
-MEMO_WORDS = 250_000
+MEMO_WORDS = 300_000
 #: Pre-tokens in one call of the library.
 _CALL = 500
 
@@ -92,7 +93,8 @@ class WordEncoder:
         # pre-tokens arrive cut, and in the characters of the byte level
         self.library = Tokenizer(vocab.tokenizer.model)
         self.library.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.characters = {b: c for b, c in enumerate(_BYTE_CHARS) if b != 32}
+        self.characters = "".join(c if b != 32 else " " for b, c in enumerate(_BYTE_CHARS))
+        self.marks = [m.encode() for m in vocab.marks]
         self.is_last = np.array([bool(self.suffix) and (vocab.tokenizer.id_to_token(k) or "").endswith(self.suffix)
                                  for k in range(vocab.tokenizer.get_vocab_size(with_added_tokens=True))])
         # words met since the memo was last full, and those met before that
@@ -102,7 +104,7 @@ class WordEncoder:
     def _library_ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as the library finds them."""
         if self.suffix:
-            calls = [b" ".join(words[k:k + _CALL]).decode("latin-1").translate(self.characters)
+            calls = [codecs.charmap_decode(b" ".join(words[k:k + _CALL]), "strict", self.characters)[0]
                      for k in range(0, len(words), _CALL)]
             ids = np.concatenate([np.array(e.ids, np.uint32)
                                   for e in self.library.encode_batch_fast(calls, add_special_tokens=False)])
@@ -146,8 +148,8 @@ class WordEncoder:
         rare = np.zeros(len(texts), bool)
         rare[np.searchsorted(ends, _rare_places(data, kinds, high), "right") - 1] = True
         # a special token's text stands in few texts, if any
-        if any(pc.any(pc.match_substring(texts, m)).as_py() for m in self.vocab.marks):
-            for m in self.vocab.marks:
+        for m, mark in zip(self.vocab.marks, self.marks):
+            if mark in whole:
                 rare |= pc.match_substring(texts, m).to_numpy(zero_copy_only=False)
         if rare.any():
             away = np.repeat(rare, np.diff(ends))                  # they have no words here
