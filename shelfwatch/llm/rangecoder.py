@@ -29,7 +29,7 @@ MAGIC = b"CMR2"
 STREAMS = 16
 MOST_IDS = 32_767
 #: Ids of a stream at least, and streams that are coded side by side.
-_STREAM_IDS, _SIDE = 128, 1536
+_STREAM_IDS, _SIDE = 128, 4096
 _BITS1, _BITS2, _CASES = 11, 12, 128
 _GAIN = 24
 _0, _16, _32, _48 = (np.uint64(k) for k in (0, 16, 32, 48))
