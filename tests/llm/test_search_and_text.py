@@ -79,6 +79,32 @@ def test_topk_of_rows_repeated_many_times(spark):
     assert got == [(0, n + 1, i, -s) for n, (s, i) in enumerate(expected)]
 
 
+def test_topk_blocks_are_not_broadcast(spark):
+    """Copies for the slots are unknown to Spark's estimates: a join broadcast them all."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0], "", "") for i in range(300)], VECTORS)
+    got = topk.top_k(df, F.col("vec_id") % 100 == 0)
+    assert len(got.collect()) == 30
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("decay, spread, rows_of_id", [(1.0, 300.0, 1), (0.7, 300.0, 3), (0.7, 2.0, 1), (0.5, 40_000.0, 400)])
+def test_topk_keeps_the_best_of_many_blocks(decay, spread, rows_of_id):
+    r = np.random.default_rng(5)
+    blocks = [(r.integers(0, 400, 200) // rows_of_id, np.floor(r.normal(size=(n, 200)) * spread * decay ** np.arange(n)[:, None]))
+              for n in [40, 21, 40, 0, 33]]
+    q_ids, q = np.arange(70), np.floor(r.normal(size=(37, 70)) * spread * decay ** np.arange(37)[:, None])
+    best = topk.Best(q_ids, q, 10)
+    for ids, x in blocks:
+        best.meet(topk.Candidates(ids, x))
+    got = {}
+    for i, j, score in zip(*(c.to_pylist() for c in best.result().columns)):
+        got.setdefault(i, []).append((-score, j))
+    for i in range(70):
+        every = {(-int(sum(int(a) * int(b) for a, b in zip(q[:, i], col))), int(j)) for ids, x in blocks
+                 for j, col in zip(ids, x.T) if j != i}
+        assert got.get(i, []) == sorted(every)[:10]
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
          "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
          "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
